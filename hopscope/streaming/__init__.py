@@ -1,0 +1,6 @@
+"""Streaming.
+
+The distance jobs this library rebuilds are bounded batch jobs: files in,
+files out, with no event time, watermark or late data. There is no
+streaming operator to provide, so this package is intentionally empty.
+"""
