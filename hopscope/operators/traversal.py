@@ -134,7 +134,9 @@ def expand(graph: HopGraph, frontier: DataFrame, frontier_rows: int | None = Non
     """
     spark = graph.spark
     f = frontier.select("source", "vertex", "dist").where(F.col("dist").isNotNull())
-    if blocked is not None:
+    if blocked is not None and blocked.values is not None:
+        f = f.where(~F.col("vertex").isin(blocked.values) | (F.col("vertex") == F.col("source")))
+    elif blocked is not None:
         b = blocked.frame.select(F.col("source").alias("blocked"))
         b = _side(spark, b, blocked.count, row_bytes(1, blocked.max_len))
         f = f.join(b, (F.col("vertex") == F.col("blocked")) & (F.col("source") != F.col("blocked")), "left_anti")
@@ -147,16 +149,20 @@ def expand(graph: HopGraph, frontier: DataFrame, frontier_rows: int | None = Non
             F.explode(F.sequence(F.lit(0), F.coalesce(F.col("nsalt"), F.lit(1)) - 1)).alias("salt"),
         )
         max_salts = -(-graph.max_out_degree // graph.chunk)
-    else:
-        f = f.withColumn("salt", F.lit(0))
 
     if frontier_rows is not None:
         width = row_bytes(2, max(graph.max_id_length, blocked.max_len if blocked else 1), fixed_cols=2)
         f = _side(spark, f, frontier_rows * max_salts, width)
     f = f.alias("f")
     e = graph.edges.alias("e")
-    return f.join(e, (F.col("f.vertex") == F.col("e.src")) & (F.col("f.salt") == F.col("e.salt"))).select(
-        F.col("f.source").alias("source"),
+    on = F.col("f.vertex") == F.col("e.src")
+    if graph.hot is not None:
+        on = on & (F.col("f.salt") == F.col("e.salt"))
+    # ``source`` passes through under its own name and attribute: re-aliasing
+    # it would make a checkpoint of this plan record a partitioning on an
+    # attribute it does not output, and the next round would reshuffle.
+    return f.join(e, on).select(
+        F.col("f.source"),
         F.col("e.dst").alias("vertex"),
         next_hop(F.col("f.dist")).alias("dist"),
     )
@@ -229,17 +235,28 @@ class Traversal:
         return self.distances.unionByName(missing)
 
 
-def _layer_anti_join(cand: DataFrame, layers: list[tuple[DataFrame, int]], spark, width: int) -> DataFrame:
-    out = cand.alias("c")
-    for layer, n in layers:
-        lay = _side(spark, layer, n, width).alias("l")
+def _probe_view(layer: DataFrame) -> DataFrame:
+    """A layer as the right side of the visited check: renamed columns (every
+    layer carries the same ``source`` attribute as the candidates; two join
+    sides sharing an attribute make Spark re-instance one side and forget its
+    partitioning) and a merge-join hint (layers are co-partitioned and sorted,
+    so they must never be broadcast or reshuffled)."""
+    return layer.select(
+        F.col("source").alias("l_source"), F.col("vertex").alias("l_vertex"), F.col("dist").alias("l_dist")
+    ).hint("merge")
+
+
+def _layer_anti_join(cand: DataFrame, probes: list[DataFrame]) -> DataFrame:
+    """Drop candidates that some layer already holds at a distance <= theirs.
+    Each anti-join is a merge within the stage: no shuffle, no sort, no
+    extra job."""
+    out = cand
+    for lay in probes:
         out = out.join(
             lay,
-            (F.col("c.source") == F.col("l.source"))
-            & (F.col("c.vertex") == F.col("l.vertex"))
-            & (F.col("l.dist") <= F.col("c.dist")),
+            (out["source"] == lay["l_source"]) & (out["vertex"] == lay["l_vertex"]) & (lay["l_dist"] <= out["dist"]),
             "left_anti",
-        ).alias("c")
+        )
     return out.select("source", "vertex", "dist")
 
 
@@ -259,7 +276,6 @@ def iterate(graph: HopGraph, initial: DataFrame, *, mode: str = "bfs", max_round
         raise ValueError(f"unknown mode {mode!r}")
     spark = graph.spark
     p = graph.partitions
-    width = row_bytes(2, max(graph.max_id_length, sources.max_len if sources else 1), fixed_cols=1)
     stats: list[tuple[int, int]] = []
     converged = False
     with scoped_conf(spark, iteration_settings(p)):
@@ -269,6 +285,7 @@ def iterate(graph: HopGraph, initial: DataFrame, *, mode: str = "bfs", max_round
         start = reduce_candidates(start.repartition(p, "source", "vertex")).sortWithinPartitions("source", "vertex")
         layer0, n0 = materialize(start)
         layers: list[tuple[DataFrame, int]] = [(layer0, n0)]
+        probes = [_probe_view(layer0)]
         frontier, n_front = layer0, n0
         rnd = 0
         while max_rounds is None or rnd < max_rounds:
@@ -278,16 +295,18 @@ def iterate(graph: HopGraph, initial: DataFrame, *, mode: str = "bfs", max_round
                 converged = True
                 break
             cand = reduce_candidates(expand(graph, frontier, n_front, blocked))
-            new = _layer_anti_join(cand, layers, spark, width).sortWithinPartitions("source", "vertex")
+            new = _layer_anti_join(cand, probes).sortWithinPartitions("source", "vertex")
             new, n = materialize(new)
             stats.append((rnd, n))
             if n == 0:
                 converged = True
                 break
             layers.append((new, n))
+            probes.append(_probe_view(new))
             frontier, n_front = new, n
             if len(layers) > compact_every:
                 layers = [_compact(layers, mode)]
+                probes = [_probe_view(layers[0][0])]
     return Traversal(
         graph=graph,
         sources=sources,

@@ -40,7 +40,7 @@ MIN_CHUNK = 10_000
 
 @dataclass
 class HopGraph:
-    edges: DataFrame            # src string, salt int, dst string; distinct (src, dst)
+    edges: DataFrame            # src, dst strings (+ salt int when hot vertices exist); distinct (src, dst)
     hot: DataFrame | None       # hot_vertex string, nsalt int; <= partitions rows
     partitions: int
     num_edges: int
@@ -132,15 +132,13 @@ def prepare_graph(edges: DataFrame, partitions: int | None = None, chunk: int |
         salted = uniq.join(F.broadcast(hot), uniq.src == hot.hot_vertex, "left").select(
             "src", salt_for("dst", "nsalt").alias("salt"), "dst"
         )
+        keys = ["src", "salt"]
     else:
-        salted = uniq.select("src", F.lit(0).alias("salt"), "dst")
+        salted = uniq
+        keys = ["src"]
 
     with scoped_conf(spark, iteration_settings(p)):
-        laid_out = (
-            salted.repartition(p, "src", "salt")
-            .sortWithinPartitions("src", "salt")
-            .persist(StorageLevel.MEMORY_AND_DISK)
-        )
+        laid_out = salted.repartition(p, *keys).sortWithinPartitions(*keys).persist(StorageLevel.MEMORY_AND_DISK)
         laid_out.count()
     uniq.unpersist()
     return HopGraph(

@@ -8,8 +8,8 @@ import re
 import tempfile
 from collections.abc import Iterator
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 _SIZE_UNITS = {
     "b": 1,
@@ -115,14 +115,20 @@ def materialize(df: DataFrame) -> tuple[DataFrame, int]:
     """Compute ``df`` once, write it to the reliable checkpoint folder, and
     return the checkpointed frame with its row count.
 
-    The frame is cached first so the checkpoint write reads the cache rather
-    than recomputing the plan; the cache is dropped once the files exist.
-    The checkpoint keeps the frame's partitioning and ordering (when planned
-    without adaptive execution), and survives the loss of executors.
+    The eager checkpoint computes the plan a single time while writing it;
+    the row count is an observed metric of that same job, so no second pass
+    runs. The checkpoint keeps the frame's partitioning and ordering (when
+    planned without adaptive execution), and survives the loss of executors.
+
+    Columns pass through temporary names so that every returned frame owns
+    fresh attributes: frames that descend from one another would otherwise
+    share attribute ids, which breaks the partitioning recorded by the
+    checkpoint and unions of such frames.
     """
     checkpoint_dir(df.sparkSession)
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    n = cached.count()
-    saved = cached.checkpoint(eager=True)
-    cached.unpersist()
-    return saved, n
+    cols = df.columns
+    staged = df.select([F.col(c).alias(f"__m{i}") for i, c in enumerate(cols)])
+    obs = Observation()
+    saved = staged.observe(obs, F.count(F.lit(1)).alias("rows")).checkpoint(eager=True)
+    out = saved.select([F.col(f"__m{i}").alias(c) for i, c in enumerate(cols)])
+    return out, int(obs.get["rows"])
