@@ -28,8 +28,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hopscope.plans.session import (
+    broadcast_limit,
     default_partitions,
     iteration_settings,
+    row_bytes,
     scoped_conf,
 )
 
@@ -98,7 +100,9 @@ def prepare_graph(edges: DataFrame, partitions: int | None = None, chunk: int |
 
     ``partitions`` defaults to the session's shuffle partition count (sized
     for the cluster); ``chunk`` (the most edges of one vertex a partition
-    takes) defaults to ``max(MIN_CHUNK, ceil(|E| / partitions))``.
+    takes) defaults to ``max(MIN_CHUNK, ceil(|E| / partitions))``, and is
+    raised if needed so that the ``|E| / chunk`` possible hot vertices fit
+    under the broadcast limit.
     """
     spark = edges.sparkSession
     p = partitions or default_partitions(spark)
@@ -117,6 +121,10 @@ def prepare_graph(edges: DataFrame, partitions: int | None = None, chunk: int |
     ).first()
     m, max_deg, max_len = int(stats["m"]), int(stats["max_deg"]), int(stats["max_len"])
     c = chunk or max(MIN_CHUNK, math.ceil(m / p))
+    # There are at most m / c hot vertices; keep that many rows within the
+    # broadcast limit (never fewer than p rows allowed), whatever c was asked.
+    max_hot = max(p, broadcast_limit(spark) // row_bytes(1, max_len, fixed_cols=1))
+    c = max(c, math.ceil(m / max_hot), 1)
 
     hot = None
     if max_deg > c:

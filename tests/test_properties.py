@@ -73,7 +73,9 @@ def test_salted_layout_gives_same_answers(spark):
     plain = hs.prepare_graph(edges_df(spark, e))
     salted = hs.prepare_graph(edges_df(spark, e), chunk=5, partitions=5)
     assert plain.hot is None and salted.hot is not None
-    assert salted.hot.count() <= salted.partitions
+    assert salted.hot.count() <= -(-salted.num_edges // salted.chunk)
+    big = hs.prepare_graph(edges_df(spark, e), chunk=1, partitions=5)
+    assert big.chunk >= 1 and big.hot.count() <= -(-big.num_edges // big.chunk)
     srcs = ["0", "1", "30"]
     want = bfs(e, srcs)
     assert rows(salted.edges.select("src", "dst"), ("src", "dst")) == rows(plain.edges, ("src", "dst"))
