@@ -62,7 +62,7 @@ def finite_or_zero(dist: Column | str) -> Column:
 
 def infinity_to_null(dist: Column | str) -> Column:
     """Text distance -> int, with the infinity marker read as NULL."""
-    d = col_or_name(dist).cast("long")
+    d = col_or_name(dist).try_cast("long")
     return F.when(d >= F.lit(INFINITY), F.lit(None)).otherwise(d).cast("int")
 
 

@@ -12,40 +12,54 @@ from __future__ import annotations
 
 import math
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hopscope.plans.graph import MIN_CHUNK, normalize_edges
-from hopscope.plans.session import default_partitions
+from hopscope.plans.session import broadcast_limit, default_partitions, materialize, row_bytes
 
 
 def to_adjacency(edges: DataFrame, *, max_list: int | None = None, partitions: int | None = None) -> DataFrame:
     """``(vertex, neighbors)`` from ``(src, dst)`` edges.
 
     ``max_list`` (the longest list one row may hold) defaults to
-    ``max(MIN_CHUNK, ceil(|E| / partitions))``; the edge count comes from an
-    aggregate, the only value brought to the driver.
+    ``max(MIN_CHUNK, ceil(|E| / partitions))`` and is raised if needed so the
+    ``|E| / max_list`` possible hub vertices fit under the broadcast limit.
+    Graph statistics (one row) are the only values brought to the driver.
+    The result is checkpointed: the input is computed once.
     """
     spark = edges.sparkSession
     # Identical edges collapse to (src, dst, copies) before any list is built,
-    # so even one edge repeated a billion times is a single row.
-    e = normalize_edges(edges)
-    pairs = e.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("copies"))
-    deg = e.groupBy("src").agg(F.count(F.lit(1)).alias("deg"))
-    stats = deg.agg(F.coalesce(F.sum("deg"), F.lit(0)).alias("m"),
-                    F.coalesce(F.max("deg"), F.lit(0)).alias("max_deg")).first()
-    m, max_deg = int(stats["m"]), int(stats["max_deg"])
+    # so even one edge repeated a billion times is a single row. The reduced
+    # pairs are cached for the statistics pass and the list building.
+    pairs = (
+        normalize_edges(edges)
+        .groupBy("src", "dst")
+        .agg(F.count(F.lit(1)).alias("copies"))
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    )
+    deg = pairs.groupBy("src").agg(F.sum("copies").alias("deg"))
+    stats = deg.agg(
+        F.coalesce(F.sum("deg"), F.lit(0)).alias("m"),
+        F.coalesce(F.max("deg"), F.lit(0)).alias("max_deg"),
+        F.coalesce(F.max(F.length("src")), F.lit(1)).alias("max_len"),
+    ).first()
+    m, max_deg, max_len = int(stats["m"]), int(stats["max_deg"]), int(stats["max_len"])
     p = partitions or default_partitions(spark)
     c = max_list or max(MIN_CHUNK, math.ceil(m / p))
+    max_hot = max(p, broadcast_limit(spark) // row_bytes(1, max_len, fixed_cols=1))
+    c = max(c, math.ceil(m / max_hot), 1)
+
     if max_deg > c:
-        # <= m / c hot vertices: bounded, broadcast.
+        # <= m / c hub vertices: bounded, broadcast. A pair repeated more than
+        # c times is cut into pieces of at most c copies, each piece going to
+        # its own part of the vertex.
         hot = deg.where(F.col("deg") > c).select(
             F.col("src").alias("hot_vertex"), F.ceil(F.col("deg") / F.lit(c)).cast("int").alias("nsalt")
         )
-        # A pair repeated more than c times is cut into pieces of at most c
-        # copies, each piece going to its own part of the vertex.
         piece = F.explode(F.sequence(F.lit(0), ((F.col("copies") - 1) / F.lit(c)).cast("long"))).alias("piece")
-        pairs = (
+        parts = (
             pairs.join(F.broadcast(hot), pairs.src == hot.hot_vertex, "left")
             .select("src", "dst", "copies", "nsalt", piece)
             .select(
@@ -57,10 +71,13 @@ def to_adjacency(edges: DataFrame, *, max_list: int | None = None, partitions: i
             )
         )
     else:
-        pairs = pairs.withColumn("part", F.lit(0))
-    return pairs.groupBy("src", "part").agg(
+        parts = pairs.withColumn("part", F.lit(0))
+    lists = parts.groupBy("src", "part").agg(
         F.sort_array(F.flatten(F.collect_list(F.array_repeat(F.col("dst"), F.col("copies").cast("int"))))).alias("neighbors")
     ).select(F.col("src").alias("vertex"), "neighbors")
+    adjacency, _ = materialize(lists)
+    pairs.unpersist()
+    return adjacency
 
 
 def to_edges(adjacency: DataFrame) -> DataFrame:

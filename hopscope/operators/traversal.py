@@ -85,15 +85,32 @@ def _side(spark: SparkSession, df: DataFrame, rows: int, bytes_per_row: int) ->
     return df.hint("merge")
 
 
-def seed_from_sources(graph: HopGraph, sources, seed_sinks: bool = False) -> DataFrame:
-    """``(source, vertex, dist)`` with each source at distance 0.
+def _internal_sources(graph: HopGraph, ss: SourceSet) -> DataFrame:
+    """The sources as ``source`` in the graph's id type (ids that cannot be
+    vertices of this graph drop out)."""
+    return ss.frame.select(graph.internal_id(F.col("source")).alias("source")).where(F.col("source").isNotNull())
+
+
+def _to_internal(graph: HopGraph, df: DataFrame) -> DataFrame:
+    """``(source, vertex, dist)`` with user (string) ids -> layout ids."""
+    return df.select(
+        graph.internal_id(F.col("source")).alias("source"),
+        graph.internal_id(F.col("vertex")).alias("vertex"),
+        F.col("dist").cast("int").alias("dist"),
+    ).where(F.col("source").isNotNull() & F.col("vertex").isNotNull())
+
+
+def _to_public(graph: HopGraph, df: DataFrame) -> DataFrame:
+    """``(source, vertex, dist)`` with layout ids -> string ids."""
+    return df.select(
+        graph.public_id(F.col("source")).alias("source"),
+        graph.public_id(F.col("vertex")).alias("vertex"),
+        F.col("dist").cast("int").alias("dist"),
+    )
 
-    By default a source is seeded only if it has an out-edge; an unknown or
-    sink-only source gives an empty traversal. ``seed_sinks=True`` seeds every
-    listed source.
-    """
-    ss = sources if isinstance(sources, SourceSet) else source_set(graph.spark, sources)
-    s = ss.frame
+
+def _seeds_at_sources(graph: HopGraph, ss: SourceSet, seed_sinks: bool) -> DataFrame:
+    s = _internal_sources(graph, ss)
     if not seed_sinks:
         spark = graph.spark
         if fits_broadcast(spark, ss.count, row_bytes(1, ss.max_len)):
@@ -104,28 +121,45 @@ def seed_from_sources(graph: HopGraph, sources, seed_sinks: bool = False) -> Dat
                 .distinct()
             )
         else:
-            s = s.join(graph.keys(), s.source == F.col("vertex"), "left_semi")
+            keys = graph.edges.select(F.col("src").alias("key")).distinct()
+            s = s.join(keys, s.source == keys.key, "left_semi")
     return s.select("source", F.col("source").alias("vertex"), F.lit(0).cast("int").alias("dist"))
 
 
-def seed_from_in_neighbors(graph: HopGraph, sources) -> DataFrame:
-    """``(source, vertex, dist=1)`` for every in-neighbour of each source:
-    the vertices whose adjacency list contains the source."""
-    ss = sources if isinstance(sources, SourceSet) else source_set(graph.spark, sources)
-    s = _side(graph.spark, ss.frame, ss.count, row_bytes(1, ss.max_len))
+def _seeds_at_in_neighbors(graph: HopGraph, ss: SourceSet) -> DataFrame:
+    s = _side(graph.spark, _internal_sources(graph, ss), ss.count, row_bytes(1, ss.max_len))
     e = graph.edges
     return e.join(s, e.dst == F.col("source")).select(
         F.col("source"), F.col("src").alias("vertex"), F.lit(1).cast("int").alias("dist")
     )
 
 
+def seed_from_sources(graph: HopGraph, sources, seed_sinks: bool = False) -> DataFrame:
+    """``(source, vertex, dist)`` with each source at distance 0.
+
+    By default a source is seeded only if it has an out-edge; an unknown or
+    sink-only source gives an empty traversal. ``seed_sinks=True`` seeds every
+    listed source that can be a vertex id of the graph.
+    """
+    ss = sources if isinstance(sources, SourceSet) else source_set(graph.spark, sources)
+    return _to_public(graph, _seeds_at_sources(graph, ss, seed_sinks))
+
+
+def seed_from_in_neighbors(graph: HopGraph, sources) -> DataFrame:
+    """``(source, vertex, dist=1)`` for every in-neighbour of each source:
+    the vertices whose adjacency list contains the source."""
+    ss = sources if isinstance(sources, SourceSet) else source_set(graph.spark, sources)
+    return _to_public(graph, _seeds_at_in_neighbors(graph, ss))
+
+
 # --------------------------------------------------------------------------
 # one expansion step
 # --------------------------------------------------------------------------
 def expand(graph: HopGraph, frontier: DataFrame, frontier_rows: int | None = None,
            blocked: SourceSet | None = None) -> DataFrame:
     """Candidates ``(source, vertex, dist + 1)`` along every out-edge of the
-    frontier, one row per edge (not yet reduced).
+    frontier, one row per edge (not yet reduced). Ids are in the graph's
+    layout type.
 
     ``blocked``: vertices that do not expand in any traversal but their own
     (a source is absorbing in the other sources' traversals).
@@ -135,9 +169,9 @@ def expand(graph: HopGraph, frontier: DataFrame, frontier_rows: int | None = Non
     spark = graph.spark
     f = frontier.select("source", "vertex", "dist").where(F.col("dist").isNotNull())
     if blocked is not None and blocked.values is not None:
-        f = f.where(~F.col("vertex").isin(blocked.values) | (F.col("vertex") == F.col("source")))
+        f = f.where(~F.col("vertex").isin(graph.internal_values(blocked.values)) | (F.col("vertex") == F.col("source")))
     elif blocked is not None:
-        b = blocked.frame.select(F.col("source").alias("blocked"))
+        b = _internal_sources(graph, blocked).select(F.col("source").alias("blocked"))
         b = _side(spark, b, blocked.count, row_bytes(1, blocked.max_len))
         f = f.join(b, (F.col("vertex") == F.col("blocked")) & (F.col("source") != F.col("blocked")), "left_anti")
 
@@ -203,7 +237,7 @@ class Traversal:
             merged = functools.reduce(DataFrame.union, self.layers)
             if self.mode == "relax":
                 merged = reduce_candidates(merged)
-            self._distances = merged.select("source", "vertex", F.col("dist").cast("int").alias("dist"))
+            self._distances = _to_public(self.graph, merged)
         return self._distances
 
     def stats_frame(self) -> DataFrame:
@@ -270,8 +304,9 @@ def _compact(layers: list[tuple[DataFrame, int]], mode: str) -> tuple[DataFrame,
 def iterate(graph: HopGraph, initial: DataFrame, *, mode: str = "bfs", max_rounds: int | None = None,
             blocked: SourceSet | None = None, sources: SourceSet | None = None,
             compact_every: int = DEFAULT_COMPACT_EVERY) -> Traversal:
-    """Run rounds from ``initial`` ``(source, vertex, dist)`` rows (all of them
-    active in round 1) until a round changes nothing or ``max_rounds`` ran."""
+    """Run rounds from ``initial`` ``(source, vertex, dist)`` rows (ids in the
+    graph's layout type; all rows active in round 1) until a round changes
+    nothing or ``max_rounds`` ran."""
     if mode not in ("bfs", "relax"):
         raise ValueError(f"unknown mode {mode!r}")
     spark = graph.spark
@@ -332,7 +367,7 @@ def shortest_paths(graph: HopGraph, sources, *, max_rounds: int | None = None,
     reached with its true distance, but nothing is reached through it.
     """
     ss = source_set(graph.spark, sources)
-    seeds = seed_from_sources(graph, ss, seed_sinks=seed_sinks)
+    seeds = _seeds_at_sources(graph, ss, seed_sinks)
     return iterate(graph, seeds, mode="bfs", max_rounds=max_rounds,
                    blocked=ss if stop_at_other_sources else None, sources=ss,
                    compact_every=compact_every)
@@ -349,7 +384,7 @@ def bounded_relaxation(graph: HopGraph, sources, rounds: int = 20,
     changes nothing gives the same rows as running all rounds.
     """
     ss = source_set(graph.spark, sources)
-    seeds = seed_from_in_neighbors(graph, ss)
+    seeds = _seeds_at_in_neighbors(graph, ss)
     return iterate(graph, seeds, mode="bfs", max_rounds=rounds, sources=ss, compact_every=compact_every)
 
 
@@ -368,7 +403,7 @@ def resume_shortest_paths(graph: HopGraph, state: DataFrame, *, sources=None,
         ss = source_set(spark, state.where(F.col("dist").isNotNull()).select("source"))
     else:
         ss = source_set(spark, sources)
-    return iterate(graph, state, mode="relax", max_rounds=max_rounds,
+    return iterate(graph, _to_internal(graph, state), mode="relax", max_rounds=max_rounds,
                    blocked=ss if stop_at_other_sources else None, sources=ss,
                    compact_every=compact_every)
 
@@ -377,8 +412,8 @@ def relax_round(graph: HopGraph, state: DataFrame) -> DataFrame:
     """One full relaxation step: every finite row keeps its distance and
     offers ``dist + 1`` to each out-neighbour; the minimum per
     ``(source, vertex)`` wins."""
-    s = state.select("source", "vertex", F.col("dist").cast("int").alias("dist")).where(F.col("dist").isNotNull())
-    return reduce_candidates(s.unionByName(expand(graph, s)))
+    s = _to_internal(graph, state).where(F.col("dist").isNotNull())
+    return _to_public(graph, reduce_candidates(s.unionByName(expand(graph, s))))
 
 
 def updated_count(before: DataFrame, after: DataFrame) -> DataFrame:

@@ -24,7 +24,7 @@ import math
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hopscope.plans.session import (
@@ -42,35 +42,59 @@ MIN_CHUNK = 10_000
 
 @dataclass
 class HopGraph:
-    edges: DataFrame            # src, dst strings (+ salt int when hot vertices exist); distinct (src, dst)
-    hot: DataFrame | None       # hot_vertex string, nsalt int; <= partitions rows
+    """Vertex ids are strings to the user. Inside the layout they are longs
+    when every id is a canonical decimal integer (``id_type == "long"``):
+    hashing, sorting and shuffling 8-byte keys is much cheaper. Frames the
+    library hands back always carry string ids."""
+
+    edges: DataFrame            # src, dst (id_type) [+ salt int when hot vertices exist]; distinct (src, dst)
+    hot: DataFrame | None       # hot_vertex (id_type), nsalt int; bounded, see prepare_graph
     partitions: int
     num_edges: int
     max_out_degree: int
     max_id_length: int
     chunk: int
+    id_type: str = "string"
     _keys: DataFrame | None = field(default=None, repr=False)
 
     @property
     def spark(self):
         return self.edges.sparkSession
 
+    def internal_id(self, c: Column) -> Column:
+        """A user id in the layout's id type; NULL when it cannot be a vertex
+        of this graph (a non-canonical number in a numeric graph)."""
+        s = c.cast("string")
+        if self.id_type == "long":
+            return F.when(canonical_long(s), s.try_cast("long"))
+        return s
+
+    def internal_values(self, values: list[str]) -> list:
+        if self.id_type == "long":
+            return [int(v) for v in values if is_canonical_long(v)]
+        return list(values)
+
+    @staticmethod
+    def public_id(c: Column) -> Column:
+        return c.cast("string")
+
     def edge_pairs(self) -> DataFrame:
-        """The distinct edges as ``(src, dst)``."""
-        return self.edges.select("src", "dst")
+        """The distinct edges as ``(src, dst)`` strings."""
+        return self.edges.select(self.public_id(F.col("src")).alias("src"), self.public_id(F.col("dst")).alias("dst"))
 
     def keys(self) -> DataFrame:
         """Vertices with at least one out-edge (adjacency keys), column ``vertex``."""
         if self._keys is None:
-            self._keys = self.edges.select(F.col("src").alias("vertex")).distinct()
+            self._keys = self.edges.select("src").distinct().select(self.public_id(F.col("src")).alias("vertex"))
         return self._keys
 
     def vertices(self) -> DataFrame:
         """All vertices: keys and every neighbour, column ``vertex``."""
         return (
-            self.edges.select(F.col("src").alias("vertex"))
-            .union(self.edges.select(F.col("dst").alias("vertex")))
+            self.edges.select(F.col("src").alias("v"))
+            .union(self.edges.select(F.col("dst").alias("v")))
             .distinct()
+            .select(self.public_id(F.col("v")).alias("vertex"))
         )
 
     def unpersist(self) -> None:
@@ -87,6 +111,19 @@ def normalize_edges(edges: DataFrame) -> DataFrame:
     )
 
 
+def canonical_long(s: Column) -> Column:
+    """True when the string is exactly the decimal text of a long."""
+    return F.coalesce(s.try_cast("long").cast("string") == s, F.lit(False))
+
+
+def is_canonical_long(v: str) -> bool:
+    try:
+        n = int(v)
+    except (TypeError, ValueError):
+        return False
+    return str(n) == v and -(2 ** 63) <= n < 2 ** 63
+
+
 def salt_for(dst: str, nsalt: str) -> F.Column:
     """Salt of an edge of a hot vertex: a deterministic hash of its target,
     so a recomputed partition gets exactly the same split."""
@@ -113,13 +150,17 @@ def prepare_graph(edges: DataFrame, partitions: int | None = None, chunk: int |
     deg = uniq.groupBy("src").agg(
         F.count(F.lit(1)).alias("deg"),
         F.max(F.length("dst")).alias("dst_len"),
+        F.count_if(~canonical_long(F.col("dst"))).alias("odd_dst"),
     )
     stats = deg.agg(
         F.coalesce(F.sum("deg"), F.lit(0)).alias("m"),
         F.coalesce(F.max("deg"), F.lit(0)).alias("max_deg"),
         F.coalesce(F.greatest(F.max(F.length("src")), F.max("dst_len")), F.lit(1)).alias("max_len"),
+        (F.coalesce(F.sum("odd_dst"), F.lit(0)) + F.count_if(~canonical_long(F.col("src")))).alias("odd"),
     ).first()
     m, max_deg, max_len = int(stats["m"]), int(stats["max_deg"]), int(stats["max_len"])
+    id_type = "long" if int(stats["odd"]) == 0 else "string"
+    typed = uniq.select(F.col("src").cast(id_type).alias("src"), F.col("dst").cast(id_type).alias("dst"))
     c = chunk or max(MIN_CHUNK, math.ceil(m / p))
     # There are at most m / c hot vertices; keep that many rows within the
     # broadcast limit (never fewer than p rows allowed), whatever c was asked.
@@ -132,17 +173,17 @@ def prepare_graph(edges: DataFrame, partitions: int | None = None, chunk: int |
         hot = (
             deg.where(F.col("deg") > c)
             .select(
-                F.col("src").alias("hot_vertex"),
+                F.col("src").cast(id_type).alias("hot_vertex"),
                 F.ceil(F.col("deg") / F.lit(c)).cast("int").alias("nsalt"),
             )
             .persist(StorageLevel.MEMORY_AND_DISK)
         )
-        salted = uniq.join(F.broadcast(hot), uniq.src == hot.hot_vertex, "left").select(
+        salted = typed.join(F.broadcast(hot), typed.src == hot.hot_vertex, "left").select(
             "src", salt_for("dst", "nsalt").alias("salt"), "dst"
         )
         keys = ["src", "salt"]
     else:
-        salted = uniq
+        salted = typed
         keys = ["src"]
 
     with scoped_conf(spark, iteration_settings(p)):
@@ -157,4 +198,5 @@ def prepare_graph(edges: DataFrame, partitions: int | None = None, chunk: int |
         max_out_degree=max_deg,
         max_id_length=max_len,
         chunk=c,
+        id_type=id_type,
     )

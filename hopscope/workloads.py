@@ -186,7 +186,7 @@ def q_sampled_diameter(spark, sf_dir):
     report each one's longest shortest path."""
     g = prepare_graph(_sampled_edges(spark, sf_dir))
     top = (
-        g.edges.groupBy("src").agg(F.count(F.lit(1)).alias("deg"))
+        g.edge_pairs().groupBy("src").agg(F.count(F.lit(1)).alias("deg"))
         .orderBy(F.col("deg").desc(), F.col("src"))
         .limit(TOP_SAMPLED_SOURCES)
         .select(F.col("src").alias("source"))
