@@ -132,14 +132,17 @@ def salt_for(dst: str, nsalt: str) -> F.Column:
     )
 
 
-def prepare_graph(edges: DataFrame, partitions: int | None = None, chunk: int | None = None) -> HopGraph:
+def prepare_graph(edges: DataFrame, partitions: int | None = None, chunk: int | None = None,
+                  numeric_ids: bool | None = None) -> HopGraph:
     """Deduplicate, salt, co-partition and cache an edge table.
 
     ``partitions`` defaults to the session's shuffle partition count (sized
     for the cluster); ``chunk`` (the most edges of one vertex a partition
     takes) defaults to ``max(MIN_CHUNK, ceil(|E| / partitions))``, and is
     raised if needed so that the ``|E| / chunk`` possible hot vertices fit
-    under the broadcast limit.
+    under the broadcast limit. ``numeric_ids``: ``None`` keeps the ids as
+    longs inside the layout when every id is a canonical integer, ``False``
+    always keeps strings.
     """
     spark = edges.sparkSession
     p = partitions or default_partitions(spark)
@@ -159,7 +162,7 @@ def prepare_graph(edges: DataFrame, partitions: int | None = None, chunk: int |
         (F.coalesce(F.sum("odd_dst"), F.lit(0)) + F.count_if(~canonical_long(F.col("src")))).alias("odd"),
     ).first()
     m, max_deg, max_len = int(stats["m"]), int(stats["max_deg"]), int(stats["max_len"])
-    id_type = "long" if int(stats["odd"]) == 0 else "string"
+    id_type = "long" if int(stats["odd"]) == 0 and numeric_ids is not False else "string"
     typed = uniq.select(F.col("src").cast(id_type).alias("src"), F.col("dst").cast(id_type).alias("dst"))
     c = chunk or max(MIN_CHUNK, math.ceil(m / p))
     # There are at most m / c hot vertices; keep that many rows within the
