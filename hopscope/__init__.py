@@ -5,7 +5,15 @@ README for the operator list.
 """
 
 from hopscope.operators.adjacency import adjacency_text, to_adjacency, to_edges
-from hopscope.operators.sampling import sample_ids, sample_vertices, smallest_by_hash
+from hopscope.operators.sampling import (
+    HashCut,
+    IdSample,
+    draw_ids,
+    draw_vertices,
+    sample_ids,
+    sample_vertices,
+    smallest_by_hash,
+)
 from hopscope.operators.subgraph import induced_subgraph
 from hopscope.operators.summary import diameter_lower_bound, distance_histogram, longest_shortest_path
 from hopscope.operators.traversal import (

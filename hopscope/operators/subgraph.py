@@ -5,23 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hopscope.operators.sampling import IdSample
 from hopscope.plans.graph import normalize_edges
 from hopscope.plans.session import fits_broadcast, row_bytes
 
 
-def induced_subgraph(edges: DataFrame, ids: DataFrame, *, max_ids: int | None = None,
+def induced_subgraph(edges: DataFrame, ids: DataFrame | IdSample, *, max_ids: int | None = None,
                      max_id_length: int = 20, id_col: str = "id") -> DataFrame:
     """Edges ``(src, dst)`` with ``src`` and ``dst`` both in ``ids``.
 
-    When the caller knows a bound on the id count (``max_ids``, e.g. the
-    sample size ``k``) and the ids fit under the broadcast limit, both
-    semi-joins run map-side against one broadcast copy and the edge table
-    is never shuffled. Otherwise they are plain semi-joins, left to the
-    planner (adaptive execution splits skewed keys).
+    ``ids`` as an :class:`IdSample` (a hash-ordered sample): membership is a
+    per-row predicate, so both ends are tested map-side and the edge table
+    is neither joined nor shuffled.
+
+    ``ids`` as a frame: two semi-joins. When the caller knows a bound on the
+    id count (``max_ids``) and the ids fit under the broadcast limit, both
+    run map-side against one broadcast copy; otherwise they are plain
+    semi-joins left to the planner (adaptive execution splits skewed keys).
+
     Duplicate edges are kept.
     """
-    spark = edges.sparkSession
     e = normalize_edges(edges)
+    if isinstance(ids, IdSample):
+        return e.where(ids.contains(F.col("src")) & ids.contains(F.col("dst")))
+    spark = edges.sparkSession
     v = ids.select(F.col(id_col).cast("string").alias("_id")).where(F.col("_id").isNotNull())
     if max_ids is not None and fits_broadcast(spark, max_ids, row_bytes(1, max_id_length)):
         v = F.broadcast(v)

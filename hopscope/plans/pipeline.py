@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 from hopscope.functions.expressions import DEFAULT_SAMPLE_SEED
 from hopscope.operators.adjacency import to_adjacency
-from hopscope.operators.sampling import sample_ids
+from hopscope.operators.sampling import draw_ids
 from hopscope.operators.subgraph import induced_subgraph
 from hopscope.operators.summary import diameter_lower_bound, longest_shortest_path
 from hopscope.operators.traversal import Traversal, shortest_paths
@@ -17,8 +17,7 @@ from hopscope.plans.graph import prepare_graph
 
 def sampled_subgraph(edges: DataFrame, k: int, n: int, seed: int = DEFAULT_SAMPLE_SEED, start: int = 1) -> DataFrame:
     """Edges among ``k`` ids drawn from ``start .. start + n - 1``."""
-    ids = sample_ids(edges.sparkSession, k, n, seed=seed, start=start)
-    return induced_subgraph(edges, ids, max_ids=k, max_id_length=len(str(start + n - 1)))
+    return induced_subgraph(edges, draw_ids(edges.sparkSession, k, n, seed=seed, start=start))
 
 
 def build_sampled_adjacency(edges: DataFrame, k: int, n: int, seed: int = DEFAULT_SAMPLE_SEED,

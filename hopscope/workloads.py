@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hopscope.operators.adjacency import adjacency_text, to_adjacency, to_edges
-from hopscope.operators.sampling import sample_ids
+from hopscope.operators.sampling import draw_ids, sample_ids
 from hopscope.operators.subgraph import induced_subgraph
 from hopscope.operators.summary import diameter_lower_bound, longest_shortest_path
 from hopscope.operators.traversal import (
@@ -62,8 +62,7 @@ def _sample_size(spark: SparkSession, sf_dir: str) -> tuple[int, int]:
 
 def _sampled_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     k, n = _sample_size(spark, sf_dir)
-    ids = sample_ids(spark, k, n, seed=SAMPLE_SEED, start=0)
-    return induced_subgraph(part_next(spark, sf_dir), ids, max_ids=k, max_id_length=len(str(n)))
+    return induced_subgraph(part_next(spark, sf_dir), draw_ids(spark, k, n, seed=SAMPLE_SEED, start=0))
 
 
 def q_edge_scan(spark, sf_dir):

@@ -53,6 +53,12 @@ def test_induced_subgraph_broadcasts_bounded_sample(spark):
     assert plan.count("BroadcastHashJoin") == 2
 
 
+def test_sampled_subgraph_is_a_map_side_filter(spark):
+    e = edges_df(spark, [(i, i + 1) for i in range(100)])
+    plan = plan_text(hs.induced_subgraph(e, hs.draw_ids(spark, 10, 100, start=0)))
+    assert "Join" not in plan and "Exchange" not in plan
+
+
 def test_broadcast_guard(spark):
     assert parse_bytes("10485760b") == 10 * 1024 * 1024
     assert parse_bytes("10MB") == 10 * 1024 * 1024

@@ -148,7 +148,22 @@ def test_sample_equals_sorted_hash(spark, k, monkeypatch):
     monkeypatch.setattr(sampling, "DIGITS_PER_LEVEL", 1)
     got = sorted(r.id for r in hs.sample_ids(spark, k, 300, seed=7, start=5).collect())
     order = sorted(range(5, 305), key=lambda i: (hashlib.md5(f"7:{i}".encode()).hexdigest(), str(i)))
-    assert got == sorted(str(i) for i in order[:k])
+    want = sorted(str(i) for i in order[:k])
+    assert got == want
+    # the same sample as a per-row predicate: ids outside the range, or not
+    # written canonically, are never members
+    draw = hs.draw_ids(spark, k, 300, seed=7, start=5)
+    probe = spark.createDataFrame([(str(i),) for i in range(0, 320)] + [("007",), ("x",)], "id string")
+    assert sorted(r.id for r in probe.where(draw.contains(probe.id)).collect()) == want
+
+
+def test_sampled_subgraph_filter_equals_semi_join(spark):
+    e = edges_df(spark, random_graph(3, n=300, m=2000, hubs=0))
+    draw = hs.draw_ids(spark, 75, 300, start=0)
+    ids = hs.sample_ids(spark, 75, 300, start=0)
+    by_filter = rows(hs.induced_subgraph(e, draw), ("src", "dst"))
+    by_join = rows(hs.induced_subgraph(e, ids, max_ids=75), ("src", "dst"))
+    assert by_filter == by_join and len(by_filter) > 0
 
 
 def test_sample_vertices_draws_present_ids(spark):
