@@ -156,7 +156,7 @@ def seed_from_in_neighbors(graph: HopGraph, sources) -> DataFrame:
 # one expansion step
 # --------------------------------------------------------------------------
 def expand(graph: HopGraph, frontier: DataFrame, frontier_rows: int | None = None,
-           blocked: SourceSet | None = None) -> DataFrame:
+           blocked: SourceSet | None = None, clean: bool = False) -> DataFrame:
     """Candidates ``(source, vertex, dist + 1)`` along every out-edge of the
     frontier, one row per edge (not yet reduced). Ids are in the graph's
     layout type.
@@ -165,9 +165,11 @@ def expand(graph: HopGraph, frontier: DataFrame, frontier_rows: int | None = Non
     (a source is absorbing in the other sources' traversals).
     ``frontier_rows``: a counted bound on the frontier, used to decide
     whether broadcasting it is safe; ``None`` leaves the choice to Spark.
+    ``clean``: the frontier is a layer of the round loop (exactly
+    ``source, vertex, dist``, no NULL distance), so it is used as it is.
     """
     spark = graph.spark
-    f = frontier.select("source", "vertex", "dist").where(F.col("dist").isNotNull())
+    f = frontier if clean else frontier.select("source", "vertex", "dist").where(F.col("dist").isNotNull())
     if blocked is not None and blocked.values is not None:
         f = f.where(~F.col("vertex").isin(graph.internal_values(blocked.values)) | (F.col("vertex") == F.col("source")))
     elif blocked is not None:
@@ -188,7 +190,7 @@ def expand(graph: HopGraph, frontier: DataFrame, frontier_rows: int | None = Non
         width = row_bytes(2, max(graph.max_id_length, blocked.max_len if blocked else 1), fixed_cols=2)
         f = _side(spark, f, frontier_rows * max_salts, width)
     f = f.alias("f")
-    e = graph.edges.alias("e")
+    e = graph.aliased_edges()
     on = F.col("f.vertex") == F.col("e.src")
     if graph.hot is not None:
         on = on & (F.col("f.salt") == F.col("e.salt"))
@@ -291,7 +293,7 @@ def _layer_anti_join(cand: DataFrame, probes: list[DataFrame]) -> DataFrame:
             (out["source"] == lay["l_source"]) & (out["vertex"] == lay["l_vertex"]) & (lay["l_dist"] <= out["dist"]),
             "left_anti",
         )
-    return out.select("source", "vertex", "dist")
+    return out
 
 
 def _compact(layers: list[tuple[DataFrame, int]], mode: str) -> tuple[DataFrame, int]:
@@ -329,7 +331,7 @@ def iterate(graph: HopGraph, initial: DataFrame, *, mode: str = "bfs", max_round
                 stats.append((rnd, 0))
                 converged = True
                 break
-            cand = reduce_candidates(expand(graph, frontier, n_front, blocked))
+            cand = reduce_candidates(expand(graph, frontier, n_front, blocked, clean=True))
             new = _layer_anti_join(cand, probes).sortWithinPartitions("source", "vertex")
             new, n = materialize(new)
             stats.append((rnd, n))

@@ -38,6 +38,9 @@ from hopscope.plans.session import (
 # A vertex is only salted once it has at least this many distinct out-edges,
 # whatever the partition count (tiny graphs need no salting).
 MIN_CHUNK = 10_000
+# Edges per partition of the layout when the partition count is derived from
+# the data; the session's shuffle partition count is the upper limit.
+EDGES_PER_PARTITION = 32_768
 
 
 @dataclass
@@ -56,6 +59,7 @@ class HopGraph:
     chunk: int
     id_type: str = "string"
     _keys: DataFrame | None = field(default=None, repr=False)
+    _aliased: DataFrame | None = field(default=None, repr=False)
 
     @property
     def spark(self):
@@ -78,6 +82,13 @@ class HopGraph:
     def public_id(c: Column) -> Column:
         return c.cast("string")
 
+    def aliased_edges(self) -> DataFrame:
+        """The edge layout under the alias ``e`` (built once, reused by every
+        round's join)."""
+        if self._aliased is None:
+            self._aliased = self.edges.alias("e")
+        return self._aliased
+
     def edge_pairs(self) -> DataFrame:
         """The distinct edges as ``(src, dst)`` strings."""
         return self.edges.select(self.public_id(F.col("src")).alias("src"), self.public_id(F.col("dst")).alias("dst"))
@@ -136,8 +147,10 @@ def prepare_graph(edges: DataFrame, partitions: int | None = None, chunk: int |
                   numeric_ids: bool | None = None) -> HopGraph:
     """Deduplicate, salt, co-partition and cache an edge table.
 
-    ``partitions`` defaults to the session's shuffle partition count (sized
-    for the cluster); ``chunk`` (the most edges of one vertex a partition
+    ``partitions`` defaults to one per ``EDGES_PER_PARTITION`` edges, at
+    most the session's shuffle partition count (sized for the cluster), so
+    a small graph does not pay for hundreds of near-empty tasks every
+    round; ``chunk`` (the most edges of one vertex a partition
     takes) defaults to ``max(MIN_CHUNK, ceil(|E| / partitions))``, and is
     raised if needed so that the ``|E| / chunk`` possible hot vertices fit
     under the broadcast limit. ``numeric_ids``: ``None`` keeps the ids as
@@ -145,7 +158,6 @@ def prepare_graph(edges: DataFrame, partitions: int | None = None, chunk: int |
     always keeps strings.
     """
     spark = edges.sparkSession
-    p = partitions or default_partitions(spark)
     uniq = normalize_edges(edges).distinct().persist(StorageLevel.MEMORY_AND_DISK)
 
     # Out-degree per vertex: partial counts before the shuffle, so a hub sends
@@ -162,6 +174,7 @@ def prepare_graph(edges: DataFrame, partitions: int | None = None, chunk: int |
         (F.coalesce(F.sum("odd_dst"), F.lit(0)) + F.count_if(~canonical_long(F.col("src")))).alias("odd"),
     ).first()
     m, max_deg, max_len = int(stats["m"]), int(stats["max_deg"]), int(stats["max_len"])
+    p = partitions or min(default_partitions(spark), max(1, math.ceil(m / EDGES_PER_PARTITION)))
     id_type = "long" if int(stats["odd"]) == 0 and numeric_ids is not False else "string"
     typed = uniq.select(F.col("src").cast(id_type).alias("src"), F.col("dst").cast(id_type).alias("dst"))
     c = chunk or max(MIN_CHUNK, math.ceil(m / p))

@@ -20,7 +20,7 @@ def plan_text(df):
 
 def test_round_plan_streams_layers_and_edges(spark):
     e = [(i, (i * 7 + 3) % 50) for i in range(50)] + [(i, (i + 1) % 50) for i in range(50)]
-    g = hs.prepare_graph(edges_df(spark, e))
+    g = hs.prepare_graph(edges_df(spark, e), partitions=8)
     t = hs.shortest_paths(g, [str(i) for i in range(5)], max_rounds=3)
     assert len(t.layers) == 4
     with scoped_conf(spark, iteration_settings(g.partitions)):
