@@ -160,3 +160,18 @@ def test_id_sample_matches_md5_order(spark):
 def test_k_larger_than_range_is_an_error(spark):
     with pytest.raises(ValueError):
         hs.sample_ids(spark, 11, 10)
+
+
+def test_estimate_diameter(spark):
+    est = hs.estimate_diameter(edges_df(spark, T), ["1", "8"])
+    assert {r.source: r.lsp for r in est.lsp.collect()} == {"1": 4, "8": 5}
+    assert est.diameter_lb.first().diameter_lb == 5
+    hist = {r.dist: r.vertices for r in hs.distance_histogram(est.traversal.distances).collect()}
+    assert hist == {0: 2, 1: 4, 2: 4, 3: 3, 4: 2, 5: 1}
+
+
+def test_build_sampled_adjacency_whole_range(spark):
+    e = edges_df(spark, [(1, 2), (1, 3), (1, 2), (2, 5), (3, 1), (4, 4), (5, 1), (6, 1)])
+    adj = hs.build_sampled_adjacency(e, 5, 5, start=1)
+    got = {r.vertex: list(r.neighbors) for r in adj.collect()}
+    assert got == {"1": ["2", "2", "3"], "2": ["5"], "3": ["1"], "4": ["4"], "5": ["1"]}
