@@ -109,29 +109,38 @@ def q_updated_count(spark, sf_dir):
     return updated_count(seeds, relax_round(g, seeds))
 
 
+def _on_graph(edges: DataFrame, job: Callable) -> DataFrame:
+    """Lay out ``edges``, run ``job`` on the graph and release the cached
+    layout. Only for jobs whose result no longer reads the layout (the
+    traversal distances are a union of checkpoints)."""
+    g = prepare_graph(edges)
+    try:
+        return job(g)
+    finally:
+        g.unpersist()
+
+
 def q_sssp(spark, sf_dir):
-    g = prepare_graph(part_next(spark, sf_dir))
-    return shortest_paths(g, [DENSE_SOURCES[0]]).distances
+    return _on_graph(part_next(spark, sf_dir), lambda g: shortest_paths(g, [DENSE_SOURCES[0]]).distances)
 
 
 def q_mssp(spark, sf_dir):
-    g = prepare_graph(part_next_r(spark, sf_dir))
-    return shortest_paths(g, list(SPARSE_SOURCES)).distances
+    return _on_graph(part_next_r(spark, sf_dir), lambda g: shortest_paths(g, list(SPARSE_SOURCES)).distances)
 
 
 def q_mssp_dense(spark, sf_dir):
-    g = prepare_graph(part_next(spark, sf_dir))
-    return shortest_paths(g, list(DENSE_SOURCES)).distances
+    return _on_graph(part_next(spark, sf_dir), lambda g: shortest_paths(g, list(DENSE_SOURCES)).distances)
 
 
 def q_mssp16(spark, sf_dir):
-    g = prepare_graph(part_next(spark, sf_dir))
-    return shortest_paths(g, list(MANY_SOURCES)).distances
+    return _on_graph(part_next(spark, sf_dir), lambda g: shortest_paths(g, list(MANY_SOURCES)).distances)
 
 
 def q_mssp_absorbing(spark, sf_dir):
-    g = prepare_graph(part_next_r(spark, sf_dir))
-    return shortest_paths(g, list(SPARSE_SOURCES), stop_at_other_sources=True).distances
+    return _on_graph(
+        part_next_r(spark, sf_dir),
+        lambda g: shortest_paths(g, list(SPARSE_SOURCES), stop_at_other_sources=True).distances,
+    )
 
 
 def q_mssp_keys_and_reached(spark, sf_dir):
@@ -151,13 +160,15 @@ def q_mssp_resume(spark, sf_dir):
 
 
 def q_bounded_relaxation(spark, sf_dir):
-    g = prepare_graph(part_next_r(spark, sf_dir))
-    return bounded_relaxation(g, [BOUNDED_SOURCE], rounds=BOUNDED_ROUNDS).distances
+    return _on_graph(
+        part_next_r(spark, sf_dir), lambda g: bounded_relaxation(g, [BOUNDED_SOURCE], rounds=BOUNDED_ROUNDS).distances
+    )
 
 
 def q_bounded_dense(spark, sf_dir):
-    g = prepare_graph(part_next(spark, sf_dir))
-    return bounded_relaxation(g, [DENSE_SOURCES[0]], rounds=BOUNDED_ROUNDS).distances
+    return _on_graph(
+        part_next(spark, sf_dir), lambda g: bounded_relaxation(g, [DENSE_SOURCES[0]], rounds=BOUNDED_ROUNDS).distances
+    )
 
 
 def q_lsp_per_source(spark, sf_dir):
@@ -171,8 +182,7 @@ def q_lsp_global(spark, sf_dir):
 
 
 def q_round_stats(spark, sf_dir):
-    g = prepare_graph(part_next_r(spark, sf_dir))
-    return shortest_paths(g, list(SPARSE_SOURCES)).stats_frame()
+    return _on_graph(part_next_r(spark, sf_dir), lambda g: shortest_paths(g, list(SPARSE_SOURCES)).stats_frame())
 
 
 def q_diameter_lower_bound(spark, sf_dir):
@@ -183,14 +193,16 @@ def q_sampled_diameter(spark, sf_dir):
     """The whole job: sample a quarter of the parts, keep the edges among
     them, traverse from the two sampled vertices with most out-edges, and
     report each one's longest shortest path."""
-    g = prepare_graph(_sampled_edges(spark, sf_dir))
-    top = (
-        g.edge_pairs().groupBy("src").agg(F.count(F.lit(1)).alias("deg"))
-        .orderBy(F.col("deg").desc(), F.col("src"))
-        .limit(TOP_SAMPLED_SOURCES)
-        .select(F.col("src").alias("source"))
-    )
-    return longest_shortest_path(shortest_paths(g, top).distances)
+    def job(g):
+        top = (
+            g.edge_pairs().groupBy("src").agg(F.count(F.lit(1)).alias("deg"))
+            .orderBy(F.col("deg").desc(), F.col("src"))
+            .limit(TOP_SAMPLED_SOURCES)
+            .select(F.col("src").alias("source"))
+        )
+        return longest_shortest_path(shortest_paths(g, top).distances)
+
+    return _on_graph(_sampled_edges(spark, sf_dir), job)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
