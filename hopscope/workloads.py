@@ -31,7 +31,7 @@ from hopscope.operators.traversal import (
     updated_count,
 )
 from hopscope.plans.graph import prepare_graph
-from hopscope.sources.sinks import adjacency_lines, state_lines
+from hopscope.sources.sinks import adjacency_lines, distance_lines, state_lines, summary_lines
 from hopscope.sources.tables import part_count, part_next, part_next_r
 from hopscope.sources.text import parse_adjacency_lines, parse_edge_lines, parse_state_lines
 
@@ -205,6 +205,31 @@ def q_sampled_diameter(spark, sf_dir):
     return _on_graph(_sampled_edges(spark, sf_dir), job)
 
 
+def q_adjacency_lines(spark, sf_dir):
+    """Sampled adjacency rendered as ``vertex<TAB>n1,n2,...`` lines."""
+    return adjacency_lines(to_adjacency(_sampled_edges(spark, sf_dir)))
+
+
+def q_state_lines(spark, sf_dir):
+    """Absorbing two-source state in the text layout: ``vertex"to"source<TAB>
+    list dist`` for every key and reached vertex, infinity as 2147483647."""
+    g = prepare_graph(part_next_r(spark, sf_dir))
+    t = shortest_paths(g, list(SPARSE_SOURCES), stop_at_other_sources=True)
+    return state_lines(t.with_unreached("keys_and_reached"), to_adjacency(g.edge_pairs()))
+
+
+def q_distance_tuples(spark, sf_dir):
+    """Bounded relaxation over every vertex as ``(vertex,dist)`` tuples."""
+    g = prepare_graph(part_next_r(spark, sf_dir))
+    t = bounded_relaxation(g, [BOUNDED_SOURCE], rounds=BOUNDED_ROUNDS)
+    return distance_lines(t.with_unreached("all"), with_source=False)
+
+
+def q_lsp_lines(spark, sf_dir):
+    """Longest shortest path per source as ``source<TAB>lsp`` lines."""
+    return summary_lines(longest_shortest_path(q_mssp(spark, sf_dir)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "edge_scan": q_edge_scan,
     "id_sample": q_id_sample,
@@ -229,6 +254,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "round_stats": q_round_stats,
     "diameter_lower_bound": q_diameter_lower_bound,
     "sampled_diameter": q_sampled_diameter,
+    "adjacency_lines": q_adjacency_lines,
+    "state_lines": q_state_lines,
+    "distance_tuples": q_distance_tuples,
+    "lsp_lines": q_lsp_lines,
 }
 
 
@@ -313,14 +342,29 @@ _RELAX_ONE = (
     "SELECT source, vertex, CAST(min(dist) AS INTEGER) AS dist FROM x GROUP BY source, vertex"
 )
 
-_KEYS_AND_REACHED = _bfs_sql(
+_KEYS_AND_REACHED_ROWS = (
+    "SELECT source, vertex, CAST(dist AS INTEGER) AS dist FROM r UNION ALL "
+    "SELECT s.source, k.vertex, CAST(NULL AS INTEGER) AS dist "
+    "FROM srcs s, (SELECT DISTINCT src AS vertex FROM e) k "
+    "WHERE (k.vertex = s.source OR k.vertex NOT IN (SELECT source FROM srcs)) "
+    "AND NOT EXISTS (SELECT 1 FROM r WHERE r.source = s.source AND r.vertex = k.vertex)"
+)
+_KEYS_AND_REACHED = _bfs_sql(SPARSE, _values(SPARSE_SOURCES), absorbing=True, select=_KEYS_AND_REACHED_ROWS)
+_STATE_LINES = _bfs_sql(
     SPARSE, _values(SPARSE_SOURCES), absorbing=True,
     select=(
-        "SELECT source, vertex, CAST(dist AS INTEGER) AS dist FROM r UNION ALL "
-        "SELECT s.source, k.vertex, CAST(NULL AS INTEGER) AS dist "
-        "FROM srcs s, (SELECT DISTINCT src AS vertex FROM e) k "
-        "WHERE (k.vertex = s.source OR k.vertex NOT IN (SELECT source FROM srcs)) "
-        "AND NOT EXISTS (SELECT 1 FROM r WHERE r.source = s.source AND r.vertex = k.vertex)"
+        "SELECT x.vertex || 'to' || x.source || chr(9) || coalesce(a.nb, 'null') || ' ' "
+        "|| CAST(coalesce(x.dist, 2147483647) AS VARCHAR) AS value "
+        f"FROM ({_KEYS_AND_REACHED_ROWS}) x LEFT JOIN "
+        "(SELECT src AS vertex, string_agg(dst, ',' ORDER BY dst) AS nb FROM e GROUP BY src) a "
+        "ON a.vertex = x.vertex"
+    ),
+)
+_DISTANCE_TUPLES = _bfs_sql(
+    SPARSE, _values([BOUNDED_SOURCE]), in_neighbors=True, max_dist=BOUNDED_ROUNDS + 1,
+    select=(
+        "SELECT '(' || v.vertex || ',' || CAST(coalesce(r.dist, 2147483647) AS VARCHAR) || ')' AS value "
+        "FROM (SELECT src AS vertex FROM e UNION SELECT dst FROM e) v LEFT JOIN r ON r.vertex = v.vertex"
     ),
 )
 
@@ -376,4 +420,11 @@ ORACLE_SQL: dict[str, str] = {
         select=f"SELECT CAST(coalesce(max(lsp), 0) AS INTEGER) AS diameter_lb FROM ({_LSP})",
     ),
     "sampled_diameter": _bfs_sql(f"SELECT src, dst FROM ({INDUCED_SQL})", _SAMPLED_TOP, select=_LSP),
+    "adjacency_lines": f"SELECT vertex || chr(9) || neighbors AS value FROM ({ADJACENCY_SQL})",
+    "state_lines": _STATE_LINES,
+    "distance_tuples": _DISTANCE_TUPLES,
+    "lsp_lines": _bfs_sql(
+        SPARSE, _values(SPARSE_SOURCES),
+        select=f"SELECT source || chr(9) || CAST(lsp AS VARCHAR) AS value FROM ({_LSP})",
+    ),
 }
