@@ -39,8 +39,11 @@ from hopscope.plans.session import (
 # whatever the partition count (tiny graphs need no salting).
 MIN_CHUNK = 10_000
 # Edges per partition of the layout when the partition count is derived from
-# the data; the session's shuffle partition count is the upper limit.
+# the data: aim for EDGES_PER_PARTITION, at most the session's shuffle
+# partition count, but never more than MAX_EDGES_PER_PARTITION in one
+# partition (a few hundred MB cached), whatever the session says.
 EDGES_PER_PARTITION = 32_768
+MAX_EDGES_PER_PARTITION = 8_000_000
 
 
 @dataclass
@@ -122,6 +125,13 @@ def normalize_edges(edges: DataFrame) -> DataFrame:
     )
 
 
+def layout_partitions(num_edges: int, session_partitions: int) -> int:
+    """Partition count for a layout of ``num_edges`` edges."""
+    target = min(session_partitions, math.ceil(num_edges / EDGES_PER_PARTITION))
+    floor = math.ceil(num_edges / MAX_EDGES_PER_PARTITION)
+    return max(1, target, floor)
+
+
 def canonical_long(s: Column) -> Column:
     """True when the string is exactly the decimal text of a long."""
     return F.coalesce(s.try_cast("long").cast("string") == s, F.lit(False))
@@ -148,9 +158,10 @@ def prepare_graph(edges: DataFrame, partitions: int | None = None, chunk: int |
     """Deduplicate, salt, co-partition and cache an edge table.
 
     ``partitions`` defaults to one per ``EDGES_PER_PARTITION`` edges, at
-    most the session's shuffle partition count (sized for the cluster), so
-    a small graph does not pay for hundreds of near-empty tasks every
-    round; ``chunk`` (the most edges of one vertex a partition
+    most the session's shuffle partition count (so a small graph does not
+    pay for hundreds of near-empty tasks every round) but at least one per
+    ``MAX_EDGES_PER_PARTITION`` edges (so a partition stays a few hundred
+    MB however large the graph); ``chunk`` (the most edges of one vertex a partition
     takes) defaults to ``max(MIN_CHUNK, ceil(|E| / partitions))``, and is
     raised if needed so that the ``|E| / chunk`` possible hot vertices fit
     under the broadcast limit. ``numeric_ids``: ``None`` keeps the ids as
@@ -174,7 +185,7 @@ def prepare_graph(edges: DataFrame, partitions: int | None = None, chunk: int |
         (F.coalesce(F.sum("odd_dst"), F.lit(0)) + F.count_if(~canonical_long(F.col("src")))).alias("odd"),
     ).first()
     m, max_deg, max_len = int(stats["m"]), int(stats["max_deg"]), int(stats["max_len"])
-    p = partitions or min(default_partitions(spark), max(1, math.ceil(m / EDGES_PER_PARTITION)))
+    p = partitions or layout_partitions(m, default_partitions(spark))
     id_type = "long" if int(stats["odd"]) == 0 and numeric_ids is not False else "string"
     typed = uniq.select(F.col("src").cast(id_type).alias("src"), F.col("dst").cast(id_type).alias("dst"))
     c = chunk or max(MIN_CHUNK, math.ceil(m / p))

@@ -76,3 +76,13 @@ def test_scoped_conf_restores(spark):
         assert spark.conf.get("spark.sql.shuffle.partitions") == "3"
     assert spark.conf.get("spark.sql.adaptive.enabled") == before
     assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
+
+
+def test_layout_partitions():
+    from hopscope.plans.graph import layout_partitions
+
+    assert layout_partitions(0, 200) == 1
+    assert layout_partitions(29_074, 200) == 1
+    assert layout_partitions(293_790, 8) == 8
+    assert layout_partitions(1_500_000_000, 2000) == 2000
+    assert layout_partitions(10**12, 2000) == 125_000
