@@ -312,7 +312,7 @@ def iterate(graph: HopGraph, initial: DataFrame, *, mode: str = "bfs", max_round
     if mode not in ("bfs", "relax"):
         raise ValueError(f"unknown mode {mode!r}")
     spark = graph.spark
-    p = graph.partitions
+    p = graph.state_partitions(sources.count if sources is not None else 1)
     stats: list[tuple[int, int]] = []
     converged = False
     with scoped_conf(spark, iteration_settings(p)):

@@ -44,6 +44,8 @@ MIN_CHUNK = 10_000
 # partition (a few hundred MB cached), whatever the session says.
 EDGES_PER_PARTITION = 32_768
 MAX_EDGES_PER_PARTITION = 8_000_000
+# Most (source, vertex) rows of traversal state per partition.
+MAX_STATE_ROWS_PER_PARTITION = 8_000_000
 
 
 @dataclass
@@ -63,6 +65,26 @@ class HopGraph:
     id_type: str = "string"
     _keys: DataFrame | None = field(default=None, repr=False)
     _aliased: DataFrame | None = field(default=None, repr=False)
+    _approx_vertices: int | None = field(default=None, repr=False)
+
+    def approx_vertices(self) -> int:
+        """Approximate vertex count (HyperLogLog; one aggregate, partial per
+        task, no shuffle of the edges)."""
+        if self._approx_vertices is None:
+            row = self.edges.select(F.explode(F.array("src", "dst")).alias("v")).agg(
+                F.approx_count_distinct("v").alias("n")
+            ).first()
+            self._approx_vertices = int(row["n"])
+        return self._approx_vertices
+
+    def state_partitions(self, sources: int) -> int:
+        """Partitions for traversal state of ``sources`` sources: the layout's
+        count, raised so no state partition holds more than
+        ``MAX_STATE_ROWS_PER_PARTITION`` (source, vertex) rows."""
+        p = self.partitions
+        if sources * 2 * self.num_edges <= p * MAX_STATE_ROWS_PER_PARTITION:
+            return p
+        return max(p, math.ceil(sources * self.approx_vertices() / MAX_STATE_ROWS_PER_PARTITION))
 
     @property
     def spark(self):

@@ -3,7 +3,7 @@
 import hopscope as hs
 import hopscope.operators.traversal as tr
 from hopscope.plans.session import fits_broadcast, iteration_settings, parse_bytes, scoped_conf
-from tests.conftest import edges_df
+from tests.conftest import edges_df, rows
 
 
 def plan_text(df):
@@ -86,3 +86,19 @@ def test_layout_partitions():
     assert layout_partitions(293_790, 8) == 8
     assert layout_partitions(1_500_000_000, 2000) == 2000
     assert layout_partitions(10**12, 2000) == 125_000
+
+
+def test_state_partitions_grow_with_sources(spark, monkeypatch):
+    import hopscope.plans.graph as gr
+
+    e = [(i, (i * 3 + 1) % 100) for i in range(100)]
+    g = hs.prepare_graph(edges_df(spark, e), partitions=2)
+    assert g.state_partitions(1) == 2
+    monkeypatch.setattr(gr, "MAX_STATE_ROWS_PER_PARTITION", 50)
+    assert 90 <= g.approx_vertices() <= 110
+    assert g.state_partitions(10) >= 18
+    t = hs.shortest_paths(g, [str(i) for i in range(10)])
+    assert t.layers[0].rdd.getNumPartitions() == g.state_partitions(10)
+    from tests.test_properties import bfs
+
+    assert rows(t.distances) == bfs(e, [str(i) for i in range(10)])
