@@ -33,6 +33,7 @@ deep graphs.
 from __future__ import annotations
 
 import functools
+import logging
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,6 +51,8 @@ from hopscope.plans.session import (
 
 DEFAULT_COMPACT_EVERY = 8
 
+log = logging.getLogger("hopscope")
+
 
 # --------------------------------------------------------------------------
 # sources
@@ -335,6 +338,7 @@ def iterate(graph: HopGraph, initial: DataFrame, *, mode: str = "bfs", max_round
             new = _layer_anti_join(cand, probes).sortWithinPartitions("source", "vertex")
             new, n = materialize(new)
             stats.append((rnd, n))
+            log.info("round %d: %d updated", rnd, n)
             if n == 0:
                 converged = True
                 break
@@ -398,7 +402,9 @@ def resume_shortest_paths(graph: HopGraph, state: DataFrame, *, sources=None,
     Every finite stored row is active in the first round (stored distances
     need not come from a clean breadth-first run), then only improved rows
     expand. The result equals an uninterrupted run whenever the stored
-    distances are upper bounds reached from the sources.
+    distances are upper bounds reached from the sources. Rows whose ids
+    cannot be vertices of the graph (e.g. "007" in a numeric graph) are
+    ignored.
     """
     spark = graph.spark
     if sources is None:
