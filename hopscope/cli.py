@@ -36,6 +36,10 @@ from hopscope.plans.pipeline import build_sampled_adjacency
 from hopscope.sources.sinks import distance_lines, state_lines, summary_lines, write_adjacency
 from hopscope.sources.text import read_adjacency, read_edges, read_state
 
+# Fixed value: the id range the original adjacency job samples from when no
+# range is given (ids 1 .. 11316811).
+DEFAULT_ID_RANGE = 11_316_811
+
 
 def _parser() -> argparse.ArgumentParser:
     ap = argparse.ArgumentParser(prog="hopscope", description="hop-distance jobs on Spark")
@@ -45,7 +49,7 @@ def _parser() -> argparse.ArgumentParser:
     a.add_argument("edges")
     a.add_argument("output")
     a.add_argument("k", type=int)
-    a.add_argument("--n", type=int, default=11_316_811, help="size of the id range to sample from")
+    a.add_argument("--n", type=int, default=DEFAULT_ID_RANGE, help="size of the id range to sample from")
     a.add_argument("--start", type=int, default=1, help="first id of the range")
     a.add_argument("--seed", type=int, default=0)
 
