@@ -175,3 +175,15 @@ def test_build_sampled_adjacency_whole_range(spark):
     adj = hs.build_sampled_adjacency(e, 5, 5, start=1)
     got = {r.vertex: list(r.neighbors) for r in adj.collect()}
     assert got == {"1": ["2", "2", "3"], "2": ["5"], "3": ["1"], "4": ["4"], "5": ["1"]}
+
+
+def test_empty_graph_and_no_sources(spark):
+    empty = hs.prepare_graph(spark.createDataFrame([], "src string, dst string"))
+    assert (empty.num_edges, empty.partitions, empty.hot) == (0, 1, None)
+    t = hs.shortest_paths(empty, ["1"])
+    assert rows(t.distances) == [] and t.stats == [(1, 0)]
+    assert hs.bounded_relaxation(empty, ["1"]).distances.count() == 0
+    g = hs.prepare_graph(edges_df(spark, T))
+    none = hs.shortest_paths(g, [])
+    assert rows(none.distances) == [] and none.stats == [(1, 0)]
+    assert hs.diameter_lower_bound(hs.longest_shortest_path(none.distances)).first().diameter_lb == 0
