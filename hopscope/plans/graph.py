@@ -6,8 +6,9 @@
   over all partitions instead of landing in one);
 * every vertex whose out-degree exceeds ``chunk`` edges is a *hot* vertex and
   its edges are split into ``ceil(degree / chunk)`` salted groups. ``chunk``
-  is at least ``|E| / partitions``, so there are at most ``partitions`` hot
-  vertices: the hot table has a proven size bound and is broadcast;
+  is at least ``|E| / (4 * partitions)``, so there are at most
+  ``4 * partitions`` hot vertices: the hot table has a proven size bound and
+  is broadcast;
 * the salted edges are hash-partitioned on ``(src, salt)``, sorted within
   partitions and cached, planned without adaptive execution so that every
   later join on ``(vertex, salt)`` shuffles only the (small) frontier side
@@ -46,6 +47,10 @@ EDGES_PER_PARTITION = 32_768
 MAX_EDGES_PER_PARTITION = 8_000_000
 # Most (source, vertex) rows of traversal state per partition.
 MAX_STATE_ROWS_PER_PARTITION = 8_000_000
+# A hot vertex is cut into chunks of about |E| / (CHUNKS_PER_PARTITION * p)
+# edges, so each partition receives several chunks and hashing them spreads
+# a hub evenly (the hot table stays within CHUNKS_PER_PARTITION * p rows).
+CHUNKS_PER_PARTITION = 4
 
 
 @dataclass
@@ -184,7 +189,7 @@ def prepare_graph(edges: DataFrame, partitions: int | None = None, chunk: int |
     pay for hundreds of near-empty tasks every round) but at least one per
     ``MAX_EDGES_PER_PARTITION`` edges (so a partition stays a few hundred
     MB however large the graph); ``chunk`` (the most edges of one vertex a partition
-    takes) defaults to ``max(MIN_CHUNK, ceil(|E| / partitions))``, and is
+    takes) defaults to ``max(MIN_CHUNK, ceil(|E| / (4 * partitions)))``, and is
     raised if needed so that the ``|E| / chunk`` possible hot vertices fit
     under the broadcast limit. ``numeric_ids``: ``None`` keeps the ids as
     longs inside the layout when every id is a canonical integer, ``False``
@@ -210,10 +215,11 @@ def prepare_graph(edges: DataFrame, partitions: int | None = None, chunk: int |
     p = partitions or layout_partitions(m, default_partitions(spark))
     id_type = "long" if int(stats["odd"]) == 0 and numeric_ids is not False else "string"
     typed = uniq.select(F.col("src").cast(id_type).alias("src"), F.col("dst").cast(id_type).alias("dst"))
-    c = chunk or max(MIN_CHUNK, math.ceil(m / p))
+    c = chunk or max(MIN_CHUNK, math.ceil(m / (CHUNKS_PER_PARTITION * p)))
     # There are at most m / c hot vertices; keep that many rows within the
-    # broadcast limit (never fewer than p rows allowed), whatever c was asked.
-    max_hot = max(p, broadcast_limit(spark) // row_bytes(1, max_len, fixed_cols=1))
+    # broadcast limit (never fewer than the default bound allowed), whatever
+    # c was asked.
+    max_hot = max(CHUNKS_PER_PARTITION * p, broadcast_limit(spark) // row_bytes(1, max_len, fixed_cols=1))
     c = max(c, math.ceil(m / max_hot), 1)
 
     hot = None
