@@ -259,6 +259,8 @@ class Traversal:
         The output has one row per (source, vertex), so sources must be a
         list of ids.
         """
+        if vertex_set not in ("reached", "keys_and_reached", "all"):
+            raise ValueError(f"unknown vertex_set {vertex_set!r}")
         if vertex_set == "reached":
             return self.distances
         if self.sources is None or self.sources.values is None:

@@ -187,3 +187,10 @@ def test_empty_graph_and_no_sources(spark):
     none = hs.shortest_paths(g, [])
     assert rows(none.distances) == [] and none.stats == [(1, 0)]
     assert hs.diameter_lower_bound(hs.longest_shortest_path(none.distances)).first().diameter_lb == 0
+
+
+def test_unknown_vertex_set_is_an_error(toy):
+    t = hs.shortest_paths(toy, ["1"])
+    assert t.with_unreached("reached") is t.distances
+    with pytest.raises(ValueError):
+        t.with_unreached("everything")
