@@ -30,12 +30,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BITS = 18
-FIT_ROWS = 12_000
+FIT_ROWS = 8_000
 #: Fewest fitted texts with a feature.
 MIN_TEXTS = 4
-ROUNDS = 150
+ROUNDS = 120
 RATE = 0.5
-L1 = 2e-5
+L1 = 3e-4
 #: Weight of the squared change of score between a text and its swapped copy.
 SWAP_PENALTY = 1.0
 
