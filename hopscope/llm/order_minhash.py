@@ -113,7 +113,7 @@ def banded_edits(a: list, b: list, k: int) -> int | None:
     width = 2 * k + 1
     full, low = (1 << width) - 1, 1 << (2 * k)
     up, down = full & ~((1 << k) - 1), 0
-    cost = k  # at the lowest row of the band, then at the last row of the table
+    cost = min(k, m)  # at the lowest row of the band, then at the last row of the table
     for j, y in enumerate(b):
         eq = places.get(y, 0)
         eq = (eq >> (j - k) if j >= k else eq << (k - j)) & full
