@@ -9,7 +9,8 @@ whose shingles agree to 0.8, so all 20 signatures miss with 3 in 100,000.
 Exact copies (same words, any case and white space) meet first, by a hash of
 their words, so one text stands for each group. Texts with a common signature
 are candidates. A bucket is not expanded into pairs: its members are compared
-with one centre, drawn anew for each bucket. Members that don't match it go on:
+with one centre, drawn anew for each bucket. Members that don't match it go on, if their bucket
+still holds texts of different components:
 those of small buckets are compared with each other, those of large ones with
 the texts that share a second signature with them, by rounds of ``CENTRES``
 centres until none is left over. Candidates are verified by banded alignment of
@@ -41,7 +42,7 @@ SHINGLE = 5
 SIMILARITY = 0.8
 PICKED = 4
 SKETCHES = 20
-CENTRES = 16
+CENTRES = 8
 
 
 def text_words(text: str | None) -> list[bytes]:
@@ -181,7 +182,7 @@ def _compare(members: DataFrame, texts: DataFrame, known: DataFrame | None, cent
     """Compare the members (band, sig, h, n_words) of buckets with ``centres``
     members of each, drawn anew for every bucket: all pairs judged so far (a, b,
     ok), and the members that neither are a centre nor match one, of buckets
-    with at least two of them."""
+    in which they are of two or more components (``root``)."""
     drawn = F.min(F.struct(F.xxhash64("h", "band", F.lit(turn)).alias("draw"), "h", "n_words")).alias("c")
     if centres == 1:
         heads = members.groupBy("band", "sig").agg(drawn, F.count("*").alias("n")).where("n > 1").drop("n")
@@ -196,10 +197,15 @@ def _compare(members: DataFrame, texts: DataFrame, known: DataFrame | None, cent
     found = stored(_verified(pairs, texts), "omh-verified")
     known = found if known is None else known.unionByName(found)
     judged = met.withColumns({"a": F.least("h", "c.h"), "b": F.greatest("h", "c.h")}).join(known.where("ok"), ["a", "b"], "left")
-    over = judged.groupBy("band", "sig", "h", "n_words").agg(F.max(F.coalesce("ok", F.lit(False)) | (F.col("h") == F.col("c.h"))).alias("done"))
-    over = over.where("NOT done").drop("done")
-    sizes = over.groupBy("band", "sig").agg(F.count("*").alias("n")).where("n > 1")
-    return known, stored(over.join(sizes, ["band", "sig"]), "omh-left")
+    over = judged.groupBy("band", "sig", "h", "n_words", "root").agg(F.max(F.coalesce("ok", F.lit(False)) | (F.col("h") == F.col("c.h"))).alias("done"))
+    return known, stored(_open(over.where("NOT done").drop("done")), "omh-left")
+
+
+def _open(members: DataFrame) -> DataFrame:
+    """The members of buckets that hold texts of two or more components: a link
+    within a component would not change a class. ``n``: the bucket's members."""
+    sizes = members.groupBy("band", "sig").agg(F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi"))
+    return members.join(sizes.where("lo != hi").drop("lo", "hi"), ["band", "sig"])
 
 
 def _finer(left: DataFrame) -> DataFrame:
@@ -216,16 +222,18 @@ def _finer(left: DataFrame) -> DataFrame:
         )
     )
     keys = F.sort_array(F.collect_list(F.struct("band", "sig"))).alias("keys")  # SKETCHES at most
-    pairs = left.groupBy("h", "n_words").agg(keys).select("h", "n_words", F.explode(both).alias("k")).select("k.band", "k.sig", "h", "n_words")
-    shared = pairs.groupBy("band", "sig").agg(F.count("*").alias("n")).where("n > 1").drop("n")
-    return pairs.join(shared, ["band", "sig"])
+    pairs = left.groupBy("h", "n_words", "root").agg(keys).select("h", "n_words", "root", F.explode(both).alias("k"))
+    return _open(pairs.select("k.band", "k.sig", "h", "n_words", "root"))
 
 
 def _links(members: DataFrame, texts: DataFrame) -> DataFrame:
     """Verified links (a, b) among the members of buckets."""
-    known, left = _compare(members, texts, None, 1, 0)
+    known, left = _compare(members.withColumn("root", F.col("h")), texts, None, 1, 0)
+    roots = stored(components(known.where("ok")), "omh-roots")
+    left = left.drop("root", "n").join(roots, "h", "left").withColumn("root", F.coalesce("root", "h"))
+    left = stored(_open(left), "omh-left")
     few = F.col("n") <= CENTRES
-    columns = ["band", "sig", "h", "n_words"]
+    columns = ["band", "sig", "h", "n_words", "root"]
     left = stored(left.where(few).select(columns).unionByName(_finer(left.where(~few)).select(columns)), "omh-finer")
     turn = 0
     while not left.isEmpty():
