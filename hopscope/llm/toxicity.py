@@ -35,7 +35,8 @@ FIT_ROWS = 8_000
 MIN_TEXTS = 4
 ROUNDS = 120
 RATE = 0.5
-L1 = 3e-4
+#: Times one by the root of the number of fitted rows.
+L1 = 0.04
 #: Weight of the squared change of score between a text and its swapped copy.
 SWAP_PENALTY = 1.0
 
@@ -123,6 +124,7 @@ def fit(rows: list[np.ndarray], copies: list[np.ndarray | None], labels: np.ndar
     pairs = [(np.setdiff1d(a, b), np.setdiff1d(b, a)) for a, b in zip(rows, copies, strict=True) if b is not None]
     plus, minus = matrix([p for p, _ in pairs]), matrix([m for _, m in pairs])
     n, w, b = len(labels), np.zeros(len(used)), float(np.log(labels.mean() / (1 - labels.mean())))
+    sparse = L1 / np.sqrt(n)
     seen, seen_b = np.full(len(used), 1e-8), 1e-8
     for _ in range(ROUNDS):
         z = np.bincount(row, w[col], n) + b
@@ -134,7 +136,7 @@ def fit(rows: list[np.ndarray], copies: list[np.ndarray | None], labels: np.ndar
         seen += grad * grad
         step = RATE / np.sqrt(seen)
         w -= step * grad
-        w = np.sign(w) * np.maximum(np.abs(w) - step * L1, 0)
+        w = np.sign(w) * np.maximum(np.abs(w) - step * sparse, 0)
         g = float(miss.mean())
         seen_b += g * g
         b -= RATE / np.sqrt(seen_b) * g
