@@ -11,7 +11,7 @@ same text layouts, run as ``spark-submit -m hopscope ...`` or
         OUTPUT/lsp (source<TAB>longest), OUTPUT/rounds (round<TAB>updated)
     resume     ADJACENCY STATE OUTPUT [--absorbing] SOURCE [SOURCE ...]
         continue from a saved state (text layout), same outputs as paths
-    bounded    ADJACENCY OUTPUT SOURCE [--rounds 20]
+    bounded    ADJACENCY OUTPUT SOURCE [--rounds R]
         in-neighbour-seeded relaxation: OUTPUT/distances ((vertex,dist)
         tuples for every vertex) and OUTPUT/lsp (one number, unreachable
         counted as 0)
@@ -71,13 +71,13 @@ def _parser() -> argparse.ArgumentParser:
     b.add_argument("adjacency")
     b.add_argument("output")
     b.add_argument("source")
-    b.add_argument("--rounds", type=int, default=20)
+    b.add_argument("--rounds", type=int, default=None, help="stop after so many rounds; default: the fixpoint")
     return ap
 
 
-def _write_traversal(t, adjacency, output: str) -> None:
+def _write_traversal(t, adjacency, output: str, absorbing: bool) -> None:
     full = t.with_unreached("keys_and_reached")
-    state_lines(full, adjacency).write.mode("overwrite").text(f"{output}/state")
+    state_lines(full, adjacency, stop_at_other_sources=absorbing).write.mode("overwrite").text(f"{output}/state")
     summary_lines(longest_shortest_path(t.distances)).write.mode("overwrite").text(f"{output}/lsp")
     t.stats_frame().select(F.concat_ws("\t", "round", "updated").alias("value")).write.mode("overwrite").text(
         f"{output}/rounds"
@@ -95,13 +95,15 @@ def run(spark: SparkSession, argv: list[str]) -> None:
     graph = prepare_graph(to_edges(adjacency))
     if args.job == "paths":
         t = shortest_paths(graph, args.sources, stop_at_other_sources=args.absorbing, max_rounds=args.max_rounds)
-        _write_traversal(t, adjacency, args.output)
+        _write_traversal(t, adjacency, args.output, args.absorbing)
     elif args.job == "resume":
-        state = read_state(spark, args.state, fmt="text")
+        state = read_state(spark, args.state, fmt="text", sources=args.sources)
         t = resume_shortest_paths(graph, state, sources=args.sources, stop_at_other_sources=args.absorbing)
-        _write_traversal(t, adjacency, args.output)
+        _write_traversal(t, adjacency, args.output, args.absorbing)
     elif args.job == "bounded":
         t = bounded_relaxation(graph, [args.source], rounds=args.rounds)
+        if not t.converged:
+            print(f"stopped after {args.rounds} rounds before the fixpoint: vertices further away are written as unreachable")
         full = t.with_unreached("all")
         distance_lines(full, with_source=False).write.mode("overwrite").text(f"{args.output}/distances")
         lsp = longest_shortest_path(full, per_source=False, unreachable_as_zero=True)

@@ -1,31 +1,43 @@
 """Edge table <-> adjacency lists.
 
-Adjacency rows are ``(vertex, neighbors array<string>)``; duplicate edges and
-self-loops are kept, neighbours are sorted. A vertex whose list would be
-longer than ``max_list`` neighbours is written as several rows, each with a
-share of its neighbours: the adjacency readers treat several rows of one
-vertex as the union of their lists, so nothing is lost, and no task ever has
-to build a list holding a large share of all edges.
+Adjacency rows are ``(vertex, part, neighbors array<string>)``; duplicate
+edges and self-loops are kept. A vertex's sorted neighbours are cut into parts
+of ``MAX_LIST`` (part 0 holds the first of them, and so on), so a row stays far
+below the size that one may have and no task builds a hub's whole list. The
+parts depend on the edges alone, not on the session. The adjacency readers
+treat several rows of one vertex as the union of their lists.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from hopscope.plans.graph import normalize_edges
+from hopscope.plans.session import default_partitions, fits_broadcast, materialize, row_bytes
+
+#: Neighbours of one adjacency row.
+MAX_LIST = 10_000
 
-from hopscope.plans.graph import MIN_CHUNK, normalize_edges
-from hopscope.plans.session import broadcast_limit, default_partitions, materialize, row_bytes
 
+def _placed(pairs: DataFrame, partitions: int) -> DataFrame:
+    """``pairs`` with ``at``: the copies that stand before the pair in its
+    vertex's sorted list. Ranges of (src, dst) are counted first, so a hub's
+    pairs are ranked in as many tasks as they fill."""
+    ranged = pairs.repartitionByRange(partitions, "src", "dst").withColumn("range", F.spark_partition_id())
+    ranged, _ = materialize(ranged)
+    sums = ranged.groupBy("src", "range").agg(F.sum("copies").alias("n"))
+    before = sums.select("src", "range", (F.sum("n").over(Window.partitionBy("src").orderBy("range")) - F.col("n")).alias("before"))
+    inside = F.sum("copies").over(Window.partitionBy("src", "range").orderBy("dst")) - F.col("copies")
+    return ranged.join(before, ["src", "range"]).withColumn("at", F.col("before") + inside).drop("before", "range")
 
-def to_adjacency(edges: DataFrame, *, max_list: int | None = None, partitions: int | None = None) -> DataFrame:
-    """``(vertex, neighbors)`` from ``(src, dst)`` edges.
 
-    ``max_list`` (the longest list one row may hold) defaults to
-    ``max(MIN_CHUNK, ceil(|E| / partitions))`` and is raised if needed so the
-    ``|E| / max_list`` possible hub vertices fit under the broadcast limit.
+def to_adjacency(edges: DataFrame, *, max_list: int = MAX_LIST, partitions: int | None = None) -> DataFrame:
+    """``(vertex, part, neighbors)`` from ``(src, dst)`` edges; ``max_list`` is
+    the most neighbours of a row and is kept exactly.
+
     Graph statistics (one row) are the only values brought to the driver.
     The result is checkpointed: the input is computed once.
     """
@@ -40,41 +52,22 @@ def to_adjacency(edges: DataFrame, *, max_list: int | None = None, partitions: i
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
     deg = pairs.groupBy("src").agg(F.sum("copies").alias("deg"))
-    stats = deg.agg(
-        F.coalesce(F.sum("deg"), F.lit(0)).alias("m"),
-        F.coalesce(F.max("deg"), F.lit(0)).alias("max_deg"),
-        F.coalesce(F.max(F.length("src")), F.lit(1)).alias("max_len"),
-    ).first()
-    m, max_deg, max_len = int(stats["m"]), int(stats["max_deg"]), int(stats["max_len"])
-    p = partitions or default_partitions(spark)
-    c = max_list or max(MIN_CHUNK, math.ceil(m / p))
-    max_hot = max(p, broadcast_limit(spark) // row_bytes(1, max_len, fixed_cols=1))
-    c = max(c, math.ceil(m / max_hot), 1)
-
-    if max_deg > c:
-        # <= m / c hub vertices: bounded, broadcast. A pair repeated more than
-        # c times is cut into pieces of at most c copies, each piece going to
-        # its own part of the vertex.
-        hot = deg.where(F.col("deg") > c).select(
-            F.col("src").alias("hot_vertex"), F.ceil(F.col("deg") / F.lit(c)).cast("int").alias("nsalt")
-        )
-        piece = F.explode(F.sequence(F.lit(0), ((F.col("copies") - 1) / F.lit(c)).cast("long"))).alias("piece")
-        parts = (
-            pairs.join(F.broadcast(hot), pairs.src == hot.hot_vertex, "left")
-            .select("src", "dst", "copies", "nsalt", piece)
-            .select(
-                "src", "dst",
-                F.least(F.col("copies") - F.col("piece") * F.lit(c), F.lit(c)).alias("copies"),
-                F.when(F.col("nsalt").isNull(), F.lit(0))
-                .otherwise(F.pmod(F.xxhash64("dst") + F.col("piece"), F.col("nsalt").cast("long")).cast("int"))
-                .alias("part"),
-            )
-        )
-    else:
-        parts = pairs.withColumn("part", F.lit(0))
+    hubs = deg.where(F.col("deg") > max_list).select(F.col("src").alias("hub"))
+    stats = hubs.agg(F.count("*").alias("n"), F.coalesce(F.max(F.length("hub")), F.lit(1)).alias("l")).first()
+    parts = pairs.withColumn("part", F.lit(0).cast("long"))
+    if stats["n"]:
+        small = fits_broadcast(spark, stats["n"], row_bytes(1, stats["l"]))
+        hubs = F.broadcast(hubs) if small else hubs.hint("merge")
+        hot = _placed(pairs.join(hubs, pairs.src == hubs.hub, "left_semi"), partitions or default_partitions(spark))
+        last = F.floor((F.col("at") + F.col("copies") - 1) / max_list)
+        hot = hot.withColumn("part", F.explode(F.sequence(F.floor(F.col("at") / max_list), last)))
+        lo = F.greatest(F.col("at"), F.col("part") * max_list)
+        hi = F.least(F.col("at") + F.col("copies"), (F.col("part") + 1) * max_list)
+        hot = hot.withColumn("copies", hi - lo).select("src", "dst", "copies", "part")
+        parts = parts.join(hubs, parts.src == hubs.hub, "left_anti").unionByName(hot)
     lists = parts.groupBy("src", "part").agg(
         F.sort_array(F.flatten(F.collect_list(F.array_repeat(F.col("dst"), F.col("copies").cast("int"))))).alias("neighbors")
-    ).select(F.col("src").alias("vertex"), "neighbors")
+    ).select(F.col("src").alias("vertex"), F.col("part").cast("int").alias("part"), "neighbors")
     adjacency, _ = materialize(lists)
     pairs.unpersist()
     return adjacency

@@ -381,10 +381,11 @@ def shortest_paths(graph: HopGraph, sources, *, max_rounds: int | None = None,
                    compact_every=compact_every)
 
 
-def bounded_relaxation(graph: HopGraph, sources, rounds: int = 20,
+def bounded_relaxation(graph: HopGraph, sources, rounds: int | None = None,
                        compact_every: int = DEFAULT_COMPACT_EVERY) -> Traversal:
     """Relaxation seeded at the in-neighbours of each source (distance 1),
-    run for at most ``rounds`` rounds along out-edges.
+    run along out-edges to the fixpoint, or for at most ``rounds`` rounds
+    (``converged`` of the result says whether that cut anything off).
 
     The source itself starts unreached; it ends at 2 if it has an
     in-neighbour (1 with a self-loop). After ``rounds`` rounds the largest
@@ -406,13 +407,15 @@ def resume_shortest_paths(graph: HopGraph, state: DataFrame, *, sources=None,
     expand. The result equals an uninterrupted run whenever the stored
     distances are upper bounds reached from the sources. Rows whose ids
     cannot be vertices of the graph (e.g. "007" in a numeric graph) are
-    ignored.
+    ignored, and so are rows of sources that ``sources`` does not name.
     """
     spark = graph.spark
     if sources is None:
         ss = source_set(spark, state.where(F.col("dist").isNotNull()).select("source"))
     else:
         ss = source_set(spark, sources)
+        wanted = F.col("source").isin(ss.values) if ss.values is not None else None
+        state = state.where(wanted) if wanted is not None else state.join(ss.frame, "source", "left_semi")
     return iterate(graph, _to_internal(graph, state), mode="relax", max_rounds=max_rounds,
                    blocked=ss if stop_at_other_sources else None, sources=ss,
                    compact_every=compact_every)

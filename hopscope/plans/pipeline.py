@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from hopscope.functions.expressions import DEFAULT_SAMPLE_SEED
-from hopscope.operators.adjacency import to_adjacency
+from hopscope.operators.adjacency import MAX_LIST, to_adjacency
 from hopscope.operators.sampling import draw_ids
 from hopscope.operators.subgraph import induced_subgraph
 from hopscope.operators.summary import diameter_lower_bound, longest_shortest_path
@@ -21,7 +21,7 @@ def sampled_subgraph(edges: DataFrame, k: int, n: int, seed: int = DEFAULT_SAMPL
 
 
 def build_sampled_adjacency(edges: DataFrame, k: int, n: int, seed: int = DEFAULT_SAMPLE_SEED,
-                            start: int = 1, max_list: int | None = None) -> DataFrame:
+                            start: int = 1, max_list: int = MAX_LIST) -> DataFrame:
     """Sample ``k`` ids, keep the edges among them, and group them into
     adjacency lists ``(vertex, neighbors)``. Vertices without a sampled
     out-edge get no row."""

@@ -49,13 +49,20 @@ def write_distances(distances: DataFrame, path: str, fmt: str = "parquet", mode:
         raise ValueError(f"unknown distance format {fmt!r}")
 
 
-def state_lines(distances: DataFrame, adjacency: DataFrame, single_source: bool = False) -> DataFrame:
+def state_lines(distances: DataFrame, adjacency: DataFrame, single_source: bool = False,
+                stop_at_other_sources: bool = False) -> DataFrame:
     """``value`` = ``vertex"to"source<TAB>n1,n2 dist`` (or ``vertex<TAB>...``
     for one source). Each distance row carries its vertex's adjacency; a
     vertex without one gets the word ``null``; infinity is 2147483647.
-    A vertex listed on several adjacency rows writes several state lines."""
+    A vertex listed on several adjacency rows writes several state lines.
+    With ``stop_at_other_sources`` a source's list stands under its own key
+    alone, as it does not expand in another source's traversal."""
     adj = adjacency.select(F.col("vertex").alias("_v"), F.array_join("neighbors", ",").alias("_nb"))
     j = distances.join(adj, distances.vertex == adj._v, "left")
+    if stop_at_other_sources:
+        stops = distances.select(F.col("source").alias("_stop")).distinct()
+        j = j.join(stops, (F.col("vertex") == F.col("_stop")) & (F.col("vertex") != F.col("source")), "left")
+        j = j.withColumn("_nb", F.when(F.col("_stop").isNull(), F.col("_nb")))
     key = F.col("vertex") if single_source else F.concat(F.col("vertex"), F.lit(KEY_SEPARATOR), F.col("source"))
     nb = F.coalesce(F.col("_nb"), F.lit(NO_NEIGHBOURS))
     return j.select(
@@ -64,7 +71,8 @@ def state_lines(distances: DataFrame, adjacency: DataFrame, single_source: bool
 
 
 def write_state(distances: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
-                adjacency: DataFrame | None = None, single_source: bool = False) -> None:
+                adjacency: DataFrame | None = None, single_source: bool = False,
+                stop_at_other_sources: bool = False) -> None:
     """Save traversal state for a later resume: parquet
     ``(source, vertex, dist)``, or the text layout (needs ``adjacency``)."""
     if fmt == "parquet":
@@ -72,7 +80,7 @@ def write_state(distances: DataFrame, path: str, fmt: str = "parquet", mode: str
     elif fmt == "text":
         if adjacency is None:
             raise ValueError("text state needs the adjacency lists")
-        state_lines(distances, adjacency, single_source).write.mode(mode).text(path)
+        state_lines(distances, adjacency, single_source, stop_at_other_sources).write.mode(mode).text(path)
     else:
         raise ValueError(f"unknown state format {fmt!r}")
 

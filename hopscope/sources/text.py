@@ -52,9 +52,8 @@ def read_edges(spark: SparkSession, path: str, fmt: str = "text", sep: str = ","
     if fmt == "text":
         return parse_edge_lines(spark.read.text(path), sep=sep)
     if fmt == "csv":
-        df = spark.read.csv(path, sep=sep, header=False)
-        a, b = df.columns[:2]
-        return df.select(F.col(a).alias("src"), F.col(b).alias("dst"))
+        df = spark.read.csv(path, sep=sep, header=False, schema="src string, dst string")
+        return df.where(F.col("src").isNotNull() & F.col("dst").isNotNull())
     if fmt == "parquet":
         return spark.read.parquet(path).select(F.col("src").cast("string"), F.col("dst").cast("string"))
     raise ValueError(f"unknown edge format {fmt!r}")
@@ -86,18 +85,28 @@ def read_adjacency(spark: SparkSession, path: str, fmt: str = "text") -> DataFra
 
 
 # ------------------------------------------------------------------- state
-def parse_state_lines(lines: DataFrame, source: str | None = None, col: str = "value") -> DataFrame:
+def parse_state_lines(lines: DataFrame, source: str | None = None, col: str = "value",
+                      sources: list[str] | None = None) -> DataFrame:
     """``(source, vertex, neighbors, dist)`` from state lines (3+ fields).
 
     With ``source`` given, keys are plain vertices of that one traversal;
-    otherwise keys are ``vertex"to"source``, split at the first separator.
-    Infinity becomes NULL.
+    otherwise keys are ``vertex"to"source``. With ``sources``, a key is cut
+    before the one ``to<source>`` of these that it ends in; keys of other
+    sources are left out and a key that ends in two of them is an error.
+    Without, it is cut at the first separator, which is right only for ids
+    that don't hold it. Infinity becomes NULL.
     """
     t = whitespace_tokens(F.col(col))
     rows = lines.select(t.alias("t")).where(F.size("t") >= 3)
     key = F.col("t")[0]
     if source is not None:
         src, vtx = F.lit(str(source)), key
+    elif sources is not None:
+        ends = F.filter(F.array(*[F.lit(str(s)) for s in dict.fromkeys(sources)]), lambda s: key.endswith(F.concat(F.lit(KEY_SEPARATOR), s)))
+        two = F.raise_error(F.concat(F.lit("a state key ends in two of the sources: "), key))
+        rows = rows.withColumn("src", F.when(F.size(ends) > 1, two).otherwise(F.get(ends, F.lit(0)))).where("src IS NOT NULL")
+        src = F.col("src")
+        vtx = F.substring(key, F.lit(1), F.length(key) - F.length(src) - len(KEY_SEPARATOR))
     else:
         pattern = f"^(.*?){KEY_SEPARATOR}(.*)$"
         vtx, src = F.regexp_extract(key, pattern, 1), F.regexp_extract(key, pattern, 2)
@@ -109,7 +118,8 @@ def parse_state_lines(lines: DataFrame, source: str | None = None, col: str = "v
     )
 
 
-def read_state(spark: SparkSession, path: str, fmt: str = "parquet", source: str | None = None) -> DataFrame:
+def read_state(spark: SparkSession, path: str, fmt: str = "parquet", source: str | None = None,
+               sources: list[str] | None = None) -> DataFrame:
     """Stored traversal state ``(source, vertex, dist)`` (plus ``neighbors``
     when read from text)."""
     if fmt == "parquet":
@@ -117,7 +127,7 @@ def read_state(spark: SparkSession, path: str, fmt: str = "parquet", source: str
             F.col("source").cast("string"), F.col("vertex").cast("string"), F.col("dist").cast("int")
         )
     if fmt == "text":
-        return parse_state_lines(spark.read.text(path), source=source)
+        return parse_state_lines(spark.read.text(path), source=source, sources=sources)
     raise ValueError(f"unknown state format {fmt!r}")
 
 

@@ -177,7 +177,7 @@ def q_lsp_per_source(spark, sf_dir):
 
 def q_lsp_global(spark, sf_dir):
     g = prepare_graph(part_next_r(spark, sf_dir))
-    t = bounded_relaxation(g, [BOUNDED_SOURCE], rounds=BOUNDED_ROUNDS)
+    t = bounded_relaxation(g, [BOUNDED_SOURCE])
     return longest_shortest_path(t.with_unreached("all"), per_source=False, unreachable_as_zero=True)
 
 
@@ -215,13 +215,13 @@ def q_state_lines(spark, sf_dir):
     list dist`` for every key and reached vertex, infinity as 2147483647."""
     g = prepare_graph(part_next_r(spark, sf_dir))
     t = shortest_paths(g, list(SPARSE_SOURCES), stop_at_other_sources=True)
-    return state_lines(t.with_unreached("keys_and_reached"), to_adjacency(g.edge_pairs()))
+    return state_lines(t.with_unreached("keys_and_reached"), to_adjacency(g.edge_pairs()), stop_at_other_sources=True)
 
 
 def q_distance_tuples(spark, sf_dir):
     """Bounded relaxation over every vertex as ``(vertex,dist)`` tuples."""
     g = prepare_graph(part_next_r(spark, sf_dir))
-    t = bounded_relaxation(g, [BOUNDED_SOURCE], rounds=BOUNDED_ROUNDS)
+    t = bounded_relaxation(g, [BOUNDED_SOURCE])
     return distance_lines(t.with_unreached("all"), with_source=False)
 
 
@@ -353,7 +353,8 @@ _KEYS_AND_REACHED = _bfs_sql(SPARSE, _values(SPARSE_SOURCES), absorbing=True, se
 _STATE_LINES = _bfs_sql(
     SPARSE, _values(SPARSE_SOURCES), absorbing=True,
     select=(
-        "SELECT x.vertex || 'to' || x.source || chr(9) || coalesce(a.nb, 'null') || ' ' "
+        "SELECT x.vertex || 'to' || x.source || chr(9) || "
+        "CASE WHEN x.vertex <> x.source AND x.vertex IN (SELECT source FROM srcs) THEN 'null' ELSE coalesce(a.nb, 'null') END || ' ' "
         "|| CAST(coalesce(x.dist, 2147483647) AS VARCHAR) AS value "
         f"FROM ({_KEYS_AND_REACHED_ROWS}) x LEFT JOIN "
         "(SELECT src AS vertex, string_agg(dst, ',' ORDER BY dst) AS nb FROM e GROUP BY src) a "
@@ -361,7 +362,7 @@ _STATE_LINES = _bfs_sql(
     ),
 )
 _DISTANCE_TUPLES = _bfs_sql(
-    SPARSE, _values([BOUNDED_SOURCE]), in_neighbors=True, max_dist=BOUNDED_ROUNDS + 1,
+    SPARSE, _values([BOUNDED_SOURCE]), in_neighbors=True,
     select=(
         "SELECT '(' || v.vertex || ',' || CAST(coalesce(r.dist, 2147483647) AS VARCHAR) || ')' AS value "
         "FROM (SELECT src AS vertex FROM e UNION SELECT dst FROM e) v LEFT JOIN r ON r.vertex = v.vertex"
@@ -405,7 +406,7 @@ ORACLE_SQL: dict[str, str] = {
                               max_dist=BOUNDED_ROUNDS + 1, select=_DIST),
     "lsp_per_source": _bfs_sql(SPARSE, _values(SPARSE_SOURCES), select=_LSP),
     "lsp_global": _bfs_sql(
-        SPARSE, _values([BOUNDED_SOURCE]), in_neighbors=True, max_dist=BOUNDED_ROUNDS + 1,
+        SPARSE, _values([BOUNDED_SOURCE]), in_neighbors=True,
         select="SELECT CAST(coalesce(max(dist), 0) AS INTEGER) AS lsp FROM r",
     ),
     "round_stats": _bfs_sql(
