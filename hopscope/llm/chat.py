@@ -21,6 +21,8 @@ escaped on the way, so that no task gets all of its rows one by one.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,18 +44,25 @@ def unescape(text: Column) -> Column:
     return F.regexp_replace(text, ESCAPED, "$1$2")
 
 
+def _once(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once: what a lambda refers to from
+    outside is worked out again for each element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _merged(turns: Column) -> Column:
     """Adjacent turns of one role become one struct (role, texts)."""
-    is_first = lambda x, i: (i == 0) | (F.get(turns, i - 1)["role"] != x["role"])
-    starts = F.filter(F.transform(turns, lambda x, i: F.when(is_first(x, i), i)), lambda i: i.isNotNull())
-    until = lambda k: F.coalesce(F.get(starts, k + 1), F.size(turns))
-    return F.transform(
-        starts,
-        lambda i, k: F.struct(
-            F.get(turns, i)["role"].alias("role"),
-            F.transform(F.slice(turns, i + 1, until(k) - i), lambda x: x["text"]).alias("texts"),
-        ),
-    )
+
+    def cut(turns: Column) -> Column:
+        is_first = lambda x, i: (i == 0) | (F.get(turns, i - 1)["role"] != x["role"])
+        starts = F.filter(F.transform(turns, lambda x, i: F.when(is_first(x, i), i)), lambda i: i.isNotNull())
+        return _once(starts, lambda starts: F.transform(starts, lambda i, k: message(turns, i, F.coalesce(F.get(starts, k + 1), F.size(turns)))))
+
+    def message(turns: Column, start: Column, until: Column) -> Column:
+        texts = F.transform(F.slice(turns, start + 1, until - start), lambda x: x["text"])
+        return F.struct(F.get(turns, start)["role"].alias("role"), texts.alias("texts"))
+
+    return _once(turns, cut)
 
 
 def _prefix_sums(lengths: Column) -> Column:
@@ -61,9 +70,10 @@ def _prefix_sums(lengths: Column) -> Column:
     long arrays don't cost the square of their length."""
     total = lambda a: F.aggregate(a, F.lit(0).cast("long"), lambda s, x: s + x)
     sums = lambda a: F.aggregate(a, F.array(F.lit(0).cast("long")), lambda s, x: F.concat(s, F.array(F.element_at(s, -1) + x)))
-    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(lengths) - 1) / 64).cast("int")), lambda b: F.slice(lengths, b * 64 + 1, 64))
-    before = sums(F.transform(blocks, total))
-    return F.flatten(F.transform(blocks, lambda a, b: F.transform(F.slice(sums(a), 1, F.size(a)), lambda x: x + F.get(before, b))))
+    cut = lambda a: F.transform(F.sequence(F.lit(0), F.floor((F.size(a) - 1) / 64).cast("int")), lambda b: F.slice(a, b * 64 + 1, 64))
+    inside = lambda a, base: F.transform(F.slice(sums(a), 1, F.size(a)), lambda x: x + base)
+    joined = lambda blocks, before: F.flatten(F.transform(blocks, lambda a, b: _once(F.get(before, b), lambda base: inside(a, base))))
+    return _once(_once(lengths, cut), lambda blocks: _once(sums(F.transform(blocks, total)), lambda before: joined(blocks, before)))
 
 
 def format_chats(conversations: DataFrame, trained_role: str = "assistant", chunk: int = CHUNK) -> DataFrame:
@@ -101,10 +111,8 @@ def format_chats(conversations: DataFrame, trained_role: str = "assistant", chun
     cut = convs.select("conv_id", F.size("messages").alias("n_messages"), pieces.alias("pieces")).withColumn(
         "starts", _prefix_sums(F.transform("pieces", lambda p: F.length(p["s"])))
     )
-    spans = F.filter(
-        F.transform("pieces", lambda p, i: F.when(p["loss"], F.struct(F.get("starts", i).alias("start"), F.length(p["s"]).alias("length")))),
-        lambda s: s.isNotNull(),
-    )
+    span = lambda p, start: F.when(p["loss"], F.struct(start.alias("start"), F.length(p["s"]).alias("length")))
+    spans = F.filter(F.zip_with("pieces", "starts", span), lambda s: s.isNotNull())
     return cut.select("conv_id", F.array_join(F.transform("pieces", lambda p: p["s"]), "").alias("formatted"), spans.alias("loss_spans"), "n_messages")
 
 
