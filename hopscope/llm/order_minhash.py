@@ -8,14 +8,21 @@ whose shingles agree to 0.8, so all 20 signatures miss with 3 in 100,000.
 
 Exact copies (same words, any case and white space) meet first, by a hash of
 their words, so one text stands for each group. Texts with a common signature
-are candidates. A bucket is not expanded into pairs: its members are compared
-with one centre, drawn anew for each bucket. Members that don't match it go on, if their bucket
-still holds texts of different components:
-those of small buckets are compared with each other, those of large ones with
-the texts that share a second signature with them, by rounds of ``CENTRES``
-centres until none is left over. Candidates are verified by banded alignment of
-their words: edits must not exceed 0.2 of the longer text. Classes are the
-connected components of verified links.
+are candidates. First the members of a bucket are compared with few centres,
+drawn anew for each bucket, one or (large buckets) ``CENTRES``. Buckets whose
+members are of different components then are compared whole: small ones by a
+join, large ones in blocks of about ``BLOCK`` members against each other, inside
+tasks that hold the shingles of two blocks at a time and return only links. A
+pair of large buckets is met at the first signature that it shares.
+A sketch holds ``BINS`` binned minima of a text's shingles; a pair is dropped
+early if they agree in fewer bins than four standard deviations below what
+the bound would give for texts of their lengths.
+
+Candidates are verified by banded alignment of their labelled shingles: those
+that match in text order, in a band as wide as the bound allows, must be 0.8 or
+more of the longer text's. Any pair with a shingle Jaccard index of 0.8 whose
+common shingles stand in one order meets that. Classes are the connected
+components of links.
 
 Defined results: a null text counts as empty, and texts without words are
 copies of each other; a text under five words has one shingle, all of it; a
@@ -26,8 +33,9 @@ are copies; an empty table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import math
 import zlib
-from collections import Counter
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,7 +50,11 @@ SHINGLE = 5
 SIMILARITY = 0.8
 PICKED = 4
 SKETCHES = 20
-CENTRES = 8
+CENTRES = 4
+#: Members of a bucket that is joined with itself if it has to be.
+SMALL = 8
+BLOCK = 256
+BINS = 128
 
 
 def text_words(text: str | None) -> list[bytes]:
@@ -95,79 +107,82 @@ def signatures(words: list[bytes], sketches: int = SKETCHES, picked: int = PICKE
     return out
 
 
-def banded_edits(a: list, b: list, k: int) -> int | None:
-    """Edit distance of two sequences if it is k at most, else None. The column
-    of the alignment table within k of the diagonal is held as bits of two
-    integers (steps up, steps down), after Hyyrö's bit-parallel band."""
-    while a and b and a[-1] == b[-1]:
-        a, b = a[:-1], b[:-1]
-    at = next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
-    a, b = a[at:], b[at:]
-    if len(a) > len(b):
-        a, b = b, a
-    if len(b) - len(a) > k:
-        return None
-    if not a:
-        return len(b)
-    m, n = len(a), len(b)
-    places: dict = {}
-    for i, x in enumerate(a):
-        places[x] = places.get(x, 0) | 1 << i
-    width = 2 * k + 1
-    full, low = (1 << width) - 1, 1 << (2 * k)
-    up, down = full & ~((1 << k) - 1), 0
-    cost = min(k, m)  # at the lowest row of the band, then at the last row of the table
-    for j, y in enumerate(b):
-        eq = places.get(y, 0)
-        eq = (eq >> (j - k) if j >= k else eq << (k - j)) & full
-        diag = ((((eq & up) + up) ^ up) | eq | down) & full
-        right, left = (down | ~(diag | up)) & full, diag & up
-        if j + k < m:
-            cost += not diag & low
-        else:
-            row = 1 << (m - 1 - j + k)
-            cost += (right & row != 0) - (left & row != 0)
-        up, down = (left | ~((diag >> 1) | right)) & full, (diag >> 1) & right
-        if j + k >= m and cost - (n - 1 - j) > k:
-            return None
-    return cost if cost <= k else None
-
-
-def same(a: list, b: list, similarity: float = SIMILARITY) -> bool:
-    longer = max(len(a), len(b))
-    budget = int((1 - similarity) * longer + 1e-9)
-    # Words that only one text has cost an edit each.
-    if longer - (Counter(a) & Counter(b)).total() > budget:
-        return False
-    return banded_edits(a, b, budget) is not None
+def sketch(h: np.ndarray) -> bytes:
+    """Smallest hash in each of ``BINS`` bins of a text's shingles, 15 bits of it plus one; 0: none."""
+    mixed = (h ^ np.uint64(0xA0761D6478BD642F)) * np.uint64(0x9FB21C651E98DF25)
+    mixed ^= mixed >> np.uint64(29)
+    low = np.full(BINS, np.iinfo(np.uint64).max, np.uint64)
+    np.minimum.at(low, (mixed % np.uint64(BINS)).astype(np.int64), mixed // np.uint64(BINS))
+    held = np.where(low == np.iinfo(np.uint64).max, 0, (low & np.uint64(0x7FFF)) + np.uint64(1))
+    return held.astype("<u2").tobytes()
+
+
+def sketches(column) -> np.ndarray:
+    return np.frombuffer(b"".join(column), "<u2").reshape(-1, BINS)
+
+
+def likely(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray, similarity: float = SIMILARITY) -> np.ndarray:
+    """Whether rows of sketches, of texts of n and m shingles, may be as similar as that."""
+    need = similarity * np.maximum(n, m)
+    jaccard = np.minimum(need / (n + m - need), 1)
+    told = ((a > 0) | (b > 0)).sum(-1)
+    agree = ((a == b) & (a > 0)).sum(-1)
+    return agree >= jaccard * told - 4 * np.sqrt(jaccard * (1 - jaccard) * told) - 1
+
+
+def banded_matches(x: np.ndarray, y: np.ndarray, band: int, need: int = 0) -> int:
+    """Most elements of two sequences that match in order, no match further than
+    ``band`` from the diagonal. No element repeats within a sequence, so each has
+    one place at most to match, and the alignment is a longest increasing run
+    of places. Returns 0 if fewer than ``need`` are common."""
+    _, i, j = np.intersect1d(x, y, return_indices=True)
+    inside = np.abs(i - j) <= band
+    if inside.sum() < need:
+        return 0
+    places = j[inside][np.argsort(i[inside])]
+    if (places[1:] > places[:-1]).all():
+        return len(places)
+    ends: list[int] = []  # the smallest last place of a run of each length
+    for p in places.tolist():
+        at = bisect_left(ends, p)
+        ends[at : at + 1] = [p]
+    return len(ends)
+
+
+def same(x: np.ndarray, y: np.ndarray, similarity: float = SIMILARITY) -> bool:
+    """Whether the labelled shingles that match in order are that share of the longer text's."""
+    need = math.ceil(similarity * max(len(x), len(y)) - 1e-9)
+    return need <= min(len(x), len(y)) and banded_matches(x, y, len(x) + len(y) - 2 * need, need) >= need
 
 
 def _sketched(docs: DataFrame) -> DataFrame:
-    """doc_id, fp (of the text as it is), h (of its words), n_words, sigs."""
+    """doc_id, fp (of the text as it is), h (of its words), n_words, sigs, bins."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            h, n, sigs = [], [], []
+            h, n, sigs, bins = [], [], [], []
             for text in batch.column(2):
                 words = text_words(text.as_py())
+                bins.append(sketch(labelled_shingles(words)))
                 h.append(hashlib.blake2b(b" ".join(words), digest_size=16).digest())
                 n.append(len(words))
                 sigs.append(signatures(words))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(h, pa.binary()), pa.array(n, pa.int64()), pa.array(sigs, pa.list_(pa.int64()))],
-                ["doc_id", "fp", "h", "n_words", "sigs"],
+                [batch.column(0), batch.column(1), pa.array(h, pa.binary()), pa.array(n, pa.int64()), pa.array(sigs, pa.list_(pa.int64())), pa.array(bins, pa.binary())],
+                ["doc_id", "fp", "h", "n_words", "sigs", "bins"],
             )
 
     slim = docs.select("doc_id", F.md5(F.coalesce("text", F.lit(""))).alias("fp"), "text")
-    return slim.mapInArrow(run, f"doc_id {dict(slim.dtypes)['doc_id']}, fp string, h binary, n_words long, sigs array<long>")
+    return slim.mapInArrow(run, f"doc_id {dict(slim.dtypes)['doc_id']}, fp string, h binary, n_words long, sigs array<long>, bins binary")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """pairs (a, b) with ``ok``: their words align within the budget."""
+    """pairs (a, b) with ``ok``: their shingles align within the bound."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ok = [same(text_words(x.as_py()), text_words(y.as_py())) for x, y in zip(batch.column(2), batch.column(3), strict=True)]
+            pairs = zip(batch.column(2), batch.column(3), strict=True)
+            ok = [same(*(labelled_shingles(text_words(t.as_py())) for t in pair)) for pair in pairs]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ok, pa.bool_())], ["a", "b", "ok"])
 
     left = texts.select(F.col("h").alias("a"), F.col("text").alias("ta"))
@@ -178,78 +193,110 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.mapInArrow(run, "a binary, b binary, ok boolean")
 
 
-def _compare(members: DataFrame, texts: DataFrame, known: DataFrame | None, centres: int, turn: int) -> tuple[DataFrame, DataFrame]:
-    """Compare the members (band, sig, h, n_words) of buckets with ``centres``
-    members of each, drawn anew for every bucket: all pairs judged so far (a, b,
-    ok), and the members that neither are a centre nor match one, of buckets
-    in which they are of two or more components (``root``)."""
-    drawn = F.min(F.struct(F.xxhash64("h", "band", F.lit(turn)).alias("draw"), "h", "n_words")).alias("c")
-    if centres == 1:
-        heads = members.groupBy("band", "sig").agg(drawn, F.count("*").alias("n")).where("n > 1").drop("n")
-    else:  # one from each of so many parts: no bucket is sorted or collected
-        part = F.pmod(F.xxhash64("h", "band", F.lit(-1 - turn)), F.lit(centres))
-        heads = members.groupBy("band", "sig", part.alias("part")).agg(drawn).drop("part")
-    met = stored(members.join(heads, ["band", "sig"]), "omh-met")
-    fits = F.least("n_words", "c.n_words") >= SIMILARITY * F.greatest("n_words", "c.n_words")
-    pairs = met.where(fits & (F.col("h") != F.col("c.h"))).select(F.least("h", "c.h").alias("a"), F.greatest("h", "c.h").alias("b")).distinct()
-    if known is not None:
-        pairs = pairs.join(known, ["a", "b"], "left_anti")
-    found = stored(_verified(pairs, texts), "omh-verified")
-    known = found if known is None else known.unionByName(found)
-    judged = met.withColumns({"a": F.least("h", "c.h"), "b": F.greatest("h", "c.h")}).join(known.where("ok"), ["a", "b"], "left")
-    over = judged.groupBy("band", "sig", "h", "n_words", "root").agg(F.max(F.coalesce("ok", F.lit(False)) | (F.col("h") == F.col("c.h"))).alias("done"))
-    return known, stored(_open(over.where("NOT done").drop("done")), "omh-left")
+def n_shingles(words: str) -> str:
+    return f"greatest({words} - {SHINGLE - 1}, 1)"
+
+
+#: Sizes that a pair may have: the shorter text's shingles are 0.8 of the longer's, at least.
+FITS = "least({0}, {1}) >= {2} * greatest({0}, {1})".format(n_shingles("n_words"), n_shingles("m_words"), SIMILARITY)
+
+
+def _likely_pairs(met: DataFrame) -> DataFrame:
+    """Pairs (a, b) of met (h, n_words, bins; o, m_words, o_bins) whose sketches agree, each once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                bins = (sketches(batch.column(k).to_pylist()) for k in (1, 4))
+                ok = likely(*bins, *(batch.column(k).to_numpy() for k in (2, 5)))
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(3)], ["h", "o"]).filter(pa.array(ok))
+
+    size = lambda c: F.expr(n_shingles(c)).alias(c)
+    pairs = met.select("h", "bins", size("n_words"), "o", "o_bins", size("m_words")).mapInArrow(run, "h binary, o binary")
+    return pairs.select(F.least("h", "o").alias("a"), F.greatest("h", "o").alias("b")).distinct()
+
+
+def _near_centres(members: DataFrame) -> DataFrame:
+    """Likely pairs of the members (band, sig, n, h, n_words, bins) and their buckets' centres."""
+    part = F.when(F.col("n") > SMALL, F.pmod(F.xxhash64("h", "band", F.lit(-1)), F.lit(CENTRES))).otherwise(0)
+    drawn = F.min(F.struct(F.xxhash64("h", "band").alias("draw"), "h", "n_words")).alias("c")
+    heads = members.groupBy("band", "sig", part.alias("part")).agg(drawn)
+    heads = heads.select("band", "sig", F.col("c.h").alias("o"), F.col("c.n_words").alias("m_words"))
+    heads = heads.join(members.select("band", "sig", F.col("h").alias("o"), F.col("bins").alias("o_bins")), ["band", "sig", "o"])
+    return _likely_pairs(members.join(heads, ["band", "sig"]).where(F.expr(FITS) & (F.col("h") != F.col("o"))))
 
 
 def _open(members: DataFrame) -> DataFrame:
-    """The members of buckets that hold texts of two or more components: a link
-    within a component would not change a class. ``n``: the bucket's members."""
+    """The members (also: root) of buckets that hold texts of two or more
+    components: a link within a component would not change a class."""
     sizes = members.groupBy("band", "sig").agg(F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi"))
-    return members.join(sizes.where("lo != hi").drop("lo", "hi"), ["band", "sig"])
-
-
-def _finer(left: DataFrame) -> DataFrame:
-    """Buckets of texts that share two signatures. Texts that share no more than
-    a common passage seldom do; texts that agree to 0.8 share two or more of 20
-    in all but 4 of 10,000 cases."""
-    both = F.flatten(
-        F.transform(
-            "keys",
-            lambda x, i: F.transform(
-                F.slice(F.col("keys"), i + 2, SKETCHES),
-                lambda y: F.struct((x["band"] * SKETCHES + y["band"] + SKETCHES).alias("band"), F.xxhash64(x["sig"], y["sig"]).alias("sig")),
-            ),
-        )
-    )
-    keys = F.sort_array(F.collect_list(F.struct("band", "sig"))).alias("keys")  # SKETCHES at most
-    pairs = left.groupBy("h", "n_words", "root").agg(keys).select("h", "n_words", "root", F.explode(both).alias("k"))
-    return _open(pairs.select("k.band", "k.sig", "h", "n_words", "root"))
+    return members.drop("n").join(sizes.where("lo != hi").drop("lo", "hi"), ["band", "sig"])
+
+
+def _small_pairs(left: DataFrame) -> DataFrame:
+    """Likely pairs of members of small buckets that are not of one component."""
+    few = left.where(F.col("n") <= SMALL).drop("n")
+    other = few.select("band", "sig", F.col("h").alias("o"), F.col("n_words").alias("m_words"), F.col("bins").alias("o_bins"), F.col("root").alias("o_root"))
+    return _likely_pairs(few.join(other, ["band", "sig"]).where(F.expr(FITS) & (F.col("h") < F.col("o")) & (F.col("root") != F.col("o_root"))))
+
+
+def _block_links(left: DataFrame, texts: DataFrame) -> DataFrame:
+    """Verified links of members of large buckets that are not of one component."""
+    many = left.where(F.col("n") > SMALL)
+
+    def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = [text_words(t.as_py()) for t in batch.column(1)]
+            held = [labelled_shingles(w).astype("<u4").tobytes() for w in words]
+            sigs = [np.array(signatures(w), "<i8").tobytes() for w in words]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(held, pa.binary()), pa.array(sigs, pa.binary())], ["h", "held", "sigs"])
+
+    wanted = texts.select("h", "text").join(many.select("h").distinct(), "h", "left_semi")
+    held = stored(wanted.mapInArrow(shingled, "h binary, held binary, sigs binary"), "omh-held")
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    mine = many.withColumn("p", F.pmod(F.xxhash64("h"), blocks).cast("int")).withColumn("q", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    mine = mine.select("band", "sig", F.least("p", "q").alias("lo"), F.greatest("p", "q").alias("hi"), "p", "h", "bins", "root").join(held, "h")
+
+    def run(group: pa.Table) -> pa.Table:
+        band, lo, hi = (group.column(c)[0].as_py() for c in ("band", "lo", "hi"))
+        h, p = group.column("h").to_pylist(), group.column("p").to_numpy()
+        root = np.unique(np.array([r.hex() for r in group.column("root").to_pylist()]), return_inverse=True)[1]
+        bins = sketches(group.column("bins").to_pylist())
+        held = [np.frombuffer(x, "<u4") for x in group.column("held").to_pylist()]
+        sigs = np.frombuffer(b"".join(group.column("sigs").to_pylist()), "<i8").reshape(len(h), -1)
+        n = np.array([len(x) for x in held])
+        right, links = np.flatnonzero(p == hi), []
+        for i in np.flatnonzero(p == lo):
+            js = right[(root[right] != root[i]) & ((lo != hi) | (right > i))]
+            js = js[np.minimum(n[i], n[js]) >= SIMILARITY * np.maximum(n[i], n[js])]
+            js = js[(sigs[js, :band] != sigs[i, :band]).all(axis=1)]
+            js = js[likely(bins[i], bins[js], n[i], n[js])]
+            links += [sorted((h[i], h[j])) for j in js if same(held[i], held[j])]
+        return pa.table({"a": pa.array([x for x, _ in links], pa.binary()), "b": pa.array([x for _, x in links], pa.binary())})
+
+    return mine.groupBy("band", "sig", "lo", "hi").applyInArrow(run, "a binary, b binary")
 
 
 def _links(members: DataFrame, texts: DataFrame) -> DataFrame:
     """Verified links (a, b) among the members of buckets."""
-    known, left = _compare(members.withColumn("root", F.col("h")), texts, None, 1, 0)
-    roots = stored(components(known.where("ok")), "omh-roots")
-    left = left.drop("root", "n").join(roots, "h", "left").withColumn("root", F.coalesce("root", "h"))
-    left = stored(_open(left), "omh-left")
-    few = F.col("n") <= CENTRES
-    columns = ["band", "sig", "h", "n_words", "root"]
-    left = stored(left.where(few).select(columns).unionByName(_finer(left.where(~few)).select(columns)), "omh-finer")
-    turn = 0
-    while not left.isEmpty():
-        turn += 1
-        known, left = _compare(left, texts, known, CENTRES, turn)
-        left = left.select(columns)
-    return known.where("ok").select("a", "b")
+    known = stored(_verified(_near_centres(members), texts), "omh-verified")
+    roots = stored(components(known.where("ok").select("a", "b")), "omh-roots")
+    left = stored(_open(members.join(roots, "h", "left").withColumn("root", F.coalesce("root", "h"))), "omh-left")
+    more = stored(_small_pairs(left).join(known, ["a", "b"], "left_anti"), "omh-pairs")
+    found = stored(_verified(more, texts).where("ok").select("a", "b"), "omh-small")
+    return known.where("ok").select("a", "b").unionByName(found).unionByName(stored(_block_links(left, texts), "omh-blocks"))
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(h, root) for each end of an edge (a, b): root is the smallest of its
     component. Alternates large-star and small-star steps, each a grouped
-    minimum joined back, until the edges stay as they are."""
+    minimum joined back, until every component is a star around its root."""
     edges = stored(edges.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "cc")
-    state = None
     while True:
+        parents = edges.select(F.col("v").alias("u")).distinct().withColumn("also", F.lit(True))
+        ends = edges.groupBy("u").agg(F.count("*").alias("n")).join(parents, "u", "left")
+        if ends.where("n > 1 OR also").isEmpty():
+            return edges.select(F.col("u").alias("h"), F.col("v").alias("root")).unionByName(parents.select(F.col("u").alias("h"), F.col("u").alias("root")))
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
@@ -258,10 +305,6 @@ def components(edges: DataFrame) -> DataFrame:
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"), F.col("u").alias("x"))
         small = small.select("u", "v").unionByName(small.select(F.col("x").alias("u"), "v")).where("u != v").distinct()
         edges = stored(small, "cc")
-        now = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()
-        if now == state:
-            return edges.select(F.col("u").alias("h"), F.col("v").alias("root")).unionByName(edges.select(F.col("v").alias("h"), F.col("v").alias("root")).distinct())
-        state = now
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -269,10 +312,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     (smallest doc_id of its class) and class_fp (the fp of the class's first
     row by doc_id, fp)."""
     sketched = stored(_sketched(docs), "omh-sketch")
-    texts_of = sketched.groupBy("h", "n_words").agg(F.min("fp").alias("fp"), F.min_by("sigs", "fp").alias("sigs"))
+    texts_of = sketched.groupBy("h", "n_words").agg(F.min("fp").alias("fp"), F.min_by("sigs", "fp").alias("sigs"), F.min_by("bins", "fp").alias("bins"))
+    texts_of = stored(texts_of, "omh-distinct")
     rows = stored(texts_of.select("h", "n_words", "fp", F.posexplode("sigs").alias("band", "sig")).where("n_words > 0"), "omh-rows")
-    shared = rows.groupBy("band", "sig").agg(F.count("*").alias("n")).where("n > 1").drop("n")
-    members = stored(rows.join(shared, ["band", "sig"]), "omh-members")
+    shared = rows.groupBy("band", "sig").agg(F.count("*").alias("n")).where("n > 1")
+    members = rows.join(shared, ["band", "sig"])
+    members = stored(members.join(texts_of.select("h", "bins"), "h"), "omh-members")
     wanted = members.groupBy("fp").agg(F.min("h").alias("h"))
     raw = docs.select(F.md5(F.coalesce("text", F.lit(""))).alias("fp"), "text")
     texts = stored(raw.join(wanted, "fp").dropDuplicates(["h"]).select("h", "text"), "omh-texts")

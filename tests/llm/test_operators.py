@@ -244,24 +244,40 @@ def test_mixture(spark):
     assert mixture.plan_mix(df.limit(0)).count() == 0 and mixture.mix(df.limit(0)).count() == 0
 
 
-def plain_edits(a, b):
-    row = list(range(len(b) + 1))
-    for i, x in enumerate(a):
-        new = [i + 1]
+def plain_matches(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        new = [0]
         for j, y in enumerate(b):
-            new.append(min(row[j] + (x != y), row[j + 1] + 1, new[j] + 1))
+            new.append(row[j] + 1 if x == y else max(row[j + 1], new[j]))
         row = new
     return row[-1]
 
 
-def test_banded_edits():
+def test_banded_matches():
     rng = random.Random(2)
-    for _ in range(2000):
-        a = [rng.choice("abc") for _ in range(rng.randrange(12))]
-        b = [c for c in a if rng.random() < 0.8] + [rng.choice("abc") for _ in range(rng.randrange(4))]
-        d = plain_edits(a, b)
-        for k in (0, 2, 5, 15):
-            assert order_minhash.banded_edits(a, b, k) == (d if d <= k else None)
+    for _ in range(1000):
+        a = rng.sample(range(30), rng.randrange(1, 15))
+        b = [c for c in a if rng.random() < 0.8]
+        for _ in range(rng.randrange(4)):
+            b.insert(rng.randrange(len(b) + 1), rng.randrange(30, 60))
+        if rng.random() < 0.3:
+            rng.shuffle(b)
+        b = list(dict.fromkeys(b))
+        x, y = np.array(a, np.uint64), np.array(b, np.uint64)
+        assert order_minhash.banded_matches(x, y, 100) == plain_matches(a, b)
+        need = -(-8 * max(len(a), len(b)) // 10)
+        assert order_minhash.same(x, y) == (plain_matches(a, b) >= need)
+
+
+def test_sketches_pass_what_is_near():
+    rng, n, passed = np.random.default_rng(5), 400, 0
+    for _ in range(300):
+        both = rng.integers(0, 1 << 62, n + 100, dtype=np.uint64)
+        x, y = both[:n], np.concatenate([both[: n * 8 // 10], both[n : n + n // 5]])
+        a, b = (order_minhash.sketches([order_minhash.sketch(v)]) for v in (x, y))
+        passed += order_minhash.likely(a, b, np.array([n]), np.array([n]))[0]
+    assert passed == 300
 
 
 def near_rows():
@@ -282,7 +298,7 @@ def near_rows():
 def test_near_duplicates_match_brute_force(spark):
     rows = near_rows() + ODD
     got = order_minhash.near_duplicates(docs_df(spark, rows)).collect()
-    texts = [order_minhash.text_words(t) for _, t, _ in rows]
+    texts = [order_minhash.labelled_shingles(order_minhash.text_words(t)).tolist() for _, t, _ in rows]
     root = list(range(len(rows)))
 
     def find(i):
@@ -292,7 +308,8 @@ def test_near_duplicates_match_brute_force(spark):
 
     for i, a in enumerate(texts):
         for j in range(i):
-            if abs(len(a) - len(texts[j])) <= 0.2 * max(len(a), len(texts[j])) and len(set(a) & set(texts[j])) >= 0.6 * len(set(a)) and plain_edits(a, texts[j]) <= 0.2 * max(len(a), len(texts[j])):
+            need = 0.8 * max(len(a), len(texts[j]))
+            if len(set(a) & set(texts[j])) >= need and plain_matches(a, texts[j]) >= need:
                 root[find(i)] = find(j)
     want = {}
     for i, (d, t, _) in enumerate(rows):
