@@ -297,9 +297,9 @@ def components(edges: DataFrame) -> DataFrame:
         ends = edges.groupBy("u").agg(F.count("*").alias("n")).join(parents, "u", "left")
         if ends.where("n > 1 OR also").isEmpty():
             return edges.select(F.col("u").alias("h"), F.col("v").alias("root")).unionByName(parents.select(F.col("u").alias("h"), F.col("u").alias("root")))
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        larger = edges.select(F.col("v").alias("u"), F.col("u").alias("v"))
+        low = edges.unionByName(larger).groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        large = larger.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = stored(large.where("u != v"), "cc")
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"), F.col("u").alias("x"))
