@@ -50,7 +50,7 @@ SHINGLE = 5
 SIMILARITY = 0.8
 PICKED = 4
 SKETCHES = 20
-CENTRES = 4
+CENTRES = 2
 #: Members of a bucket that is joined with itself if it has to be.
 SMALL = 8
 BLOCK = 256
@@ -246,9 +246,11 @@ def _block_links(left: DataFrame, texts: DataFrame) -> DataFrame:
 
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words = [text_words(t.as_py()) for t in batch.column(1)]
-            held = [labelled_shingles(w).astype("<u4").tobytes() for w in words]
-            sigs = [np.array(signatures(w), "<i8").tobytes() for w in words]
+            held, sigs = [], []
+            for text in batch.column(1):
+                words = text_words(text.as_py())
+                held.append(labelled_shingles(words).astype("<u4").tobytes())
+                sigs.append(np.array(signatures(words), "<i8").tobytes())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(held, pa.binary()), pa.array(sigs, pa.binary())], ["h", "held", "sigs"])
 
     wanted = texts.select("h", "text").join(many.select("h").distinct(), "h", "left_semi")
