@@ -77,6 +77,13 @@ def align(pattern: np.ndarray, text: np.ndarray, diagonal: int, half: int, budge
     width, big = 2 * half + 1, 1 << 20
     offsets = np.arange(width)
     first = diagonal - half
+    lo, m = max(first, 0), len(pattern)
+    near = text[lo : max(lo, first + width - 1 + m)]
+    if len(near) >= m:  # a stretch without edits needs no table
+        exact = (np.lib.stride_tricks.sliding_window_view(near, m) == pattern).all(axis=1)
+        if exact.any():
+            at = lo + int(exact.argmax())
+            return 0, at, at + m
     row = np.where((first + offsets >= 0) & (first + offsets <= len(text)), 0, big)
     origin = first + offsets
     for i, c in enumerate(pattern):
@@ -119,6 +126,7 @@ class Index:
         self.gram = gram[order]
         self.segment = np.repeat(np.array(long, np.int64), [len(h) for h in hashed])[order]
         self.position = np.concatenate([*[np.arange(len(h)) for h in hashed], np.zeros(0, np.int64)])[order]
+        self.bounds = np.array([self.bound(s) for s in range(len(self.items))], np.int64)
         self.bits = 22
         self.seen = np.zeros(1 << self.bits, bool)
         self.seen[(self.gram >> np.uint64(64 - self.bits)).astype(np.int64)] = True
@@ -150,10 +158,10 @@ class Index:
         entry = np.repeat(lo - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
         segment, position = self.segment[entry], self.position[entry]
         diagonal = np.repeat(at, n) - position
-        for s in np.unique(segment):
+        counts = np.bincount(segment, minlength=len(self.items))
+        for s in np.flatnonzero(counts >= self.bounds):
             mine = segment == s
-            if mine.sum() >= self.bound(s):
-                found += self._regions(int(s), code, position[mine], diagonal[mine])
+            found += self._regions(int(s), code, position[mine], diagonal[mine])
         return found
 
     def _regions(self, s: int, code: np.ndarray, position: np.ndarray, diagonal: np.ndarray) -> list[tuple[int, int, int, int]]:
