@@ -28,9 +28,13 @@ are ignored.
 from __future__ import annotations
 
 import json
+import os
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -173,42 +177,85 @@ class Reader:
 
 
 class Tokens:
-    """Ids of texts by the tokenizers library. A text is cut where a single space
-    stands between two characters that are not space: byte-level pre-tokenizers
-    always part there, so each piece is encoded once and then looked up."""
+    """Ids of texts by the tokenizers library.
 
-    KEPT = 400_000
+    A byte-level pre-tokenizer always parts a text at a single space between two
+    characters that are not space, and around a single line end between such, so
+    words are encoded once and then looked up. A word of printable ASCII without
+    an apostrophe is parted further, into runs of letters, digits and other
+    characters. New runs are encoded together, a line each. Texts with other white
+    space beside a space or line end, and all texts if the pre-tokenizer is not of
+    this kind, are encoded whole."""
 
-    def __init__(self, path: str):
-        import re
+    KEPT = 150_000
+    PLAIN = re.compile(r" [!-&(-~]+(?:\n[!-&(-~]+)*")
+    RUNS = re.compile(r" ?[A-Za-z]+| ?[0-9]+| ?[!-&(-/:-@\[-`{-~]+|\n")
 
+    def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.wide = self.tokenizer.get_vocab_size() > 1 << 16
-        self.dtype = np.uint32 if self.wide else np.uint16
-        self.odd, self.cut = re.compile(r" \s|\s |^ | $"), re.compile(r"(?<=\S) (?=\S)")
-        self.known: dict[str, bytes] = {}
-
-    def pieces(self, text: str) -> list[str]:
-        if not text:
+        self.dtype = np.uint32 if self.tokenizer.get_vocab_size() > 1 << 16 else np.uint16
+        told = json.loads(self.tokenizer.to_str())
+        kind = told["pre_tokenizer"] or {}
+        line = self.ids("\n")
+        self.parts = told["normalizer"] is None and kind.get("type") == "ByteLevel" and kind.get("use_regex", True) and not kind.get("add_prefix_space") and len(line) == 1
+        self.line = line[0]
+        self.words: dict[str, bytes] = {}  # words after a space
+        self.runs: dict[str, bytes] = {}
+
+    def ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.dtype)
+
+    def part(self, word: str) -> list[str]:
+        """The runs and line ends of a word and the space before it; none if it can't be parted."""
+        if self.PLAIN.fullmatch(word):
+            return self.RUNS.findall(word)
+        lines = word.split("\n")
+        if any(not x or x[-1].isspace() for x in lines) or any(x[0].isspace() for x in [word[1:], *lines[1:]]):
             return []
-        cut = self.cut.split(text) if self.odd.search(text) else text.split(" ")
-        return [cut[0], *(" " + x for x in cut[1:])]
+        return [run for x in lines for run in (x, "\n")][:-1]
+
+    def learn(self, words: set[str]) -> None:
+        parted = {w: runs for w in words if w and (runs := self.part(" " + w))}
+        new = list({r for runs in parted.values() for r in runs}.difference(self.runs, ["\n"]))
+        ids = self.ids("\n".join([*new, ""]))
+        data, size = ids.tobytes(), ids.itemsize
+        ends = (np.flatnonzero(ids == self.line) * size).tolist()
+        starts = [0, *(e + size for e in ends)]
+        self.runs["\n"] = self.line.tobytes()
+        self.runs.update((r, data[lo:hi]) for r, lo, hi in zip(new, starts[:-1], ends, strict=True))
+        for w, runs in parted.items():
+            self.words[w] = self.runs[runs[0]] if len(runs) == 1 else b"".join([self.runs[r] for r in runs])
+
+    def text(self, cut: list[str], text: str) -> bytes:
+        if not self.parts or cut[0][-1:].isspace() or not cut[0]:
+            return self.ids(text).tobytes() if text else b""
+        try:
+            return self.ids(cut[0]).tobytes() + b"".join(map(self.words.__getitem__, cut[1:]))
+        except KeyError:  # a word that could not be parted
+            return self.ids(text).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as bytes of ``dtype``."""
-        cut = [self.pieces(t) for t in texts]
-        new = list({p for c in cut for p in c if p not in self.known})
-        if len(self.known) + len(new) > self.KEPT:
-            self.known.clear()
-            new = list({p for c in cut for p in c})
-        for lo in range(0, len(new), 5000):
-            part = new[lo : lo + 5000]
-            for p, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.known[p] = np.array(e.ids, self.dtype).tobytes()
-        return [b"".join(map(self.known.__getitem__, c)) for c in cut]
+        cut = [t.split(" ") for t in texts]
+        if self.parts:
+            self.learn({w for c in cut for w in c[1:]}.difference(self.words))
+        out = [self.text(c, t) for c, t in zip(cut, texts, strict=True)]
+        for kept in (self.words, self.runs):
+            if len(kept) > 1.25 * self.KEPT:  # the first to come are the most frequent
+                first = dict(islice(kept.items(), self.KEPT))
+                kept.clear()
+                kept.update(first)
+        return out
+
+
+@lru_cache(maxsize=1)
+def tokens_of(path: str) -> Tokens:
+    """One for each Python worker, which Spark uses for many tasks."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+    return Tokens(path)
 
 
 def _open(path: str):
@@ -231,7 +278,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_I
     ordered = ordered.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"), "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, part = Tokens(tokenizer), TaskContext.get().partitionId()
+        tokens, part = tokens_of(tokenizer), TaskContext.get().partitionId()
         end = tokens.dtype(end_id).tobytes()
         doc_ids, lengths, held, count, before = [], [], [], 0, 0
 
