@@ -198,6 +198,17 @@ def test_rans_blocks():
         rans.Reader(bytes(broken)).block(len(reader.head["blocks"]) - 1)
 
 
+def test_words_are_encoded_as_whole_texts_are():
+    tokens = rans.Tokens(tokenizer_path())
+    bits = ["a", "B", "7", " ", "  ", "\n", ".", "'s", "'", "é", "\t", "<|endoftext|>", "-", "ß", "\x1c", "it's", "\r\n", "", " the", "\u3000", "好"]
+    rng = np.random.default_rng(3)
+    texts = ["".join(bits[i] for i in rng.integers(0, len(bits), rng.integers(0, 15))) for _ in range(5000)]
+    tokens.KEPT = 500  # the kept words are cut back in between
+    got = [x for lo in range(0, len(texts), 100) for x in tokens.encode(texts[lo : lo + 100])]
+    want = tokens.tokenizer.encode_batch(texts, add_special_tokens=False)
+    assert [np.frombuffer(x, tokens.dtype).tolist() for x in got] == [e.ids for e in want]
+
+
 def test_token_files(spark):
     from tokenizers import Tokenizer
 
