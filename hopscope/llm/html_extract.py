@@ -2,8 +2,11 @@
 
 A page is cut into text blocks. Blocks inside elements that are never content
 (menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles,
-reader comments, by tag, role, class or id) are set aside. For the rest, text
-outside links and punctuation are summed for each root-to-leaf tag path; a
+reader comments, by tag, role, class or id) are set aside. A class or id counts only
+if it doesn't merely say what a layout has (``has-sidebar``) or qualify a part of
+an article (``article-header``), and if the elements of that name hold less than
+``MOST`` of the page's ratio-weighted text and of its articles' (``NEARLY_ALL``
+for comments, adverts and the like). For the rest, text outside links and punctuation are summed for each root-to-leaf tag path; a
 path's ratio is its mean text length times its mean punctuation count, each
 with its spread over the path's blocks. The ratios are smoothed along the page
 with a Gaussian, fused with the blocks' own paths, and blocks above a share of
@@ -52,6 +55,17 @@ APART_NAMES = re.compile(
     r"comments?|commentlist|disqus|respond|reply|replies|widget|toolbar|pagination|pager|copyright|legal|disclaimer|skip)(?:$|[\s_-]|\d)",
     re.IGNORECASE,
 )
+#: Class or id names that only say what a layout has.
+LAYOUT_NAMES = re.compile(r"(?:^|[_-])(?:has|no|not|with|without|hide)(?:$|[_-])|(?:^|[_-])widgets?[_-]|[_-]widgets?$", re.IGNORECASE)
+#: Words that in an article qualify its own parts, if more than the word is in the name.
+PART_NAMES = re.compile(r"(?:^|[_-])(?:header|masthead|banner|notices?|alert|overlay|search|legal|disclaimer|copyright|skip)(?:$|[_-]|\d)", re.IGNORECASE)
+#: Names of what may be longer than the content.
+LONG_NAMES = re.compile(
+    r"(?:^|[_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|cookies?|consent|gdpr|newsletter|subscribe|signup|related|recommended|comments?|commentlist|disqus|respond|reply|replies)(?:$|[_-]|\d)",
+    re.IGNORECASE,
+)
+#: Shares of a page's ratio-weighted text from which a name doesn't set elements apart.
+MOST, NEARLY_ALL = 0.5, 0.9
 #: A start tag of the key closes an open element of the value.
 CLOSES = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
@@ -65,15 +79,28 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 PUNCTUATION = re.compile(r"[.,;:!?…。、，！？；：]")
 
 
+def _names(attrs: dict, article: bool) -> list[str]:
+    """The class and id names that say that an element is no content."""
+    names = f"{attrs.get('class') or ''} {attrs.get('id') or ''}".split()
+    names = [n for n in names if APART_NAMES.search(n) and not LAYOUT_NAMES.search(n)]
+    if article:
+        rest = [PART_NAMES.sub("-", n) for n in names]
+        names = [n for n, r in zip(names, rest, strict=True) if not r.strip("-_") and n.lower() != "header" or APART_NAMES.search(r)]
+    return names
+
+
 class Node:
-    __slots__ = ("apart", "key", "order", "parent", "tag", "article", "header")
+    __slots__ = ("apart", "key", "order", "parent", "tag", "article", "header", "hard", "marks")
 
-    def __init__(self, tag: str, attrs: dict, parent: Node | None, order: int):
-        name = f"{attrs.get('class') or ''} {attrs.get('id') or ''}"
-        mine = tag in APART and tag != "header" or (attrs.get("role") or "").lower() in APART_ROLES or "hidden" in attrs or bool(tag not in ("body", "html", "article", "main") and APART_NAMES.search(name))
+    def __init__(self, tag: str, attrs: dict, parent: Node | None, order: int, ignored: frozenset[str] = frozenset()):
+        article = bool(parent and parent.article)
+        hard = tag in APART and tag != "header" or (attrs.get("role") or "").lower() in APART_ROLES or "hidden" in attrs
+        mine = [] if tag in ("body", "html", "article", "main") else [(n, article) for n in _names(attrs, article) if n not in ignored]
         self.tag, self.parent, self.order = tag, parent, order
-        self.apart = mine or bool(parent and parent.apart)
-        self.article = tag in ("article", "main") or bool(parent and parent.article)
+        self.hard = hard or bool(parent and parent.hard)
+        self.marks: tuple = (*(parent.marks if parent else ()), *mine)
+        self.apart = self.hard or bool(self.marks)
+        self.article = tag in ("article", "main") or article
         self.header = tag == "header" or bool(parent and parent.header)
         own = "" if tag in INLINE else "/" + tag + ("." + ".".join(sorted((attrs.get("class") or "").split())) if attrs.get("class") else "")
         self.key = (parent.key if parent else "") + own
@@ -82,8 +109,9 @@ class Node:
 class Blocks(HTMLParser):
     """Cuts a page into blocks (node, text, characters in links)."""
 
-    def __init__(self):
+    def __init__(self, ignored: frozenset[str] = frozenset()):
         super().__init__(convert_charrefs=True)
+        self.ignored = ignored
         self.stack: list[Node] = [Node("", {}, None, 0)]
         self.blocks: list[tuple[Node, str, int]] = []
         self.held: list[str] = []
@@ -128,7 +156,7 @@ class Blocks(HTMLParser):
             return
         self.close_implied(tag)
         self.count += 1
-        node = Node(tag, dict(attrs), self.stack[-1], self.count)
+        node = Node(tag, dict(attrs), self.stack[-1], self.count, self.ignored)
         if tag not in INLINE or node.apart != self.stack[-1].apart:
             self.flush()
         self.links += tag == "a"
@@ -197,12 +225,42 @@ def _chain(node: Node) -> list[Node]:
     return out[::-1]
 
 
-def main_text(html: str | None) -> str:
-    parser = Blocks()
-    parser.feed(html or "")
+def _read(html: str, ignored: frozenset[str] = frozenset()) -> list[tuple[Node, str, int]]:
+    """The page's blocks, without what tags and roles set apart."""
+    parser = Blocks(ignored)
+    parser.feed(html)
     parser.close()
     parser.flush()
-    blocks = [b for b in parser.blocks if not b[0].apart and (not b[0].header or b[0].article and any(n.tag in HEADINGS for n in _chain(b[0])))]
+    return [b for b in parser.blocks if not b[0].hard and (not b[0].header or b[0].article and any(n.tag in HEADINGS for n in _chain(b[0])))]
+
+
+def _misnamed(blocks: list[tuple[Node, str, int]]) -> frozenset[str]:
+    """Names whose elements hold too much of the page's ratio-weighted text, or
+    of that in articles which they surround, to be no content."""
+    marked = {name for node, _, _ in blocks for name, _ in node.marks}
+    if not marked:
+        return frozenset()
+    total = in_articles = 0.0
+    held, around = defaultdict(float), defaultdict(float)
+    for (node, text, linked), s in zip(blocks, ratios(blocks), strict=True):
+        w = s * (len(text) - linked + 1)
+        total += w
+        in_articles += w * node.article
+        for name in {n for n, _ in node.marks}:
+            held[name] += w
+        for name in {n for n, within in node.marks if node.article and not within}:
+            around[name] += w
+    limit = {n: NEARLY_ALL if LONG_NAMES.search(n) else MOST for n in marked}
+    return frozenset(n for n in marked if held[n] >= limit[n] * total or n in around and around[n] >= limit[n] * in_articles)
+
+
+def main_text(html: str | None) -> str:
+    blocks = _read(html or "")
+    if misnamed := _misnamed(blocks):
+        blocks = _read(html or "", misnamed)
+    if all(b[0].apart for b in blocks):  # names leave nothing
+        blocks = _read(html or "", frozenset(name for b in blocks for name, _ in b[0].marks) | misnamed)
+    blocks = [b for b in blocks if not b[0].apart]
     if not blocks:
         return ""
     score = ratios(blocks)

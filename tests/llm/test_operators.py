@@ -134,6 +134,26 @@ def test_main_text(spark, wrap):
     assert html_extract.extract(df.limit(0)).count() == 0
 
 
+NAMED = ["<div class='layout has-sidebar'>%s</div>", "<div class='content no-sidebar'>%s</div>", "<div class='wrapper with-footer'>%s</div>", "<div id='search-results'>%s</div>",
+         "<div class='elementor-widget elementor-widget-text-editor'>%s</div>", "<div class='legal-notice'>%s</div>", "<div class='social-page'>%s</div>"]
+
+
+@pytest.mark.parametrize("wrap", [*NAMED, *(w % "<article>%s</article>" for w in NAMED), "<article><div class='article-header'>%s</div></article>"])
+def test_names_of_wrappers_do_not_drop_content(wrap):
+    body = "<h1>Of names</h1><p>One sentence, of some length, is here.</p><div class=ad>Buy, now!</div><p>And another one, <span class='comment-ref'>longer</span> than that.</p>"
+    want = "Of names\nOne sentence, of some length, is here.\nAnd another one,\nthan that."
+    assert html_extract.main_text(PAGE % (wrap % body)) == want
+
+
+def test_named_parts_of_articles():
+    page = "<article><div class='article-header'><h1>Title</h1></div><p>One sentence, of some length, is here; and more.</p><p class='legal-text'>The law, as it is.</p><div class='post-sidebar'>Also, this.</div></article>"
+    comments = "<div class='comments'>%s</div>" % ("<article><p>First! A reader, commenting at length, as they do.</p></article>" * 2)
+    want = "Title\nOne sentence, of some length, is here; and more.\nThe law, as it is."
+    assert html_extract.main_text(PAGE % page) == html_extract.main_text(PAGE % (page + comments)) == want
+    parts = "".join(f"<div class='elementor-widget elementor-widget-text-editor'><p>Part {i}, of some length, is here.</p></div>" for i in range(5))
+    assert html_extract.main_text(PAGE % parts) == "\n".join(f"Part {i}, of some length, is here." for i in range(5))
+
+
 def test_warc_round_trip(spark):
     rows = [(1, "http://a/é", "same"), (7, None, "same"), (5, "u", "same"), (2, "u", None), (3, "u", ""), (None, "u", "solo"), (9, "u", "é" * 100_000), (9, "u", "é" * 100_000)]
     df = spark.createDataFrame([(*r, "x") for r in rows], "page_id long, url string, html string, sha string")
