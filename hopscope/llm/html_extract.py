@@ -11,8 +11,12 @@ path's ratio is its mean text length times its mean punctuation count, each
 with its spread over the path's blocks. The ratios are smoothed along the page
 with a Gaussian, fused with the blocks' own paths, and blocks above a share of
 the spread are content nodes. The content is the smallest element that holds
-the content nodes' parents (an article or main element around them wins); its
-blocks are the text, in page order.
+the content nodes' parents; article elements around them win, all those whose paths
+pass, or a main element if it weighs most. Of its blocks, headings and paths that
+pass are the text, in page order: a path (a list's or table's own) passes if its
+best smoothed ratio, less its share of links, is over the bar. Paths that have
+half of their text outside links pass whatever their ratio, so that short plain
+items are kept: among plain text the ratios choose the element, not the blocks.
 
 Defined results: a null or empty html, or a page without text, gives an empty
 text; markup that doesn't close is closed as browsers do for paragraphs, items
@@ -254,6 +258,29 @@ def _misnamed(blocks: list[tuple[Node, str, int]]) -> frozenset[str]:
     return frozenset(n for n in marked if held[n] >= limit[n] * total or n in around and around[n] >= limit[n] * in_articles)
 
 
+def _headed(node: Node) -> bool:
+    return any(n.tag in HEADINGS for n in _chain(node))
+
+
+def _path(node: Node) -> tuple[str, int]:
+    """A block's path, in a list or table of its own."""
+    return node.key, next((n.order for n in _chain(node)[::-1] if n.tag in ("ul", "ol", "dl", "table")), 0)
+
+
+def _passing(blocks: list[tuple[Node, str, int]], score: list[float]) -> set[tuple[str, int]]:
+    """Paths whose best smoothed ratio, less the share of links in the path's
+    text, is over the bar, and paths of plain text, which have half of their
+    text at least outside links."""
+    top, chars, links = defaultdict(float), defaultdict(int), defaultdict(int)
+    for (node, text, linked), s in zip(blocks, score, strict=True):
+        path = _path(node)
+        top[path] = max(top[path], s)
+        chars[path] += len(text)
+        links[path] += linked
+    bar = THRESHOLD * _spread(score)
+    return {k for k in top if 2 * links[k] <= chars[k] or top[k] * (1 - links[k] / chars[k]) >= bar}
+
+
 def main_text(html: str | None) -> str:
     blocks = _read(html or "")
     if misnamed := _misnamed(blocks):
@@ -264,26 +291,26 @@ def main_text(html: str | None) -> str:
     if not blocks:
         return ""
     score = ratios(blocks)
+    passing = _passing(blocks, score)
     bar = THRESHOLD * _spread(score)
     top = max(score)
     nodes = [(b, s) for b, s in zip(blocks, score, strict=True) if s >= max(bar, top / 2)]
-    # An article or main element that holds the most of the content nodes' weight wins.
+    # Outermost article or main elements win if they hold content nodes, each whose paths pass.
     weight: dict[Node, float] = defaultdict(float)
-    for (node, text, _), s in nodes:
-        for n in _chain(node):
-            if n.tag in ("article", "main"):
-                weight[n] += s * len(text)
-                break
-    if weight:
+    for (node, text, _), s in zip(blocks, score, strict=True):
+        outer = next((n for n in _chain(node) if n.tag in ("article", "main")), None)
+        if outer and s >= bar and _path(node) in passing:
+            weight[outer] += s * len(text)
+    if weight and any(b[0].article for b, _ in nodes):
         best = max(weight, key=lambda n: (weight[n], -n.order))
-        inside = lambda node: best in _chain(node)
+        inside = lambda node: any(n in weight and n.tag == best.tag for n in _chain(node))
     else:
         parents = [_chain(b[0])[:-1] or [b[0]] for b, _ in nodes]
         common = parents[0]
         for chain in parents[1:]:
             common = [x for x, y in zip(common, chain, strict=False) if x is y]
         inside = lambda node: common[-1] in _chain(node)
-    return "\n".join(text for node, text, _ in blocks if inside(node))
+    return "\n".join(text for node, text, _ in blocks if inside(node) and (_path(node) in passing or _headed(node)))
 
 
 def extract(pages: DataFrame, html: str = "html", text: str = "text") -> DataFrame:

@@ -154,6 +154,18 @@ def test_named_parts_of_articles():
     assert html_extract.main_text(PAGE % parts) == "\n".join(f"Part {i}, of some length, is here." for i in range(5))
 
 
+@pytest.mark.parametrize("around", ["%s", "<div class='content'>%s</div>"])
+def test_all_articles_without_their_link_lists(around):
+    links = "<ul>%s</ul>" % "".join(f"<li><a href='/{i}'>Another page, number {i}</a></li>" for i in range(4))
+    one = "<article><h2><a href='/1'>One</a></h2><p>The first text, of some length, is here; it goes on.</p>%s</article>"
+    two = "<article class='b'><h2>Two</h2><p>The second, shorter.</p><ul><li>plain<li>items</ul>%s</article>"
+    teaser = "<article class='c'><h3><a href='/3'>Only a link</a></h3></article>"
+    want = "One\nThe first text, of some length, is here; it goes on.\nTwo\nThe second, shorter.\nplain\nitems"
+    assert html_extract.main_text(PAGE % (around % (one % links + two % links + teaser))) == want
+    assert html_extract.main_text(PAGE % (around % ("<main>" + one % links + two % links + "</main>"))) == want
+    assert html_extract.main_text("<ul><li><a href=x>Only</a><li><a href=y>links</a></ul>") == "Only\nlinks"
+
+
 def test_warc_round_trip(spark):
     rows = [(1, "http://a/é", "same"), (7, None, "same"), (5, "u", "same"), (2, "u", None), (3, "u", ""), (None, "u", "solo"), (9, "u", "é" * 100_000), (9, "u", "é" * 100_000)]
     df = spark.createDataFrame([(*r, "x") for r in rows], "page_id long, url string, html string, sha string")
