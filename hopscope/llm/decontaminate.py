@@ -22,6 +22,7 @@ give no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -192,10 +193,8 @@ def _blocks(benchmark: DataFrame, limit: int) -> Iterator[list[tuple[int, str]]]
         yield block
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, q: int = Q, budget: float = BUDGET, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """A row for each document row and benchmark item that leaks into it:
-    doc_id, item_id, n_regions, min_edits and the place of the best region,
-    in characters of the normalised text."""
+def _hits(docs: DataFrame, benchmark: DataFrame, q: int = Q, budget: float = BUDGET, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """The rows of ``leaks`` with the md5 of the document's text, ``fp``."""
     spark = docs.sparkSession
     slim = docs.select("doc_id", "text")
     out = None
@@ -211,19 +210,32 @@ def leaks(docs: DataFrame, benchmark: DataFrame, q: int = Q, budget: float = BUD
                     for item, edits, start, end in index.matches(text.as_py()):
                         n, *old = best.get(item, (0,))
                         best[item] = (n + 1, *min([(edits, start, end), *([tuple(old)] if old else [])]))
-                    rows += [(doc, item, *found) for item, found in best.items()]
-                cols = list(zip(*rows, strict=True)) or [()] * 6
-                names = ["doc_id", "item_id", "n_regions", "min_edits", "start", "end"]
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names)
+                    fp = hashlib.md5(text.as_py().encode()).hexdigest() if best else None
+                    rows += [(doc, item, *found, fp) for item, found in best.items()]
+                *cols, fps = list(zip(*rows, strict=True)) or [()] * 7
+                names = ["doc_id", "item_id", "n_regions", "min_edits", "start", "end", "fp"]
+                yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols), pa.array(fps, pa.string())], names)
 
-        part = slim.mapInArrow(find, HITS)
+        part = slim.mapInArrow(find, f"{HITS}, fp string")
         out = part if out is None else out.unionByName(part)
-    return out if out is not None else spark.createDataFrame([], HITS)
+    return out if out is not None else spark.createDataFrame([], f"{HITS}, fp string")
+
+
+def leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
+    """A row for each document row and benchmark item that leaks into it:
+    doc_id, item_id, n_regions, min_edits and the place of the best region,
+    in characters of the normalised text."""
+    return _hits(docs, benchmark, **options).drop("fp")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The documents, all columns as they were, into which no item leaks. Ids of
-    contaminated documents are few beside the documents, but their number grows
-    with them, so Spark chooses the join by their size."""
-    found = leaks(docs, benchmark, **options).select(F.col("doc_id").alias("__leaked")).distinct()
-    return docs.join(found, docs["doc_id"].eqNullSafe(F.col("__leaked")), "left_anti")
+    """The documents, all columns as they were, into which no item leaks. All rows
+    of a contaminated doc_id go; rows without a doc_id are documents of their own,
+    so each goes by its own text. Contaminated documents are few beside the
+    documents, but their number grows with them, so Spark chooses the join by
+    their size."""
+    own = lambda doc, fp: F.when(doc.isNull(), fp)
+    found = _hits(docs, benchmark, **options)
+    found = found.select(F.col("doc_id").alias("__leaked"), own(F.col("doc_id"), F.col("fp")).alias("__leaked_fp")).distinct()
+    mine = docs["doc_id"].eqNullSafe(F.col("__leaked")) & own(docs["doc_id"], F.md5(docs["text"])).eqNullSafe(F.col("__leaked_fp"))
+    return docs.join(found, mine, "left_anti")

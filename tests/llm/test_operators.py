@@ -78,6 +78,14 @@ def test_leaks_match_brute_force(spark):
     assert decontaminate.leaks(docs_df(spark, ODD).limit(0), spark.createDataFrame(bench, "item_id long, text string")).count() == 0
 
 
+def test_clean_texts_without_an_id_stay_beside_leaking_ones(spark):
+    item = " ".join(words(18, 1))
+    leaking = f"before {item} behind"
+    rows = [(None, leaking, "s"), (None, leaking, "s"), (None, "a clean text", "s"), (None, "a clean text", "s"), (None, None, "s"), (None, "", "s"), (2, leaking.upper(), "s"), (3, "", "s"), (4, None, "s")]
+    clean = decontaminate.decontaminate(docs_df(spark, rows), spark.createDataFrame([(5, item), (6, item + " é")], "item_id long, text string"), block_chars=10)
+    assert sorted((r["doc_id"] or 0, r["text"] or "") for r in clean.collect()) == [(0, ""), (0, ""), (0, "a clean text"), (0, "a clean text"), (3, ""), (4, "")]
+
+
 def test_swapped_identity_terms_lose_weight():
     rng = random.Random(5)
     texts, y = [], []
