@@ -3,8 +3,13 @@
 A text's five-word shingles are labelled with their occurrence number. Each of
 ``SKETCHES`` hash orders picks the ``PICKED`` smallest labelled shingles and
 keeps them in text order; their hash is a signature. Two texts share one with a
-probability that follows their edit similarity: about 0.8^4 = 0.41 for texts
-whose shingles agree to 0.8, so all 20 signatures miss with 3 in 100,000.
+probability that follows their edit similarity. If m shingles of texts of n and
+o match in order, it is C(m, PICKED) / C(n + o - m, PICKED) at least: for the
+links below, whose Jaccard index may be 2/3, 0.296 in long texts, so all 33
+signatures miss with 1 in 100,000. It is less for some short texts; those of
+``SHORT`` shingles at most have ``SHORT_SKETCHES`` signatures, which miss with
+less than 1 in a million. (A text of ``SHORT`` shingles is as large as one that
+links to a text of 20 may be.)
 
 Exact copies (same words, any case and white space) meet first, by a hash of
 their words, so one text stands for each group. Texts with a common signature
@@ -48,8 +53,10 @@ from hopscope.llm.common import attach, stored
 
 SHINGLE = 5
 SIMILARITY = 0.8
-PICKED = 4
-SKETCHES = 20
+PICKED = 3
+SKETCHES = 33
+SHORT = 25
+SHORT_SKETCHES = 66
 CENTRES = 2
 #: Members of a bucket that is joined with itself if it has to be.
 SMALL = 8
@@ -84,13 +91,14 @@ def labelled_shingles(words: list[bytes], k: int = SHINGLE) -> np.ndarray:
     return h
 
 
-def signatures(words: list[bytes], sketches: int = SKETCHES, picked: int = PICKED) -> list[int]:
+def signatures(words: list[bytes], picked: int = PICKED) -> list[int]:
     h = labelled_shingles(words)
+    sketches = SKETCHES if len(h) > SHORT else SHORT_SKETCHES
     if not len(h):
         return [0] * sketches
     rng = np.random.default_rng(7)
-    odd = rng.integers(1, 1 << 63, sketches, dtype=np.uint64) | np.uint64(1)
-    xor = rng.integers(1, 1 << 63, sketches, dtype=np.uint64)
+    odd = rng.integers(1, 1 << 63, SHORT_SKETCHES, dtype=np.uint64)[:sketches] | np.uint64(1)
+    xor = rng.integers(1, 1 << 63, SHORT_SKETCHES, dtype=np.uint64)[:sketches]
     out, take = [], min(picked, len(h))
     group = max(1, 500_000 // len(h))
     for lo in range(0, sketches, group):
@@ -265,13 +273,13 @@ def _block_links(left: DataFrame, texts: DataFrame) -> DataFrame:
         root = np.unique(np.array([r.hex() for r in group.column("root").to_pylist()]), return_inverse=True)[1]
         bins = sketches(group.column("bins").to_pylist())
         held = [np.frombuffer(x, "<u4") for x in group.column("held").to_pylist()]
-        sigs = np.frombuffer(b"".join(group.column("sigs").to_pylist()), "<i8").reshape(len(h), -1)
+        sigs = np.stack([np.frombuffer(x, "<i8", band) for x in group.column("sigs").to_pylist()])
         n = np.array([len(x) for x in held])
         right, links = np.flatnonzero(p == hi), []
         for i in np.flatnonzero(p == lo):
             js = right[(root[right] != root[i]) & ((lo != hi) | (right > i))]
             js = js[np.minimum(n[i], n[js]) >= SIMILARITY * np.maximum(n[i], n[js])]
-            js = js[(sigs[js, :band] != sigs[i, :band]).all(axis=1)]
+            js = js[(sigs[js] != sigs[i]).all(axis=1)]
             js = js[likely(bins[i], bins[js], n[i], n[js])]
             links += [sorted((h[i], h[j])) for j in js if same(held[i], held[j])]
         return pa.table({"a": pa.array([x for x, _ in links], pa.binary()), "b": pa.array([x for _, x in links], pa.binary())})

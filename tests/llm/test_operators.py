@@ -331,6 +331,18 @@ def test_sketches_pass_what_is_near():
     assert passed == 300
 
 
+@pytest.mark.parametrize("n", [5, 10, 20, 26, 60])
+def test_texts_at_the_bound_share_a_signature(n):
+    missed, rng = 0, random.Random(n)
+    for _ in range(3000):
+        # 0.8 of the shingles in common, in one stretch: five-word shingles lose n / 5 at the end of each.
+        base = [b"%d" % rng.randrange(1 << 40) for _ in range(n + 4 + n // 5)]
+        a, b = base[: n + 4], base[n // 5 :]
+        assert order_minhash.same(order_minhash.labelled_shingles(a), order_minhash.labelled_shingles(b))
+        missed += not any(x == y for x, y in zip(order_minhash.signatures(a), order_minhash.signatures(b), strict=False))
+    assert missed <= 1
+
+
 def near_rows():
     rng, rows = random.Random(4), []
     common = words(60, 77)
