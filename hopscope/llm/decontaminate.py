@@ -13,6 +13,10 @@ The benchmark is a stated query set: it is cut into blocks of at most
 in Arrow batches. The documents are never shuffled and no pairs of documents
 are made.
 
+Found for sure: a whole item of up to 160 normalised characters within its
+budget, and of a longer one any verbatim excerpt of 191 characters, which holds a
+whole segment. Shorter excerpts, and parts of items up to 160, may pass.
+
 Defined results: texts are compared in lower case with each run of white space
 as one space; a null or empty text, document or item, matches nothing; a
 segment shorter than q must occur exactly; each row of a repeated document
