@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hopscope.llm import chat, decontaminate, html_extract, mixture, order_minhash, quality, rans, rules, toxicity, warc
-from hopscope.llm.common import table
+from hopscope.llm import chat, decontaminate, filter_audit, html_extract, mixture, order_minhash, periodic_runs, quality, rans, rules, toxicity, warc
+from hopscope.llm.common import WORD, table
 
 
 def tokenizer_path() -> str:
@@ -155,6 +155,75 @@ def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id")
 
 
+def repeated(docs: DataFrame) -> DataFrame:
+    """doc_id and text, its words joined by one space. The words of a tenth of the
+    documents, by the crc32 of their id, are made to repeat with a period p from
+    word a on, both drawn from it; the others, and those without id, stay."""
+    words = docs.select("doc_id", F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(f"({WORD})"), 1).alias("words"))
+    drawn = words.select("doc_id", "words", F.size("words").alias("n"), F.crc32(F.col("doc_id").cast("string").cast("binary")).alias("h"))
+    drawn = drawn.withColumn("g", F.floor(F.col("h") / 10)).withColumn("a", F.when(F.col("n") > 0, F.pmod("g", "n")))
+    drawn = drawn.withColumn("p", 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.pmod("g", F.lit(8)))))
+    made = F.transform("words", lambda w, i: F.when(i < F.col("a"), w).otherwise(F.get("words", (F.col("a") + F.pmod(i - F.col("a"), F.col("p"))).cast("int"))))
+    return drawn.select("doc_id", F.array_join(F.when((F.pmod("h", F.lit(10)) == 0) & (F.col("n") > 0), made).otherwise(F.col("words")), " ").alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = repeated(table(spark, sf_dir, "documents"))
+    found = periodic_runs.find_runs(docs)
+    # The longest run; of equals the first by start, then period, which is the order of the list.
+    best = F.aggregate("runs", F.get("runs", F.lit(0)), lambda x, r: F.when(r["length"] > x["length"], r).otherwise(x))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        F.col("best.length").alias("length"),
+        F.col("best.period").alias("period"),
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+#: Each order applied to each combination of failures, without coalitions.
+OP12_SQL = r"""
+WITH l AS (
+  SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id
+), t AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text, min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS low,
+         regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+') AS words
+  FROM documents
+), f AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+         (CASE WHEN len(words) < 50 THEN 'A' ELSE '' END) || (CASE WHEN 100 * len(list_distinct(words)) < 65 * len(words) THEN 'B' ELSE '' END)
+         || (CASE WHEN 100 * len(regexp_extract_all(text, '[A-Z]')) > 5 * length(text) THEN 'C' ELSE '' END)
+         || (CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END) || (CASE WHEN coalesce(t.doc_id > low, false) THEN 'E' ELSE '' END) AS fails
+  FROM t LEFT JOIN l ON t.doc_id = l.doc_id
+), c AS (
+  SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM f GROUP BY part, fails
+), x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x), o AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM x a, x b, x c, x d, x e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+), s AS (
+  SELECT part, filter_order, step::INTEGER AS step, filter_order[step] AS own, c.*,
+         contains(fails, filter_order[step]) AS hit, length(translate(fails, filter_order[:step - 1], '')) < length(fails) AS gone
+  FROM c, o, (SELECT unnest(range(1, 6)) AS step)
+), r AS (
+  SELECT part, filter_order, step, own,
+         coalesce(sum(n) FILTER (NOT hit AND NOT gone), 0)::BIGINT AS kept, coalesce(sum(n) FILTER (hit AND NOT gone), 0)::BIGINT AS removed,
+         coalesce(sum(n) FILTER (hit AND gone), 0)::BIGINT AS redundant, coalesce(sum(n) FILTER (fails = own), 0)::BIGINT AS unique_fails,
+         coalesce(sum(good) FILTER (hit AND NOT gone), 0)::BIGINT AS good_lost, coalesce(sum(toxic) FILTER (hit AND NOT gone), 0)::BIGINT AS toxic_lost
+  FROM s GROUP BY part, filter_order, step, own
+)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost, sum(removed) OVER (PARTITION BY part, own)::BIGINT AS shapley FROM r
+"""
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -168,7 +237,9 @@ QUERIES = {
         op8_token_output,
         op9_source_mixing,
         op10_order_minhash,
+        op11_periodic_runs,
+        op12_filter_audit,
     )
 }
 
-ORACLE_SQL = {"op1_chat_formatting": OP1_SQL, "op7_quality_rules": OP7_SQL}
+ORACLE_SQL = {"op1_chat_formatting": OP1_SQL, "op7_quality_rules": OP7_SQL, "op12_filter_audit": OP12_SQL}

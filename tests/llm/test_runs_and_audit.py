@@ -1,0 +1,172 @@
+"""Periodic runs and the filter audit against brute force, with odd tables."""
+
+import hashlib
+import math
+import random
+import zlib
+from collections import Counter
+from itertools import permutations
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from hopscope.llm import arrow_words, filter_audit, periodic_runs
+from hopscope.llm.queries import op11_periodic_runs, repeated
+
+DOCS = "doc_id long, text string, source string, runs string, key int, mask string, part int, n int"
+
+
+def docs_df(spark, rows):
+    return spark.createDataFrame([(i, t, s, "clash", 7, "m", 3, 4) for i, t, s in rows], DOCS)
+
+
+def brute_runs(words):
+    """Every period on its own: longest stretches of equality, kept if no smaller period holds."""
+    ids = {w: i for i, w in enumerate(dict.fromkeys(words))}
+    x = np.array([ids[w] for w in words], np.int64)
+    found = []
+    for q in range(1, len(x) // 4 + 1):
+        same = np.concatenate([[False], x[:-q] == x[q:], [False]])
+        change = np.flatnonzero(same[1:] != same[:-1])
+        for a, b in zip(change[::2].tolist(), change[1::2].tolist()):
+            length = b - a + q
+            if length >= max(6, 4 * q) and not any((x[a : a + length - p] == x[a + p : a + length]).all() for p in range(1, q)):
+                found.append((a, length, q))
+    return sorted(found, key=lambda r: (r[0], r[2]))
+
+
+def split(text):
+    return (text or "").encode("utf-8").split()
+
+
+def wanted(doc_id, text):
+    words = split(text)
+    n = len(words)
+    if doc_id is not None:
+        h = zlib.crc32(str(doc_id).encode())
+        g = h // 10
+        if h % 10 == 0 and n:
+            a = g % n
+            p = 1 + (n - a) // (3 + g % 8)
+            words = [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+    found = brute_runs(words)
+    gone = {i for s, length, q in found for i in range(s + q, s + length)}
+    best = max(found, key=lambda r: (r[1], -r[0], -r[2]), default=None)
+    told = "".join(f"{s},{length},{q}\n" for s, length, q in found)
+    kept = b" ".join(w for i, w in enumerate(words) if i not in gone)
+    return (doc_id, len(found), *(best or (None, None, None)), best and 1000 * best[1] // best[2], hashlib.sha256(told.encode()).hexdigest(), hashlib.sha256(kept).hexdigest())
+
+
+def test_runs_of_random_sequences():
+    rng = random.Random(1)
+    for _ in range(1500):
+        x = [rng.randrange(rng.choice([1, 2, 3, 6])) for _ in range(rng.randrange(70))]
+        if x and rng.random() < 0.7:
+            a, p = rng.randrange(len(x)), rng.randrange(1, 9)
+            for i in range(a, len(x)):
+                x[i] = x[a + (i - a) % p]
+        got = [tuple(r) for r in periodic_runs.runs(np.array(x, np.int64)).tolist()]
+        assert got == brute_runs(x), x
+
+
+def odd_texts():
+    rng = random.Random(4)
+    line = " ".join(f"w{rng.randrange(40)}" for _ in range(9))
+    return [
+        None, "", " \t\n ", "one", "a a a a a", "a a a a a a", "b a a a a a a c", "x y x y x y x y", "x y x y x y x y x", "A a A a A a a a",
+        "é b é b é b é b é b é b", "\x1c \x1c \x1c \x1c \x1c \x1c", "\n".join([line] * 5), "\n".join([line] * 4) + " " + line[:10], "z " * 30_000,
+        " ".join(f"w{rng.randrange(3)}" for _ in range(3000)),
+    ]
+
+
+def test_run_query_matches_brute_force(spark, tmp_path):
+    rows = [(i, t, "s") for i, t in enumerate(odd_texts() * 12)] + [(None, t, "s") for t in odd_texts()] + [(3, "a b " * 9, "s")] * 2
+    docs_df(spark, rows).repartition(5).write.parquet(str(tmp_path / "documents.parquet"))
+    got = [tuple(r) for r in op11_periodic_runs(spark, str(tmp_path)).collect()]
+    want = [wanted(i, t) for i, t, _ in rows]
+    assert Counter(got) == Counter(want) and sum(w[1] > 0 for w in want) > 60
+    (tmp_path / "none").mkdir()
+    docs_df(spark, rows).limit(0).write.parquet(str(tmp_path / "none" / "documents.parquet"))
+    assert op11_periodic_runs(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_collapsed_texts_and_other_columns(spark):
+    df = docs_df(spark, [(1, " a b a b a b a b c ", "s"), (None, None, None)])
+    got = sorted(periodic_runs.find_runs(df).collect(), key=lambda r: r["doc_id"] or 0)
+    assert got[1]["collapsed"] == "a b c" and got[1]["runs"] == [(0, 8, 2)] and got[1]["n_words"] == 9 and got[1]["mask"] == "m"
+    assert got[0]["collapsed"] == "" and got[0]["runs"] == [] and got[0]["n_words"] == 0
+    assert set(got[0].asDict()) == {"doc_id", "source", "runs", "key", "mask", "part", "n", "n_words", "collapsed"}
+    assert repeated(df).columns == ["doc_id", "text"]
+
+
+def test_pieces_hold_every_row_once():
+    batch = pa.RecordBatch.from_arrays([pa.array(range(7)), pa.array(["a" * 9, None, "", "b" * 30, "c", "d" * 9, "e"])], ["i", "t"])
+    for most in (1, 9, 10, 31, 1000):
+        cut = list(arrow_words.pieces(batch, 1, most))
+        assert [i for p in cut for i in p.column(0).to_pylist()] == list(range(7))
+        assert all(p.num_rows == 1 or sum(len(t or "") for t in p.column(1).to_pylist()) <= most for p in cut)
+    assert list(arrow_words.pieces(batch.slice(0, 0), 1)) == []
+
+
+def audit_rows():
+    rng = random.Random(2)
+    many = " ".join(f"w{i}" for i in range(60))
+    kinds = [None, "", "short", many, many + " & x", many.upper() + " Q", "a b " * 40, "a b " * 40 + "#", "É" * 40 + " " + many, many + " A B C D", "| " + "x " * 60]
+    rows = [(rng.randrange(60), rng.choice(kinds), rng.choice(["s0", "s1", None, ""])) for _ in range(200)]
+    rows += [(None, many, "s0"), (None, "odd one out", None), (5, many, "s2"), (5, many, "s2")]
+    labels = [(i, rng.choice([0, 1, None]), rng.choice([0, 1, None])) for i in range(50)] + [(7, 1, 0), (7, 0, 1), (None, 1, 1)]
+    return rows, labels
+
+
+def brute_audit(rows, labels):
+    good = {i for i, q, _ in labels if q == 1 and i is not None}
+    toxic = {i for i, _, t in labels if t == 1 and i is not None}
+    held = []
+    for i, text, part in rows:
+        t = text or ""
+        w = t.split()
+        fails = "A" * (len(w) < 50) + "B" * (100 * len(set(w)) < 65 * len(w)) + "C" * (100 * sum("A" <= c <= "Z" for c in t) > 5 * len(t)) + "D" * any(c in "#$%&*|" for c in t)
+        fails += "E" * (i is not None and any(j is not None and j < i and (u or "") == t for j, u, _ in rows))
+        held.append((part or "", fails, i in good, i in toxic))
+    out = []
+    for part in {h[0] for h in held}:
+        mine = [h for h in held if h[0] == part]
+        removals = Counter()
+        made = []
+        for order in permutations("ABCDE"):
+            left = mine
+            for step, f in enumerate(order, 1):
+                lost = [h for h in left if f in h[1]]
+                left = [h for h in left if f not in h[1]]
+                removals[f] += len(lost)
+                all_failing = sum(f in h[1] for h in mine)
+                made.append((f, ["".join(order), step, len(left), len(lost), all_failing - len(lost), sum(h[1] == f for h in mine), sum(h[2] for h in lost), sum(h[3] for h in lost)]))
+        out += [(part, *m, removals[f]) for f, m in made]
+    return sorted(out)
+
+
+def test_audit_matches_brute_force(spark):
+    rows, labels = audit_rows()
+    labels_df = spark.createDataFrame([(*x, "clash") for x in labels], "doc_id long, quality int, toxic int, key string")
+    got = filter_audit.audit(docs_df(spark, rows).repartition(4), labels_df)
+    assert got.columns == ["part", "filter_order", "step", *filter_audit.COUNTS]
+    assert sorted(tuple(r) for r in got.collect()) == brute_audit(rows, labels)
+    assert filter_audit.audit(docs_df(spark, rows).limit(0), labels_df).count() == 0
+    bare = filter_audit.audit(docs_df(spark, rows), labels_df.limit(0))
+    assert bare.agg(F.sum("good_lost") + F.sum("toxic_lost")).first()[0] == 0
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_potential_gives_the_average_over_orders(seed):
+    rng = random.Random(seed)
+    worth = filter_audit.worths([rng.randrange(50) for _ in range(32)])
+    of = filter_audit.potentials(worth)
+    for i in range(5):
+        total = 0
+        for order in permutations(range(5)):
+            before = sum(1 << j for j in order[: order.index(i)])
+            total += worth[before | 1 << i] - worth[before]
+        assert of[31] - of[31 ^ 1 << i] == total
+    assert sum(of[31] - of[31 ^ 1 << i] for i in range(5)) == math.factorial(5) * worth[31]
