@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hopscope.llm import chat, decontaminate, filter_audit, html_extract, mixture, order_minhash, periodic_runs, quality, rans, rules, toxicity, warc
+from hopscope.llm import bloom_lm, chat, decontaminate, filter_audit, html_extract, mixture, order_minhash, periodic_runs, quality, rans, rules, toxicity, warc
 from hopscope.llm.common import WORD, table
 
 
@@ -224,6 +224,14 @@ SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lo
 """
 
 
+def op13_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(fold(F.col("doc_id"), 5) == 1, F.lit(False))
+    model = bloom_lm.train(docs, ~held_out)
+    scored = bloom_lm.score(docs, model).withColumn("held_out", held_out).withColumn("train_tokens", F.lit(model.n_tokens).cast("long"))
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -239,6 +247,7 @@ QUERIES = {
         op10_order_minhash,
         op11_periodic_runs,
         op12_filter_audit,
+        op13_bloom_lm,
     )
 }
 
