@@ -1,12 +1,12 @@
 """Named workloads on the driver tables, each with an equivalent SQL text.
 
-Every workload reads ``lineitem`` (and ``part`` for the id range) from
-``sf_dir`` and derives its graph there, so its work grows with the tables.
-The SQL texts run on DuckDB over the same tables and serve as the
-independent check of each result: same column names, same rows.
+Every workload reads ``lineitem`` or ``orders`` (and ``part`` for the id
+range) from ``sf_dir`` and derives its graph there, from all rows, so its work
+grows with the tables. The SQL texts run on DuckDB over the same tables and
+serve as the independent check of each result: same column names, same rows.
 
 Graphs (see :mod:`hopscope.sources.tables`): ``part_next`` (dense, one
-large component) and ``part_next_r`` (sparse: sinks, unreachable vertices,
+large component) and ``order_next`` (sparse: sinks, unreachable vertices,
 paths of 20+ hops).
 """
 
@@ -32,18 +32,20 @@ from hopscope.operators.traversal import (
 )
 from hopscope.plans.graph import prepare_graph
 from hopscope.sources.sinks import adjacency_lines, distance_lines, state_lines, summary_lines
-from hopscope.sources.tables import part_count, part_next, part_next_r
+from hopscope.sources.tables import order_next, part_count, part_next, urgent_orders
 from hopscope.sources.text import parse_adjacency_lines, parse_edge_lines, parse_state_lines
 
 # ---------------------------------------------------------------------------
-# Fixed parameters of the workloads. The sparse-graph ids are chosen at
-# sf0.01, where they tell the traversal readings apart (absorbing sources
-# change the reach of 883; the 20-round cut changes the reach of 1848);
-# 1610 is a vertex without out-edges there.
+# Fixed parameters of the workloads. The sparse-graph ids are orders of the
+# customer with most orders at sf0.01 (25 of them): its first, its thirteenth
+# and its second. There they tell the traversal readings apart: the
+# thirteenth cuts the first one's traversal short if sources absorb, and the
+# 20-round cut changes the reach of the second. 5842 is the customer's last
+# order, which has no out-edge.
 # ---------------------------------------------------------------------------
-SPARSE_SOURCES = ("883", "303")
-SEED_SOURCES = ("883", "303", "1610", "no-such-vertex")
-BOUNDED_SOURCE = "1848"
+SPARSE_SOURCES = ("8796", "9760")
+SEED_SOURCES = ("8796", "9760", "5842", "no-such-vertex")
+BOUNDED_SOURCE = "7446"
 BOUNDED_ROUNDS = 20
 DENSE_SOURCES = ("0", "1")
 MANY_SOURCES = tuple(str(i) for i in range(16))
@@ -89,22 +91,22 @@ def q_adjacency_to_edges(spark, sf_dir):
 
 
 def q_seed_sources(spark, sf_dir):
-    g = prepare_graph(part_next_r(spark, sf_dir))
+    g = prepare_graph(order_next(spark, sf_dir))
     return seed_from_sources(g, list(SEED_SOURCES))
 
 
 def q_seed_in_neighbors(spark, sf_dir):
-    g = prepare_graph(part_next_r(spark, sf_dir))
+    g = prepare_graph(order_next(spark, sf_dir))
     return seed_from_in_neighbors(g, [BOUNDED_SOURCE])
 
 
 def q_relax_one_round(spark, sf_dir):
-    g = prepare_graph(part_next_r(spark, sf_dir))
+    g = prepare_graph(order_next(spark, sf_dir))
     return relax_round(g, seed_from_in_neighbors(g, [BOUNDED_SOURCE]))
 
 
 def q_updated_count(spark, sf_dir):
-    g = prepare_graph(part_next_r(spark, sf_dir))
+    g = prepare_graph(order_next(spark, sf_dir))
     seeds = seed_from_in_neighbors(g, [BOUNDED_SOURCE])
     return updated_count(seeds, relax_round(g, seeds))
 
@@ -125,7 +127,7 @@ def q_sssp(spark, sf_dir):
 
 
 def q_mssp(spark, sf_dir):
-    return _on_graph(part_next_r(spark, sf_dir), lambda g: shortest_paths(g, list(SPARSE_SOURCES)).distances)
+    return _on_graph(order_next(spark, sf_dir), lambda g: shortest_paths(g, list(SPARSE_SOURCES)).distances)
 
 
 def q_mssp_dense(spark, sf_dir):
@@ -138,13 +140,22 @@ def q_mssp16(spark, sf_dir):
 
 def q_mssp_absorbing(spark, sf_dir):
     return _on_graph(
-        part_next_r(spark, sf_dir),
+        order_next(spark, sf_dir),
         lambda g: shortest_paths(g, list(SPARSE_SOURCES), stop_at_other_sources=True).distances,
     )
 
 
+def q_mssp_urgent(spark, sf_dir):
+    """Every urgent order as a source, given as a frame, up to the customer's
+    next urgent order: sources absorb."""
+    return _on_graph(
+        order_next(spark, sf_dir),
+        lambda g: shortest_paths(g, urgent_orders(spark, sf_dir), stop_at_other_sources=True).distances,
+    )
+
+
 def q_mssp_keys_and_reached(spark, sf_dir):
-    g = prepare_graph(part_next_r(spark, sf_dir))
+    g = prepare_graph(order_next(spark, sf_dir))
     t = shortest_paths(g, list(SPARSE_SOURCES), stop_at_other_sources=True)
     return t.with_unreached("keys_and_reached")
 
@@ -152,7 +163,7 @@ def q_mssp_keys_and_reached(spark, sf_dir):
 def q_mssp_resume(spark, sf_dir):
     """Stop after two rounds, write the state in the text layout (infinite
     rows included), read it back and continue to the fixpoint."""
-    g = prepare_graph(part_next_r(spark, sf_dir))
+    g = prepare_graph(order_next(spark, sf_dir))
     partial = shortest_paths(g, list(SPARSE_SOURCES), max_rounds=RESUME_AFTER_ROUNDS)
     text = state_lines(partial.with_unreached("keys_and_reached"), to_adjacency(g.edge_pairs()))
     state = parse_state_lines(text)
@@ -161,7 +172,7 @@ def q_mssp_resume(spark, sf_dir):
 
 def q_bounded_relaxation(spark, sf_dir):
     return _on_graph(
-        part_next_r(spark, sf_dir), lambda g: bounded_relaxation(g, [BOUNDED_SOURCE], rounds=BOUNDED_ROUNDS).distances
+        order_next(spark, sf_dir), lambda g: bounded_relaxation(g, [BOUNDED_SOURCE], rounds=BOUNDED_ROUNDS).distances
     )
 
 
@@ -176,13 +187,13 @@ def q_lsp_per_source(spark, sf_dir):
 
 
 def q_lsp_global(spark, sf_dir):
-    g = prepare_graph(part_next_r(spark, sf_dir))
+    g = prepare_graph(order_next(spark, sf_dir))
     t = bounded_relaxation(g, [BOUNDED_SOURCE])
     return longest_shortest_path(t.with_unreached("all"), per_source=False, unreachable_as_zero=True)
 
 
 def q_round_stats(spark, sf_dir):
-    return _on_graph(part_next_r(spark, sf_dir), lambda g: shortest_paths(g, list(SPARSE_SOURCES)).stats_frame())
+    return _on_graph(order_next(spark, sf_dir), lambda g: shortest_paths(g, list(SPARSE_SOURCES)).stats_frame())
 
 
 def q_diameter_lower_bound(spark, sf_dir):
@@ -213,14 +224,14 @@ def q_adjacency_lines(spark, sf_dir):
 def q_state_lines(spark, sf_dir):
     """Absorbing two-source state in the text layout: ``vertex"to"source<TAB>
     list dist`` for every key and reached vertex, infinity as 2147483647."""
-    g = prepare_graph(part_next_r(spark, sf_dir))
+    g = prepare_graph(order_next(spark, sf_dir))
     t = shortest_paths(g, list(SPARSE_SOURCES), stop_at_other_sources=True)
     return state_lines(t.with_unreached("keys_and_reached"), to_adjacency(g.edge_pairs()), stop_at_other_sources=True)
 
 
 def q_distance_tuples(spark, sf_dir):
     """Bounded relaxation over every vertex as ``(vertex,dist)`` tuples."""
-    g = prepare_graph(part_next_r(spark, sf_dir))
+    g = prepare_graph(order_next(spark, sf_dir))
     t = bounded_relaxation(g, [BOUNDED_SOURCE])
     return distance_lines(t.with_unreached("all"), with_source=False)
 
@@ -245,6 +256,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mssp_dense": q_mssp_dense,
     "mssp16": q_mssp16,
     "mssp_absorbing": q_mssp_absorbing,
+    "mssp_urgent": q_mssp_urgent,
     "mssp_keys_and_reached": q_mssp_keys_and_reached,
     "mssp_resume": q_mssp_resume,
     "bounded_relaxation": q_bounded_relaxation,
@@ -264,20 +276,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 # ======================================================================
 # SQL side (DuckDB dialect, tables registered as views)
 # ======================================================================
-def _edges_sql(returned_only: bool) -> str:
-    extra = ""
-    if returned_only:
-        extra = " AND l1.l_returnflag = 'R' AND l2.l_returnflag = 'R' AND l1.l_quantity >= 25"
-    return (
-        "SELECT DISTINCT CAST(l1.l_partkey AS VARCHAR) AS src, CAST(l2.l_partkey AS VARCHAR) AS dst "
-        "FROM lineitem l1 JOIN lineitem l2 "
-        "ON l1.l_orderkey = l2.l_orderkey AND l2.l_linenumber = l1.l_linenumber + 1 "
-        f"WHERE l1.l_partkey <> l2.l_partkey{extra}"
-    )
-
-
-DENSE = _edges_sql(False)
-SPARSE = _edges_sql(True)
+DENSE = (
+    "SELECT DISTINCT CAST(l1.l_partkey AS VARCHAR) AS src, CAST(l2.l_partkey AS VARCHAR) AS dst "
+    "FROM lineitem l1 JOIN lineitem l2 "
+    "ON l1.l_orderkey = l2.l_orderkey AND l2.l_linenumber = l1.l_linenumber + 1 "
+    "WHERE l1.l_partkey <> l2.l_partkey"
+)
+SPARSE = (
+    "SELECT DISTINCT CAST(src AS VARCHAR) AS src, CAST(dst AS VARCHAR) AS dst FROM ("
+    "SELECT o_orderkey AS src, lead(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS dst "
+    "FROM orders WHERE o_custkey IS NOT NULL AND o_orderkey IS NOT NULL) WHERE dst IS NOT NULL"
+)
+URGENT = "SELECT DISTINCT CAST(o_orderkey AS VARCHAR) AS source FROM orders WHERE o_orderpriority = '1-URGENT'"
 
 SAMPLE_SQL = (
     "SELECT CAST(r AS VARCHAR) AS id FROM (SELECT unnest(range(0, (SELECT count(*) FROM part))) AS r) "
@@ -399,6 +409,7 @@ ORACLE_SQL: dict[str, str] = {
     "mssp_dense": _bfs_sql(DENSE, _values(DENSE_SOURCES), select=_DIST),
     "mssp16": MSSP16_SQL,
     "mssp_absorbing": _bfs_sql(SPARSE, _values(SPARSE_SOURCES), absorbing=True, select=_DIST),
+    "mssp_urgent": _bfs_sql(SPARSE, URGENT, absorbing=True, select=_DIST),
     "mssp_keys_and_reached": _KEYS_AND_REACHED,
     "mssp_resume": MSSP_SQL,
     "bounded_relaxation": BOUNDED_SQL,
