@@ -61,6 +61,9 @@ SHARD_BYTES = 1 << 21
 BROADCAST_BYTES = 256 << 20
 #: Tokens that a task counts before it passes counts on.
 COUNTED = 4 << 20
+#: Bytes of words that are hashed together, and of texts that are scored together.
+HASHED = 1 << 20
+PIECE_BYTES = 2 << 20
 #: Text of a block whose n-grams are looked up together if shards are not broadcast.
 BLOCK_BYTES = 8 << 20
 
@@ -83,12 +86,31 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
+def _powers(step: int, n: int) -> np.ndarray:
+    out = np.full(n, step, np.uint64)
+    return np.multiply.accumulate(out, out=out)
+
+
+def _hashed(raw: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """A hash of each word raw[lo:hi]: a polynomial in its bytes' random numbers,
+    modulo 2^64, from sums over some ``HASHED`` bytes of words at once."""
+    out = np.zeros(len(lo), np.uint64)
+    size = min(int(hi[-1] - lo[0]), max(HASHED, int((hi - lo).max()))) if len(lo) else 0
+    powers, back = _powers(_STEP, size), _powers(pow(_STEP, -1, 1 << 64), size)
+    i = 0
+    while i < len(lo):
+        j = max(i + 1, int(np.searchsorted(hi, lo[i] + size, "right")))
+        base, sums = lo[i], np.zeros(hi[j - 1] - lo[i] + 1, np.uint64)
+        np.cumsum(_BYTE[raw[base : hi[j - 1]]] * powers[: len(sums) - 1], out=sums[1:])
+        out[i:j] = (sums[hi[i:j] - base] - sums[lo[i:j] - base]) * back[lo[i:j] - base]
+        i = j
+    return mixed(out)
+
+
 def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all tokens, each text's end included, and where each text's
     begin (one entry more than texts).
 
-    A word's hash is a polynomial in its bytes' random numbers, modulo 2^64, from
-    sums over the whole batch.
     """
     held = pc.fill_null(texts, "").cast(pa.large_string())
     _, offsets, data = held.buffers()
@@ -103,13 +125,7 @@ def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     first[1:] &= ~ink[:-1] | cut[1:n]
     last[:-1] &= ~ink[1:] | cut[1:n]
     lo, hi = np.flatnonzero(first), np.flatnonzero(last) + 1
-    powers = np.full(n, _STEP, np.uint64)
-    np.multiply.accumulate(powers, out=powers)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(_BYTE[raw] * powers, out=sums[1:])
-    back = np.full(n, pow(_STEP, -1, 1 << 64), np.uint64)
-    np.multiply.accumulate(back, out=back)
-    words = mixed((sums[hi] - sums[lo]) * back[lo])
+    words = _hashed(raw, lo, hi)
 
     begin = np.searchsorted(lo, off)
     rows = np.arange(len(held))
@@ -249,7 +265,7 @@ class Model:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for piece in pieces(batch, batch.num_columns - 1):
+                for piece in pieces(batch, batch.num_columns - 1, PIECE_BYTES):
                     block = Block(piece.column(batch.num_columns - 1))
                     exact, level = np.zeros(len(block.words), np.int64), np.zeros(len(block.words), np.uint8)
                     for s, at in _by_shard(block.words, shards):
@@ -314,7 +330,7 @@ def _counts(texts: DataFrame, of: Callable[[np.ndarray, np.ndarray], np.ndarray]
 
         held, size = [], 0
         for batch in batches:
-            for piece in pieces(batch, 0):
+            for piece in pieces(batch, 0, PIECE_BYTES):
                 held.append(of(*tokens(piece.column(0))))
                 size += len(held[-1])
                 if size >= COUNTED:
