@@ -64,6 +64,10 @@ COUNTED = 4 << 20
 #: Bytes of words that are hashed together, and of texts that are scored together.
 HASHED = 1 << 20
 PIECE_BYTES = 2 << 20
+#: Rows of a batch of counts.
+PASSED = 1 << 18
+#: The most shards that are made without sorting the counts.
+UNSORTED = 2000
 #: Text of a block whose n-grams are looked up together if shards are not broadcast.
 BLOCK_BYTES = 8 << 20
 
@@ -320,13 +324,16 @@ class Model:
         return blocks.groupBy("__block").cogroup(told.groupBy("__block")).applyInArrow(finish, schema)
 
 
-def _counts(texts: DataFrame, of: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> DataFrame:
-    """key, n: n-grams of the texts (one column), counted within tasks."""
+def _counts(texts: DataFrame, of: Callable[[np.ndarray, np.ndarray], np.ndarray], shards: int = 1) -> DataFrame:
+    """key, n, shard: n-grams of the texts (one column), counted within tasks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def passed() -> pa.RecordBatch:
+        def passed() -> Iterator[pa.RecordBatch]:
             keys, n = counted(np.concatenate(held))
-            return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n, pa.int64())], ["key", "n"])
+            held.clear()
+            for lo in range(0, len(keys), PASSED):
+                part = keys[lo : lo + PASSED]
+                yield pa.RecordBatch.from_arrays([pa.array(part.view(np.int64)), pa.array(n[lo : lo + PASSED], pa.int64()), pa.array(shard_of(part, shards))], ["key", "n", "shard"])
 
         held, size = [], 0
         for batch in batches:
@@ -334,36 +341,59 @@ def _counts(texts: DataFrame, of: Callable[[np.ndarray, np.ndarray], np.ndarray]
                 held.append(of(*tokens(piece.column(0))))
                 size += len(held[-1])
                 if size >= COUNTED:
-                    yield passed()
-                    held, size = [], 0
+                    yield from passed()
+                    size = 0
         if held:
-            yield passed()
+            yield from passed()
 
-    return texts.mapInArrow(run, "key long, n long")
+    return texts.mapInArrow(run, "key long, n long, shard int")
 
 
 def _made_shards(words: DataFrame, texts: DataFrame, shards: int) -> DataFrame:
-    """shard, bits, words, counts from the words' counts and the texts' pairs."""
+    """shard, bits, words, counts from the words' counts and the texts' pairs.
 
-    def run(group: pa.Table) -> pa.Table:
-        keys, n = group.column("key").to_numpy().view(np.uint64), group.column("n").to_numpy()
-        of_word = group.column("of_word").to_numpy()
-        # Pairs come counted by task.
+    Up to ``UNSORTED`` shards each is gathered in a task (some tasks get none,
+    some a few); more are sorted within tasks and made one after the other.
+    """
+    unsorted = shards <= UNSORTED
+
+    def made(shard: int, parts: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        keys, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+        parts.clear()
+        # Pairs come counted by task; words come once, with negative counts.
         order = np.argsort(keys, kind="stable")
-        keys, n, of_word = keys[order], n[order], of_word[order]
+        keys, n = keys[order], n[order]
         at = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
-        keys, n, of_word = keys[at], np.add.reduceat(n, at), of_word[at]
-        row = [group.column("shard")[0].as_py(), filled(keys, n).tobytes(), keys[of_word].astype("<u8").tobytes(), n[of_word].astype("<i8").tobytes()]
-        return pa.table([pa.array([x], t) for x, t in zip(row, (pa.int32(), pa.binary(), pa.binary(), pa.binary()), strict=True)], ["shard", "bits", "words", "counts"])
+        keys, n = keys[at], np.add.reduceat(n, at)
+        word = n < 0
+        n = np.abs(n)
+        row = [shard, filled(keys, n).tobytes(), keys[word].astype("<u8").tobytes(), n[word].astype("<i8").tobytes()]
+        return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, (pa.int32(), pa.binary(), pa.binary(), pa.binary()), strict=True)], ["shard", "bits", "words", "counts"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list] = {}
+        for batch in batches:
+            keys, n = batch.column("key").to_numpy().view(np.uint64), batch.column("n").to_numpy()
+            of = batch.column("shard").to_numpy()
+            order = np.argsort(of, kind="stable")
+            edge = np.flatnonzero(np.append(True, of[order][1:] != of[order][:-1])[: len(of)])
+            for at in np.split(order, edge[1:]) if len(of) else []:
+                held.setdefault(int(of[at[0]]), []).append((keys[at], n[at]))
+            if not unsorted:
+                for shard in sorted(held)[:-1]:
+                    yield made(shard, held.pop(shard))
+        for shard in sorted(held):
+            yield made(shard, held.pop(shard))
 
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             of = shard_of(batch.column(0).to_numpy().view(np.uint64), shards)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(of)], ["key", "n", "of_word", "shard"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pc.negate(batch.column(1)), pa.array(of)], ["key", "n", "shard"])
 
-    both = words.withColumn("of_word", F.lit(True)).unionByName(_counts(texts, pairs).withColumn("of_word", F.lit(False)))
-    both = both.mapInArrow(dealt, "key long, n long, of_word boolean, shard int")
-    return both.groupBy("shard").applyInArrow(run, "shard int, bits binary, words binary, counts binary")
+    schema = "key long, n long, shard int"
+    both = words.mapInArrow(dealt, schema).unionByName(_counts(texts, pairs, shards))
+    both = both.repartition(shards, "shard") if unsorted else both.repartition("shard").sortWithinPartitions("shard")
+    return both.mapInArrow(run, "shard int, bits binary, words binary, counts binary")
 
 
 def _weights(model: Model, texts: DataFrame) -> np.ndarray:
@@ -391,7 +421,7 @@ def train(docs: DataFrame, train_rows: Column, text: str = "text") -> Model:
     """The model of the texts of rows for which ``train_rows`` is true."""
     spark = docs.sparkSession
     texts = docs.where(train_rows).select(text)
-    words = stored(_counts(texts, lambda t, begin: t).groupBy("key").agg(F.sum("n").alias("n")), "lm-words")
+    words = stored(_counts(texts, lambda t, begin: t).drop("shard").groupBy("key").agg(F.sum("n").alias("n")), "lm-words")
     levels = F.least(F.col("n"), 1 + F.floor(F.log("n") / math.log(BASE)))  # of a word, at most
     row = words.agg(F.sum("n").alias("all"), F.count("*").alias("v"), F.sum(levels).alias("levels")).first()
     n, v = row["all"] or 0, row["v"]

@@ -78,9 +78,11 @@ def docs_df(spark, rows):
     return spark.createDataFrame([(i, t, "clash", 2, 3, 4) for i, t in rows], DOCS)
 
 
-@pytest.mark.parametrize("limit", [bloom_lm.BROADCAST_BYTES, 0])
-def test_scores_match_dictionaries(spark, tmp_path, monkeypatch, limit):
+@pytest.mark.parametrize("limit, unsorted", [(bloom_lm.BROADCAST_BYTES, 2000), (0, 2000), (bloom_lm.BROADCAST_BYTES, 0)])
+def test_scores_match_dictionaries(spark, tmp_path, monkeypatch, limit, unsorted):
     monkeypatch.setattr(bloom_lm, "BROADCAST_BYTES", limit)
+    monkeypatch.setattr(bloom_lm, "UNSORTED", unsorted)
+    monkeypatch.setattr(bloom_lm, "PASSED", 300)
     monkeypatch.setattr(bloom_lm, "BLOCK_BYTES", 30_000)
     monkeypatch.setattr(bloom_lm, "SHARD_BYTES", 1 << 12)
     monkeypatch.setattr(bloom_lm, "BITS", 64)  # next to no false positives
