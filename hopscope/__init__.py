@@ -19,6 +19,7 @@ from hopscope.operators.summary import diameter_lower_bound, distance_histogram,
 from hopscope.operators.traversal import (
     Traversal,
     bounded_relaxation,
+    continue_paths,
     expand,
     iterate,
     relax_round,
@@ -29,6 +30,8 @@ from hopscope.operators.traversal import (
     source_set,
     updated_count,
 )
+from hopscope.plans.edge_store import EdgeStore, open_edge_store, open_graph, write_edge_store
+from hopscope.plans.generations import Generation, open_generation, stored_longest_paths
 from hopscope.plans.graph import HopGraph, prepare_graph
 from hopscope.plans.pipeline import build_sampled_adjacency, estimate_diameter, sampled_subgraph
 from hopscope.plans.session import checkpoint_dir

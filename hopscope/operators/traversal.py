@@ -26,8 +26,14 @@ on ``(source, vertex)`` and sorted within partitions. A round:
 5. the survivors are checkpointed to reliable storage and counted; an empty
    round ends the loop.
 
-Layers are merged every ``compact_every`` rounds so the plan stays small on
-deep graphs.
+Once more than ``compact_every`` layers have gathered, the newest are merged, as
+far back as those of at most twice their rows: the plan stays small on deep
+graphs, and a row is rewritten only as often as its layer grows by half.
+
+A graph that lies in an edge store (:mod:`hopscope.plans.edge_store`) is read
+bucket by bucket while a frontier is small, and a traversal with a ``log``
+(:mod:`hopscope.plans.generations`) keeps each round where a later session can
+take it up.
 """
 
 from __future__ import annotations
@@ -40,18 +46,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hopscope.functions.expressions import next_hop
+from hopscope.plans.edge_store import bitmap_columns, bucket_of, buckets_in
+from hopscope.plans.generations import GenerationLog, open_generation, tail_to_merge
 from hopscope.plans.graph import HopGraph
 from hopscope.plans.session import (
     fits_broadcast,
     iteration_settings,
     materialize,
+    materialize_observed,
     row_bytes,
     scoped_conf,
 )
 
 DEFAULT_COMPACT_EVERY = 8
 
-log = logging.getLogger("hopscope")
+logger = logging.getLogger("hopscope")
 
 
 # --------------------------------------------------------------------------
@@ -112,12 +121,22 @@ def _to_public(graph: HopGraph, df: DataFrame) -> DataFrame:
     )
 
 
+def _edges_near(graph: HopGraph, vertices: DataFrame, column: str, small: bool, side: str) -> DataFrame:
+    """The edges whose ``src`` (side out) or ``dst`` (side in) may be one of some
+    vertices: of a stored graph their buckets alone, if they are few."""
+    if graph.store is not None and (small or side == "in"):
+        touched = graph.store.touched(vertices, column) if small else None
+        if side == "in" or 2 * len(touched) <= graph.store.buckets:
+            return graph.store.scan(side, touched).select("src", "dst")
+    return graph.edges
+
+
 def _seeds_at_sources(graph: HopGraph, ss: SourceSet, seed_sinks: bool) -> DataFrame:
     s = _internal_sources(graph, ss)
     if not seed_sinks:
         spark = graph.spark
         if fits_broadcast(spark, ss.count, row_bytes(1, ss.max_len)):
-            e = graph.edges
+            e = _edges_near(graph, s, "source", True, "out")
             s = (
                 e.join(F.broadcast(s), e.src == s.source, "left_semi")
                 .select(F.col("src").alias("source"))
@@ -130,8 +149,10 @@ def _seeds_at_sources(graph: HopGraph, ss: SourceSet, seed_sinks: bool) -> DataF
 
 
 def _seeds_at_in_neighbors(graph: HopGraph, ss: SourceSet) -> DataFrame:
-    s = _side(graph.spark, _internal_sources(graph, ss), ss.count, row_bytes(1, ss.max_len))
-    e = graph.edges
+    s = _internal_sources(graph, ss)
+    small = fits_broadcast(graph.spark, ss.count, row_bytes(1, ss.max_len))
+    e = _edges_near(graph, s, "source", small, "in")
+    s = _side(graph.spark, s, ss.count, row_bytes(1, ss.max_len))
     return e.join(s, e.dst == F.col("source")).select(
         F.col("source"), F.col("src").alias("vertex"), F.lit(1).cast("int").alias("dist")
     )
@@ -159,7 +180,7 @@ def seed_from_in_neighbors(graph: HopGraph, sources) -> DataFrame:
 # one expansion step
 # --------------------------------------------------------------------------
 def expand(graph: HopGraph, frontier: DataFrame, frontier_rows: int | None = None,
-           blocked: SourceSet | None = None, clean: bool = False) -> DataFrame:
+           blocked: SourceSet | None = None, clean: bool = False, buckets: list[int] | None = None) -> DataFrame:
     """Candidates ``(source, vertex, dist + 1)`` along every out-edge of the
     frontier, one row per edge (not yet reduced). Ids are in the graph's
     layout type.
@@ -170,6 +191,8 @@ def expand(graph: HopGraph, frontier: DataFrame, frontier_rows: int | None = Non
     whether broadcasting it is safe; ``None`` leaves the choice to Spark.
     ``clean``: the frontier is a layer of the round loop (exactly
     ``source, vertex, dist``, no NULL distance), so it is used as it is.
+    ``buckets``: the edge store's buckets that hold the frontier's edges; if
+    they are few and the frontier is small, only they are read.
     """
     spark = graph.spark
     f = frontier if clean else frontier.select("source", "vertex", "dist").where(F.col("dist").isNotNull())
@@ -180,6 +203,13 @@ def expand(graph: HopGraph, frontier: DataFrame, frontier_rows: int | None = Non
         b = _side(spark, b, blocked.count, row_bytes(1, blocked.max_len))
         f = f.join(b, (F.col("vertex") == F.col("blocked")) & (F.col("source") != F.col("blocked")), "left_anti")
 
+    width = row_bytes(2, max(graph.max_id_length, blocked.max_len if blocked else 1), fixed_cols=3)
+    if buckets is not None and 2 * len(buckets) <= graph.store.buckets and fits_broadcast(spark, frontier_rows, width):
+        f = f.select("source", "vertex", "dist", bucket_of("vertex", graph.store.buckets).alias("f_bucket"))
+        e = graph.store.scan("out", buckets).select("bucket", "src", F.col("dst").alias("e_dst"))
+        near = e.join(F.broadcast(f), (F.col("bucket") == F.col("f_bucket")) & (F.col("src") == F.col("vertex")))
+        return near.select("source", F.col("e_dst").alias("vertex"), next_hop(F.col("dist")).alias("dist"))
+
     max_salts = 1
     if graph.hot is not None:
         h = F.broadcast(graph.hot)
@@ -230,6 +260,7 @@ class Traversal:
     converged: bool
     mode: str
     absorbing: bool = False
+    rows_rewritten: int = 0  # by merging layers
     _distances: DataFrame | None = field(default=None, repr=False)
 
     @property
@@ -310,46 +341,77 @@ def _compact(layers: list[tuple[DataFrame, int]], mode: str) -> tuple[DataFrame,
 
 def iterate(graph: HopGraph, initial: DataFrame, *, mode: str = "bfs", max_rounds: int | None = None,
             blocked: SourceSet | None = None, sources: SourceSet | None = None,
-            compact_every: int = DEFAULT_COMPACT_EVERY) -> Traversal:
+            compact_every: int = DEFAULT_COMPACT_EVERY, log: GenerationLog | None = None,
+            past: list[tuple[int, int]] | None = None, front_dist: int | None = None,
+            done: bool = False) -> Traversal:
     """Run rounds from ``initial`` ``(source, vertex, dist)`` rows (ids in the
-    graph's layout type; all rows active in round 1) until a round changes
-    nothing or ``max_rounds`` ran."""
+    graph's layout type) until a round changes nothing or ``max_rounds`` ran.
+
+    All rows are active in the first round; with ``front_dist`` only those at
+    that distance are, the others being visited before. ``past``: the rounds
+    that led there, ``done`` if they led to the fixpoint. ``log``: commit each
+    round to it.
+    """
     if mode not in ("bfs", "relax"):
         raise ValueError(f"unknown mode {mode!r}")
     spark = graph.spark
     p = graph.state_partitions(sources.count if sources is not None else 1)
-    stats: list[tuple[int, int]] = []
-    converged = False
+    stats: list[tuple[int, int]] = list(past or [])
+    converged = done
+    rewritten = 0
+    store = graph.store
+    metrics = None if store is None else lambda name: bitmap_columns(name("vertex"), store.buckets)
+
+    def touched(seen: dict) -> list[int] | None:
+        return None if store is None else buckets_in([seen[f"b{w}"] for w in range(len(seen) - 1)])
+
+    def commit(reached: DataFrame | None, rows: int, distance: int | None) -> None:
+        if log is not None:
+            told = {} if distance is None else {"front_dist": distance}
+            log.append(None if reached is None else _to_public(graph, reached), rows, stats, converged=converged, **told)
+
     with scoped_conf(spark, iteration_settings(p)):
         start = initial.select("source", "vertex", F.col("dist").cast("int").alias("dist")).where(
             F.col("dist").isNotNull()
         )
         start = reduce_candidates(start.repartition(p, "source", "vertex")).sortWithinPartitions("source", "vertex")
-        layer0, n0 = materialize(start)
+        layer0, n0, seen = materialize_observed(start, metrics)
         layers: list[tuple[DataFrame, int]] = [(layer0, n0)]
         probes = [_probe_view(layer0)]
-        frontier, n_front = layer0, n0
-        rnd = 0
-        while max_rounds is None or rnd < max_rounds:
+        frontier, n_front, near = layer0, n0, touched(seen)
+        if front_dist is not None:
+            frontier, n_front, seen = materialize_observed(layer0.where(F.col("dist") == front_dist).sortWithinPartitions("source", "vertex"), metrics)
+            near = touched(seen)
+        elif log is not None:
+            front_dist = layer0.agg(F.max("dist")).first()[0] if mode == "bfs" else None
+            commit(layer0, n0, front_dist)
+        rnd = len(stats)
+        while not done and (max_rounds is None or rnd < max_rounds):
             rnd += 1
             if n_front == 0:
                 stats.append((rnd, 0))
                 converged = True
                 break
-            cand = reduce_candidates(expand(graph, frontier, n_front, blocked, clean=True))
+            cand = reduce_candidates(expand(graph, frontier, n_front, blocked, clean=True, buckets=near))
             new = _layer_anti_join(cand, probes).sortWithinPartitions("source", "vertex")
-            new, n = materialize(new)
+            new, n, seen = materialize_observed(new, metrics)
             stats.append((rnd, n))
-            log.info("round %d: %d updated", rnd, n)
+            log_round(rnd, n)
             if n == 0:
                 converged = True
                 break
+            front_dist = None if front_dist is None else front_dist + 1
+            commit(new, n, front_dist)
             layers.append((new, n))
             probes.append(_probe_view(new))
-            frontier, n_front = new, n
-            if len(layers) > compact_every:
-                layers = [_compact(layers, mode)]
-                probes = [_probe_view(layers[0][0])]
+            frontier, n_front, near = new, n, touched(seen)
+            at = tail_to_merge([rows for _, rows in layers], compact_every)
+            if at < len(layers):
+                rewritten += sum(rows for _, rows in layers[at:])
+                layers[at:] = [_compact(layers[at:], mode)]
+                probes[at:] = [_probe_view(layers[at][0])]
+        if converged and not done:
+            commit(None, 0, None)
     return Traversal(
         graph=graph,
         sources=sources,
@@ -358,31 +420,61 @@ def iterate(graph: HopGraph, initial: DataFrame, *, mode: str = "bfs", max_round
         converged=converged,
         mode=mode,
         absorbing=blocked is not None,
+        rows_rewritten=rewritten,
     )
 
 
+def log_round(rnd: int, updated: int) -> None:
+    logger.info("round %d: %d updated", rnd, updated)
+
+
 # --------------------------------------------------------------------------
 # user-facing traversals
 # --------------------------------------------------------------------------
 def shortest_paths(graph: HopGraph, sources, *, max_rounds: int | None = None,
                    stop_at_other_sources: bool = False, seed_sinks: bool = False,
-                   compact_every: int = DEFAULT_COMPACT_EVERY) -> Traversal:
+                   compact_every: int = DEFAULT_COMPACT_EVERY, log: str | None = None) -> Traversal:
     """Hop distance from every source to every vertex it reaches, along
     out-edges, run to the fixpoint (or ``max_rounds`` rounds).
 
     Any number of sources share each round. ``stop_at_other_sources=True``
     makes every source absorbing in the other sources' traversals: it is
     reached with its true distance, but nothing is reached through it.
+    ``log``: a folder in which each round is kept (:func:`continue_paths`).
     """
     ss = source_set(graph.spark, sources)
     seeds = _seeds_at_sources(graph, ss, seed_sinks)
     return iterate(graph, seeds, mode="bfs", max_rounds=max_rounds,
                    blocked=ss if stop_at_other_sources else None, sources=ss,
-                   compact_every=compact_every)
+                   compact_every=compact_every, log=_new_log(graph, log, ss, "bfs", stop_at_other_sources))
+
+
+def _new_log(graph: HopGraph, path: str | None, ss: SourceSet, mode: str, absorbing: bool) -> GenerationLog | None:
+    if path is None:
+        return None
+    made = GenerationLog(graph.spark, path)
+    made.begin(ss.frame, ss.values, mode=mode, absorbing=absorbing)
+    return made
+
+
+def continue_paths(graph: HopGraph, log: str, *, max_rounds: int | None = None,
+                   compact_every: int = DEFAULT_COMPACT_EVERY) -> Traversal:
+    """Take a traversal up from the last whole generation of its log and go on
+    logging. Only the rows of the last round are expanded first, so the rounds
+    and their updates are those of a traversal that never stopped.
+    ``max_rounds`` counts from the traversal's start."""
+    kept = open_generation(graph.spark, log)
+    ss = source_set(graph.spark, kept.sources())
+    record = kept.record
+    return iterate(graph, _to_internal(graph, kept.state()), mode=record["mode"],
+                   max_rounds=max_rounds,
+                   blocked=ss if record["absorbing"] else None, sources=ss, compact_every=compact_every,
+                   log=GenerationLog(graph.spark, log), past=kept.stats, front_dist=record.get("front_dist"),
+                   done=kept.converged)
 
 
 def bounded_relaxation(graph: HopGraph, sources, rounds: int | None = None,
-                       compact_every: int = DEFAULT_COMPACT_EVERY) -> Traversal:
+                       compact_every: int = DEFAULT_COMPACT_EVERY, log: str | None = None) -> Traversal:
     """Relaxation seeded at the in-neighbours of each source (distance 1),
     run along out-edges to the fixpoint, or for at most ``rounds`` rounds
     (``converged`` of the result says whether that cut anything off).
@@ -394,7 +486,8 @@ def bounded_relaxation(graph: HopGraph, sources, rounds: int | None = None,
     """
     ss = source_set(graph.spark, sources)
     seeds = _seeds_at_in_neighbors(graph, ss)
-    return iterate(graph, seeds, mode="bfs", max_rounds=rounds, sources=ss, compact_every=compact_every)
+    return iterate(graph, seeds, mode="bfs", max_rounds=rounds, sources=ss, compact_every=compact_every,
+                   log=_new_log(graph, log, ss, "bfs", False))
 
 
 def resume_shortest_paths(graph: HopGraph, state: DataFrame, *, sources=None,

@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass, field
+from typing import TYPE_CHECKING
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
@@ -36,6 +37,9 @@ from hopscope.plans.session import (
     scoped_conf,
 )
 
+if TYPE_CHECKING:
+    from hopscope.plans.edge_store import EdgeStore
+
 # A vertex is only salted once it has at least this many distinct out-edges,
 # whatever the partition count (tiny graphs need no salting).
 MIN_CHUNK = 10_000
@@ -68,6 +72,7 @@ class HopGraph:
     max_id_length: int
     chunk: int
     id_type: str = "string"
+    store: EdgeStore | None = None  # the edges as a pruned table, if they are kept as one
     _keys: DataFrame | None = field(default=None, repr=False)
     _aliased: DataFrame | None = field(default=None, repr=False)
     _approx_vertices: int | None = field(default=None, repr=False)
@@ -197,7 +202,28 @@ def prepare_graph(edges: DataFrame, partitions: int | None = None, chunk: int |
     """
     spark = edges.sparkSession
     uniq = normalize_edges(edges).distinct().persist(StorageLevel.MEMORY_AND_DISK)
+    deg, stats = degree_statistics(uniq)
+    m = stats["m"]
+    p = partitions or layout_partitions(m, default_partitions(spark))
+    id_type = stats["id_type"] if numeric_ids is not False else "string"
+    c = chunk_size(spark, m, p, stats["max_len"], chunk)
+    laid_out, hot = lay_out(spark, uniq, deg, stats["max_deg"], p, c, id_type)
+    laid_out.count()
+    uniq.unpersist()
+    return HopGraph(
+        edges=laid_out,
+        hot=hot,
+        partitions=p,
+        num_edges=m,
+        max_out_degree=stats["max_deg"],
+        max_id_length=stats["max_len"],
+        chunk=c,
+        id_type=id_type,
+    )
 
+
+def degree_statistics(uniq: DataFrame) -> tuple[DataFrame, dict]:
+    """Out-degrees of distinct edges, and one row of figures about them."""
     # Out-degree per vertex: partial counts before the shuffle, so a hub sends
     # one row per map task, not one per edge.
     deg = uniq.groupBy("src").agg(
@@ -210,18 +236,26 @@ def prepare_graph(edges: DataFrame, partitions: int | None = None, chunk: int |
         F.coalesce(F.max("deg"), F.lit(0)).alias("max_deg"),
         F.coalesce(F.greatest(F.max(F.length("src")), F.max("dst_len")), F.lit(1)).alias("max_len"),
         (F.coalesce(F.sum("odd_dst"), F.lit(0)) + F.count_if(~canonical_long(F.col("src")))).alias("odd"),
-    ).first()
-    m, max_deg, max_len = int(stats["m"]), int(stats["max_deg"]), int(stats["max_len"])
-    p = partitions or layout_partitions(m, default_partitions(spark))
-    id_type = "long" if int(stats["odd"]) == 0 and numeric_ids is not False else "string"
-    typed = uniq.select(F.col("src").cast(id_type).alias("src"), F.col("dst").cast(id_type).alias("dst"))
+    ).first().asDict()
+    stats = {k: int(v) for k, v in stats.items()}
+    return deg, stats | {"id_type": "long" if stats["odd"] == 0 else "string"}
+
+
+def chunk_size(spark, m: int, p: int, max_len: int, chunk: int | None) -> int:
+    """Most edges of one vertex in a salted group of a layout in ``p`` partitions."""
     c = chunk or max(MIN_CHUNK, math.ceil(m / (CHUNKS_PER_PARTITION * p)))
     # There are at most m / c hot vertices; keep that many rows within the
     # broadcast limit (never fewer than the default bound allowed), whatever
     # c was asked.
     max_hot = max(CHUNKS_PER_PARTITION * p, broadcast_limit(spark) // row_bytes(1, max_len, fixed_cols=1))
-    c = max(c, math.ceil(m / max_hot), 1)
+    return max(c, math.ceil(m / max_hot), 1)
 
+
+def lay_out(spark, uniq: DataFrame, deg: DataFrame, max_deg: int, p: int, c: int, id_type: str) -> tuple[DataFrame, DataFrame | None]:
+    """The edges, salted, co-partitioned and persisted (computed when first
+    read), and the hot vertices if there are any. ``deg`` has the out-degrees
+    over ``c`` at least."""
+    typed = uniq.select(F.col("src").cast(id_type).alias("src"), F.col("dst").cast(id_type).alias("dst"))
     hot = None
     if max_deg > c:
         # At most m / c <= p rows: a proven bound, so broadcasting it is safe.
@@ -240,18 +274,5 @@ def prepare_graph(edges: DataFrame, partitions: int | None = None, chunk: int |
     else:
         salted = typed
         keys = ["src"]
-
     with scoped_conf(spark, iteration_settings(p)):
-        laid_out = salted.repartition(p, *keys).sortWithinPartitions(*keys).persist(StorageLevel.MEMORY_AND_DISK)
-        laid_out.count()
-    uniq.unpersist()
-    return HopGraph(
-        edges=laid_out,
-        hot=hot,
-        partitions=p,
-        num_edges=m,
-        max_out_degree=max_deg,
-        max_id_length=max_len,
-        chunk=c,
-        id_type=id_type,
-    )
+        return salted.repartition(p, *keys).sortWithinPartitions(*keys).persist(StorageLevel.MEMORY_AND_DISK), hot

@@ -6,9 +6,9 @@ from __future__ import annotations
 import contextlib
 import re
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 _SIZE_UNITS = {
@@ -35,7 +35,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
             raise RuntimeError(
                 "spark.checkpoint.dir is not set: point it at shared storage "
                 "(HDFS, S3, ...) before running iterative graph jobs"
@@ -112,8 +112,14 @@ def row_bytes(string_cols: int, max_len: int, fixed_cols: int = 0) -> int:
 
 
 def materialize(df: DataFrame) -> tuple[DataFrame, int]:
+    """``df`` computed once and kept in the checkpoint folder, and its row count."""
+    return materialize_observed(df)[:2]
+
+
+def materialize_observed(df: DataFrame, metrics: Callable[[Callable[[str], str]], list[Column]] | None = None) -> tuple[DataFrame, int, dict]:
     """Compute ``df`` once, write it to the reliable checkpoint folder, and
-    return the checkpointed frame with its row count.
+    return the checkpointed frame with its row count and the further ``metrics``,
+    named aggregates (a function that is told each column's temporary name).
 
     The eager checkpoint computes the plan a single time while writing it;
     the row count is an observed metric of that same job, so no second pass
@@ -129,6 +135,7 @@ def materialize(df: DataFrame) -> tuple[DataFrame, int]:
     cols = df.columns
     staged = df.select([F.col(c).alias(f"__m{i}") for i, c in enumerate(cols)])
     obs = Observation()
-    saved = staged.observe(obs, F.count(F.lit(1)).alias("rows")).checkpoint(eager=True)
+    more = metrics(lambda c: f"__m{cols.index(c)}") if metrics else []
+    saved = staged.observe(obs, F.count(F.lit(1)).alias("rows"), *more).checkpoint(eager=True)
     out = saved.select([F.col(f"__m{i}").alias(c) for i, c in enumerate(cols)])
-    return out, int(obs.get["rows"])
+    return out, int(obs.get["rows"]), obs.get
