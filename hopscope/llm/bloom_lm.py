@@ -40,6 +40,7 @@ follows the longest.
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -63,7 +64,7 @@ BROADCAST_BYTES = 256 << 20
 COUNTED = 4 << 20
 #: Bytes of words that are hashed together, and of texts that are scored together.
 HASHED = 1 << 20
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 5 << 20
 #: Rows of a batch of counts.
 PASSED = 1 << 18
 #: The most shards that are made without sorting the counts.
@@ -177,19 +178,33 @@ def filled(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.packbits(bits, bitorder="little")
 
 
+def _there(bits: np.ndarray, h: np.ndarray, step: np.ndarray, i: int) -> np.ndarray:
+    at = _place(h, step, i)
+    return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
+
+
 def probed(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """The level of each key in a shard, by probes until one is missing."""
+    """The level of each key in a shard, by probes until one is missing: level by
+    level, and for the last few keys some levels at once."""
     level = np.zeros(len(keys), np.uint8)
     left = np.arange(len(keys))
-    for j in range(1, len(LEVELS) + 1):
-        h, step = _drawn(keys[left], j)
-        for i in range(PROBES):
-            at = _place(h, step, i)
-            there = (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
-            left, h, step = left[there], h[there], step[there]
-        if not len(left):
-            break
-        level[left] = j
+    j = 0
+    while len(left) and j < len(LEVELS):
+        if len(left) > 200:
+            j += 1
+            h, step = _drawn(keys[left], j)
+            for i in range(PROBES):
+                there = _there(bits, h, step, i)
+                left, h, step = left[there], h[there], step[there]
+            level[left] = j
+            continue
+        wide = min(32, len(LEVELS) - j)
+        h = mixed(keys[left][:, None] + np.arange(j + 1, j + wide + 1, dtype=np.uint64) * np.uint64(_STEP))
+        step = (h >> np.uint64(32)) | np.uint64(1)
+        there = functools.reduce(np.logical_and, (_there(bits, h, step, i) for i in range(PROBES)))
+        run = np.where(there.all(axis=1), wide, there.argmin(axis=1))
+        level[left] = j + run
+        left, j = left[run == wide], j + wide
     return level
 
 
