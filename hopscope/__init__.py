@@ -5,6 +5,7 @@ README for the operator list.
 """
 
 from hopscope.operators.adjacency import adjacency_text, to_adjacency, to_edges
+from hopscope.operators.bitsets import BitTraversal, bit_paths
 from hopscope.operators.sampling import (
     HashCut,
     IdSample,
