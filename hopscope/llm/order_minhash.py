@@ -15,10 +15,15 @@ Exact copies (same words, any case and white space) meet first, by a hash of
 their words, so one text stands for each group. Texts with a common signature
 are candidates. First the members of a bucket are compared with few centres,
 drawn anew for each bucket, one or (large buckets) ``CENTRES``. Buckets whose
-members are of different components then are compared whole: small ones by a
-join, large ones in blocks of about ``BLOCK`` members against each other, inside
-tasks that hold the shingles of two blocks at a time and return only links. A
-pair of large buckets is met at the first signature that it shares.
+members are of different components then are compared further, small ones whole,
+by a join. Members of large ones meet by an exact prefix filter: of two texts
+that match to 0.8 each has n - 0.8 n + 1 shingles, the rarest in one order of
+all, among which they share one. The order is by counts of shingles in
+``SLOTS`` slots of a hash, then by the shingle, so it is the same for all texts;
+a passage that many texts share comes last. Prefixes that meet with others of
+different components are compared: few by a join, many in blocks inside tasks,
+those outside the largest component against all. A task holds two blocks of
+shingles and returns only links; a pair is met at its first common shingle.
 A sketch holds ``BINS`` binned minima of a text's shingles; a pair is dropped
 early if they agree in fewer bins than four standard deviations below what
 the bound would give for texts of their lengths.
@@ -47,7 +52,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from hopscope.llm.common import attach, stored
 
@@ -60,7 +64,10 @@ SHORT_SKETCHES = 66
 CENTRES = 2
 #: Members of a bucket that is joined with itself if it has to be.
 SMALL = 8
-BLOCK = 256
+#: Members outside and of all components that are compared in one group.
+BLOCK, OTHERS = 256, 1024
+#: Slots of shingle counts, four bytes each, that are broadcast.
+SLOTS = 1 << 20
 BINS = 128
 
 
@@ -86,8 +93,9 @@ def labelled_shingles(words: list[bytes], k: int = SHINGLE) -> np.ndarray:
         at = np.arange(n)
         label = np.empty(n, np.uint64)
         label[order] = at - np.maximum.accumulate(np.where(new, at, 0))
-        h = (h + label * np.uint64(0xC2B2AE3D27D4EB4F)) * np.uint64(0x9E3779B97F4A7C15)
-        h ^= h >> np.uint64(29)
+        again = (h + label * np.uint64(0xC2B2AE3D27D4EB4F)) * np.uint64(0x9E3779B97F4A7C15)
+        again ^= again >> np.uint64(29)
+        h = np.where(label > 0, again, h)  # a first occurrence is the same in texts with and without repeats
     return h
 
 
@@ -248,43 +256,102 @@ def _small_pairs(left: DataFrame) -> DataFrame:
     return _likely_pairs(few.join(other, ["band", "sig"]).where(F.expr(FITS) & (F.col("h") < F.col("o")) & (F.col("root") != F.col("o_root"))))
 
 
-def _block_links(left: DataFrame, texts: DataFrame) -> DataFrame:
+def prefix_size(n: int) -> int:
+    """The rarest shingles of n of which a text that matches shares one."""
+    return n - math.ceil(SIMILARITY * n - 1e-9) + 1
+
+
+def slot_of(held: np.ndarray) -> np.ndarray:
+    return ((held * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)).astype(np.int64) % SLOTS
+
+
+def prefix(held: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """A text's rarest shingles, in the order that all texts share."""
+    return held[np.lexsort((held, counts[slot_of(held)]))[: prefix_size(len(held))]]
+
+
+def _shingle_counts(held: DataFrame) -> np.ndarray:
+    """Shingles by slot, capped at what four bytes hold."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        told = np.zeros(SLOTS, np.int64)
+        for batch in batches:
+            np.add.at(told, slot_of(np.frombuffer(b"".join(batch.column(0).to_pylist()), "<u8")), 1)
+        met = np.flatnonzero(told)
+        yield pa.RecordBatch.from_arrays([pa.array(met, pa.int64()), pa.array(told[met])], ["slot", "n"])
+
+    out = np.zeros(SLOTS, np.uint32)
+    sums = held.select("held").mapInArrow(run, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    out[sums.column("slot").to_numpy()] = np.minimum(sums.column("n").to_numpy(), np.iinfo(np.uint32).max)
+    return out
+
+
+def _prefix_links(left: DataFrame, texts: DataFrame) -> DataFrame:
     """Verified links of members of large buckets that are not of one component."""
-    many = left.where(F.col("n") > SMALL)
+    spark = left.sparkSession
 
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            held, sigs = [], []
-            for text in batch.column(1):
-                words = text_words(text.as_py())
-                held.append(labelled_shingles(words).astype("<u4").tobytes())
-                sigs.append(np.array(signatures(words), "<i8").tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(held, pa.binary()), pa.array(sigs, pa.binary())], ["h", "held", "sigs"])
+            held = [labelled_shingles(text_words(t.as_py())).astype("<u8").tobytes() for t in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(held, pa.binary())], ["h", "root", "held"])
 
-    wanted = texts.select("h", "text").join(many.select("h").distinct(), "h", "left_semi")
-    held = stored(wanted.mapInArrow(shingled, "h binary, held binary, sigs binary"), "omh-held")
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    mine = many.withColumn("p", F.pmod(F.xxhash64("h"), blocks).cast("int")).withColumn("q", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    mine = mine.select("band", "sig", F.least("p", "q").alias("lo"), F.greatest("p", "q").alias("hi"), "p", "h", "bins", "root").join(held, "h")
+    many = left.where(F.col("n") > SMALL).select("h", "root").distinct()
+    held = stored(many.join(texts, "h").select("h", "root", "text").mapInArrow(shingled, "h binary, root binary, held binary"), "omh-held")
+    counts = spark.sparkContext.broadcast(_shingle_counts(held))
+
+    def prefixed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            all_held = [np.frombuffer(x, "<u8") for x in batch.column(2).to_pylist()]
+            rarest = [prefix(x, counts.value) for x in all_held]
+            row = pa.array(np.repeat(np.arange(len(rarest)), [len(x) for x in rarest]))
+            words = pa.array([len(x) + SHINGLE - 1 for x in all_held], pa.int64())
+            keys = np.concatenate(rarest).view(np.int64) if rarest else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(keys), batch.column(0).take(row), batch.column(1).take(row), words.take(row)], ["key", "h", "root", "n_words"])
+
+    rows = stored(held.mapInArrow(prefixed, "key long, h binary, root binary, n_words long"), "omh-prefixes")
+    sizes = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi"), F.mode("root", True).alias("main"))
+    open_rows = stored(rows.join(sizes.where("lo != hi").drop("lo", "hi"), "key"), "omh-open")
+
+    few = open_rows.where(F.col("n") <= SMALL).select("key", "h", "root", "n_words")
+    other = few.select("key", F.col("h").alias("o"), F.col("root").alias("o_root"), F.col("n_words").alias("m_words"))
+    pairs = few.join(other, "key").where(F.expr(FITS) & (F.col("h") < F.col("o")) & (F.col("root") != F.col("o_root")))
+    pairs = stored(pairs.select(F.col("h").alias("a"), F.col("o").alias("b")).distinct(), "omh-prefix-pairs")
+    by_pair = stored(_verified(pairs, texts).where("ok").select("a", "b"), "omh-prefix-links")
+    return by_pair.unionByName(stored(_block_links(open_rows.where(F.col("n") > SMALL), held, counts), "omh-blocks"))
+
+
+def _block_links(crowded: DataFrame, held: DataFrame, counts) -> DataFrame:
+    """Links of the members (key, h, root, n, main) of a prefix shingle, those
+    outside its main component in blocks against all members in blocks."""
+    outside = F.col("root") != F.col("main")
+    sizes = crowded.groupBy("key").agg(F.count_if(outside).alias("k"))
+    crowded = crowded.join(sizes, "key").select("key", "h", "root", outside.alias("out"), F.ceil(F.col("k") / BLOCK).cast("int").alias("qs"), F.ceil(F.col("n") / OTHERS).cast("int").alias("rs"))
+    own_q, own_r = F.pmod(F.xxhash64("h"), F.col("qs")).cast("int"), F.pmod(F.xxhash64("h", "key"), F.col("rs")).cast("int")
+    mine = crowded.where("out").select("key", "h", "root", F.lit(True).alias("first"), own_q.alias("q"), F.explode(F.sequence(F.lit(0), F.col("rs") - 1)).alias("r"))
+    others = crowded.select("key", "h", "root", F.lit(False).alias("first"), F.explode(F.sequence(F.lit(0), F.col("qs") - 1)).alias("q"), own_r.alias("r"))
+    dealt = mine.unionByName(others).join(held.select("h", "held"), "h")
 
     def run(group: pa.Table) -> pa.Table:
-        band, lo, hi = (group.column(c)[0].as_py() for c in ("band", "lo", "hi"))
-        h, p = group.column("h").to_pylist(), group.column("p").to_numpy()
-        root = np.unique(np.array([r.hex() for r in group.column("root").to_pylist()]), return_inverse=True)[1]
-        bins = sketches(group.column("bins").to_pylist())
-        held = [np.frombuffer(x, "<u4") for x in group.column("held").to_pylist()]
-        sigs = np.stack([np.frombuffer(x, "<i8", band) for x in group.column("sigs").to_pylist()])
+        key = np.int64(group.column("key")[0].as_py()).view(np.uint64)
+        first = group.column("first").to_numpy()
+        h, root = group.column("h").to_pylist(), group.column("root").to_pylist()
+        held = [np.frombuffer(x, "<u8") for x in group.column("held").to_pylist()]
         n = np.array([len(x) for x in held])
-        right, links = np.flatnonzero(p == hi), []
-        for i in np.flatnonzero(p == lo):
-            js = right[(root[right] != root[i]) & ((lo != hi) | (right > i))]
-            js = js[np.minimum(n[i], n[js]) >= SIMILARITY * np.maximum(n[i], n[js])]
-            js = js[(sigs[js] != sigs[i]).all(axis=1)]
+        roots = np.unique(np.array([r.hex() for r in root]), return_inverse=True)[1]
+        bins = sketches([sketch(x) for x in held])
+        rarest = {i: prefix(held[i], counts.value) for i in range(len(held))}
+        right, links = np.flatnonzero(~first), []
+        for i in np.flatnonzero(first):
+            js = right[(roots[right] != roots[i]) & (np.minimum(n[i], n[right]) >= SIMILARITY * np.maximum(n[i], n[right]))]
             js = js[likely(bins[i], bins[js], n[i], n[js])]
-            links += [sorted((h[i], h[j])) for j in js if same(held[i], held[j])]
+            for j in js:
+                # Prefixes are in one order, so the first of mine that the other has is the pair's first common one.
+                common = rarest[i][np.isin(rarest[i], rarest[j])]
+                if common[0] == key and same(held[i], held[j]):
+                    links.append(sorted((h[i], h[j])))
         return pa.table({"a": pa.array([x for x, _ in links], pa.binary()), "b": pa.array([x for _, x in links], pa.binary())})
 
-    return mine.groupBy("band", "sig", "lo", "hi").applyInArrow(run, "a binary, b binary")
+    return dealt.groupBy("key", "q", "r").applyInArrow(run, "a binary, b binary").distinct()
 
 
 def _links(members: DataFrame, texts: DataFrame) -> DataFrame:
@@ -294,7 +361,7 @@ def _links(members: DataFrame, texts: DataFrame) -> DataFrame:
     left = stored(_open(members.join(roots, "h", "left").withColumn("root", F.coalesce("root", "h"))), "omh-left")
     more = stored(_small_pairs(left).join(known, ["a", "b"], "left_anti"), "omh-pairs")
     found = stored(_verified(more, texts).where("ok").select("a", "b"), "omh-small")
-    return known.where("ok").select("a", "b").unionByName(found).unionByName(stored(_block_links(left, texts), "omh-blocks"))
+    return known.where("ok").select("a", "b").unionByName(found).unionByName(_prefix_links(left, texts))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -349,11 +416,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def deduplicate(docs: DataFrame) -> DataFrame:
     """The documents, all columns as they were, one of each class: its first by
     (doc_id, fp); of repeated rows of that, one."""
-    first = Window.partitionBy("__id", "__fp").orderBy(F.lit(1))
     keep = near_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("fp") == F.col("class_fp")))
-    keep = keep.groupBy(F.col("doc_id").alias("__id"), F.col("fp").alias("__fp")).agg(F.count("*").alias("__n"))
-    marked = docs.withColumn("__md5", F.md5(F.coalesce("text", F.lit(""))))
-    met = marked.join(keep, marked["doc_id"].eqNullSafe(F.col("__id")) & (F.col("__md5") == F.col("__fp")))
-    once = met.where("__n = 1")
-    many = met.where("__n > 1").withColumn("__r", F.row_number().over(first)).where("__r = 1").drop("__r")
-    return once.unionByName(many).select(docs.columns)
+    keep = keep.groupBy("doc_id", "fp").agg(F.count("*").alias("n"))
+    # Whole rows in one column: no name of theirs can clash.
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    md5 = F.md5(F.coalesce(F.col("row.text"), F.lit("")))
+    met = rows.join(keep, F.col("row.doc_id").eqNullSafe(F.col("doc_id")) & (md5 == F.col("fp")))
+    once = met.where("n = 1").select("row.*")
+    # Repeated rows: partial minima first, so that no task gathers them.
+    many = met.where("n > 1").groupBy("doc_id", "fp").agg(F.any_value("row").alias("row")).select("row.*")
+    return once.unionByName(many)

@@ -152,7 +152,7 @@ def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return order_minhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id")
+    return order_minhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "fp", "class_fp")
 
 
 def repeated(docs: DataFrame) -> DataFrame:
