@@ -221,14 +221,6 @@ class Block:
         self.word[order] = np.cumsum(new) - 1
         self.pairs = pairs(self.tokens, self.begin)
 
-    def context(self, of_words: np.ndarray) -> np.ndarray:
-        """A figure of the token before each; there are as many starts as ends."""
-        mine = of_words[self.word]
-        before = np.roll(mine, 1)
-        if len(mine):
-            before[self.begin[:-1]] = mine[self.begin[1:] - 1]
-        return before
-
 
 @dataclass
 class Shard:
@@ -249,6 +241,7 @@ def _shard(bits: bytes, words: bytes, counts: bytes) -> Shard:
 
 def _by_shard(keys: np.ndarray, shards: int) -> Iterator[tuple[int, np.ndarray]]:
     of = shard_of(keys, shards)
+    of = of.astype(np.uint16) if shards <= 1 << 16 else of  # sorted by digits
     order = np.argsort(of, kind="stable")
     edge = np.searchsorted(of[order], np.arange(shards + 1))
     for s in range(shards):
@@ -411,31 +404,83 @@ def _made_shards(words: DataFrame, texts: DataFrame, shards: int) -> DataFrame:
     return both.mapInArrow(run, "shard int, bits binary, words binary, counts binary")
 
 
-def _weights(model: Model, texts: DataFrame) -> np.ndarray:
-    """L by level of the context, from all training tokens, each left out of its own counts."""
+RESULTS = ("n_tokens", "n_known", "base_score", "score")
 
-    first = model.first()
+
+def _looked_up(rows: DataFrame, model: Model) -> DataFrame:
+    """``rows`` with their last column, the text, replaced by n_tokens, n_known,
+    base_score, and a byte for each token's level and for each pair's."""
+    names, first = rows.columns, model.first()
 
     def run(batch: pa.RecordBatch, block: Block, exact: np.ndarray, level: np.ndarray, pair: np.ndarray) -> pa.RecordBatch:
-        before = block.context(level)
-        rest = VALUES[before] - 1
-        high = np.where(rest > 0, np.clip(VALUES[pair] - 1, 0, np.maximum(rest, 0)) / np.maximum(rest, 1e-9), 0)
-        low = first(np.maximum(VALUES[level] - 1, 0))[block.word]
-        share, n = np.bincount(before, high / (high + low), 256), np.bincount(before, minlength=256)
+        lo = block.begin[:-1]
+        of_text = lambda x: np.add.reduceat(x, lo) if len(lo) else x[:0]
+        columns = [pa.array(np.diff(block.begin), pa.int64()), pa.array(of_text((exact > 0)[block.word].astype(np.int64)), pa.int64()), pa.array(of_text(np.log10(first(exact))[block.word]))]
+        for x in (level[block.word], pair):
+            raw = x.tobytes()
+            columns.append(pa.array([raw[i:j] for i, j in zip(block.begin[:-1], block.begin[1:], strict=True)], pa.binary()))
+        return pa.RecordBatch.from_arrays([*batch.columns[:-1], *columns], [*names[:-1], "n_tokens", "n_known", "base_score", "levels", "pairs"])
+
+    kept = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.schema.fields[:-1])
+    return model.work(rows, names[-1], run, f"{kept}n_tokens long, n_known long, base_score double, levels binary, pairs binary")
+
+
+def _levels(levels: pa.Array, pairs: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Levels of tokens, of contexts and of pairs, and where each text's begin."""
+    begin = np.append(0, np.cumsum(pc.binary_length(levels).to_numpy(zero_copy_only=False).astype(np.int64)))
+    level, pair = (np.frombuffer(b"".join(x.to_pylist()), np.uint8) for x in (levels, pairs))
+    before = np.roll(level, 1)
+    if len(level):
+        before[begin[:-1]] = level[begin[1:] - 1]  # there are as many starts as ends
+    return level, before, pair, begin
+
+
+def _weights(model: Model, looked: DataFrame) -> np.ndarray:
+    """L by level of the context, from all training tokens, each left out of its own counts."""
+    first = model.first()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, share = np.zeros(256, np.int64), np.zeros(256)
+        for batch in batches:
+            for piece in pieces(batch, 0, PIECE_BYTES):
+                level, before, pair, _ = _levels(*piece.columns)
+                rest = VALUES[before] - 1
+                high = np.where(rest > 0, np.clip(VALUES[pair] - 1, 0, np.maximum(rest, 0)) / np.maximum(rest, 1e-9), 0)
+                low = first(np.maximum(VALUES[level] - 1, 0))
+                share += np.bincount(before, high / (high + low), 256)
+                n += np.bincount(before, minlength=256)
         met = np.flatnonzero(n)
-        return pa.RecordBatch.from_arrays([pa.array(met.astype(np.int32)), pa.array(n[met], pa.int64()), pa.array(share[met])], ["level", "n", "share"])
+        yield pa.RecordBatch.from_arrays([pa.array(met.astype(np.int32)), pa.array(n[met]), pa.array(share[met])], ["level", "n", "share"])
 
     out = np.zeros(len(VALUES))
+    sums = looked.select("levels", "pairs").mapInArrow(run, "level int, n long, share double")
     # One row a level at most reaches the driver.
-    for r in model.work(texts, texts.columns[0], run, "level int, n long, share double").groupBy("level").agg(F.sum("n").alias("n"), F.sum("share").alias("share")).collect():
+    for r in sums.groupBy("level").agg(F.sum("n").alias("n"), F.sum("share").alias("share")).collect():
         out[r["level"]] = round(r["share"] / r["n"], 6) if r["level"] else 0
     return out
 
 
-def train(docs: DataFrame, train_rows: Column, text: str = "text") -> Model:
-    """The model of the texts of rows for which ``train_rows`` is true."""
-    spark = docs.sparkSession
-    texts = docs.where(train_rows).select(text)
+def _scored(looked: DataFrame, model: Model) -> DataFrame:
+    """``looked`` with levels and pairs replaced by the score."""
+    names, weights, first = looked.columns, model.weights, model.first()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in pieces(batch, len(names) - 1, PIECE_BYTES):
+                level, before, pair, begin = _levels(*piece.columns[-2:])
+                around, mix = VALUES[before], weights[before]
+                high = np.where(around > 0, np.minimum(VALUES[pair], around) / np.maximum(around, 1), 0)
+                told = np.log10(mix * high + (1 - mix) * first(VALUES[level]))
+                total = np.add.reduceat(told, begin[:-1]) if len(told) else told
+                yield pa.RecordBatch.from_arrays([*piece.columns[:-2], pa.array(total)], [*names[:-2], "score"])
+
+    kept = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in looked.schema.fields[:-2])
+    return looked.mapInArrow(run, f"{kept}score double")
+
+
+def _counted_model(texts: DataFrame, text: str) -> Model:
+    """The counts, without the weights."""
+    spark = texts.sparkSession
     words = stored(_counts(texts, lambda t, begin: t).drop("shard").groupBy("key").agg(F.sum("n").alias("n")), "lm-words")
     levels = F.least(F.col("n"), 1 + F.floor(F.log("n") / math.log(BASE)))  # of a word, at most
     row = words.agg(F.sum("n").alias("all"), F.count("*").alias("v"), F.sum(levels).alias("levels")).first()
@@ -448,32 +493,39 @@ def train(docs: DataFrame, train_rows: Column, text: str = "text") -> Model:
         held = [none] * shards
         for r in table.toLocalIterator():
             held[r["shard"]] = spark.sparkContext.broadcast((bytes(r["bits"]), bytes(r["words"]), bytes(r["counts"])))
-    model = Model(table, shards, n, v, held, np.zeros(len(VALUES)))
-    model.weights = _weights(model, texts)
+    return Model(table, shards, n, v, held, np.zeros(len(VALUES)))
+
+
+def train(docs: DataFrame, train_rows: Column, text: str = "text") -> Model:
+    """The model of the texts of rows for which ``train_rows`` is true."""
+    texts = docs.where(train_rows).select(text)
+    model = _counted_model(texts, text)
+    model.weights = _weights(model, _looked_up(texts, model))
     return model
 
 
-RESULTS = ("n_tokens", "n_known", "base_score", "score")
+def _packed(docs: DataFrame, text: str, *more: Column) -> tuple[list[str], DataFrame]:
+    """The other columns in one, so that none of their names can clash, and the text."""
+    others = [c for c in docs.columns if c != text and c not in RESULTS]
+    return others, docs.select(F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in others]).alias("row"), *more, F.col(f"`{text}`").alias("text"))
+
+
+def _unpacked(others: list[str], scored: DataFrame) -> DataFrame:
+    return scored.select(*[F.col("row").getField(c).alias(c) for c in others], *RESULTS)
 
 
 def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """``docs`` without ``text``, and n_tokens, n_known (tokens met in training),
     base_score and score (log10 probabilities)."""
-    others = [c for c in docs.columns if c != text and c not in RESULTS]
-    slim = docs.select(*others, text)
-    weights, first = model.weights, model.first()
-
-    def run(batch: pa.RecordBatch, block: Block, exact: np.ndarray, level: np.ndarray, pair: np.ndarray) -> pa.RecordBatch:
-        lo = block.begin[:-1]
-        of_text = lambda x: np.add.reduceat(x, lo) if len(lo) else x[:0]
-        before = block.context(level)
-        around = VALUES[before]
-        high = np.where(around > 0, np.minimum(VALUES[pair], around) / np.maximum(around, 1), 0)
-        mix = weights[before]
-        told = np.log10(mix * high + (1 - mix) * first(VALUES[level])[block.word])
-        columns = [np.diff(block.begin), of_text((exact > 0)[block.word].astype(np.int64)), of_text(np.log10(first(exact))[block.word]), of_text(told)]
-        columns = [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.float64(), pa.float64()), strict=True)]
-        return pa.RecordBatch.from_arrays([*batch.columns[:-1], *columns], [*others, *RESULTS])
-
-    kept = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in slim.schema.fields[:-1])
-    return model.work(slim, text, run, f"{kept}n_tokens long, n_known long, base_score double, score double")
+    others, rows = _packed(docs, text)
+    return _unpacked(others, _scored(_looked_up(rows, model), model))
+
+
+def train_and_score(docs: DataFrame, train_rows: Column, text: str = "text") -> tuple[Model, DataFrame]:
+    """The model of some rows and the scores of all, as :func:`train` and
+    :func:`score` give them; each text is looked up once, its levels kept."""
+    others, rows = _packed(docs, text, F.coalesce(train_rows, F.lit(False)).alias("learned"))
+    model = _counted_model(docs.where(train_rows).select(text), text)
+    looked = stored(_looked_up(rows, model), "lm-levels")
+    model.weights = _weights(model, looked.where("learned"))
+    return model, _unpacked(others, _scored(looked, model))

@@ -227,8 +227,8 @@ SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lo
 def op13_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = F.coalesce(fold(F.col("doc_id"), 5) == 1, F.lit(False))
-    model = bloom_lm.train(docs, ~held_out)
-    scored = bloom_lm.score(docs, model).withColumn("held_out", held_out).withColumn("train_tokens", F.lit(model.n_tokens).cast("long"))
+    model, scored = bloom_lm.train_and_score(docs, ~held_out)
+    scored = scored.withColumn("held_out", held_out).withColumn("train_tokens", F.lit(model.n_tokens).cast("long"))
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 

@@ -96,6 +96,16 @@ def test_scores_match_dictionaries(spark, tmp_path, monkeypatch, limit, unsorted
         assert mine[5] == pytest.approx(want[5], rel=1e-9) and mine[6] == pytest.approx(want[6], rel=1e-4)
 
 
+def test_a_trained_model_scores_other_tables(spark):
+    df = docs_df(spark, rows_of())
+    model, scored = bloom_lm.train_and_score(df, F.col("doc_id") % 2 == 0)
+    again = bloom_lm.score(df, bloom_lm.train(df, F.col("doc_id") % 2 == 0))
+    assert scored.columns == again.columns == ["doc_id", "n", "key", "shard", *bloom_lm.RESULTS]
+    key = lambda r: (r["doc_id"] is None, r["doc_id"] or 0, r["score"])
+    assert sorted(scored.collect(), key=key) == sorted(again.collect(), key=key)
+    assert bloom_lm.score(df.select("text").limit(3), model).columns == list(bloom_lm.RESULTS)
+
+
 def test_nothing_to_learn_from_and_empty_tables(spark):
     df = docs_df(spark, rows_of())
     model = bloom_lm.train(df, F.lit(False))
