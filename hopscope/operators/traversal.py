@@ -17,7 +17,10 @@ on ``(source, vertex)`` and sorted within partitions. A round:
 1. frontier rows of hot vertices are replicated once per salt;
 2. the frontier joins the cached edges on ``(vertex, salt)``: broadcast when
    its counted size fits the broadcast limit, otherwise shuffled to the edge
-   partitioning (the edges are never shuffled);
+   partitioning (the edges are never shuffled); vertices that many sources
+   reach at once, so that frontier rows times out-edges exceed ``WORK_CHUNK``,
+   are joined apart, their frontier rows split by source and their edges by
+   target, both copied as often as the other is split;
 3. candidates are reduced per ``(source, vertex)`` (partial aggregation before
    the shuffle, so a vertex with a huge in-degree costs one row per task);
 4. candidates merge-anti-join each layer in turn: layers share the
@@ -59,6 +62,8 @@ from hopscope.plans.session import (
 )
 
 DEFAULT_COMPACT_EVERY = 8
+#: Candidates of one vertex, frontier rows times out-edges, that one task makes.
+WORK_CHUNK = 4_000_000
 
 logger = logging.getLogger("hopscope")
 
@@ -179,8 +184,39 @@ def seed_from_in_neighbors(graph: HopGraph, sources) -> DataFrame:
 # --------------------------------------------------------------------------
 # one expansion step
 # --------------------------------------------------------------------------
+def heavy_vertices(graph: HopGraph, frontier: DataFrame, frontier_rows: int, sources: int) -> tuple[DataFrame, int] | None:
+    """(h_vertex, parts, salts) of the frontier's vertices that make more than
+    ``WORK_CHUNK`` candidates each, and how many these are; None if there are
+    none. There are at most candidates / WORK_CHUNK of them."""
+    most = min(frontier_rows, sources)
+    if most * graph.max_out_degree <= WORK_CHUNK:
+        return None
+    large = graph.large_degrees(WORK_CHUNK // most)
+    work = frontier.join(large, F.col("vertex") == F.col("d_vertex")).groupBy("d_vertex", "deg").agg(F.count("*").alias("n"))
+    salts = F.ceil(F.col("deg") / graph.chunk)
+    parts = F.ceil(F.col("n") * F.ceil(F.col("deg") / salts) / WORK_CHUNK)
+    heavy = work.where(F.col("n") * F.col("deg") > WORK_CHUNK)
+    found, n = materialize(heavy.select(F.col("d_vertex").alias("h_vertex"), parts.cast("int").alias("parts"), salts.cast("int").alias("salts")))
+    return (found, n) if n else None
+
+
+def _expand_heavy(graph: HopGraph, f: DataFrame, heavy: DataFrame) -> DataFrame:
+    """Candidates of heavy vertices, in parts of about ``WORK_CHUNK``."""
+    mine = f.join(heavy, F.col("vertex") == F.col("h_vertex")).select(
+        "source", "vertex", "dist", F.pmod(F.xxhash64("source"), F.col("parts")).cast("int").alias("part"),
+        F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("cell"),
+    )
+    e = graph.edges.select(F.col("src").alias("e_src"), F.col("dst").alias("e_dst"))
+    theirs = e.join(heavy, F.col("e_src") == F.col("h_vertex")).select(
+        "e_src", "e_dst", F.pmod(F.xxhash64("e_dst"), F.col("salts")).cast("int").alias("e_cell"),
+        F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("e_part"),
+    )
+    on = (F.col("vertex") == F.col("e_src")) & (F.col("part") == F.col("e_part")) & (F.col("cell") == F.col("e_cell"))
+    return mine.join(theirs.hint("merge"), on).select("source", F.col("e_dst").alias("vertex"), next_hop(F.col("dist")).alias("dist"))
+
+
 def expand(graph: HopGraph, frontier: DataFrame, frontier_rows: int | None = None,
-           blocked: SourceSet | None = None, clean: bool = False, buckets: list[int] | None = None) -> DataFrame:
+           blocked: SourceSet | None = None, clean: bool = False, buckets: list[int] | None = None, sources: int | None = None) -> DataFrame:
     """Candidates ``(source, vertex, dist + 1)`` along every out-edge of the
     frontier, one row per edge (not yet reduced). Ids are in the graph's
     layout type.
@@ -193,6 +229,8 @@ def expand(graph: HopGraph, frontier: DataFrame, frontier_rows: int | None = Non
     ``source, vertex, dist``, no NULL distance), so it is used as it is.
     ``buckets``: the edge store's buckets that hold the frontier's edges; if
     they are few and the frontier is small, only they are read.
+    ``sources``: how many traversals there are, if vertices that many of them
+    have reached are to be split.
     """
     spark = graph.spark
     f = frontier if clean else frontier.select("source", "vertex", "dist").where(F.col("dist").isNotNull())
@@ -210,6 +248,12 @@ def expand(graph: HopGraph, frontier: DataFrame, frontier_rows: int | None = Non
         near = e.join(F.broadcast(f), (F.col("bucket") == F.col("f_bucket")) & (F.col("src") == F.col("vertex")))
         return near.select("source", F.col("e_dst").alias("vertex"), next_hop(F.col("dist")).alias("dist"))
 
+    apart = heavy_vertices(graph, f, frontier_rows, sources) if sources is not None else None
+    if apart is not None:
+        heavy = _side(spark, apart[0], apart[1], row_bytes(1, graph.max_id_length, fixed_cols=2))
+        light = f.join(heavy, F.col("vertex") == F.col("h_vertex"), "left_anti")
+        return _expand_heavy(graph, f, heavy).union(expand(graph, light, frontier_rows, clean=True))
+
     max_salts = 1
     if graph.hot is not None:
         h = F.broadcast(graph.hot)
@@ -355,7 +399,8 @@ def iterate(graph: HopGraph, initial: DataFrame, *, mode: str = "bfs", max_round
     if mode not in ("bfs", "relax"):
         raise ValueError(f"unknown mode {mode!r}")
     spark = graph.spark
-    p = graph.state_partitions(sources.count if sources is not None else 1)
+    n_sources = sources.count if sources is not None else 1
+    p = graph.state_partitions(n_sources)
     stats: list[tuple[int, int]] = list(past or [])
     converged = done
     rewritten = 0
@@ -392,7 +437,7 @@ def iterate(graph: HopGraph, initial: DataFrame, *, mode: str = "bfs", max_round
                 stats.append((rnd, 0))
                 converged = True
                 break
-            cand = reduce_candidates(expand(graph, frontier, n_front, blocked, clean=True, buckets=near))
+            cand = reduce_candidates(expand(graph, frontier, n_front, blocked, clean=True, buckets=near, sources=n_sources))
             new = _layer_anti_join(cand, probes).sortWithinPartitions("source", "vertex")
             new, n, seen = materialize_observed(new, metrics)
             stats.append((rnd, n))

@@ -75,6 +75,7 @@ class HopGraph:
     store: EdgeStore | None = None  # the edges as a pruned table, if they are kept as one
     _keys: DataFrame | None = field(default=None, repr=False)
     _aliased: DataFrame | None = field(default=None, repr=False)
+    _large: dict = field(default_factory=dict, repr=False)
     _approx_vertices: int | None = field(default=None, repr=False)
 
     def approx_vertices(self) -> int:
@@ -87,6 +88,14 @@ class HopGraph:
             self._approx_vertices = int(row["n"])
         return self._approx_vertices
 
+    def large_degrees(self, least: int) -> DataFrame:
+        """(d_vertex, deg) of the vertices with more out-edges; computed once for
+        each bound, at most |E| / least rows."""
+        if least not in self._large:
+            deg = self.edges.groupBy(F.col("src").alias("d_vertex")).agg(F.count(F.lit(1)).alias("deg")).where(F.col("deg") > least)
+            self._large[least] = deg.persist(StorageLevel.MEMORY_AND_DISK)
+        return self._large[least]
+
     def state_partitions(self, sources: int) -> int:
         """Partitions for traversal state of ``sources`` sources: the layout's
         count, raised so no state partition holds more than
@@ -147,6 +156,9 @@ class HopGraph:
         self.edges.unpersist()
         if self.hot is not None:
             self.hot.unpersist()
+        for deg in self._large.values():
+            deg.unpersist()
+        self._large.clear()
 
 
 def normalize_edges(edges: DataFrame) -> DataFrame:

@@ -18,11 +18,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hopscope.operators.adjacency import adjacency_text, to_adjacency, to_edges
+from hopscope.operators.bitsets import bit_paths
 from hopscope.operators.sampling import draw_ids, sample_ids
 from hopscope.operators.subgraph import induced_subgraph
 from hopscope.operators.summary import diameter_lower_bound, longest_shortest_path
 from hopscope.operators.traversal import (
     bounded_relaxation,
+    continue_paths,
     relax_round,
     resume_shortest_paths,
     seed_from_in_neighbors,
@@ -30,6 +32,9 @@ from hopscope.operators.traversal import (
     shortest_paths,
     updated_count,
 )
+from hopscope.plans.edge_store import open_graph, write_edge_store
+from hopscope.plans.files import fresh_folder
+from hopscope.plans.generations import open_generation, stored_longest_paths
 from hopscope.plans.graph import prepare_graph
 from hopscope.sources.sinks import adjacency_lines, distance_lines, state_lines, summary_lines
 from hopscope.sources.tables import order_next, part_count, part_next, urgent_orders
@@ -52,6 +57,11 @@ MANY_SOURCES = tuple(str(i) for i in range(16))
 SAMPLE_SEED = 0
 TOP_SAMPLED_SOURCES = 2
 RESUME_AFTER_ROUNDS = 2
+STOPPED_AFTER_ROUNDS = 3
+STORE_BUCKETS = 256
+#: Sources of the bit-parallel workloads: the parts 0, 1, ... up to these.
+BIT_SOURCES = tuple(str(i) for i in range(96))
+LSP_SOURCES = tuple(str(i) for i in range(256))
 
 
 # ======================================================================
@@ -236,6 +246,66 @@ def q_distance_tuples(spark, sf_dir):
     return distance_lines(t.with_unreached("all"), with_source=False)
 
 
+def _stored_graph(spark, edges: DataFrame):
+    """The graph of an edge store that is written for the job."""
+    path = fresh_folder(spark, "edges")
+    write_edge_store(edges, path, buckets=STORE_BUCKETS)
+    return open_graph(spark, path)
+
+
+def q_mssp_edge_store(spark, sf_dir):
+    """The two-source traversal on stored edges: each round reads the buckets
+    that its frontier touches."""
+    return shortest_paths(_stored_graph(spark, order_next(spark, sf_dir)), list(SPARSE_SOURCES)).distances
+
+
+def q_edge_store_scan(spark, sf_dir):
+    """Every edge as the store's transposed side holds it."""
+    return _stored_graph(spark, part_next(spark, sf_dir)).store.scan("in").select(F.col("src").cast("string").alias("src"), F.col("dst").cast("string").alias("dst"))
+
+
+def q_in_neighbors_edge_store(spark, sf_dir):
+    """In-neighbours of parts on the dense graph, from the buckets that hold them."""
+    return seed_from_in_neighbors(_stored_graph(spark, part_next(spark, sf_dir)), list(MANY_SOURCES))
+
+
+def q_mssp_continued(spark, sf_dir):
+    """Stop after three rounds, open the log's last generation and go on."""
+    log = fresh_folder(spark, "log")
+    g = prepare_graph(order_next(spark, sf_dir))
+    try:
+        shortest_paths(g, urgent_orders(spark, sf_dir), stop_at_other_sources=True, max_rounds=STOPPED_AFTER_ROUNDS, log=log)
+        continue_paths(g, log)
+    finally:
+        g.unpersist()
+    return open_generation(spark, log).state()
+
+
+def q_lsp_stored(spark, sf_dir):
+    """Longest shortest path per urgent order, from the sums of a stored traversal."""
+    log = fresh_folder(spark, "log")
+    _on_graph(
+        order_next(spark, sf_dir),
+        lambda g: shortest_paths(g, urgent_orders(spark, sf_dir), stop_at_other_sources=True, log=log),
+    )
+    return stored_longest_paths(spark, log)
+
+
+def q_mssp_bits(spark, sf_dir):
+    return _on_graph(part_next(spark, sf_dir), lambda g: bit_paths(g, list(BIT_SOURCES)).distances)
+
+
+def q_mssp_urgent_bits(spark, sf_dir):
+    return _on_graph(
+        order_next(spark, sf_dir),
+        lambda g: bit_paths(g, urgent_orders(spark, sf_dir), stop_at_other_sources=True).distances,
+    )
+
+
+def q_lsp_bits(spark, sf_dir):
+    return _on_graph(part_next(spark, sf_dir), lambda g: bit_paths(g, list(LSP_SOURCES)).longest())
+
+
 def q_lsp_lines(spark, sf_dir):
     """Longest shortest path per source as ``source<TAB>lsp`` lines."""
     return summary_lines(longest_shortest_path(q_mssp(spark, sf_dir)))
@@ -270,6 +340,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "state_lines": q_state_lines,
     "distance_tuples": q_distance_tuples,
     "lsp_lines": q_lsp_lines,
+    "mssp_edge_store": q_mssp_edge_store,
+    "edge_store_scan": q_edge_store_scan,
+    "in_neighbors_edge_store": q_in_neighbors_edge_store,
+    "mssp_continued": q_mssp_continued,
+    "lsp_stored": q_lsp_stored,
+    "mssp_bits": q_mssp_bits,
+    "mssp_urgent_bits": q_mssp_urgent_bits,
+    "lsp_bits": q_lsp_bits,
 }
 
 
@@ -439,4 +517,15 @@ ORACLE_SQL: dict[str, str] = {
         SPARSE, _values(SPARSE_SOURCES),
         select=f"SELECT source || chr(9) || CAST(lsp AS VARCHAR) AS value FROM ({_LSP})",
     ),
+    "mssp_edge_store": MSSP_SQL,
+    "edge_store_scan": DENSE,
+    "in_neighbors_edge_store": (
+        f"WITH e AS ({DENSE}), srcs AS ({_values(MANY_SOURCES)}) "
+        "SELECT s.source, e.src AS vertex, CAST(1 AS INTEGER) AS dist FROM srcs s JOIN e ON e.dst = s.source"
+    ),
+    "mssp_continued": _bfs_sql(SPARSE, URGENT, absorbing=True, select=_DIST),
+    "lsp_stored": _bfs_sql(SPARSE, URGENT, absorbing=True, select=_LSP),
+    "mssp_bits": _bfs_sql(DENSE, _values(BIT_SOURCES), select=_DIST),
+    "mssp_urgent_bits": _bfs_sql(SPARSE, URGENT, absorbing=True, select=_DIST),
+    "lsp_bits": _bfs_sql(DENSE, _values(LSP_SOURCES), select=_LSP),
 }

@@ -35,6 +35,25 @@ def test_hub_is_split_and_results_exact(spark):
     )
 
 
+def test_a_vertex_that_many_sources_reach_is_split(spark, monkeypatch):
+    import hopscope.operators.traversal as tr
+
+    monkeypatch.setattr(tr, "WORK_CHUNK", 40_000)
+    hub = [(i, 0) for i in range(1, 2001)] + [(0, 10_000 + v) for v in range(2000)] + [(10_000, 20_000), (20_000, 1)]
+    g = hs.prepare_graph(edges_df(spark, hub), partitions=8, chunk=700)
+    with tr.scoped_conf(spark, tr.iteration_settings(8)):
+        frontier, n = tr.materialize(spark.createDataFrame([(i, 0, 1) for i in range(1, 2001)] + [(5, 10_000, 2)], "source long, vertex long, dist int"))
+        cand = tr.expand(g, frontier, n, clean=True, sources=2000)
+        per_task = [r["count"] for r in cand.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(per_task) == 2000 * 2000 + 1
+    assert max(per_task) <= 2 * sum(per_task) / 8  # no task makes over twice the mean
+    srcs = [str(i) for i in range(1, 301)]
+    monkeypatch.setattr(tr, "WORK_CHUNK", 30_000)
+    few = [(a, b) for a, b in hub if b < 10_300]
+    got = hs.shortest_paths(hs.prepare_graph(edges_df(spark, few), partitions=4, chunk=100), srcs)
+    assert rows(got.distances) == bfs(few, srcs)
+
+
 def test_hub_adjacency_rows_are_bounded(spark):
     e = skewed_edges()
     adj = hs.to_adjacency(edges_df(spark, e), partitions=4)
