@@ -42,6 +42,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hopscope.llm.arrow_words import pieces
 from hopscope.llm.common import fresh_path
 
 MAGIC = b"HOPRANS1"
@@ -184,8 +185,8 @@ class Tokens:
     words are encoded once and then looked up. A word of printable ASCII without
     an apostrophe is parted further, into runs of letters, digits and other
     characters. New runs are encoded together, a line each. Texts with other white
-    space beside a space or line end, and all texts if the pre-tokenizer is not of
-    this kind, are encoded whole."""
+    space beside a space or line end or with one of the tokenizer's added tokens,
+    and all texts if the pre-tokenizer is not of this kind, are encoded whole."""
 
     KEPT = 150_000
     PLAIN = re.compile(r" [!-&(-~]+(?:\n[!-&(-~]+)*")
@@ -195,7 +196,8 @@ class Tokens:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        # Texts that hold one of these are encoded whole; the tokenizer takes them out first.
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
         self.dtype = np.uint32 if self.tokenizer.get_vocab_size() > 1 << 16 else np.uint16
         told = json.loads(self.tokenizer.to_str())
         kind = told["pre_tokenizer"] or {}
@@ -239,7 +241,8 @@ class Tokens:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as bytes of ``dtype``."""
-        cut = [t.split(" ") for t in texts]
+        # An empty cut marks a text that is encoded whole.
+        cut = [[""] if any(a in t for a in self.added) else t.split(" ") for t in texts]
         if self.parts:
             self.learn({w for c in cut for w in c[1:]}.difference(self.words))
         out = [self.text(c, t) for c, t in zip(cut, texts, strict=True)]
@@ -264,6 +267,8 @@ def _open(path: str):
     return fs.FileSystem.from_uri(path)
 
 
+#: Bytes of text whose new words are encoded together.
+LEARNED_BYTES = 1 << 20
 #: ``before``: ids in the part's earlier files.
 MANIFEST = "part int, before long, path string, n_docs long, n_tokens long, n_bytes long"
 
@@ -274,8 +279,11 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_I
     spark = docs.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     text = F.coalesce(F.col("text"), F.lit(""))
-    ordered = docs.select("doc_id", text.alias("text")).repartitionByRange(n, F.col("doc_id").asc_nulls_first())
-    ordered = ordered.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"), "text")
+    ordered = docs.select("doc_id", text.alias("text"))
+    # Rows of one id, or without id, are spread by their text, equal ones by a number of their own.
+    ordered = ordered.withColumn("hash", F.xxhash64("text")).withColumn("number", F.xxhash64(F.monotonically_increasing_id()))
+    by = [F.col("doc_id").asc_nulls_first(), F.col("hash").asc(), F.col("number").asc()]
+    ordered = ordered.repartitionByRange(n, *by).sortWithinPartitions(*by).select("doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, part = tokens_of(tokenizer), TaskContext.get().partitionId()
@@ -296,8 +304,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_I
             return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, types, strict=True)], MANIFEST.replace(",", "").split()[::2])
 
         for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                few = batch.slice(lo, 256)
+            for few in pieces(batch, 1, LEARNED_BYTES):
                 for doc, ids in zip(few.column(0).to_pylist(), tokens.encode(few.column(1).to_pylist()), strict=True):
                     held.append(ids + end)
                     doc_ids.append(doc)
