@@ -179,6 +179,8 @@ def mix(docs: DataFrame, shard_column: str | None = None, **options) -> DataFram
     """The mix: a row for each copy that it takes, all columns as they were, a
     shard's rows together and shuffled. ``shard_column`` adds its number."""
     seed = options.get("seed", SEED)
-    rows = plan_mix(docs, **options).select(*docs.columns, "__key", F.posexplode("__shards").alias("__copy", "__shard"))
+    # Whole rows in one column: no name of theirs can clash.
+    packed = docs.select("doc_id", "text", "source", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    rows = plan_mix(packed, **options).select("row", "__key", F.posexplode("__shards").alias("__copy", "__shard"))
     rows = rows.repartition("__shard").sortWithinPartitions("__shard", F.xxhash64(F.lit(seed + 1), "__key", "__copy"))
-    return rows.select(*docs.columns, *([F.col("__shard").alias(shard_column)] if shard_column else []))
+    return rows.select("row.*", *([F.col("__shard").alias(shard_column)] if shard_column else []))

@@ -144,21 +144,30 @@ def fit(rows: list[np.ndarray], copies: list[np.ndarray | None], labels: np.ndar
     return weights, b + prior - float(np.log(labels.mean() / (1 - labels.mean())))
 
 
-def labelled(docs: DataFrame, labels: DataFrame, label: str, train: Column, fit_rows: int, extra: list[Column] | None = None) -> tuple[DataFrame, float]:
-    """(text, y) of at most ``fit_rows`` labelled rows, half of each label if
-    there are so many, and the share of label 1 among all of them. The choice
-    goes by a hash of the ids; only ids are sorted, at most ``fit_rows`` kept."""
-    known = labels.select(F.col("doc_id").alias("__id"), F.col(label).cast("int").alias("y")).where(F.col("y").isNotNull()).dropDuplicates(["__id"])
-    known = known.where(train)
+def labelled(docs: DataFrame, labels: DataFrame, label: str, train: Column, fit_rows: int) -> tuple[DataFrame, float]:
+    """(text, y) of at most ``fit_rows`` labelled ids, half of each label if
+    there are so many, and the share of label 1 among all of them.
+
+    The choice goes by a hash of the ids: those under a bound that lets a few more
+    than are wanted through, so that few are sorted. An id with several label rows
+    has label 1 if one of them has; an id with several texts gives the one whose
+    hash is smallest.
+    """
+    known = labels.select(F.col("doc_id").alias("__id"), F.col(label).cast("int").alias("y")).where("__id IS NOT NULL AND y IS NOT NULL")
+    known = known.where(train).groupBy("__id").agg(F.max("y").alias("y"))
     counts = {r["y"]: r["count"] for r in known.groupBy("y").count().collect()}
+    place = F.shiftrightunsigned(F.xxhash64("__id"), 1) / float(1 << 63)
     mine = None
     for y in (0, 1):
-        other = counts.get(1 - y, 0)
+        other, n = counts.get(1 - y, 0), counts.get(y, 0)
         take = max(fit_rows // 2, fit_rows - other)
-        part = known.where(F.col("y") == y).orderBy(F.xxhash64("__id"), "__id").limit(take)
+        part = known.where(F.col("y") == y)
+        if n > take:
+            part = part.where(place < (take + 8 * take**0.5 + 20) / n).orderBy(place, "__id").limit(take)
         mine = part if mine is None else mine.unionByName(part)
-    rows = docs.join(F.broadcast(mine), docs["doc_id"] == F.col("__id")).select("text", "y")
-    return rows, (counts.get(1, 0) + 0.5) / (sum(counts.values()) + 1)
+    texts = docs.select(F.col("doc_id").alias("__doc"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = texts.join(F.broadcast(mine), F.col("__doc") == F.col("__id")).groupBy("__id", "y").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
+    return rows.select("text", "y"), (counts.get(1, 0) + 0.5) / (sum(counts.values()) + 1)
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", train_rows: Column | None = None, fit_rows: int = FIT_ROWS, penalty: float = SWAP_PENALTY) -> tuple[np.ndarray, float]:
