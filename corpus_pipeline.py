@@ -20,9 +20,14 @@ from hopscope.llm.queries import fold, tokenizer_path
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score below 0.5."""
+    """Documents that score below 0.5; all of them if there are no labels of
+    both kinds to learn from."""
     model = toxicity.train(docs, table(spark, sf_dir, "labels"), train_rows=fold(F.col("__id"), 5) != 0)
-    return toxicity.score(docs, model, "__toxic").where("__toxic < 0.5").select(docs.columns)
+    if not model[0].any():
+        return docs
+    # Whole rows in one column: no name of theirs can clash.
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text")
+    return toxicity.score(rows, model, "toxic").where("toxic < 0.5").select("row.*")
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
