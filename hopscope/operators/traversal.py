@@ -51,7 +51,7 @@ from pyspark.sql import functions as F
 from hopscope.functions.expressions import next_hop
 from hopscope.plans.edge_store import bitmap_columns, bucket_of, buckets_in
 from hopscope.plans.generations import GenerationLog, open_generation, tail_to_merge
-from hopscope.plans.graph import HopGraph
+from hopscope.plans.graph import HopGraph, prepare_graph
 from hopscope.plans.session import (
     fits_broadcast,
     iteration_settings,
@@ -117,6 +117,16 @@ def _to_internal(graph: HopGraph, df: DataFrame) -> DataFrame:
     ).where(F.col("source").isNotNull() & F.col("vertex").isNotNull())
 
 
+def _outside(graph: HopGraph, df: DataFrame) -> DataFrame | None:
+    """The rows (source, vertex, dist) with an id that the layout's type cannot
+    hold, so that no edge has it; None if any id could be a vertex."""
+    if graph.id_type == "string":
+        return None
+    known = graph.internal_id(F.col("source")).isNotNull() & graph.internal_id(F.col("vertex")).isNotNull()
+    rows = df.select("source", "vertex", F.col("dist").cast("int").alias("dist")).where(~known & F.col("dist").isNotNull())
+    return rows.where(F.col("source").isNotNull() & F.col("vertex").isNotNull()).groupBy("source", "vertex").agg(F.min("dist").alias("dist"))
+
+
 def _to_public(graph: HopGraph, df: DataFrame) -> DataFrame:
     """``(source, vertex, dist)`` with layout ids -> string ids."""
     return df.select(
@@ -168,10 +178,16 @@ def seed_from_sources(graph: HopGraph, sources, seed_sinks: bool = False) -> Dat
 
     By default a source is seeded only if it has an out-edge; an unknown or
     sink-only source gives an empty traversal. ``seed_sinks=True`` seeds every
-    listed source that can be a vertex id of the graph.
+    listed source.
     """
     ss = sources if isinstance(sources, SourceSet) else source_set(graph.spark, sources)
-    return _to_public(graph, _seeds_at_sources(graph, ss, seed_sinks))
+    seeds = _to_public(graph, _seeds_at_sources(graph, ss, seed_sinks))
+    outside = _outside(graph, _at_themselves(ss)) if seed_sinks else None
+    return seeds if outside is None else seeds.unionByName(outside)
+
+
+def _at_themselves(ss: SourceSet) -> DataFrame:
+    return ss.frame.select("source", F.col("source").alias("vertex"), F.lit(0).alias("dist"))
 
 
 def seed_from_in_neighbors(graph: HopGraph, sources) -> DataFrame:
@@ -305,6 +321,7 @@ class Traversal:
     mode: str
     absorbing: bool = False
     rows_rewritten: int = 0  # by merging layers
+    outside: DataFrame | None = None  # rows with ids that no edge can have
     _distances: DataFrame | None = field(default=None, repr=False)
 
     @property
@@ -318,6 +335,8 @@ class Traversal:
             if self.mode == "relax":
                 merged = reduce_candidates(merged)
             self._distances = _to_public(self.graph, merged)
+            if self.outside is not None:
+                self._distances = self._distances.unionByName(self.outside)
         return self._distances
 
     def stats_frame(self) -> DataFrame:
@@ -489,9 +508,11 @@ def shortest_paths(graph: HopGraph, sources, *, max_rounds: int | None = None,
     """
     ss = source_set(graph.spark, sources)
     seeds = _seeds_at_sources(graph, ss, seed_sinks)
-    return iterate(graph, seeds, mode="bfs", max_rounds=max_rounds,
-                   blocked=ss if stop_at_other_sources else None, sources=ss,
-                   compact_every=compact_every, log=_new_log(graph, log, ss, "bfs", stop_at_other_sources))
+    t = iterate(graph, seeds, mode="bfs", max_rounds=max_rounds,
+                blocked=ss if stop_at_other_sources else None, sources=ss,
+                compact_every=compact_every, log=_new_log(graph, log, ss, "bfs", stop_at_other_sources))
+    t.outside = _outside(graph, _at_themselves(ss)) if seed_sinks else None
+    return t
 
 
 def _new_log(graph: HopGraph, path: str | None, ss: SourceSet, mode: str, absorbing: bool) -> GenerationLog | None:
@@ -544,8 +565,8 @@ def resume_shortest_paths(graph: HopGraph, state: DataFrame, *, sources=None,
     need not come from a clean breadth-first run), then only improved rows
     expand. The result equals an uninterrupted run whenever the stored
     distances are upper bounds reached from the sources. Rows whose ids
-    cannot be vertices of the graph (e.g. "007" in a numeric graph) are
-    ignored, and so are rows of sources that ``sources`` does not name.
+    cannot be vertices of the graph (e.g. "007" in a numeric graph) stay as
+    they are; rows of sources that ``sources`` does not name are ignored.
     """
     spark = graph.spark
     if sources is None:
@@ -554,9 +575,15 @@ def resume_shortest_paths(graph: HopGraph, state: DataFrame, *, sources=None,
         ss = source_set(spark, sources)
         wanted = F.col("source").isin(ss.values) if ss.values is not None else None
         state = state.where(wanted) if wanted is not None else state.join(ss.frame, "source", "left_semi")
-    return iterate(graph, _to_internal(graph, state), mode="relax", max_rounds=max_rounds,
-                   blocked=ss if stop_at_other_sources else None, sources=ss,
-                   compact_every=compact_every)
+    outside = _outside(graph, state)
+    if outside is not None and not outside.where(graph.internal_id(F.col("vertex")).isNotNull()).isEmpty():
+        # A source that the layout's type cannot hold has reached vertices: go on with ids as strings.
+        graph, outside = prepare_graph(graph.edge_pairs(), graph.partitions, numeric_ids=False), None
+    t = iterate(graph, _to_internal(graph, state), mode="relax", max_rounds=max_rounds,
+                blocked=ss if stop_at_other_sources else None, sources=ss,
+                compact_every=compact_every)
+    t.outside = outside
+    return t
 
 
 def relax_round(graph: HopGraph, state: DataFrame) -> DataFrame:

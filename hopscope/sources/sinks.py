@@ -24,27 +24,27 @@ def write_adjacency(adjacency: DataFrame, path: str, fmt: str = "text", mode: st
     if fmt == "text":
         adjacency_lines(adjacency).write.mode(mode).text(path)
     elif fmt == "parquet":
-        adjacency.select("vertex", "neighbors").write.mode(mode).parquet(path)
+        adjacency.select(*[c for c in ("vertex", "part", "neighbors") if c in adjacency.columns]).write.mode(mode).parquet(path)
     else:
         raise ValueError(f"unknown adjacency format {fmt!r}")
 
 
-def distance_lines(distances: DataFrame, with_source: bool = True) -> DataFrame:
+def distance_lines(distances: DataFrame, with_source: bool = True, record: bool = False) -> DataFrame:
     """``value`` = ``(source,vertex,dist)`` or ``(vertex,dist)``, infinity
-    written as 2147483647."""
+    written as 2147483647; ``record`` puts the word ``Distance`` before."""
     parts = ([F.col("source")] if with_source else []) + [F.col("vertex"), null_to_infinity("dist").cast("string")]
-    return distances.select(F.concat(F.lit("("), F.concat_ws(",", *parts), F.lit(")")).alias("value"))
+    return distances.select(F.concat(F.lit("Distance(" if record else "("), F.concat_ws(",", *parts), F.lit(")")).alias("value"))
 
 
 def write_distances(distances: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
-                    with_source: bool = True) -> None:
-    """``parquet`` / ``csv`` keep NULL for unreachable; ``text`` writes tuples."""
+                    with_source: bool = True, record: bool = False) -> None:
+    """``parquet`` / ``csv`` keep NULL for unreachable; ``text`` writes tuples or records."""
     if fmt == "parquet":
         distances.write.mode(mode).parquet(path)
     elif fmt == "csv":
         distances.write.mode(mode).csv(path)
     elif fmt == "text":
-        distance_lines(distances, with_source).write.mode(mode).text(path)
+        distance_lines(distances, with_source, record).write.mode(mode).text(path)
     else:
         raise ValueError(f"unknown distance format {fmt!r}")
 
