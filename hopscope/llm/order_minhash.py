@@ -23,7 +23,10 @@ all, among which they share one. The order is by counts of shingles in
 a passage that many texts share comes last. Prefixes that meet with others of
 different components are compared: few by a join, many in blocks inside tasks,
 those outside the largest component against all. A task holds two blocks of
-shingles and returns only links; a pair is met at its first common shingle.
+texts' shingles and returns only pairs that match but for three shingles at most;
+a pair is met at its first common shingle. This join works on 32 bits of each
+shingle, which can only add to what two texts share; its pairs are verified like
+all others.
 A sketch holds ``BINS`` binned minima of a text's shingles; a pair is dropped
 early if they agree in fewer bins than four standard deviations below what
 the bound would give for texts of their lengths.
@@ -262,7 +265,15 @@ def prefix_size(n: int) -> int:
 
 
 def slot_of(held: np.ndarray) -> np.ndarray:
-    return ((held * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)).astype(np.int64) % SLOTS
+    return ((held.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)).astype(np.int64) % SLOTS
+
+
+def nearly_same(x: np.ndarray, y: np.ndarray) -> bool:
+    """Whether two texts' 32-bit shingles match in order as :func:`same` asks, but
+    for three at most, which may be alike in 32 bits in a long text."""
+    need = math.ceil(SIMILARITY * max(len(x), len(y)) - 1e-9)
+    band, need = len(x) + len(y) - 2 * need, need - min(3, need // 10)
+    return banded_matches(x, y, band, need) >= need
 
 
 def prefix(held: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -276,7 +287,7 @@ def _shingle_counts(held: DataFrame) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         told = np.zeros(SLOTS, np.int64)
         for batch in batches:
-            np.add.at(told, slot_of(np.frombuffer(b"".join(batch.column(0).to_pylist()), "<u8")), 1)
+            np.add.at(told, slot_of(np.frombuffer(b"".join(batch.column(0).to_pylist()), "<u4")), 1)
         met = np.flatnonzero(told)
         yield pa.RecordBatch.from_arrays([pa.array(met, pa.int64()), pa.array(told[met])], ["slot", "n"])
 
@@ -292,7 +303,7 @@ def _prefix_links(left: DataFrame, texts: DataFrame) -> DataFrame:
 
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            held = [labelled_shingles(text_words(t.as_py())).astype("<u8").tobytes() for t in batch.column(2)]
+            held = [labelled_shingles(text_words(t.as_py())).astype("<u4").tobytes() for t in batch.column(2)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(held, pa.binary())], ["h", "root", "held"])
 
     many = left.where(F.col("n") > SMALL).select("h", "root").distinct()
@@ -301,11 +312,11 @@ def _prefix_links(left: DataFrame, texts: DataFrame) -> DataFrame:
 
     def prefixed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            all_held = [np.frombuffer(x, "<u8") for x in batch.column(2).to_pylist()]
+            all_held = [np.frombuffer(x, "<u4") for x in batch.column(2).to_pylist()]
             rarest = [prefix(x, counts.value) for x in all_held]
             row = pa.array(np.repeat(np.arange(len(rarest)), [len(x) for x in rarest]))
             words = pa.array([len(x) + SHINGLE - 1 for x in all_held], pa.int64())
-            keys = np.concatenate(rarest).view(np.int64) if rarest else np.zeros(0, np.int64)
+            keys = np.concatenate([*rarest, np.zeros(0, np.uint32)]).astype(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(keys), batch.column(0).take(row), batch.column(1).take(row), words.take(row)], ["key", "h", "root", "n_words"])
 
     rows = stored(held.mapInArrow(prefixed, "key long, h binary, root binary, n_words long"), "omh-prefixes")
@@ -315,13 +326,13 @@ def _prefix_links(left: DataFrame, texts: DataFrame) -> DataFrame:
     few = open_rows.where(F.col("n") <= SMALL).select("key", "h", "root", "n_words")
     other = few.select("key", F.col("h").alias("o"), F.col("root").alias("o_root"), F.col("n_words").alias("m_words"))
     pairs = few.join(other, "key").where(F.expr(FITS) & (F.col("h") < F.col("o")) & (F.col("root") != F.col("o_root")))
-    pairs = stored(pairs.select(F.col("h").alias("a"), F.col("o").alias("b")).distinct(), "omh-prefix-pairs")
-    by_pair = stored(_verified(pairs, texts).where("ok").select("a", "b"), "omh-prefix-links")
-    return by_pair.unionByName(stored(_block_links(open_rows.where(F.col("n") > SMALL), held, counts), "omh-blocks"))
+    pairs = pairs.select(F.col("h").alias("a"), F.col("o").alias("b"))
+    pairs = stored(pairs.unionByName(_block_pairs(open_rows.where(F.col("n") > SMALL), held, counts)).distinct(), "omh-prefix-pairs")
+    return stored(_verified(pairs, texts).where("ok").select("a", "b"), "omh-prefix-links")
 
 
-def _block_links(crowded: DataFrame, held: DataFrame, counts) -> DataFrame:
-    """Links of the members (key, h, root, n, main) of a prefix shingle, those
+def _block_pairs(crowded: DataFrame, held: DataFrame, counts) -> DataFrame:
+    """Pairs, about to match, of the members (key, h, root, n, main) of a prefix shingle, those
     outside its main component in blocks against all members in blocks."""
     outside = F.col("root") != F.col("main")
     sizes = crowded.groupBy("key").agg(F.count_if(outside).alias("k"))
@@ -332,26 +343,31 @@ def _block_links(crowded: DataFrame, held: DataFrame, counts) -> DataFrame:
     dealt = mine.unionByName(others).join(held.select("h", "held"), "h")
 
     def run(group: pa.Table) -> pa.Table:
-        key = np.int64(group.column("key")[0].as_py()).view(np.uint64)
+        key = np.uint32(group.column("key")[0].as_py())
         first = group.column("first").to_numpy()
         h, root = group.column("h").to_pylist(), group.column("root").to_pylist()
-        held = [np.frombuffer(x, "<u8") for x in group.column("held").to_pylist()]
+        held = [np.frombuffer(x, "<u4") for x in group.column("held").to_pylist()]
         n = np.array([len(x) for x in held])
         roots = np.unique(np.array([r.hex() for r in root]), return_inverse=True)[1]
         bins = sketches([sketch(x) for x in held])
-        rarest = {i: prefix(held[i], counts.value) for i in range(len(held))}
+        # A pair is met at its first common shingle: bits of the members' earlier ones, where two have them.
+        earlier = [x[: np.flatnonzero(x == key)[0]] for x in (prefix(x, counts.value) for x in held)]
+        found, place, many = np.unique(np.concatenate([*earlier, np.zeros(0, np.uint32)]), return_inverse=True, return_counts=True)
+        column = np.cumsum(many > 1) - 1
+        member = np.repeat(np.arange(len(held)), [len(x) for x in earlier])
+        shared = many[place] > 1
+        before = np.zeros((len(held), int((many > 1).sum())), bool)
+        before[member[shared], column[place[shared]]] = True
+        before = np.packbits(before, axis=1)
         right, links = np.flatnonzero(~first), []
         for i in np.flatnonzero(first):
             js = right[(roots[right] != roots[i]) & (np.minimum(n[i], n[right]) >= SIMILARITY * np.maximum(n[i], n[right]))]
+            js = js[~(before[i] & before[js]).any(axis=1)]
             js = js[likely(bins[i], bins[js], n[i], n[js])]
-            for j in js:
-                # Prefixes are in one order, so the first of mine that the other has is the pair's first common one.
-                common = rarest[i][np.isin(rarest[i], rarest[j])]
-                if common[0] == key and same(held[i], held[j]):
-                    links.append(sorted((h[i], h[j])))
+            links += [sorted((h[i], h[j])) for j in js if nearly_same(held[i], held[j])]
         return pa.table({"a": pa.array([x for x, _ in links], pa.binary()), "b": pa.array([x for _, x in links], pa.binary())})
 
-    return dealt.groupBy("key", "q", "r").applyInArrow(run, "a binary, b binary").distinct()
+    return dealt.groupBy("key", "q", "r").applyInArrow(run, "a binary, b binary")
 
 
 def _links(members: DataFrame, texts: DataFrame) -> DataFrame:
@@ -391,14 +407,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     sketched = stored(_sketched(docs), "omh-sketch")
     texts_of = sketched.groupBy("h", "n_words").agg(F.min("fp").alias("fp"), F.min_by("sigs", "fp").alias("sigs"), F.min_by("bins", "fp").alias("bins"))
     texts_of = stored(texts_of, "omh-distinct")
-    rows = stored(texts_of.select("h", "n_words", "fp", F.posexplode("sigs").alias("band", "sig")).where("n_words > 0"), "omh-rows")
+    rows = stored(texts_of.select("h", "n_words", F.posexplode("sigs").alias("band", "sig")).where("n_words > 0"), "omh-rows")
     shared = rows.groupBy("band", "sig").agg(F.count("*").alias("n")).where("n > 1")
     members = rows.join(shared, ["band", "sig"])
     members = stored(members.join(texts_of.select("h", "bins"), "h"), "omh-members")
-    wanted = members.groupBy("fp").agg(F.min("h").alias("h"))
+    wanted = texts_of.join(members.select("h").distinct(), "h", "left_semi").select("fp", "h")
     raw = docs.select(F.md5(F.coalesce("text", F.lit(""))).alias("fp"), "text")
     texts = stored(raw.join(wanted, "fp").dropDuplicates(["h"]).select("h", "text"), "omh-texts")
-    roots = stored(components(_links(members.drop("fp"), texts)), "omh-roots")
+    roots = stored(components(_links(members, texts)), "omh-roots")
     keyed = attach(sketched.select("doc_id", "fp", "h"), roots, ["h"], roots.count(), 100, F.xxhash64("doc_id", "fp"))
     keyed = keyed.select("doc_id", "fp", F.coalesce("root", "h").alias("cls"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "fp")).alias("first")

@@ -108,6 +108,6 @@ def test_prefixes_of_texts_at_the_bound_meet():
     for n in (1, 2, 5, 9, 10, 60, 333):
         for _ in range(50):
             common = -(-8 * n // 10)
-            both = rng.integers(0, 1 << 62, 2 * n, dtype=np.uint64)
+            both = rng.integers(0, 1 << 32, 2 * n, dtype=np.uint32)
             x, y = both[:n], np.concatenate([both[:common], both[n : 2 * n - common]])
             assert np.intersect1d(order_minhash.prefix(x, counts), order_minhash.prefix(y, counts)).size
