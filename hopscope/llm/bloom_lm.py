@@ -55,7 +55,7 @@ from hopscope.llm.arrow_words import pieces
 from hopscope.llm.common import stored
 
 BASE = 1.25
-BITS = 8
+BITS = 6
 PROBES = 4
 SHARD_BYTES = 1 << 21
 #: The most that is broadcast: filter and exact counts together.
@@ -64,7 +64,7 @@ BROADCAST_BYTES = 256 << 20
 COUNTED = 4 << 20
 #: Bytes of words that are hashed together, and of texts that are scored together.
 HASHED = 1 << 20
-PIECE_BYTES = 5 << 20
+PIECE_BYTES = 4 << 20
 #: Rows of a batch of counts.
 PASSED = 1 << 18
 #: The most shards that are made without sorting the counts.
@@ -232,11 +232,13 @@ class Shard:
         if not len(self.words):
             return np.zeros(len(keys), np.int64)
         at = np.minimum(np.searchsorted(self.words, keys), len(self.words) - 1)
-        return np.where(self.words[at] == keys, self.counts[at], 0)
+        return np.where(self.words[at] == keys, self.counts[at].astype(np.int64), 0)
 
 
 def _shard(bits: bytes, words: bytes, counts: bytes) -> Shard:
-    return Shard(np.frombuffer(bits, np.uint8), np.frombuffer(words, "<u8"), np.frombuffer(counts, "<i8"))
+    words = np.frombuffer(words, "<u8")
+    # Four bytes a count, eight if there are larger ones.
+    return Shard(np.frombuffer(bits, np.uint8), words, np.frombuffer(counts, "<i8" if len(counts) == 8 * len(words) else "<u4"))
 
 
 def _by_shard(keys: np.ndarray, shards: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -375,7 +377,7 @@ def _made_shards(words: DataFrame, texts: DataFrame, shards: int) -> DataFrame:
         keys, n = keys[at], np.add.reduceat(n, at)
         word = n < 0
         n = np.abs(n)
-        row = [shard, filled(keys, n).tobytes(), keys[word].astype("<u8").tobytes(), n[word].astype("<i8").tobytes()]
+        row = [shard, filled(keys, n).tobytes(), keys[word].astype("<u8").tobytes(), n[word].astype("<u4" if n.max(initial=0) < 1 << 32 else "<i8").tobytes()]
         return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, (pa.int32(), pa.binary(), pa.binary(), pa.binary()), strict=True)], ["shard", "bits", "words", "counts"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -527,5 +529,7 @@ def train_and_score(docs: DataFrame, train_rows: Column, text: str = "text") ->
     others, rows = _packed(docs, text, F.coalesce(train_rows, F.lit(False)).alias("learned"))
     model = _counted_model(docs.where(train_rows).select(text), text)
     looked = stored(_looked_up(rows, model), "lm-levels")
+    for shard in {id(b): b for b in model.broadcast or []}.values():
+        shard.unpersist()  # executors drop their copies; the model can still be used
     model.weights = _weights(model, looked.where("learned"))
     return model, _unpacked(others, _scored(looked, model))
