@@ -36,6 +36,7 @@ from hopscope.plans.generations import Generation, open_generation, stored_longe
 from hopscope.plans.graph import HopGraph, prepare_graph
 from hopscope.plans.pipeline import build_sampled_adjacency, estimate_diameter, sampled_subgraph
 from hopscope.plans.session import checkpoint_dir
+from hopscope.sources.line_writer import write_adjacency_lines
 from hopscope.sources.sinks import write_adjacency, write_distances, write_state, write_summary
 from hopscope.sources.text import (
     count_malformed_adjacency_lines,

@@ -11,6 +11,11 @@ same text layouts, run as ``spark-submit -m hopscope ...`` or
         OUTPUT/lsp (source<TAB>longest), OUTPUT/rounds (round<TAB>updated)
     resume     ADJACENCY STATE OUTPUT [--absorbing] SOURCE [SOURCE ...]
         continue from a saved state (text layout), same outputs as paths
+        paths takes --log DIR: each round is kept there
+    continue   ADJACENCY LOG OUTPUT
+        take a traversal up from the last whole generation of its log
+    summary    LOG OUTPUT
+        OUTPUT/lsp from a log's records, without reading its rows
     bounded    ADJACENCY OUTPUT SOURCE [--rounds R]
         in-neighbour-seeded relaxation: OUTPUT/distances ((vertex,dist)
         tuples for every vertex) and OUTPUT/lsp (one number, unreachable
@@ -30,10 +35,12 @@ from pyspark.sql import functions as F
 
 from hopscope.operators.adjacency import to_edges
 from hopscope.operators.summary import longest_shortest_path
-from hopscope.operators.traversal import bounded_relaxation, resume_shortest_paths, shortest_paths
+from hopscope.operators.traversal import bounded_relaxation, continue_paths, resume_shortest_paths, shortest_paths
+from hopscope.plans.generations import stored_longest_paths
 from hopscope.plans.graph import prepare_graph
 from hopscope.plans.pipeline import build_sampled_adjacency
-from hopscope.sources.sinks import distance_lines, state_lines, summary_lines, write_adjacency
+from hopscope.sources.line_writer import write_adjacency_lines
+from hopscope.sources.sinks import distance_lines, state_lines, summary_lines
 from hopscope.sources.text import read_adjacency, read_edges, read_state
 
 # Fixed value: the id range the original adjacency job samples from when no
@@ -59,6 +66,16 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("sources", nargs="+")
     p.add_argument("--absorbing", action="store_true", help="sources do not expand in other sources' traversals")
     p.add_argument("--max-rounds", type=int, default=None)
+    p.add_argument("--log", default=None, help="folder in which each round is kept")
+
+    c = sub.add_parser("continue", help="take up a logged traversal")
+    c.add_argument("adjacency")
+    c.add_argument("log")
+    c.add_argument("output")
+
+    s = sub.add_parser("summary", help="longest shortest paths of a logged traversal")
+    s.add_argument("log")
+    s.add_argument("output")
 
     r = sub.add_parser("resume", help="continue a traversal from saved state")
     r.add_argument("adjacency")
@@ -89,13 +106,19 @@ def run(spark: SparkSession, argv: list[str]) -> None:
     if args.job == "adjacency":
         edges = read_edges(spark, args.edges)
         adj = build_sampled_adjacency(edges, args.k, args.n, seed=args.seed, start=args.start)
-        write_adjacency(adj, args.output)
+        write_adjacency_lines(adj, args.output)
+        return
+    if args.job == "summary":
+        summary_lines(stored_longest_paths(spark, args.log)).write.mode("overwrite").text(f"{args.output}/lsp")
         return
     adjacency = read_adjacency(spark, args.adjacency)
     graph = prepare_graph(to_edges(adjacency))
     if args.job == "paths":
-        t = shortest_paths(graph, args.sources, stop_at_other_sources=args.absorbing, max_rounds=args.max_rounds)
+        t = shortest_paths(graph, args.sources, stop_at_other_sources=args.absorbing, max_rounds=args.max_rounds, log=args.log)
         _write_traversal(t, adjacency, args.output, args.absorbing)
+    elif args.job == "continue":
+        t = continue_paths(graph, args.log)
+        _write_traversal(t, adjacency, args.output, t.absorbing)
     elif args.job == "resume":
         state = read_state(spark, args.state, fmt="text", sources=args.sources)
         t = resume_shortest_paths(graph, state, sources=args.sources, stop_at_other_sources=args.absorbing)

@@ -32,7 +32,7 @@ from hopscope.plans.graph import (
     degree_statistics,
     lay_out,
     layout_partitions,
-    normalize_edges,
+    typed_edges,
 )
 from hopscope.plans.session import default_partitions
 
@@ -109,7 +109,7 @@ def write_edge_store(edges: DataFrame, path: str, buckets: int | None = None, pe
     folder = Folder(spark, path)
     if folder.exists("store.json"):
         folder.delete("store.json")
-    uniq = normalize_edges(edges).distinct().persist(StorageLevel.MEMORY_AND_DISK)
+    uniq = typed_edges(edges).distinct().persist(StorageLevel.MEMORY_AND_DISK)
     try:
         deg, stats = degree_statistics(uniq)
         m = stats["m"]

@@ -169,6 +169,15 @@ def normalize_edges(edges: DataFrame) -> DataFrame:
     )
 
 
+def typed_edges(edges: DataFrame) -> DataFrame:
+    """``(src, dst)`` as longs if both columns are whole numbers, else as strings."""
+    types = dict(edges.dtypes)
+    if all(types[c] in ("tinyint", "smallint", "int", "bigint") for c in ("src", "dst")):
+        rows = edges.select(F.col("src").cast("long").alias("src"), F.col("dst").cast("long").alias("dst"))
+        return rows.where(F.col("src").isNotNull() & F.col("dst").isNotNull())
+    return normalize_edges(edges)
+
+
 def layout_partitions(num_edges: int, session_partitions: int) -> int:
     """Partition count for a layout of ``num_edges`` edges."""
     target = min(session_partitions, math.ceil(num_edges / EDGES_PER_PARTITION))
@@ -213,7 +222,7 @@ def prepare_graph(edges: DataFrame, partitions: int | None = None, chunk: int |
     always keeps strings.
     """
     spark = edges.sparkSession
-    uniq = normalize_edges(edges).distinct().persist(StorageLevel.MEMORY_AND_DISK)
+    uniq = typed_edges(edges).distinct().persist(StorageLevel.MEMORY_AND_DISK)
     deg, stats = degree_statistics(uniq)
     m = stats["m"]
     p = partitions or layout_partitions(m, default_partitions(spark))
@@ -236,18 +245,20 @@ def prepare_graph(edges: DataFrame, partitions: int | None = None, chunk: int |
 
 def degree_statistics(uniq: DataFrame) -> tuple[DataFrame, dict]:
     """Out-degrees of distinct edges, and one row of figures about them."""
+    numbers = dict(uniq.dtypes)["src"] == "bigint"
+    odd = lambda c: F.lit(False) if numbers else ~canonical_long(F.col(c))
     # Out-degree per vertex: partial counts before the shuffle, so a hub sends
     # one row per map task, not one per edge.
     deg = uniq.groupBy("src").agg(
         F.count(F.lit(1)).alias("deg"),
-        F.max(F.length("dst")).alias("dst_len"),
-        F.count_if(~canonical_long(F.col("dst"))).alias("odd_dst"),
+        F.max(F.length(F.col("dst").cast("string"))).alias("dst_len"),
+        F.count_if(odd("dst")).alias("odd_dst"),
     )
     stats = deg.agg(
         F.coalesce(F.sum("deg"), F.lit(0)).alias("m"),
         F.coalesce(F.max("deg"), F.lit(0)).alias("max_deg"),
-        F.coalesce(F.greatest(F.max(F.length("src")), F.max("dst_len")), F.lit(1)).alias("max_len"),
-        (F.coalesce(F.sum("odd_dst"), F.lit(0)) + F.count_if(~canonical_long(F.col("src")))).alias("odd"),
+        F.coalesce(F.greatest(F.max(F.length(F.col("src").cast("string"))), F.max("dst_len")), F.lit(1)).alias("max_len"),
+        (F.coalesce(F.sum("odd_dst"), F.lit(0)) + F.count_if(odd("src"))).alias("odd"),
     ).first().asDict()
     stats = {k: int(v) for k, v in stats.items()}
     return deg, stats | {"id_type": "long" if stats["odd"] == 0 else "string"}

@@ -36,6 +36,7 @@ from hopscope.plans.edge_store import open_graph, write_edge_store
 from hopscope.plans.files import fresh_folder
 from hopscope.plans.generations import open_generation, stored_longest_paths
 from hopscope.plans.graph import prepare_graph
+from hopscope.sources.line_writer import write_adjacency_lines
 from hopscope.sources.sinks import adjacency_lines, distance_lines, state_lines, summary_lines
 from hopscope.sources.tables import order_next, part_count, part_next, urgent_orders
 from hopscope.sources.text import parse_adjacency_lines, parse_edge_lines, parse_state_lines
@@ -58,7 +59,9 @@ SAMPLE_SEED = 0
 TOP_SAMPLED_SOURCES = 2
 RESUME_AFTER_ROUNDS = 2
 STOPPED_AFTER_ROUNDS = 3
-STORE_BUCKETS = 256
+STORE_BUCKETS = 64
+#: Neighbours of an adjacency row in the workload that writes files: every part of the larger lists is short.
+SHORT_LIST = 8
 #: Sources of the bit-parallel workloads: the parts 0, 1, ... up to these.
 BIT_SOURCES = tuple(str(i) for i in range(96))
 LSP_SOURCES = tuple(str(i) for i in range(256))
@@ -91,6 +94,13 @@ def q_induced_subgraph(spark, sf_dir):
     return _sampled_edges(spark, sf_dir)
 
 
+def q_induced_by_frame(spark, sf_dir):
+    """The parts of the dearer half as a plain frame of ids, without a bound."""
+    part = spark.read.parquet(f"{sf_dir}/part.parquet")
+    ids = part.where(F.col("p_retailprice") > part.agg(F.avg("p_retailprice")).first()[0]).select(F.col("p_partkey").cast("string").alias("id"))
+    return induced_subgraph(part_next(spark, sf_dir), ids)
+
+
 def q_sampled_adjacency(spark, sf_dir):
     return adjacency_text(to_adjacency(_sampled_edges(spark, sf_dir)))
 
@@ -101,22 +111,22 @@ def q_adjacency_to_edges(spark, sf_dir):
 
 
 def q_seed_sources(spark, sf_dir):
-    g = prepare_graph(order_next(spark, sf_dir))
+    g = prepare_graph(order_next(spark, sf_dir, "long"))
     return seed_from_sources(g, list(SEED_SOURCES))
 
 
 def q_seed_in_neighbors(spark, sf_dir):
-    g = prepare_graph(order_next(spark, sf_dir))
+    g = prepare_graph(order_next(spark, sf_dir, "long"))
     return seed_from_in_neighbors(g, [BOUNDED_SOURCE])
 
 
 def q_relax_one_round(spark, sf_dir):
-    g = prepare_graph(order_next(spark, sf_dir))
+    g = prepare_graph(order_next(spark, sf_dir, "long"))
     return relax_round(g, seed_from_in_neighbors(g, [BOUNDED_SOURCE]))
 
 
 def q_updated_count(spark, sf_dir):
-    g = prepare_graph(order_next(spark, sf_dir))
+    g = prepare_graph(order_next(spark, sf_dir, "long"))
     seeds = seed_from_in_neighbors(g, [BOUNDED_SOURCE])
     return updated_count(seeds, relax_round(g, seeds))
 
@@ -133,24 +143,24 @@ def _on_graph(edges: DataFrame, job: Callable) -> DataFrame:
 
 
 def q_sssp(spark, sf_dir):
-    return _on_graph(part_next(spark, sf_dir), lambda g: shortest_paths(g, [DENSE_SOURCES[0]]).distances)
+    return _on_graph(part_next(spark, sf_dir, "long"), lambda g: shortest_paths(g, [DENSE_SOURCES[0]]).distances)
 
 
 def q_mssp(spark, sf_dir):
-    return _on_graph(order_next(spark, sf_dir), lambda g: shortest_paths(g, list(SPARSE_SOURCES)).distances)
+    return _on_graph(order_next(spark, sf_dir, "long"), lambda g: shortest_paths(g, list(SPARSE_SOURCES)).distances)
 
 
 def q_mssp_dense(spark, sf_dir):
-    return _on_graph(part_next(spark, sf_dir), lambda g: shortest_paths(g, list(DENSE_SOURCES)).distances)
+    return _on_graph(part_next(spark, sf_dir, "long"), lambda g: shortest_paths(g, list(DENSE_SOURCES)).distances)
 
 
 def q_mssp16(spark, sf_dir):
-    return _on_graph(part_next(spark, sf_dir), lambda g: shortest_paths(g, list(MANY_SOURCES)).distances)
+    return _on_graph(part_next(spark, sf_dir, "long"), lambda g: bit_paths(g, list(MANY_SOURCES)).distances)
 
 
 def q_mssp_absorbing(spark, sf_dir):
     return _on_graph(
-        order_next(spark, sf_dir),
+        order_next(spark, sf_dir, "long"),
         lambda g: shortest_paths(g, list(SPARSE_SOURCES), stop_at_other_sources=True).distances,
     )
 
@@ -159,13 +169,13 @@ def q_mssp_urgent(spark, sf_dir):
     """Every urgent order as a source, given as a frame, up to the customer's
     next urgent order: sources absorb."""
     return _on_graph(
-        order_next(spark, sf_dir),
+        order_next(spark, sf_dir, "long"),
         lambda g: shortest_paths(g, urgent_orders(spark, sf_dir), stop_at_other_sources=True).distances,
     )
 
 
 def q_mssp_keys_and_reached(spark, sf_dir):
-    g = prepare_graph(order_next(spark, sf_dir))
+    g = prepare_graph(order_next(spark, sf_dir, "long"))
     t = shortest_paths(g, list(SPARSE_SOURCES), stop_at_other_sources=True)
     return t.with_unreached("keys_and_reached")
 
@@ -173,7 +183,7 @@ def q_mssp_keys_and_reached(spark, sf_dir):
 def q_mssp_resume(spark, sf_dir):
     """Stop after two rounds, write the state in the text layout (infinite
     rows included), read it back and continue to the fixpoint."""
-    g = prepare_graph(order_next(spark, sf_dir))
+    g = prepare_graph(order_next(spark, sf_dir, "long"))
     partial = shortest_paths(g, list(SPARSE_SOURCES), max_rounds=RESUME_AFTER_ROUNDS)
     text = state_lines(partial.with_unreached("keys_and_reached"), to_adjacency(g.edge_pairs()))
     state = parse_state_lines(text)
@@ -182,13 +192,13 @@ def q_mssp_resume(spark, sf_dir):
 
 def q_bounded_relaxation(spark, sf_dir):
     return _on_graph(
-        order_next(spark, sf_dir), lambda g: bounded_relaxation(g, [BOUNDED_SOURCE], rounds=BOUNDED_ROUNDS).distances
+        order_next(spark, sf_dir, "long"), lambda g: bounded_relaxation(g, [BOUNDED_SOURCE], rounds=BOUNDED_ROUNDS).distances
     )
 
 
 def q_bounded_dense(spark, sf_dir):
     return _on_graph(
-        part_next(spark, sf_dir), lambda g: bounded_relaxation(g, [DENSE_SOURCES[0]], rounds=BOUNDED_ROUNDS).distances
+        part_next(spark, sf_dir, "long"), lambda g: bounded_relaxation(g, [DENSE_SOURCES[0]], rounds=BOUNDED_ROUNDS).distances
     )
 
 
@@ -197,17 +207,17 @@ def q_lsp_per_source(spark, sf_dir):
 
 
 def q_lsp_global(spark, sf_dir):
-    g = prepare_graph(order_next(spark, sf_dir))
+    g = prepare_graph(order_next(spark, sf_dir, "long"))
     t = bounded_relaxation(g, [BOUNDED_SOURCE])
     return longest_shortest_path(t.with_unreached("all"), per_source=False, unreachable_as_zero=True)
 
 
 def q_round_stats(spark, sf_dir):
-    return _on_graph(order_next(spark, sf_dir), lambda g: shortest_paths(g, list(SPARSE_SOURCES)).stats_frame())
+    return _on_graph(order_next(spark, sf_dir, "long"), lambda g: shortest_paths(g, list(SPARSE_SOURCES)).stats_frame())
 
 
 def q_diameter_lower_bound(spark, sf_dir):
-    return diameter_lower_bound(longest_shortest_path(q_mssp16(spark, sf_dir)))
+    return diameter_lower_bound(_on_graph(part_next(spark, sf_dir, "long"), lambda g: bit_paths(g, list(MANY_SOURCES)).longest()))
 
 
 def q_sampled_diameter(spark, sf_dir):
@@ -215,13 +225,9 @@ def q_sampled_diameter(spark, sf_dir):
     them, traverse from the two sampled vertices with most out-edges, and
     report each one's longest shortest path."""
     def job(g):
-        top = (
-            g.edge_pairs().groupBy("src").agg(F.count(F.lit(1)).alias("deg"))
-            .orderBy(F.col("deg").desc(), F.col("src"))
-            .limit(TOP_SAMPLED_SOURCES)
-            .select(F.col("src").alias("source"))
-        )
-        return longest_shortest_path(shortest_paths(g, top).distances)
+        deg = g.edges.groupBy("src").agg(F.count(F.lit(1)).alias("deg")).select(g.public_id(F.col("src")).alias("source"), "deg")
+        top = deg.orderBy(F.col("deg").desc(), "source").limit(TOP_SAMPLED_SOURCES)
+        return longest_shortest_path(shortest_paths(g, [r["source"] for r in top.collect()]).distances)
 
     return _on_graph(_sampled_edges(spark, sf_dir), job)
 
@@ -234,18 +240,32 @@ def q_adjacency_lines(spark, sf_dir):
 def q_state_lines(spark, sf_dir):
     """Absorbing two-source state in the text layout: ``vertex"to"source<TAB>
     list dist`` for every key and reached vertex, infinity as 2147483647."""
-    g = prepare_graph(order_next(spark, sf_dir))
+    g = prepare_graph(order_next(spark, sf_dir, "long"))
     t = shortest_paths(g, list(SPARSE_SOURCES), stop_at_other_sources=True)
     return state_lines(t.with_unreached("keys_and_reached"), to_adjacency(g.edge_pairs()), stop_at_other_sources=True)
 
 
 def q_distance_tuples(spark, sf_dir):
     """Bounded relaxation over every vertex as ``(vertex,dist)`` tuples."""
-    g = prepare_graph(order_next(spark, sf_dir))
+    g = prepare_graph(order_next(spark, sf_dir, "long"))
     t = bounded_relaxation(g, [BOUNDED_SOURCE])
     return distance_lines(t.with_unreached("all"), with_source=False)
 
 
+def q_edge_scan_malformed(spark, sf_dir):
+    """Order lines, of which those of the lowest priority have no second end."""
+    second = F.when(F.col("o_orderpriority") == "5-LOW", F.lit("")).otherwise(F.concat(F.lit(","), F.col("o_custkey").cast("string")))
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    return parse_edge_lines(orders.select(F.concat(F.col("o_orderkey").cast("string"), second).alias("value")))
+
+
+def q_adjacency_file(spark, sf_dir):
+    """Adjacency lists in short parts, written as one line a vertex and read back."""
+    path = fresh_folder(spark, "adjacency")
+    write_adjacency_lines(to_adjacency(part_next(spark, sf_dir), max_list=SHORT_LIST), path)
+    return spark.read.text(path)
+
+
 def _stored_graph(spark, edges: DataFrame):
     """The graph of an edge store that is written for the job."""
     path = fresh_folder(spark, "edges")
@@ -256,23 +276,23 @@ def _stored_graph(spark, edges: DataFrame):
 def q_mssp_edge_store(spark, sf_dir):
     """The two-source traversal on stored edges: each round reads the buckets
     that its frontier touches."""
-    return shortest_paths(_stored_graph(spark, order_next(spark, sf_dir)), list(SPARSE_SOURCES)).distances
+    return shortest_paths(_stored_graph(spark, order_next(spark, sf_dir, "long")), list(SPARSE_SOURCES)).distances
 
 
 def q_edge_store_scan(spark, sf_dir):
     """Every edge as the store's transposed side holds it."""
-    return _stored_graph(spark, part_next(spark, sf_dir)).store.scan("in").select(F.col("src").cast("string").alias("src"), F.col("dst").cast("string").alias("dst"))
+    return _stored_graph(spark, part_next(spark, sf_dir, "long")).store.scan("in").select(F.col("src").cast("string").alias("src"), F.col("dst").cast("string").alias("dst"))
 
 
 def q_in_neighbors_edge_store(spark, sf_dir):
     """In-neighbours of parts on the dense graph, from the buckets that hold them."""
-    return seed_from_in_neighbors(_stored_graph(spark, part_next(spark, sf_dir)), list(MANY_SOURCES))
+    return seed_from_in_neighbors(_stored_graph(spark, part_next(spark, sf_dir, "long")), list(MANY_SOURCES))
 
 
 def q_mssp_continued(spark, sf_dir):
     """Stop after three rounds, open the log's last generation and go on."""
     log = fresh_folder(spark, "log")
-    g = prepare_graph(order_next(spark, sf_dir))
+    g = prepare_graph(order_next(spark, sf_dir, "long"))
     try:
         shortest_paths(g, urgent_orders(spark, sf_dir), stop_at_other_sources=True, max_rounds=STOPPED_AFTER_ROUNDS, log=log)
         continue_paths(g, log)
@@ -285,25 +305,25 @@ def q_lsp_stored(spark, sf_dir):
     """Longest shortest path per urgent order, from the sums of a stored traversal."""
     log = fresh_folder(spark, "log")
     _on_graph(
-        order_next(spark, sf_dir),
+        order_next(spark, sf_dir, "long"),
         lambda g: shortest_paths(g, urgent_orders(spark, sf_dir), stop_at_other_sources=True, log=log),
     )
     return stored_longest_paths(spark, log)
 
 
 def q_mssp_bits(spark, sf_dir):
-    return _on_graph(part_next(spark, sf_dir), lambda g: bit_paths(g, list(BIT_SOURCES)).distances)
+    return _on_graph(part_next(spark, sf_dir, "long"), lambda g: bit_paths(g, list(BIT_SOURCES)).distances)
 
 
 def q_mssp_urgent_bits(spark, sf_dir):
     return _on_graph(
-        order_next(spark, sf_dir),
+        order_next(spark, sf_dir, "long"),
         lambda g: bit_paths(g, urgent_orders(spark, sf_dir), stop_at_other_sources=True).distances,
     )
 
 
 def q_lsp_bits(spark, sf_dir):
-    return _on_graph(part_next(spark, sf_dir), lambda g: bit_paths(g, list(LSP_SOURCES)).longest())
+    return _on_graph(part_next(spark, sf_dir, "long"), lambda g: bit_paths(g, list(LSP_SOURCES)).longest())
 
 
 def q_lsp_lines(spark, sf_dir):
@@ -315,6 +335,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "edge_scan": q_edge_scan,
     "id_sample": q_id_sample,
     "induced_subgraph": q_induced_subgraph,
+    "induced_by_frame": q_induced_by_frame,
     "sampled_adjacency": q_sampled_adjacency,
     "adjacency_to_edges": q_adjacency_to_edges,
     "seed_sources": q_seed_sources,
@@ -340,6 +361,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "state_lines": q_state_lines,
     "distance_tuples": q_distance_tuples,
     "lsp_lines": q_lsp_lines,
+    "edge_scan_malformed": q_edge_scan_malformed,
+    "adjacency_file": q_adjacency_file,
     "mssp_edge_store": q_mssp_edge_store,
     "edge_store_scan": q_edge_store_scan,
     "in_neighbors_edge_store": q_in_neighbors_edge_store,
@@ -466,6 +489,11 @@ ORACLE_SQL: dict[str, str] = {
     "edge_scan": DENSE,
     "id_sample": SAMPLE_SQL,
     "induced_subgraph": INDUCED_SQL,
+    "induced_by_frame": (
+        f"WITH e AS ({DENSE}), s AS (SELECT CAST(p_partkey AS VARCHAR) AS id FROM part "
+        "WHERE p_retailprice > (SELECT avg(p_retailprice) FROM part)) "
+        "SELECT src, dst FROM e WHERE src IN (SELECT id FROM s) AND dst IN (SELECT id FROM s)"
+    ),
     "sampled_adjacency": ADJACENCY_SQL,
     "adjacency_to_edges": (
         f"SELECT vertex AS src, unnest(string_split(neighbors, ',')) AS dst FROM ({ADJACENCY_SQL})"
@@ -517,6 +545,11 @@ ORACLE_SQL: dict[str, str] = {
         SPARSE, _values(SPARSE_SOURCES),
         select=f"SELECT source || chr(9) || CAST(lsp AS VARCHAR) AS value FROM ({_LSP})",
     ),
+    "edge_scan_malformed": (
+        "SELECT CAST(o_orderkey AS VARCHAR) AS src, CAST(o_custkey AS VARCHAR) AS dst FROM orders "
+        "WHERE o_orderpriority <> '5-LOW' AND o_custkey IS NOT NULL"
+    ),
+    "adjacency_file": f"SELECT src || chr(9) || string_agg(dst, ',' ORDER BY dst) AS value FROM ({DENSE}) GROUP BY src",
     "mssp_edge_store": MSSP_SQL,
     "edge_store_scan": DENSE,
     "in_neighbors_edge_store": (
