@@ -80,12 +80,15 @@ def format_chats(conversations: DataFrame, trained_role: str = "assistant", chun
     """conv_id, formatted, loss_spans (array of start, length in code points of
     ``formatted``, one for each text of ``trained_role``, in order) and
     n_messages (turns after merging)."""
-    turn = F.struct("turn", escape(F.col("role")).alias("role"), escape(F.col("text")).alias("text"))
+    empty = F.lit("")
+    turn = F.struct("turn", F.coalesce("role", empty).alias("role"), F.coalesce("text", empty).alias("text"))
+    # Sorted as they are, then escaped.
+    escaped = lambda x: F.struct(x["turn"].alias("turn"), escape(x["role"]).alias("role"), escape(x["text"]).alias("text"))
     part = F.floor(F.col("turn") / chunk)
     chunks = (
         conversations.select("conv_id", "turn", "role", "text")
         .groupBy("conv_id", part.alias("part"))
-        .agg(F.sort_array(F.collect_list(turn)).alias("turns"))
+        .agg(F.transform(F.sort_array(F.collect_list(turn)), escaped).alias("turns"))
     )
     turns = F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("part", "turns"))), lambda p: p["turns"]))
     convs = chunks.groupBy("conv_id").agg(turns.alias("turns")).select("conv_id", _merged(F.col("turns")).alias("messages"))

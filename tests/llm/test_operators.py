@@ -40,6 +40,13 @@ def test_chat_round_trip(spark):
     assert chat.format_chats(df.limit(0)).count() == 0
 
 
+def test_ties_sort_by_the_text_itself(spark):
+    rows = [(1, 0, "user", t) for t in ("<|a", "<b", "<\\|a", None, "<<", "")]
+    got = chat.format_chats(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    texts = [t["text"] for t in got.select(chat.read_turns(F.col("formatted")).alias("t")).first()["t"]]
+    assert texts == sorted(t or "" for *_, t in rows)
+
+
 def edits_within(pattern, text):
     row = [0] * (len(text) + 1)
     for i, c in enumerate(pattern):
