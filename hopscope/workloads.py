@@ -111,22 +111,22 @@ def q_adjacency_to_edges(spark, sf_dir):
 
 
 def q_seed_sources(spark, sf_dir):
-    g = prepare_graph(order_next(spark, sf_dir, "long"))
+    g = prepare_graph(order_next(spark, sf_dir, ids="long"))
     return seed_from_sources(g, list(SEED_SOURCES))
 
 
 def q_seed_in_neighbors(spark, sf_dir):
-    g = prepare_graph(order_next(spark, sf_dir, "long"))
+    g = prepare_graph(order_next(spark, sf_dir, ids="long"))
     return seed_from_in_neighbors(g, [BOUNDED_SOURCE])
 
 
 def q_relax_one_round(spark, sf_dir):
-    g = prepare_graph(order_next(spark, sf_dir, "long"))
+    g = prepare_graph(order_next(spark, sf_dir, ids="long"))
     return relax_round(g, seed_from_in_neighbors(g, [BOUNDED_SOURCE]))
 
 
 def q_updated_count(spark, sf_dir):
-    g = prepare_graph(order_next(spark, sf_dir, "long"))
+    g = prepare_graph(order_next(spark, sf_dir, ids="long"))
     seeds = seed_from_in_neighbors(g, [BOUNDED_SOURCE])
     return updated_count(seeds, relax_round(g, seeds))
 
@@ -143,24 +143,24 @@ def _on_graph(edges: DataFrame, job: Callable) -> DataFrame:
 
 
 def q_sssp(spark, sf_dir):
-    return _on_graph(part_next(spark, sf_dir, "long"), lambda g: shortest_paths(g, [DENSE_SOURCES[0]]).distances)
+    return _on_graph(part_next(spark, sf_dir, ids="long"), lambda g: shortest_paths(g, [DENSE_SOURCES[0]]).distances)
 
 
 def q_mssp(spark, sf_dir):
-    return _on_graph(order_next(spark, sf_dir, "long"), lambda g: shortest_paths(g, list(SPARSE_SOURCES)).distances)
+    return _on_graph(order_next(spark, sf_dir, ids="long"), lambda g: shortest_paths(g, list(SPARSE_SOURCES)).distances)
 
 
 def q_mssp_dense(spark, sf_dir):
-    return _on_graph(part_next(spark, sf_dir, "long"), lambda g: shortest_paths(g, list(DENSE_SOURCES)).distances)
+    return _on_graph(part_next(spark, sf_dir, ids="long"), lambda g: shortest_paths(g, list(DENSE_SOURCES)).distances)
 
 
 def q_mssp16(spark, sf_dir):
-    return _on_graph(part_next(spark, sf_dir, "long"), lambda g: bit_paths(g, list(MANY_SOURCES)).distances)
+    return _on_graph(part_next(spark, sf_dir, ids="long"), lambda g: bit_paths(g, list(MANY_SOURCES)).distances)
 
 
 def q_mssp_absorbing(spark, sf_dir):
     return _on_graph(
-        order_next(spark, sf_dir, "long"),
+        order_next(spark, sf_dir, ids="long"),
         lambda g: shortest_paths(g, list(SPARSE_SOURCES), stop_at_other_sources=True).distances,
     )
 
@@ -169,13 +169,13 @@ def q_mssp_urgent(spark, sf_dir):
     """Every urgent order as a source, given as a frame, up to the customer's
     next urgent order: sources absorb."""
     return _on_graph(
-        order_next(spark, sf_dir, "long"),
+        order_next(spark, sf_dir, ids="long"),
         lambda g: shortest_paths(g, urgent_orders(spark, sf_dir), stop_at_other_sources=True).distances,
     )
 
 
 def q_mssp_keys_and_reached(spark, sf_dir):
-    g = prepare_graph(order_next(spark, sf_dir, "long"))
+    g = prepare_graph(order_next(spark, sf_dir, ids="long"))
     t = shortest_paths(g, list(SPARSE_SOURCES), stop_at_other_sources=True)
     return t.with_unreached("keys_and_reached")
 
@@ -183,7 +183,7 @@ def q_mssp_keys_and_reached(spark, sf_dir):
 def q_mssp_resume(spark, sf_dir):
     """Stop after two rounds, write the state in the text layout (infinite
     rows included), read it back and continue to the fixpoint."""
-    g = prepare_graph(order_next(spark, sf_dir, "long"))
+    g = prepare_graph(order_next(spark, sf_dir, ids="long"))
     partial = shortest_paths(g, list(SPARSE_SOURCES), max_rounds=RESUME_AFTER_ROUNDS)
     text = state_lines(partial.with_unreached("keys_and_reached"), to_adjacency(g.edge_pairs()))
     state = parse_state_lines(text)
@@ -192,13 +192,13 @@ def q_mssp_resume(spark, sf_dir):
 
 def q_bounded_relaxation(spark, sf_dir):
     return _on_graph(
-        order_next(spark, sf_dir, "long"), lambda g: bounded_relaxation(g, [BOUNDED_SOURCE], rounds=BOUNDED_ROUNDS).distances
+        order_next(spark, sf_dir, ids="long"), lambda g: bounded_relaxation(g, [BOUNDED_SOURCE], rounds=BOUNDED_ROUNDS).distances
     )
 
 
 def q_bounded_dense(spark, sf_dir):
     return _on_graph(
-        part_next(spark, sf_dir, "long"), lambda g: bounded_relaxation(g, [DENSE_SOURCES[0]], rounds=BOUNDED_ROUNDS).distances
+        part_next(spark, sf_dir, ids="long"), lambda g: bounded_relaxation(g, [DENSE_SOURCES[0]], rounds=BOUNDED_ROUNDS).distances
     )
 
 
@@ -207,17 +207,17 @@ def q_lsp_per_source(spark, sf_dir):
 
 
 def q_lsp_global(spark, sf_dir):
-    g = prepare_graph(order_next(spark, sf_dir, "long"))
+    g = prepare_graph(order_next(spark, sf_dir, ids="long"))
     t = bounded_relaxation(g, [BOUNDED_SOURCE])
     return longest_shortest_path(t.with_unreached("all"), per_source=False, unreachable_as_zero=True)
 
 
 def q_round_stats(spark, sf_dir):
-    return _on_graph(order_next(spark, sf_dir, "long"), lambda g: shortest_paths(g, list(SPARSE_SOURCES)).stats_frame())
+    return _on_graph(order_next(spark, sf_dir, ids="long"), lambda g: shortest_paths(g, list(SPARSE_SOURCES)).stats_frame())
 
 
 def q_diameter_lower_bound(spark, sf_dir):
-    return diameter_lower_bound(_on_graph(part_next(spark, sf_dir, "long"), lambda g: bit_paths(g, list(MANY_SOURCES)).longest()))
+    return diameter_lower_bound(_on_graph(part_next(spark, sf_dir, ids="long"), lambda g: bit_paths(g, list(MANY_SOURCES)).longest()))
 
 
 def q_sampled_diameter(spark, sf_dir):
@@ -240,14 +240,14 @@ def q_adjacency_lines(spark, sf_dir):
 def q_state_lines(spark, sf_dir):
     """Absorbing two-source state in the text layout: ``vertex"to"source<TAB>
     list dist`` for every key and reached vertex, infinity as 2147483647."""
-    g = prepare_graph(order_next(spark, sf_dir, "long"))
+    g = prepare_graph(order_next(spark, sf_dir, ids="long"))
     t = shortest_paths(g, list(SPARSE_SOURCES), stop_at_other_sources=True)
     return state_lines(t.with_unreached("keys_and_reached"), to_adjacency(g.edge_pairs()), stop_at_other_sources=True)
 
 
 def q_distance_tuples(spark, sf_dir):
     """Bounded relaxation over every vertex as ``(vertex,dist)`` tuples."""
-    g = prepare_graph(order_next(spark, sf_dir, "long"))
+    g = prepare_graph(order_next(spark, sf_dir, ids="long"))
     t = bounded_relaxation(g, [BOUNDED_SOURCE])
     return distance_lines(t.with_unreached("all"), with_source=False)
 
@@ -276,23 +276,23 @@ def _stored_graph(spark, edges: DataFrame):
 def q_mssp_edge_store(spark, sf_dir):
     """The two-source traversal on stored edges: each round reads the buckets
     that its frontier touches."""
-    return shortest_paths(_stored_graph(spark, order_next(spark, sf_dir, "long")), list(SPARSE_SOURCES)).distances
+    return shortest_paths(_stored_graph(spark, order_next(spark, sf_dir, ids="long")), list(SPARSE_SOURCES)).distances
 
 
 def q_edge_store_scan(spark, sf_dir):
     """Every edge as the store's transposed side holds it."""
-    return _stored_graph(spark, part_next(spark, sf_dir, "long")).store.scan("in").select(F.col("src").cast("string").alias("src"), F.col("dst").cast("string").alias("dst"))
+    return _stored_graph(spark, part_next(spark, sf_dir, ids="long")).store.scan("in").select(F.col("src").cast("string").alias("src"), F.col("dst").cast("string").alias("dst"))
 
 
 def q_in_neighbors_edge_store(spark, sf_dir):
     """In-neighbours of parts on the dense graph, from the buckets that hold them."""
-    return seed_from_in_neighbors(_stored_graph(spark, part_next(spark, sf_dir, "long")), list(MANY_SOURCES))
+    return seed_from_in_neighbors(_stored_graph(spark, part_next(spark, sf_dir, ids="long")), list(MANY_SOURCES))
 
 
 def q_mssp_continued(spark, sf_dir):
     """Stop after three rounds, open the log's last generation and go on."""
     log = fresh_folder(spark, "log")
-    g = prepare_graph(order_next(spark, sf_dir, "long"))
+    g = prepare_graph(order_next(spark, sf_dir, ids="long"))
     try:
         shortest_paths(g, urgent_orders(spark, sf_dir), stop_at_other_sources=True, max_rounds=STOPPED_AFTER_ROUNDS, log=log)
         continue_paths(g, log)
@@ -305,25 +305,25 @@ def q_lsp_stored(spark, sf_dir):
     """Longest shortest path per urgent order, from the sums of a stored traversal."""
     log = fresh_folder(spark, "log")
     _on_graph(
-        order_next(spark, sf_dir, "long"),
+        order_next(spark, sf_dir, ids="long"),
         lambda g: shortest_paths(g, urgent_orders(spark, sf_dir), stop_at_other_sources=True, log=log),
     )
     return stored_longest_paths(spark, log)
 
 
 def q_mssp_bits(spark, sf_dir):
-    return _on_graph(part_next(spark, sf_dir, "long"), lambda g: bit_paths(g, list(BIT_SOURCES)).distances)
+    return _on_graph(part_next(spark, sf_dir, ids="long"), lambda g: bit_paths(g, list(BIT_SOURCES)).distances)
 
 
 def q_mssp_urgent_bits(spark, sf_dir):
     return _on_graph(
-        order_next(spark, sf_dir, "long"),
+        order_next(spark, sf_dir, ids="long"),
         lambda g: bit_paths(g, urgent_orders(spark, sf_dir), stop_at_other_sources=True).distances,
     )
 
 
 def q_lsp_bits(spark, sf_dir):
-    return _on_graph(part_next(spark, sf_dir, "long"), lambda g: bit_paths(g, list(LSP_SOURCES)).longest())
+    return _on_graph(part_next(spark, sf_dir, ids="long"), lambda g: bit_paths(g, list(LSP_SOURCES)).longest())
 
 
 def q_lsp_lines(spark, sf_dir):
