@@ -195,8 +195,7 @@ WITH l AS (
   SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id
 ), t AS (
   SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text, min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS low,
-         regexp_extract_all(coalesce(text, ''), '[^ 	-
-]+') AS words
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
   FROM documents
 ), f AS (
   SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
