@@ -2,7 +2,7 @@
 
 A page is cut into text blocks. Blocks inside elements that are never content
 (menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles,
-reader comments, by tag, role, class or id) are set aside. A class or id counts only
+reader comments, by tag, role, class or id) are set aside. A class or id counts only for blocks, and
 if it doesn't merely say what a layout has (``has-sidebar``) or qualify a part of
 an article (``article-header``), and if the elements of that name hold less than
 ``MOST`` of the page's ratio-weighted text and of its articles' (``NEARLY_ALL``
@@ -21,7 +21,10 @@ items are kept: among plain text the ratios choose the element, not the blocks.
 Defined results: a null or empty html, or a page without text, gives an empty
 text; markup that doesn't close is closed as browsers do for paragraphs, items
 and cells, else by the end of what surrounds it; white space inside a block
-becomes one space, blocks are joined by a newline; repeated rows are extracted
+becomes one space, blocks are joined by a newline; unknown elements are inline,
+and an inline element never ends a block: text of one that is never content is
+left out of it; work and memory follow the page's length at any depth, since
+paths are numbered and open elements are found by tag; repeated rows are extracted
 each; an empty table gives no rows; other columns pass through.
 """
 
@@ -42,10 +45,11 @@ from pyspark.sql import types as T
 THRESHOLD = 0.5
 SIGMA = 1.0
 
-#: HTML's void and inline elements.
+#: HTML's void elements, and those that make blocks. All others, unknown ones too, are inline.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-INLINE = frozenset(
-    "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
+BLOCK = frozenset(
+    "address article aside blockquote body caption center colgroup dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup html legend li "
+    "main menu nav ol optgroup option p pre search section summary table tbody td tfoot th thead title tr ul".split()
 )
 #: Elements that never hold main text.
 APART = frozenset(
@@ -94,20 +98,37 @@ def _names(attrs: dict, article: bool) -> list[str]:
 
 
 class Node:
-    __slots__ = ("apart", "key", "order", "parent", "tag", "article", "header", "hard", "marks")
+    """An open or closed element. ``key`` numbers its tag path, ``outer`` is the
+    outermost article or main element around it, ``listed`` the place of the
+    nearest list or table; ``last`` is the place of the last element inside;
+    ``depth`` is where in the stack that element begins that is never content."""
 
-    def __init__(self, tag: str, attrs: dict, parent: Node | None, order: int, ignored: frozenset[str] = frozenset()):
+    __slots__ = ("apart", "key", "order", "last", "parent", "tag", "block", "article", "outer", "headed", "told", "listed", "header", "hard", "depth", "marks")
+
+    def __init__(self, tag: str, attrs: dict, parent: Node | None, order: int, depth: int, paths: dict, ignored: frozenset[str] = frozenset()):
         article = bool(parent and parent.article)
+        self.block = tag in BLOCK or parent is None
         hard = tag in APART and tag != "header" or (attrs.get("role") or "").lower() in APART_ROLES or "hidden" in attrs
-        mine = [] if tag in ("body", "html", "article", "main") else [(n, article) for n in _names(attrs, article) if n not in ignored]
-        self.tag, self.parent, self.order = tag, parent, order
+        # What is set within a line of text, and a quotation in an article, is not told by its name.
+        named = self.block and tag not in ("body", "html", "article", "main") and not (article and tag == "blockquote")
+        mine = [(n, article) for n in _names(attrs, article) if n not in ignored] if named else []
+        self.tag, self.parent, self.order, self.last = tag, parent, order, order
         self.hard = hard or bool(parent and parent.hard)
-        self.marks: tuple = (*(parent.marks if parent else ()), *mine)
+        self.depth = parent.depth if parent and parent.hard else depth if hard else 0
+        self.marks: frozenset = parent.marks if parent else frozenset()
+        if not self.marks.issuperset(mine):
+            self.marks = self.marks.union(mine)
         self.apart = self.hard or bool(self.marks)
         self.article = tag in ("article", "main") or article
+        self.outer = parent.outer if parent and parent.outer else self if self.article else None
+        self.headed = tag in HEADINGS or bool(parent and parent.headed)
+        self.told = self.headed or tag == "p" or bool(parent and parent.told)
+        self.listed = order if tag in ("ul", "ol", "dl", "table") else parent.listed if parent else 0
         self.header = tag == "header" or bool(parent and parent.header)
-        own = "" if tag in INLINE else "/" + tag + ("." + ".".join(sorted((attrs.get("class") or "").split())) if attrs.get("class") else "")
-        self.key = (parent.key if parent else "") + own
+        self.key = parent.key if parent else 0
+        if self.block and parent:
+            own = (self.key, tag, " ".join(sorted((attrs.get("class") or "").split())))
+            self.key = paths.setdefault(own, len(paths) + 1)
 
 
 class Blocks(HTMLParser):
@@ -116,12 +137,18 @@ class Blocks(HTMLParser):
     def __init__(self, ignored: frozenset[str] = frozenset()):
         super().__init__(convert_charrefs=True)
         self.ignored = ignored
-        self.stack: list[Node] = [Node("", {}, None, 0)]
+        self.paths: dict[tuple, int] = {}
+        self.stack: list[Node] = [Node("", {}, None, 0, 0, self.paths)]
+        self.places: dict[str, list[int]] = defaultdict(list)  # of open elements in the stack, by tag
         self.blocks: list[tuple[Node, str, int]] = []
         self.held: list[str] = []
         self.owner: Node | None = None
         self.linked = self.links = self.count = 0
 
+    def innermost(self, tags) -> int:
+        """Place in the stack of the innermost open element of these tags; 0: none."""
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=0)
+
     def flush(self) -> None:
         if self.held:
             text = " ".join("".join(self.held).split())
@@ -132,64 +159,61 @@ class Blocks(HTMLParser):
     def pop_to(self, depth: int) -> None:
         for node in self.stack[depth:]:
             self.links -= node.tag == "a"
-            if node.tag not in INLINE:
+            node.last = self.count
+            self.places[node.tag].pop()
+            if node.block and not node.parent.hard:
                 self.flush()
         del self.stack[depth:]
 
     def close_implied(self, tag: str) -> None:
-        closing = CLOSES.get(tag, ())
-        if tag not in INLINE and tag not in VOID:
+        closing = CLOSES.get(tag, frozenset())
+        if tag in BLOCK:
             closing = {*closing, "p", *(HEADINGS if tag in HEADINGS else ())}
         walls = WALLS.get(tag, STRONG - {"head"})
-        for i in range(len(self.stack) - 1, 0, -1):
-            t = self.stack[i].tag
-            if t in closing:
-                self.pop_to(i)
-                if tag not in ("tr", "td", "th"):
-                    return
-            elif t in walls:
+        # Nothing in an element that is never content closes what is around it.
+        while (at := self.innermost(closing)) > max(self.innermost(walls), self.stack[-1].depth - 1):
+            self.pop_to(at)
+            if tag not in ("tr", "td", "th"):
                 return
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
+        within = self.stack[-1].hard
         if tag in VOID:
             if tag in ("br", "wbr"):
-                self.held.append(" " if tag == "br" else "")
-            elif tag == "hr":
+                self.held.append(" " if tag == "br" and not within else "")
+            elif tag == "hr" and not within:
                 self.close_implied("div")
                 self.flush()
             return
         self.close_implied(tag)
         self.count += 1
-        node = Node(tag, dict(attrs), self.stack[-1], self.count, self.ignored)
-        if tag not in INLINE or node.apart != self.stack[-1].apart:
+        node = Node(tag, dict(attrs), self.stack[-1], self.count, len(self.stack), self.paths, self.ignored)
+        if node.block and not node.parent.hard:
             self.flush()
         self.links += tag == "a"
+        self.places[tag].append(len(self.stack))
         self.stack.append(node)
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         self.handle_starttag(tag, attrs)
 
     def handle_endtag(self, tag: str) -> None:
-        if tag == "p" and all(n.tag != "p" for n in self.stack):
-            self.flush()
-            return
-        for i in range(len(self.stack) - 1, 0, -1):
-            node = self.stack[i]
-            if node.tag == tag:
-                if node.apart != self.stack[i - 1].apart:
-                    self.flush()
-                self.pop_to(i)
-                return
-            if node.tag in STRONG and tag not in STRONG:
-                return
+        at = self.innermost((tag,))
+        if tag == "p" and not at:
+            if not self.stack[-1].hard:
+                self.flush()
+        elif at and (tag in STRONG or at > self.innermost(STRONG)):
+            self.pop_to(at)
 
     def handle_data(self, data: str) -> None:
         node = self.stack[-1]
+        if node.hard:  # a script or a button within a line doesn't end the block
+            return
         if data.strip():
             if self.owner is None:
-                while node.tag in INLINE and not node.apart:
-                    node = node.parent
                 self.owner = node
+                while not self.owner.block:
+                    self.owner = self.owner.parent
             if self.links:
                 self.linked += len(data.strip())
         self.held.append(data)
@@ -221,21 +245,16 @@ def ratios(blocks: list[tuple[Node, str, int]]) -> list[float]:
     return out
 
 
-def _chain(node: Node) -> list[Node]:
-    out = []
-    while node is not None:
-        out.append(node)
-        node = node.parent
-    return out[::-1]
-
-
 def _read(html: str, ignored: frozenset[str] = frozenset()) -> list[tuple[Node, str, int]]:
-    """The page's blocks, without what tags and roles set apart."""
+    """The page's blocks, without what tags and roles set apart. Of an article's own header, headings
+    and paragraphs stay."""
     parser = Blocks(ignored)
     parser.feed(html)
     parser.close()
     parser.flush()
-    return [b for b in parser.blocks if not b[0].hard and (not b[0].header or b[0].article and any(n.tag in HEADINGS for n in _chain(b[0])))]
+    parser.pop_to(1)
+    parser.stack[0].last = parser.count
+    return [b for b in parser.blocks if not b[0].hard and (not b[0].header or b[0].article and b[0].told)]
 
 
 def _misnamed(blocks: list[tuple[Node, str, int]]) -> frozenset[str]:
@@ -258,16 +277,12 @@ def _misnamed(blocks: list[tuple[Node, str, int]]) -> frozenset[str]:
     return frozenset(n for n in marked if held[n] >= limit[n] * total or n in around and around[n] >= limit[n] * in_articles)
 
 
-def _headed(node: Node) -> bool:
-    return any(n.tag in HEADINGS for n in _chain(node))
-
-
-def _path(node: Node) -> tuple[str, int]:
+def _path(node: Node) -> tuple[int, int]:
     """A block's path, in a list or table of its own."""
-    return node.key, next((n.order for n in _chain(node)[::-1] if n.tag in ("ul", "ol", "dl", "table")), 0)
+    return node.key, node.listed
 
 
-def _passing(blocks: list[tuple[Node, str, int]], score: list[float]) -> set[tuple[str, int]]:
+def _passing(blocks: list[tuple[Node, str, int]], score: list[float]) -> set[tuple[int, int]]:
     """Paths whose best smoothed ratio, less the share of links in the path's
     text, is over the bar, and paths of plain text, which have half of their
     text at least outside links."""
@@ -298,19 +313,20 @@ def main_text(html: str | None) -> str:
     # Outermost article or main elements win if they hold content nodes, each whose paths pass.
     weight: dict[Node, float] = defaultdict(float)
     for (node, text, _), s in zip(blocks, score, strict=True):
-        outer = next((n for n in _chain(node) if n.tag in ("article", "main")), None)
-        if outer and s >= bar and _path(node) in passing:
-            weight[outer] += s * len(text)
+        if node.outer and s >= bar and _path(node) in passing:
+            weight[node.outer] += s * len(text)
     if weight and any(b[0].article for b, _ in nodes):
         best = max(weight, key=lambda n: (weight[n], -n.order))
-        inside = lambda node: any(n in weight and n.tag == best.tag for n in _chain(node))
+        inside = lambda node: node.outer in weight and node.outer.tag == best.tag
     else:
-        parents = [_chain(b[0])[:-1] or [b[0]] for b, _ in nodes]
-        common = parents[0]
-        for chain in parents[1:]:
-            common = [x for x, y in zip(common, chain, strict=False) if x is y]
-        inside = lambda node: common[-1] in _chain(node)
-    return "\n".join(text for node, text, _ in blocks if inside(node) and (_path(node) in passing or _headed(node)))
+        # The smallest element around the parents of all content nodes.
+        parents = [b[0].parent or b[0] for b, _ in nodes]
+        low, high = min(n.order for n in parents), max(n.order for n in parents)
+        around = parents[0]
+        while not around.order <= low <= high <= around.last:
+            around = around.parent
+        inside = lambda node: around.order <= node.order <= around.last
+    return "\n".join(text for node, text, _ in blocks if inside(node) and (_path(node) in passing or node.headed))
 
 
 def extract(pages: DataFrame, html: str = "html", text: str = "text") -> DataFrame:
