@@ -92,21 +92,9 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    text = F.coalesce(F.col("text"), F.lit(""))
-    told = docs.select(
-        "doc_id",
-        "text",
-        rules.n_words(text).alias("n_words"),
-        rules.word_chars(text).alias("word_chars"),
-        rules.n_symbols(text).alias("n_symbols"),
-        rules.n_dup_lines(text).alias("n_dup_lines"),
-        rules.n_repeat_words(text).alias("n_repeat_words"),
-    )
-    # The base rule's figures are results of their own, so in the cascade it reads them.
-    failed = rules.base_failed(F.col("n_words"), F.col("n_repeat_words"))
-    base = rules.Rule(rules.RULES[0].name, lambda _: failed)
-    judged = rules.judge(told, (base, *rules.RULES[1:]), columns=("n_words", "n_repeat_words"))
-    return judged.withColumn("base_failed", failed).drop("text")
+    # The figures are results of all rows here, so the rules read them.
+    judged = rules.judge(docs, rules.FIGURE_RULES, figures=rules.FIGURES)
+    return judged.withColumn("base_failed", rules.base_failed(F.col("n_words"), F.col("n_repeat_words"))).drop("text")
 
 
 OP7_SQL = r"""

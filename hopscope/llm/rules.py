@@ -106,23 +106,33 @@ def base_failed(words: Column, repeats: Column) -> Column:
     return (words < 50) | (100 * repeats > 50 * words)
 
 
-#: Thresholds in the manner of published web-text filters.
-RULES = (
-    Rule("few_words_or_repeats", lambda t: base_failed(n_words(t), n_repeat_words(t))),
-    Rule("symbols", lambda t: n_symbols(t) * 10 > n_words(t)),
-    Rule("word_length", lambda t: (word_chars(t) < 3 * n_words(t)) | (word_chars(t) > 12 * n_words(t))),
-    Rule("dup_lines", lambda t: n_dup_lines(t) * 10 > 3 * F.size(F.split(t, "\n"))),
-    Rule("capitals", lambda t: F.regexp_count(t, F.lit(r"\p{Lu}")) * 10 > 4 * word_chars(t)),
-    Rule("marks", lambda t: F.regexp_count(t, F.lit(r"[!?]")) * 5 > n_words(t)),
-)
-
-
-def measure(docs: DataFrame, rules: tuple[Rule, ...] = RULES, sample_rows: int = SAMPLE_ROWS, text: str = "text", columns: tuple[str, ...] = ()) -> list[tuple[str, float, float]]:
-    """(name, seconds a row, share of rows that fail) on a sample; ``columns``:
-    what the rules read beside the text."""
+FIGURES = {"n_words": n_words, "word_chars": word_chars, "n_symbols": n_symbols, "n_dup_lines": n_dup_lines, "n_repeat_words": n_repeat_words}
+
+
+def rules_over(of: Callable[[str, Column], Column]) -> tuple[Rule, ...]:
+    """The rules, given each figure of a text by its name. Thresholds in the
+    manner of published web-text filters."""
+    return (
+        Rule("few_words_or_repeats", lambda t: base_failed(of("n_words", t), of("n_repeat_words", t))),
+        Rule("symbols", lambda t: of("n_symbols", t) * 10 > of("n_words", t)),
+        Rule("word_length", lambda t: (of("word_chars", t) < 3 * of("n_words", t)) | (of("word_chars", t) > 12 * of("n_words", t))),
+        Rule("dup_lines", lambda t: of("n_dup_lines", t) * 10 > 3 * F.size(F.split(t, "\n"))),
+        Rule("capitals", lambda t: F.regexp_count(t, F.lit(r"\p{Lu}")) * 10 > 4 * of("word_chars", t)),
+        Rule("marks", lambda t: F.regexp_count(t, F.lit(r"[!?]")) * 5 > of("n_words", t)),
+    )
+
+
+#: Rules that work their figures out, and rules that read them from columns.
+RULES = rules_over(lambda name, t: FIGURES[name](t))
+FIGURE_RULES = rules_over(lambda name, _: F.col(name))
+
+
+def measure(docs: DataFrame, rules: tuple[Rule, ...] = RULES, sample_rows: int = SAMPLE_ROWS, text: str = "text", figures: dict[str, Callable[[Column], Column]] | None = None) -> list[tuple[str, float, float]]:
+    """(name, seconds a row, share of rows that fail) on a sample; ``figures``:
+    columns that the rules read beside the text."""
     share = min(1.0, sample_rows / max(docs.count(), 1))
-    drawn = docs.sample(share, seed=1).select(F.coalesce(F.col(text), F.lit("")).alias("t"), *columns)
-    sample = stored(drawn.repartition(4), "rule-sample")
+    drawn = docs.sample(share, seed=1).select(F.coalesce(F.col(text), F.lit("")).alias("t")).repartition(4)
+    sample = stored(drawn.withColumns({name: f(F.col("t")) for name, f in (figures or {}).items()}), "rule-sample")
 
     def run(condition: Column) -> tuple[float, int, int]:
         took = []
@@ -153,8 +163,10 @@ def cascade(text: Column, ordered: list[Rule]) -> Column:
     return out
 
 
-def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text", verdict: str = "kept", columns: tuple[str, ...] = ()) -> DataFrame:
+def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text", verdict: str = "kept", figures: dict[str, Callable[[Column], Column]] | None = None) -> DataFrame:
     """The documents with a boolean column ``verdict``: no rule fails.
-    ``columns``: what the rules read beside the text."""
-    ordered = order(rules, measure(docs, rules, text=text, columns=columns))
-    return docs.withColumn(verdict, cascade(F.coalesce(F.col(text), F.lit("")), ordered).isNull())
+    ``figures``: columns that are added too, which the rules may read."""
+    ordered = order(rules, measure(docs, rules, text=text, figures=figures))
+    whole = F.coalesce(F.col(text), F.lit(""))
+    told = docs.withColumns({name: f(whole) for name, f in (figures or {}).items()})
+    return told.withColumn(verdict, cascade(whole, ordered).isNull())
