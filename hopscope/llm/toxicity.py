@@ -2,9 +2,15 @@
 
 A text's features are the hashed words it holds, and their first four, five and
 six letters, each once however often it occurs. A logistic regression is fitted
-on labelled texts. For labelled sentences that name a group, a copy is made
+on labelled texts. For each labelled sentence that names a group, a copy is made
 with each identity term swapped for the next of its kind, and the change of
 score is penalised, so that naming a group neutrally doesn't raise the score.
+The kinds of terms are a parameter; ``Model.n_pairs`` tells how many sentence
+pairs the penalty saw (equal changes within a text count once).
+
+The strength of the L1 penalty is chosen from ``STRENGTHS`` by the log loss over
+``FOLDS`` folds of at most ``FOLD_ROWS`` of the fitted rows, each fit a Spark
+task; rows with equal features share a fold. Held-out rows play no part in it.
 
 The fit uses at most ``FIT_ROWS`` labelled rows, half of them toxic if there
 are so many, chosen by a hash of their ids; the intercept is set back to the
@@ -22,11 +28,12 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BITS = 18
@@ -35,8 +42,12 @@ FIT_ROWS = 8_000
 MIN_TEXTS = 4
 ROUNDS = 120
 RATE = 0.5
-#: Times one by the root of the number of fitted rows.
+#: Strength of the L1 penalty, times one by the root of the number of fitted rows:
+#: without a choice, and what is chosen from.
 L1 = 0.04
+STRENGTHS = (0.01, 0.02, 0.04, 0.08, 0.16)
+FOLDS = 3
+FOLD_ROWS = 3_000
 #: Weight of the squared change of score between a text and its swapped copy.
 SWAP_PENALTY = 1.0
 
@@ -54,7 +65,14 @@ IDENTITY = (
     ("femmes", "hommes"), ("musulmans", "juifs", "chrétiens"), ("frauen", "männer"), ("muslime", "juden", "christen"),
     ("mujeres", "hombres"), ("musulmanes", "judíos", "cristianos"),
 )
-SWAP = {t: kind[(i + 1) % len(kind)] for kind in IDENTITY for i, t in enumerate(kind)}
+
+
+def swaps(kinds: Sequence[Sequence[str]]) -> dict[str, str]:
+    """Each term's successor within its kind."""
+    return {t: kind[(i + 1) % len(kind)] for kind in kinds for i, t in enumerate(kind)}
+
+
+SWAP = swaps(IDENTITY)
 
 MARKS = re.compile(r"[^\w]+")
 SENTENCES = re.compile(r"(?<=[.!?\n])")
@@ -88,23 +106,47 @@ class Features:
         return out
 
 
-def swapped(text: str | None) -> str | None:
-    """The text with the identity terms of its sentences swapped; None if it names none."""
+def swapped(text: str | None, swap: dict[str, str] = SWAP) -> str | None:
+    """The text with its identity terms swapped; None if it names none."""
     found = False
 
     def one(m: re.Match) -> str:
         nonlocal found
-        other = SWAP.get(m[0].lower())
+        other = swap.get(m[0].lower())
         found |= other is not None
         return m[0] if other is None else other
 
-    out = "".join(re.sub(r"\w+", one, s) for s in SENTENCES.split(text or ""))
+    out = re.sub(r"\w+", one, text or "")
     return out if found else None
 
 
-def fit(rows: list[np.ndarray], copies: list[np.ndarray | None], labels: np.ndarray, share: float, penalty: float = SWAP_PENALTY) -> tuple[np.ndarray, float]:
+#: Features that a swap takes from a sentence, and those that it adds.
+Pair = tuple[np.ndarray, np.ndarray]
+
+
+def sentence_pairs(text: str | None, of: Features, swap: dict[str, str] = SWAP) -> list[Pair]:
+    """What the swap changes in each sentence that names a group, each change once."""
+    out = {}
+    for sentence in SENTENCES.split(text or ""):
+        copy = swapped(sentence, swap)
+        if copy is not None:
+            before, after = of(sentence), of(copy)
+            out[tuple(sorted(before - after)), tuple(sorted(after - before))] = None
+    return [(np.array(lost, np.int64), np.array(gained, np.int64)) for lost, gained in out if lost or gained]
+
+
+def fit(
+    rows: list[np.ndarray],
+    copies: list[np.ndarray | None],
+    labels: np.ndarray,
+    share: float,
+    penalty: float = SWAP_PENALTY,
+    strength: float = L1,
+    pairs: Sequence[Pair] = (),
+) -> tuple[np.ndarray, float]:
     """Weights and intercept. ``rows``: each text's features; ``copies``: those
-    of its swapped copy, or None; ``share``: of label 1 among all labelled rows."""
+    of a swapped copy of the whole text, or None; ``pairs``: the changes that
+    swaps make to sentences; ``share``: of label 1 among all labelled rows."""
     weights = np.zeros(1 << BITS, np.float32)
     prior = float(np.log(max(share, 1e-6) / max(1 - share, 1e-6)))
     if not len(labels) or labels.min() == labels.max():
@@ -120,11 +162,11 @@ def fit(rows: list[np.ndarray], copies: list[np.ndarray | None], labels: np.ndar
         return row[col >= 0], col[col >= 0]
 
     row, col = matrix(rows)
-    # Swapped pairs: the difference of two feature sets is all that the penalty sees.
-    pairs = [(np.setdiff1d(a, b), np.setdiff1d(b, a)) for a, b in zip(rows, copies, strict=True) if b is not None]
+    # The difference of two feature sets is all that the penalty sees.
+    pairs = [*pairs, *((np.setdiff1d(a, b), np.setdiff1d(b, a)) for a, b in zip(rows, copies, strict=True) if b is not None)]
     plus, minus = matrix([p for p, _ in pairs]), matrix([m for _, m in pairs])
     n, w, b = len(labels), np.zeros(len(used)), float(np.log(labels.mean() / (1 - labels.mean())))
-    sparse = L1 / np.sqrt(n)
+    sparse = strength / np.sqrt(n)
     seen, seen_b = np.full(len(used), 1e-8), 1e-8
     for _ in range(ROUNDS):
         z = np.bincount(row, w[col], n) + b
@@ -144,6 +186,41 @@ def fit(rows: list[np.ndarray], copies: list[np.ndarray | None], labels: np.ndar
     return weights, b + prior - float(np.log(labels.mean() / (1 - labels.mean())))
 
 
+def fold_loss(rows: list[np.ndarray], pairs: list[list[Pair]], labels: np.ndarray, folds: np.ndarray, fold: int, strength: float, penalty: float) -> float:
+    """Log loss over one fold's rows of a model that the other folds fit."""
+    inside, outside = np.flatnonzero(folds != fold), np.flatnonzero(folds == fold)
+    if not len(inside) or not len(outside):
+        return 0.0
+    y, known = labels[outside], labels[inside]
+    share = (known.sum() + 0.5) / (len(known) + 1)
+    weights, b = fit([rows[i] for i in inside], [None] * len(inside), known, share, penalty, strength, [p for i in inside for p in pairs[i]])
+    z = np.array([weights[rows[i]].sum(dtype=np.float64) for i in outside]) + b
+    return float(np.logaddexp(0, np.where(y == 1, -z, z)).sum())
+
+
+def choose(spark: SparkSession, rows: list[np.ndarray], pairs: list[list[Pair]], labels: np.ndarray, penalty: float, strengths: Sequence[float] = STRENGTHS) -> float:
+    """The strength with the least log loss over the folds, of equals the largest;
+    ``L1`` if there are fewer rows of a label than folds."""
+    if min((labels == 0).sum(), (labels == 1).sum()) < FOLDS:
+        return L1
+    mark = np.array([zlib.crc32(r.tobytes()) for r in rows])
+    some = np.argsort(mark, kind="stable")[:FOLD_ROWS]
+    shared = spark.sparkContext.broadcast(([rows[i].astype(np.int32) for i in some], [pairs[i] for i in some], labels[some], mark[some] % FOLDS))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            s, k = (batch.column(i).to_pylist() for i in range(2))
+            loss = [fold_loss(*shared.value, fold, strengths[i], penalty) for i, fold in zip(s, k, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(loss, pa.float64())], ["strength", "fold", "loss"])
+
+    jobs = spark.range(0, len(strengths) * FOLDS, 1, len(strengths) * FOLDS)
+    jobs = jobs.select(F.expr(f"CAST(id DIV {FOLDS} AS INT)").alias("strength"), F.expr(f"CAST(id % {FOLDS} AS INT)").alias("fold"))
+    told = sorted(tuple(r) for r in jobs.mapInArrow(run, "strength int, fold int, loss double").collect())
+    shared.destroy()
+    sums = [sum(loss for i, _, loss in told if i == s) for s in range(len(strengths))]
+    return strengths[min(range(len(strengths)), key=lambda s: (sums[s], -strengths[s]))]
+
+
 def labelled(docs: DataFrame, labels: DataFrame, label: str, train: Column, fit_rows: int) -> tuple[DataFrame, float]:
     """(text, y) of at most ``fit_rows`` labelled ids, half of each label if
     there are so many, and the share of label 1 among all of them.
@@ -170,30 +247,51 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, train: Column, fit_
     return rows.select("text", "y"), (counts.get(1, 0) + 0.5) / (sum(counts.values()) + 1)
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", train_rows: Column | None = None, fit_rows: int = FIT_ROWS, penalty: float = SWAP_PENALTY) -> tuple[np.ndarray, float]:
-    """Weights and intercept. ``train_rows``: a condition on ``__id``, the ids
-    whose labels may be used."""
+class Model(NamedTuple):
+    weights: np.ndarray
+    intercept: float
+    strength: float
+    n_pairs: int
+
+
+def train(
+    docs: DataFrame,
+    labels: DataFrame,
+    label: str = "toxic",
+    train_rows: Column | None = None,
+    fit_rows: int = FIT_ROWS,
+    penalty: float = SWAP_PENALTY,
+    kinds: Sequence[Sequence[str]] = IDENTITY,
+) -> Model:
+    """``train_rows``: a condition on ``__id``, the ids whose labels may be used;
+    ``kinds``: terms in lower case that name groups, those of a kind together."""
     rows, share = labelled(docs, labels, label, F.lit(True) if train_rows is None else train_rows, fit_rows)
+    swap = swaps(kinds)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = Features()
         for batch in batches:
             texts = batch.column(0).to_pylist()
             feats = [sorted(of(t)) for t in texts]
-            copies = [None if (s := swapped(t)) is None else sorted(of(s)) for t in texts]
-            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(feats, pa.list_(pa.int32())), pa.array(copies, pa.list_(pa.int32()))], ["y", "f", "c"])
-
-    got = rows.mapInArrow(run, "y int, f array<int>, c array<int>").toArrow()
-    y, f, c = (got.column(i).to_pylist() if i == 0 else got.column(i).combine_chunks() for i in range(3))
-    arrays = [np.asarray(x.values) if x.is_valid else None for x in f]
-    order = sorted(range(len(y)), key=lambda i: (y[i], arrays[i].tobytes()))  # Spark's order of rows is not fixed
-    copies = [np.asarray(c[i].values) if c[i].is_valid else None for i in order]
-    return fit([arrays[i] for i in order], copies, np.array([y[i] for i in order], float), share, penalty)
-
-
-def score(docs: DataFrame, model: tuple[np.ndarray, float], column: str = "score") -> DataFrame:
+            pairs = [sentence_pairs(t, of, swap) for t in texts]
+            lost, gained = (pa.array([[p[i] for p in ps] for ps in pairs], pa.list_(pa.list_(pa.int32()))) for i in range(2))
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(feats, pa.list_(pa.int32())), lost, gained], ["y", "f", "lost", "gained"])
+
+    got = rows.mapInArrow(run, "y int, f array<int>, lost array<array<int>>, gained array<array<int>>").toArrow()
+    y, f = got.column(0).to_pylist(), got.column(1).combine_chunks()
+    lost, gained = got.column(2).to_pylist(), got.column(3).to_pylist()
+    arrays = [np.asarray(x.values) for x in f]
+    order = sorted(range(len(y)), key=lambda i: (y[i], arrays[i].tobytes(), lost[i]))  # Spark's order of rows is not fixed
+    feats, known = [arrays[i] for i in order], np.array([y[i] for i in order], float)
+    pairs = [[(np.array(a, np.int64), np.array(b, np.int64)) for a, b in zip(lost[i], gained[i], strict=True)] for i in order]
+    strength = choose(docs.sparkSession, feats, pairs, known, penalty)
+    every = [p for ps in pairs for p in ps]
+    return Model(*fit(feats, [None] * len(feats), known, share, penalty, strength, every), strength, len(every))
+
+
+def score(docs: DataFrame, model: Model, column: str = "score") -> DataFrame:
     """The documents, all columns as they were, with a score from 0 to 1."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(tuple(model[:2]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of, (weights, b) = Features(), shared.value
