@@ -2,14 +2,16 @@
 
 Archives are ``.warc.gz`` files with one gzip member for each record. The
 reader takes an archive as a stream: it unpacks a member at a time by
-incremental zlib decompression, frames the record by its Content-Length, and
-checks block and payload digests; it holds one record at a time.
+incremental zlib decompression, frames the record by its Content-Length while the
+chunks come, and updates block and payload digests with them. Bodies are passed on
+in pieces of at most 64 kB, so a record of any length takes bounded memory.
 
 Of pages with equal payloads of at least ``min_bytes`` bytes, that with the
 largest page_id is written as a ``response``; the others are ``revisit``
 records that refer to it and hold headers only. Equal payloads meet by their
 digests alone: a digest's largest id is a grouped maximum, and only digests
-that occur twice or more are joined back, so payloads are never shuffled.
+that occur twice or more are joined back. They are broadcast up to 16 MB; more
+of them (about 111,000) are joined through a shuffle of the pages.
 
 Files go to the shared folder under names of their own for each attempt; the
 table of committed attempts' files, written by Spark, says which count.
@@ -27,6 +29,7 @@ import hashlib
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 from urllib.parse import quote
 
 import pyarrow as pa
@@ -43,6 +46,7 @@ LEVEL = 5
 
 #: Fixed values of the format.
 VERSION = "WARC/1.1"
+END = b"\r\n\r\n"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -112,32 +116,75 @@ def members(stream) -> Iterator[Iterator[bytes]]:
         rest[0] = rest[0] or stream.read(CHUNK)
 
 
-def records(stream) -> Iterator[tuple[dict[str, str], dict[str, str], bytes]]:
-    """(record headers, HTTP headers, body) of each record, with checked framing and digests."""
-    for chunks in members(stream):
-        held = bytearray()
-        for chunk in chunks:
-            held += chunk
-        cut = held.find(b"\r\n\r\n")
-        if cut < 0:
+def _head(chunks: Iterator[bytes], held: bytes = b"") -> tuple[bytes, bytes]:
+    """The lines up to the first empty one, and what came after it."""
+    got = bytearray(held)
+    at = got.find(END)
+    while at < 0:
+        chunk = next(chunks, None)
+        if chunk is None:
             raise WarcError("a record without end of headers")
-        version, fields = headers(bytes(held[:cut]))
+        seen = max(len(got) - len(END) + 1, 0)
+        got += chunk
+        at = got.find(END, seen)
+    return bytes(got[:at]), bytes(got[at + len(END) :])
+
+
+def _framed(chunks: Iterator[bytes], held: bytes, size: int, digest) -> Iterator[bytes]:
+    """The ``size`` bytes of a block as they come; the record must end after them."""
+    while size:
+        piece, held = held[:size], held[size:]
+        if piece:
+            size -= len(piece)
+            digest.update(piece)
+            yield piece
+        elif (held := next(chunks, None)) is None:
+            raise WarcError("a record isn't as long as its Content-Length")
+    for chunk in chunks:
+        held += chunk
+        if len(held) > len(END):
+            break
+    if held != END:
+        raise WarcError("a record isn't as long as its Content-Length")
+
+
+def _differs(field: str | None, digest) -> bool:
+    return field is not None and field != "sha1:" + base64.b32encode(digest.digest()).decode()
+
+
+def _body(fields: dict[str, str], http: dict[str, str], pieces: Iterator[bytes], block) -> Iterator[bytes]:
+    payload, size = hashlib.sha1(), 0
+    for piece in pieces:
+        payload.update(piece)
+        size += len(piece)
+        yield piece
+    if _differs(fields.get("warc-block-digest"), block):
+        raise WarcError("block digest differs")
+    if fields["warc-type"] == "response":
+        if size != int(http["content-length"]):
+            raise WarcError("a payload isn't as long as its Content-Length")
+        if _differs(fields.get("warc-payload-digest"), payload):
+            raise WarcError("payload digest differs")
+
+
+def records(stream) -> Iterator[tuple[dict[str, str], dict[str, str], Iterator[bytes]]]:
+    """(record headers, HTTP headers, pieces of the body) of each record.
+
+    Framing and digests are checked as the pieces are taken; pieces that the
+    caller leaves are read and checked before the next record."""
+    for chunks in members(stream):
+        head, rest = _head(chunks)
+        version, fields = headers(head)
         if not version.startswith("WARC/"):
             raise WarcError(f"not a record: {version[:40]!r}")
-        size = int(fields["content-length"])
-        block = bytes(held[cut + 4 : cut + 4 + size])
-        if len(block) != size or held[cut + 4 + size :] != b"\r\n\r\n":
-            raise WarcError("a record isn't as long as its Content-Length")
-        if fields.get("warc-block-digest") not in (None, f"sha1:{base32_sha1(block)}"):
-            raise WarcError("block digest differs")
-        http, _, body = block.partition(b"\r\n\r\n")
-        _, http_fields = headers(http)
-        if fields["warc-type"] == "response":
-            if len(body) != int(http_fields["content-length"]):
-                raise WarcError("a payload isn't as long as its Content-Length")
-            if fields.get("warc-payload-digest") not in (None, f"sha1:{base32_sha1(body)}"):
-                raise WarcError("payload digest differs")
-        yield fields, http_fields, body
+        block = hashlib.sha1()
+        framed = _framed(chunks, rest, int(fields["content-length"]), block)
+        head, rest = _head(framed)
+        _, http = headers(head)
+        pieces = _body(fields, http, chain([rest] if rest else [], framed), block)
+        yield fields, http, pieces
+        for _ in pieces:
+            pass
 
 
 def _open(path: str):
@@ -216,7 +263,8 @@ def read_archives(archives: DataFrame, bodies: bool = True) -> DataFrame:
                     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names)
 
                 with files.open_input_stream(place, compression=None) as stream:
-                    for fields, http, body in records(stream):
+                    for fields, http, pieces in records(stream):
+                        body = b"".join(pieces) if bodies else None
                         rows.append(
                             (
                                 _page(fields["warc-record-id"]),
@@ -225,10 +273,10 @@ def read_archives(archives: DataFrame, bodies: bool = True) -> DataFrame:
                                 _page(fields.get("warc-refers-to")),
                                 int(http["content-length"]),
                                 fields["warc-payload-digest"].removeprefix("sha1:"),
-                                body if bodies else None,
+                                body,
                             )
                         )
-                        held += len(body) * bodies + 200
+                        held += len(body or b"") + 200
                         if held > 4 << 20:
                             yield flush()
                 if rows:
@@ -239,6 +287,27 @@ def read_archives(archives: DataFrame, bodies: bool = True) -> DataFrame:
     return archives.select("path").repartition(tasks).mapInArrow(run, RECORDS)
 
 
+PIECES = "page_id long, piece long, body binary"
+
+
+def read_pieces(archives: DataFrame) -> DataFrame:
+    """The bodies in numbered pieces, for records too long for one row."""
+    types = [pa.int64(), pa.int64(), pa.binary()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                files, place = _open(path)
+                with files.open_input_stream(place, compression=None) as stream:
+                    for fields, _, pieces in records(stream):
+                        page = _page(fields["warc-record-id"])
+                        for i, piece in enumerate(pieces):
+                            yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip((page, i, piece), types, strict=True)], PIECES.replace(",", "").split()[::2])
+
+    tasks = max(int(archives.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    return archives.select("path").repartition(tasks).mapInArrow(run, PIECES)
+
+
 def archived(pages: DataFrame, **options) -> DataFrame:
     """Write the pages to the shared folder, and read them back."""
     return read_archives(write_archives(pages, fresh_path(pages.sparkSession, "warc"), **options), bodies=False)
