@@ -13,9 +13,9 @@ and right by a multivariate hypergeometric draw, so that every shard gets an
 exact, fair share. Each shard then takes the next blocks of every source's
 shuffled draws, and its documents are shuffled within it.
 
-Only sums per source and per block (``BLOCKS`` plus one for each source) are
-ever brought together; documents are met by a broadcast of checked size or a
-salted join. All draws hash ids, texts and the seed, so reruns agree.
+There are ``SHARD_BLOCKS`` blocks a shard, ``BLOCKS`` at least, and one more for
+each source. Only sums per source and per block are ever brought together;
+documents are met by a broadcast of checked size or a salted join. All draws hash ids, texts and the seed, so reruns agree.
 
 Defined results: a null text has size 0 and is never drawn; null ids, repeated
 ids and ties are told apart by text; repeated rows share a hash, so they are
@@ -33,7 +33,9 @@ from hopscope.llm.common import WORD, attach, stored
 
 WEIGHTS = (5, 2, 1)
 CAP = 3
+#: Fewest blocks of all sources together, and blocks for each output shard.
 BLOCKS = 4096
+SHARD_BLOCKS = 8
 #: Words of an output shard.
 SHARD_WORDS = 4_000_000
 SEED = 20
@@ -148,9 +150,9 @@ def plan_mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: float = C
     sums = stored(slim.groupBy("source").agg(F.sum("size").alias("source_size")), "mix-sources")
     told = sums.agg(F.sum("source_size"), F.count("*")).first()
     total, n_sources = told[0] or 0, told[1]
-    blocks = F.greatest(F.lit(1), F.ceil(F.col("source_size") / F.lit(max(1.0, total / BLOCKS)))).cast("long")
-    plan = _cut(slim, targets(sums, weights, cap).withColumn("blocks", blocks), n_sources)
     shards = max(1, -(-total // shard_words))
+    blocks = F.greatest(F.lit(1), F.ceil(F.col("source_size") / F.lit(max(1.0, total / max(BLOCKS, SHARD_BLOCKS * shards))))).cast("long")
+    plan = _cut(slim, targets(sums, weights, cap).withColumn("blocks", blocks), n_sources)
     dealt = stored(_shards(plan, shards, seed), "mix-dealt")
     offset = F.sum("n").over(Window.partitionBy("source").orderBy("shard")) - F.col("n")
     slots = dealt.withColumn("from", offset).select("source", "shard", F.explode(F.sequence(F.col("from"), F.col("from") + F.col("n") - 1)).alias("j"))
