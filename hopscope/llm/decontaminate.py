@@ -11,7 +11,10 @@ that meet the bound are verified by banded alignment.
 The benchmark is a stated query set: it is cut into blocks of at most
 ``BLOCK_CHARS`` characters, each is broadcast, and the documents stream past it
 in Arrow batches. The documents are never shuffled and no pairs of documents
-are made.
+are made. A text is worked through in pieces of ``PIECE`` characters, and in
+stretches that share ``ENTRIES`` q-grams with the block at most, so that memory
+does not grow with a text or with a q-gram that text or block repeat; pieces and
+stretches overlap by as much as a band may span, so each band is counted whole.
 
 Found for sure: a whole item of up to 160 normalised characters within its
 budget, and of a longer one any verbatim excerpt of 191 characters, which holds a
@@ -39,6 +42,9 @@ Q = 10
 BUDGET = 0.06
 SEGMENT = 128
 BLOCK_CHARS = 4_000_000
+#: Characters of a text, and q-grams shared with a block, that are looked at together.
+PIECE = 1 << 20
+ENTRIES = 1 << 19
 
 HITS = "doc_id long, item_id long, n_regions long, min_edits long, start long, end long"
 
@@ -132,6 +138,13 @@ class Index:
         self.segment = np.repeat(np.array(long, np.int64), [len(h) for h in hashed])[order]
         self.position = np.concatenate([*[np.arange(len(h)) for h in hashed], np.zeros(0, np.int64)])[order]
         self.bounds = np.array([self.bound(s) for s in range(len(self.items))], np.int64)
+        # A band is two steps wide, so any k+1 neighbouring diagonals lie within one.
+        self.steps = np.array(self.budget, np.int64) + 1
+        # More than the places of a band's q-grams span.
+        self.reach = max((len(c) + 2 * (k + 1) for c, k in zip(self.codes, self.budget, strict=True)), default=0)
+        # The entries of one q-gram stand in the order of their segments.
+        self.rank = np.cumsum(np.append(0, self.gram[1:] != self.gram[:-1])) if len(self.gram) else np.zeros(0, np.int64)
+        self.key = self.rank * len(self.items) + self.segment
         self.bits = 22
         self.seen = np.zeros(1 << self.bits, bool)
         self.seen[(self.gram >> np.uint64(64 - self.bits)).astype(np.int64)] = True
@@ -152,32 +165,55 @@ class Index:
         code = codes(norm)
         if len(code) < self.q or not len(self.gram):
             return found
-        gram = grams(code, self.q)
+        met = [np.zeros(0, np.int64)]
+        for start in range(0, len(code), PIECE):
+            piece = code[start : start + PIECE + self.reach + self.q]
+            if len(piece) >= self.q:
+                self._piece(grams(piece, self.q), start, met)
+        met = np.unique(np.concatenate(met))
+        for s in np.unique(met >> 32):
+            found += self._regions(int(s), code, (met[met >> 32 == s] & 0xFFFFFFFF) - 512)
+        return found
+
+    def _piece(self, gram: np.ndarray, start: int, met: list[np.ndarray]) -> None:
+        """Add to ``met`` the segments and bands, (segment << 32) + band + 512, that
+        share enough of the q-grams of a text from ``start`` on."""
         at = np.flatnonzero(self.seen[(gram >> np.uint64(64 - self.bits)).astype(np.int64)])
         lo = np.searchsorted(self.gram, gram[at], "left")
         n = np.searchsorted(self.gram, gram[at], "right") - lo
+        at, lo, n = at[n > 0] + start, lo[n > 0], n[n > 0]
+        ends, i = np.cumsum(n), 0
+        while i < len(at):
+            j = max(np.searchsorted(ends, ends[i] - n[i] + ENTRIES, "right"), np.searchsorted(at, at[i] + 2 * self.reach))
+            self._stretch(at[i:j], lo[i:j], n[i:j], 0, len(self.items), met)
+            i = np.searchsorted(at, at[j] - self.reach) if j < len(at) else j
+
+    def _stretch(self, at: np.ndarray, lo: np.ndarray, n: np.ndarray, first: int, last: int, met: list[np.ndarray]) -> None:
+        """The same for places ``at`` whose q-grams have ``n`` entries from ``lo`` on,
+        of segments from ``first`` up to ``last``; halved while the entries are too many."""
         at, lo, n = at[n > 0], lo[n > 0], n[n > 0]
-        if not len(at):
-            return found
+        if n.sum() > ENTRIES and last - first > 1:
+            middle = (first + last) // 2
+            cut = np.searchsorted(self.key, self.rank[lo] * len(self.items) + middle)
+            self._stretch(at, lo, cut - lo, first, middle, met)
+            self._stretch(at, cut, lo + n - cut, middle, last, met)
+            return
         # One entry for each shared q-gram: segment, its position there, its diagonal.
-        entry = np.repeat(lo - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
-        segment, position = self.segment[entry], self.position[entry]
-        diagonal = np.repeat(at, n) - position
-        counts = np.bincount(segment, minlength=len(self.items))
-        for s in np.flatnonzero(counts >= self.bounds):
-            mine = segment == s
-            found += self._regions(int(s), code, position[mine], diagonal[mine])
-        return found
-
-    def _regions(self, s: int, code: np.ndarray, position: np.ndarray, diagonal: np.ndarray) -> list[tuple[int, int, int, int]]:
-        k = self.budget[s]
-        step = k + 1  # a band is two steps wide, so any k+1 neighbouring diagonals lie within one
-        band = diagonal // step
-        band, position = np.concatenate([band, band - 1]), np.concatenate([position, position])
-        both = np.unique(np.stack([band, position]), axis=1)  # a q-gram of the segment counts once in a band
-        ids, counts = np.unique(both[0], return_counts=True)
+        entry = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        segment = self.segment[entry]
+        enough = np.bincount(segment - first, minlength=last - first) >= self.bounds[first:last]
+        kept = enough[segment - first]
+        segment, position = segment[kept], self.position[entry[kept]]
+        band = (np.repeat(at, n)[kept] - position) // self.steps[segment]
+        band = (segment << 40) + ((band + 512) << 8) + position
+        # A q-gram of the segment counts once in a band, and lies in two bands.
+        ids, counts = np.unique(np.unique(np.concatenate([band, band - 256])) >> 8, return_counts=True)
+        met.append(ids[counts >= self.bounds[ids >> 32]])
+
+    def _regions(self, s: int, code: np.ndarray, bands: np.ndarray) -> list[tuple[int, int, int, int]]:
+        k, step = self.budget[s], self.budget[s] + 1
         out = []
-        for b in ids[counts >= self.bound(s)]:
+        for b in bands:
             if hit := align(self.codes[s], code, int(b) * step + k, k + 1 + k, k):
                 if not out or hit[1] >= out[-1][3] - len(self.codes[s]) // 2:
                     out.append((self.items[s], *hit))
@@ -240,6 +276,6 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame
     their size."""
     own = lambda doc, fp: F.when(doc.isNull(), fp)
     found = _hits(docs, benchmark, **options)
-    found = found.select(F.col("doc_id").alias("__leaked"), own(F.col("doc_id"), F.col("fp")).alias("__leaked_fp")).distinct()
-    mine = docs["doc_id"].eqNullSafe(F.col("__leaked")) & own(docs["doc_id"], F.md5(docs["text"])).eqNullSafe(F.col("__leaked_fp"))
+    found = found.select(F.col("doc_id").alias("leaked"), own(F.col("doc_id"), F.col("fp")).alias("leaked_fp")).distinct()
+    mine = docs["doc_id"].eqNullSafe(found["leaked"]) & own(docs["doc_id"], F.md5(docs["text"])).eqNullSafe(found["leaked_fp"])
     return docs.join(found, mine, "left_anti")

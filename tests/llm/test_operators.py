@@ -93,6 +93,44 @@ def test_clean_texts_without_an_id_stay_beside_leaking_ones(spark):
     assert sorted((r["doc_id"] or 0, r["text"] or "") for r in clean.collect()) == [(0, ""), (0, ""), (0, "a clean text"), (0, "a clean text"), (3, ""), (4, "")]
 
 
+def test_leaks_do_not_depend_on_pieces_and_stretches(monkeypatch):
+    rng = random.Random(11)
+    items = [(i, " ".join(words(14 + 9 * i, i))) for i in range(5)] + [(7, "ab" * 90), (8, "a" * 128), (9, "z" * 400)]
+    bodies = []
+    for i in range(40):
+        body = " ".join(words(300, 50 + i))
+        for _, item in rng.sample(items, 3):
+            at = rng.randrange(len(body))
+            body = body[:at] + item[: rng.choice([80, 400])].replace("e", "o", rng.randrange(4)) + body[at:]
+        bodies.append(body)
+    index = decontaminate.Index(items)
+    whole = [index.matches(b) for b in bodies]
+    assert sum(map(bool, whole)) > 20
+    for piece, entries in ((1 << 20, 1), (1 << 20, 3000), (700, 1 << 19), (37, 50)):
+        monkeypatch.setattr(decontaminate, "PIECE", piece)
+        monkeypatch.setattr(decontaminate, "ENTRIES", entries)
+        assert [index.matches(b) for b in bodies] == whole
+
+
+def test_a_repeated_gram_takes_bounded_memory():
+    import tracemalloc
+
+    index = decontaminate.Index([(1, "a" * 128), (2, "b" * 300)])
+    tracemalloc.start()
+    found = index.matches("a" * 20_000 + "b" * 5_000)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert {f[0] for f in found if f[1] == 0} == {1, 2}
+    assert peak < 150 << 20
+
+
+def test_documents_may_have_any_other_columns(spark):
+    item = " ".join(words(18, 1))
+    docs = spark.createDataFrame([(1, f"x {item}", 5, "k"), (2, "clean", 6, None)], "doc_id long, text string, leaked long, leaked_fp string")
+    clean = decontaminate.decontaminate(docs, spark.createDataFrame([(5, item)], "item_id long, text string"))
+    assert [tuple(r) for r in clean.collect()] == [(2, "clean", 6, None)]
+
+
 def test_swapped_identity_terms_lose_weight():
     rng = random.Random(5)
     texts, y = [], []
