@@ -33,6 +33,9 @@ Once more than ``compact_every`` layers have gathered, the newest are merged, as
 far back as those of at most twice their rows: the plan stays small on deep
 graphs, and a row is rewritten only as often as its layer grows by half.
 
+A traversal from a list of sources may go ``bottom_up`` on dense rounds
+(:mod:`hopscope.operators.bottom_up`).
+
 A graph that lies in an edge store (:mod:`hopscope.plans.edge_store`) is read
 bucket by bucket while a frontier is small, and a traversal with a ``log``
 (:mod:`hopscope.plans.generations`) keeps each round where a later session can
@@ -49,6 +52,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hopscope.functions.expressions import next_hop
+from hopscope.operators.bottom_up import BottomUp
 from hopscope.plans.edge_store import bitmap_columns, bucket_of, buckets_in
 from hopscope.plans.generations import GenerationLog, open_generation, tail_to_merge
 from hopscope.plans.graph import HopGraph, prepare_graph
@@ -231,6 +235,17 @@ def _expand_heavy(graph: HopGraph, f: DataFrame, heavy: DataFrame) -> DataFrame:
     return mine.join(theirs.hint("merge"), on).select("source", F.col("e_dst").alias("vertex"), next_hop(F.col("dist")).alias("dist"))
 
 
+def _unblocked(graph: HopGraph, f: DataFrame, blocked: SourceSet | None) -> DataFrame:
+    """The frontier rows that expand: not those of other traversals' sources."""
+    if blocked is None:
+        return f
+    if blocked.values is not None:
+        return f.where(~F.col("vertex").isin(graph.internal_values(blocked.values)) | (F.col("vertex") == F.col("source")))
+    b = _internal_sources(graph, blocked).select(F.col("source").alias("blocked"))
+    b = _side(graph.spark, b, blocked.count, row_bytes(1, blocked.max_len))
+    return f.join(b, (F.col("vertex") == F.col("blocked")) & (F.col("source") != F.col("blocked")), "left_anti")
+
+
 def expand(graph: HopGraph, frontier: DataFrame, frontier_rows: int | None = None,
            blocked: SourceSet | None = None, clean: bool = False, buckets: list[int] | None = None, sources: int | None = None) -> DataFrame:
     """Candidates ``(source, vertex, dist + 1)`` along every out-edge of the
@@ -250,12 +265,7 @@ def expand(graph: HopGraph, frontier: DataFrame, frontier_rows: int | None = Non
     """
     spark = graph.spark
     f = frontier if clean else frontier.select("source", "vertex", "dist").where(F.col("dist").isNotNull())
-    if blocked is not None and blocked.values is not None:
-        f = f.where(~F.col("vertex").isin(graph.internal_values(blocked.values)) | (F.col("vertex") == F.col("source")))
-    elif blocked is not None:
-        b = _internal_sources(graph, blocked).select(F.col("source").alias("blocked"))
-        b = _side(spark, b, blocked.count, row_bytes(1, blocked.max_len))
-        f = f.join(b, (F.col("vertex") == F.col("blocked")) & (F.col("source") != F.col("blocked")), "left_anti")
+    f = _unblocked(graph, f, blocked)
 
     width = row_bytes(2, max(graph.max_id_length, blocked.max_len if blocked else 1), fixed_cols=3)
     if buckets is not None and 2 * len(buckets) <= graph.store.buckets and fits_broadcast(spark, frontier_rows, width):
@@ -322,6 +332,7 @@ class Traversal:
     absorbing: bool = False
     rows_rewritten: int = 0  # by merging layers
     outside: DataFrame | None = None  # rows with ids that no edge can have
+    directions: list[tuple[int, str, int]] = field(default_factory=list)  # (round, down or up, candidates) with bottom_up
     _distances: DataFrame | None = field(default=None, repr=False)
 
     @property
@@ -406,17 +417,20 @@ def iterate(graph: HopGraph, initial: DataFrame, *, mode: str = "bfs", max_round
             blocked: SourceSet | None = None, sources: SourceSet | None = None,
             compact_every: int = DEFAULT_COMPACT_EVERY, log: GenerationLog | None = None,
             past: list[tuple[int, int]] | None = None, front_dist: int | None = None,
-            done: bool = False) -> Traversal:
+            done: bool = False, bottom_up: bool = False) -> Traversal:
     """Run rounds from ``initial`` ``(source, vertex, dist)`` rows (ids in the
     graph's layout type) until a round changes nothing or ``max_rounds`` ran.
 
     All rows are active in the first round; with ``front_dist`` only those at
     that distance are, the others being visited before. ``past``: the rounds
     that led there, ``done`` if they led to the fixpoint. ``log``: commit each
-    round to it.
+    round to it. ``bottom_up``: dense rounds start from the unreached vertices;
+    all rows of ``initial`` must then be at one distance.
     """
     if mode not in ("bfs", "relax"):
         raise ValueError(f"unknown mode {mode!r}")
+    if bottom_up and (mode != "bfs" or past or sources is None or sources.values is None):
+        raise ValueError("bottom_up needs a fresh traversal from a list of sources")
     spark = graph.spark
     n_sources = sources.count if sources is not None else 1
     p = graph.state_partitions(n_sources)
@@ -449,6 +463,7 @@ def iterate(graph: HopGraph, initial: DataFrame, *, mode: str = "bfs", max_round
         elif log is not None:
             front_dist = layer0.agg(F.max("dist")).first()[0] if mode == "bfs" else None
             commit(layer0, n0, front_dist)
+        look = BottomUp(graph, layer0, n0, p) if bottom_up else None
         rnd = len(stats)
         while not done and (max_rounds is None or rnd < max_rounds):
             rnd += 1
@@ -456,10 +471,17 @@ def iterate(graph: HopGraph, initial: DataFrame, *, mode: str = "bfs", max_round
                 stats.append((rnd, 0))
                 converged = True
                 break
-            cand = reduce_candidates(expand(graph, frontier, n_front, blocked, clean=True, buckets=near, sources=n_sources))
-            new = _layer_anti_join(cand, probes).sortWithinPartitions("source", "vertex")
-            new, n, seen = materialize_observed(new, metrics)
+            counted = None
+            if look is not None and look.pays():
+                new, counted = look.step(_unblocked(graph, frontier, blocked), n_front)
+            else:
+                cand = reduce_candidates(expand(graph, frontier, n_front, blocked, clean=True, buckets=near, sources=n_sources))
+                new = _layer_anti_join(cand, probes)
+            new, n, seen = materialize_observed(new.sortWithinPartitions("source", "vertex"), metrics)
             stats.append((rnd, n))
+            if look is not None:
+                look.rounds.append((rnd, "down", look.leaving) if counted is None else (rnd, "up", sum(int(c.get["n"]) for c in counted)))
+                look.reached(new, n)
             log_round(rnd, n)
             if n == 0:
                 converged = True
@@ -485,6 +507,7 @@ def iterate(graph: HopGraph, initial: DataFrame, *, mode: str = "bfs", max_round
         mode=mode,
         absorbing=blocked is not None,
         rows_rewritten=rewritten,
+        directions=look.rounds if look is not None else [],
     )
 
 
@@ -497,7 +520,8 @@ def log_round(rnd: int, updated: int) -> None:
 # --------------------------------------------------------------------------
 def shortest_paths(graph: HopGraph, sources, *, max_rounds: int | None = None,
                    stop_at_other_sources: bool = False, seed_sinks: bool = False,
-                   compact_every: int = DEFAULT_COMPACT_EVERY, log: str | None = None) -> Traversal:
+                   compact_every: int = DEFAULT_COMPACT_EVERY, log: str | None = None,
+                   bottom_up: bool = False) -> Traversal:
     """Hop distance from every source to every vertex it reaches, along
     out-edges, run to the fixpoint (or ``max_rounds`` rounds).
 
@@ -505,12 +529,16 @@ def shortest_paths(graph: HopGraph, sources, *, max_rounds: int | None = None,
     makes every source absorbing in the other sources' traversals: it is
     reached with its true distance, but nothing is reached through it.
     ``log``: a folder in which each round is kept (:func:`continue_paths`).
+    ``bottom_up``: on rounds where, by count, more edges leave the frontier than
+    enter unreached vertices, these look for a parent instead (for sources given
+    as a list; ``directions`` of the result tells the rounds).
     """
     ss = source_set(graph.spark, sources)
     seeds = _seeds_at_sources(graph, ss, seed_sinks)
     t = iterate(graph, seeds, mode="bfs", max_rounds=max_rounds,
                 blocked=ss if stop_at_other_sources else None, sources=ss,
-                compact_every=compact_every, log=_new_log(graph, log, ss, "bfs", stop_at_other_sources))
+                compact_every=compact_every, log=_new_log(graph, log, ss, "bfs", stop_at_other_sources),
+                bottom_up=bottom_up)
     t.outside = _outside(graph, _at_themselves(ss)) if seed_sinks else None
     return t
 
@@ -540,7 +568,8 @@ def continue_paths(graph: HopGraph, log: str, *, max_rounds: int | None = None,
 
 
 def bounded_relaxation(graph: HopGraph, sources, rounds: int | None = None,
-                       compact_every: int = DEFAULT_COMPACT_EVERY, log: str | None = None) -> Traversal:
+                       compact_every: int = DEFAULT_COMPACT_EVERY, log: str | None = None,
+                       bottom_up: bool = False) -> Traversal:
     """Relaxation seeded at the in-neighbours of each source (distance 1),
     run along out-edges to the fixpoint, or for at most ``rounds`` rounds
     (``converged`` of the result says whether that cut anything off).
@@ -548,12 +577,13 @@ def bounded_relaxation(graph: HopGraph, sources, rounds: int | None = None,
     The source itself starts unreached; it ends at 2 if it has an
     in-neighbour (1 with a self-loop). After ``rounds`` rounds the largest
     finite distance is at most ``rounds + 1``. Stopping early when a round
-    changes nothing gives the same rows as running all rounds.
+    changes nothing gives the same rows as running all rounds. ``bottom_up``
+    as in :func:`shortest_paths`.
     """
     ss = source_set(graph.spark, sources)
     seeds = _seeds_at_in_neighbors(graph, ss)
     return iterate(graph, seeds, mode="bfs", max_rounds=rounds, sources=ss, compact_every=compact_every,
-                   log=_new_log(graph, log, ss, "bfs", False))
+                   log=_new_log(graph, log, ss, "bfs", False), bottom_up=bottom_up)
 
 
 def resume_shortest_paths(graph: HopGraph, state: DataFrame, *, sources=None,

@@ -77,6 +77,8 @@ class HopGraph:
     _aliased: DataFrame | None = field(default=None, repr=False)
     _large: dict = field(default_factory=dict, repr=False)
     _approx_vertices: int | None = field(default=None, repr=False)
+    _degrees: DataFrame | None = field(default=None, repr=False)
+    _reversed: HopGraph | None = field(default=None, repr=False)
 
     def approx_vertices(self) -> int:
         """Approximate vertex count (HyperLogLog; one aggregate, partial per
@@ -96,6 +98,30 @@ class HopGraph:
             self._large[least] = deg.persist(StorageLevel.MEMORY_AND_DISK)
         return self._large[least]
 
+    def degrees(self) -> DataFrame:
+        """(vertex, outs, ins) of every vertex; computed once."""
+        if self._degrees is None:
+            one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
+            ends = self.edges.select(F.col("src").alias("vertex"), one.alias("outs"), none.alias("ins"))
+            ends = ends.union(self.edges.select(F.col("dst").alias("vertex"), none.alias("outs"), one.alias("ins")))
+            sums = ends.groupBy("vertex").agg(F.sum("outs").alias("outs"), F.sum("ins").alias("ins"))
+            self._degrees = sums.persist(StorageLevel.MEMORY_AND_DISK)
+        return self._degrees
+
+    def reversed(self) -> HopGraph:
+        """The graph with its edges turned round, laid out in the same way; built once."""
+        if self._reversed is None:
+            e = self.edges if self.store is None else self.store.scan("in")
+            turned = e.select(F.col("dst").alias("src"), F.col("src").alias("dst"))
+            deg = self.degrees().select(F.col("vertex").alias("src"), F.col("ins").alias("deg"))
+            max_deg = int(deg.agg(F.max("deg")).first()[0] or 0)
+            edges, hot = lay_out(self.spark, turned, deg, max_deg, self.partitions, self.chunk, self.id_type)
+            self._reversed = HopGraph(
+                edges=edges, hot=hot, partitions=self.partitions, num_edges=self.num_edges, max_out_degree=max_deg,
+                max_id_length=self.max_id_length, chunk=self.chunk, id_type=self.id_type,
+            )
+        return self._reversed
+
     def state_partitions(self, sources: int) -> int:
         """Partitions for traversal state of ``sources`` sources: the layout's
         count, raised so no state partition holds more than
@@ -159,6 +185,10 @@ class HopGraph:
         for deg in self._large.values():
             deg.unpersist()
         self._large.clear()
+        if self._degrees is not None:
+            self._degrees.unpersist()
+        if self._reversed is not None:
+            self._reversed.unpersist()
 
 
 def normalize_edges(edges: DataFrame) -> DataFrame:

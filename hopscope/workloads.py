@@ -154,6 +154,11 @@ def q_mssp_dense(spark, sf_dir):
     return _on_graph(part_next(spark, sf_dir, ids="long"), lambda g: shortest_paths(g, list(DENSE_SOURCES)).distances)
 
 
+def q_mssp_bottom_up(spark, sf_dir):
+    """The dense traversal, its dense rounds from the unreached vertices."""
+    return _on_graph(part_next(spark, sf_dir, ids="long"), lambda g: shortest_paths(g, list(DENSE_SOURCES), bottom_up=True).distances)
+
+
 def q_mssp16(spark, sf_dir):
     return _on_graph(part_next(spark, sf_dir, ids="long"), lambda g: bit_paths(g, list(MANY_SOURCES)).distances)
 
@@ -345,6 +350,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sssp": q_sssp,
     "mssp": q_mssp,
     "mssp_dense": q_mssp_dense,
+    "mssp_bottom_up": q_mssp_bottom_up,
     "mssp16": q_mssp16,
     "mssp_absorbing": q_mssp_absorbing,
     "mssp_urgent": q_mssp_urgent,
@@ -513,6 +519,7 @@ ORACLE_SQL: dict[str, str] = {
     "sssp": _bfs_sql(DENSE, _values([DENSE_SOURCES[0]]), select=_DIST),
     "mssp": MSSP_SQL,
     "mssp_dense": _bfs_sql(DENSE, _values(DENSE_SOURCES), select=_DIST),
+    "mssp_bottom_up": _bfs_sql(DENSE, _values(DENSE_SOURCES), select=_DIST),
     "mssp16": MSSP16_SQL,
     "mssp_absorbing": _bfs_sql(SPARSE, _values(SPARSE_SOURCES), absorbing=True, select=_DIST),
     "mssp_urgent": _bfs_sql(SPARSE, URGENT, absorbing=True, select=_DIST),
