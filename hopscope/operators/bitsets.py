@@ -103,9 +103,15 @@ def _merged_bits(rows: DataFrame) -> DataFrame:
     return rows.groupBy("word", "vertex").agg(F.bit_or("bits").alias("bits"))
 
 
-def _allowed(frontier: DataFrame, numbered: DataFrame, graph: HopGraph, ss: SourceSet) -> DataFrame:
-    """The frontier without the bits that a source of another traversal holds up."""
+def _own_bits(numbered: DataFrame, partitions: int) -> DataFrame:
+    """(s_vertex, s_word, s_bits) of the sources, dealt as the edges are, so that
+    a round moves its frontier alone."""
     own = numbered.select(F.col("source").alias("s_vertex"), F.col("word").alias("s_word"), _bit("bit").alias("s_bits"))
+    return materialize(own.repartition(partitions, "s_vertex").sortWithinPartitions("s_vertex"))[0]
+
+
+def _allowed(frontier: DataFrame, own: DataFrame, graph: HopGraph, ss: SourceSet) -> DataFrame:
+    """The frontier without the bits that a source of another traversal holds up."""
     own = _side(graph.spark, own, ss.count, row_bytes(1, ss.max_len, fixed_cols=2))
     met = frontier.join(own, F.col("vertex") == F.col("s_vertex"), "left")
     mine = F.when(F.col("s_vertex").isNull(), F.col("bits")).when(F.col("word") == F.col("s_word"), F.col("bits").bitwiseAND(F.col("s_bits"))).otherwise(F.lit(0).cast("long"))
@@ -135,7 +141,8 @@ def bit_paths(graph: HopGraph, sources, *, max_rounds: int | None = None, stop_a
     spark = graph.spark
     ss = source_set(spark, sources)
     numbered = _numbered(graph, ss)
-    p = graph.state_partitions(max(1, math.ceil(ss.count / WORD_BITS)))
+    words = max(1, math.ceil(ss.count / WORD_BITS))
+    p = graph.first_partitions(words)
     kept = numbered
     if not seed_sinks:
         small = fits_broadcast(spark, ss.count, row_bytes(1, ss.max_len))
@@ -150,6 +157,7 @@ def bit_paths(graph: HopGraph, sources, *, max_rounds: int | None = None, stop_a
         start = kept.select("word", F.col("source").alias("vertex"), _bit("bit").alias("bits"))
         start = _merged_bits(start.repartition(p, "word", "vertex"))
         frontier, rows = materialize(start)
+        own = _own_bits(numbered, graph.partitions) if stop_at_other_sources else None
         rounds, layers = [(frontier, 0)], [(frontier, rows)]
         rnd = 0
         while max_rounds is None or rnd < max_rounds:
@@ -158,7 +166,13 @@ def bit_paths(graph: HopGraph, sources, *, max_rounds: int | None = None, stop_a
                 stats.append((rnd, 0))
                 converged = True
                 break
-            f = _allowed(frontier, numbered, graph, ss) if stop_at_other_sources else frontier
+            ahead = graph.partitions_ahead(p, sum(n for _, n in layers), frontier, rows, words)
+            if ahead > p:
+                p = ahead
+                spark.conf.set("spark.sql.shuffle.partitions", str(p))
+                merged = functools.reduce(DataFrame.union, [df for df, _ in layers])
+                layers = [materialize(_merged_bits(merged.repartition(p, "word", "vertex")))]
+            f = _allowed(frontier, own, graph, ss) if stop_at_other_sources else frontier
             new = _new_bits(_merged_bits(_spread(graph, f, rows)), [df for df, _ in layers])
             new, rows, told = materialize_observed(new, metrics)
             pairs = int(told["pairs"] or 0)

@@ -51,6 +51,8 @@ EDGES_PER_PARTITION = 32_768
 MAX_EDGES_PER_PARTITION = 8_000_000
 # Most (source, vertex) rows of traversal state per partition.
 MAX_STATE_ROWS_PER_PARTITION = 8_000_000
+# State of up to so many sources gets partitions for all that they may reach at once.
+FEW_SOURCES = 64
 # A hot vertex is cut into chunks of about |E| / (CHUNKS_PER_PARTITION * p)
 # edges, so each partition receives several chunks and hashing them spreads
 # a hub evenly (the hot table stays within CHUNKS_PER_PARTITION * p rows).
@@ -123,14 +125,36 @@ class HopGraph:
         return self._reversed
 
     def state_partitions(self, sources: int) -> int:
-        """Partitions for traversal state of ``sources`` sources: the layout's
-        count, raised so no state partition holds more than
-        ``MAX_STATE_ROWS_PER_PARTITION`` (source, vertex) rows."""
+        """Partitions for traversal state of ``sources`` sources that reach the
+        whole graph: the layout's count, raised so no state partition holds more
+        than ``MAX_STATE_ROWS_PER_PARTITION`` (source, vertex) rows."""
         p = self.partitions
         if sources * 2 * self.num_edges <= p * MAX_STATE_ROWS_PER_PARTITION:
             return p
         return max(p, math.ceil(sources * self.approx_vertices() / MAX_STATE_ROWS_PER_PARTITION))
 
+    def first_partitions(self, sources: int) -> int:
+        """Partitions to begin with: room for all that a few sources may reach.
+        Many sources may reach little each; their state is counted as it grows."""
+        return self.state_partitions(sources) if sources <= FEW_SOURCES else self.partitions
+
+    def partitions_ahead(self, partitions: int, held: int, frontier: DataFrame, frontier_rows: int, groups: int) -> int:
+        """Partitions for the state after the next round: as many as now, unless
+        the ``held`` rows and those that may come would overfill them; then room
+        for twice as many rows is made. A row may come for each edge that leaves
+        the frontier, but no more than one for each of ``groups`` (sources, or
+        words of them) and vertex. Edges are counted only if plainer bounds are
+        over what there is room for."""
+        room = partitions * MAX_STATE_ROWS_PER_PARTITION
+        bound = held + frontier_rows * self.max_out_degree
+        if bound > room:
+            bound = min(bound, max(held, groups * self.approx_vertices()))
+        if bound > room:
+            outs = self.degrees().select(F.col("vertex").alias("d_vertex"), "outs")
+            leaving = frontier.join(outs, F.col("vertex") == F.col("d_vertex")).agg(F.sum("outs")).first()[0]
+            bound = min(bound, held + int(leaving or 0))
+        return partitions if bound <= room else math.ceil(2 * bound / MAX_STATE_ROWS_PER_PARTITION)
+
     @property
     def spark(self):
         return self.edges.sparkSession
