@@ -46,7 +46,7 @@ from __future__ import annotations
 
 import functools
 import logging
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -81,6 +81,7 @@ class SourceSet:
     count: int
     max_len: int
     values: list[str] | None  # the ids when given as a list
+    blocked: DataFrame | None = None  # one column: blocked, the ids in the layout's type, computed once
 
 
 def source_set(spark: SparkSession, sources) -> SourceSet:
@@ -241,7 +242,9 @@ def _unblocked(graph: HopGraph, f: DataFrame, blocked: SourceSet | None) -> Data
         return f
     if blocked.values is not None:
         return f.where(~F.col("vertex").isin(graph.internal_values(blocked.values)) | (F.col("vertex") == F.col("source")))
-    b = _internal_sources(graph, blocked).select(F.col("source").alias("blocked"))
+    b = blocked.blocked
+    if b is None:
+        b = _internal_sources(graph, blocked).select(F.col("source").alias("blocked"))
     b = _side(graph.spark, b, blocked.count, row_bytes(1, blocked.max_len))
     return f.join(b, (F.col("vertex") == F.col("blocked")) & (F.col("source") != F.col("blocked")), "left_anti")
 
@@ -406,8 +409,19 @@ def _layer_anti_join(cand: DataFrame, probes: list[DataFrame]) -> DataFrame:
     return out
 
 
-def _compact(layers: list[tuple[DataFrame, int]], mode: str) -> tuple[DataFrame, int]:
+def _laid_out(graph: HopGraph, ss: SourceSet) -> SourceSet:
+    """Blocked sources given as a frame, computed once and dealt as the edges
+    are, so that a round moves its frontier alone."""
+    ids = _internal_sources(graph, ss).select(F.col("source").alias("blocked"))
+    ids, _ = materialize(ids.repartition(graph.partitions, "blocked").sortWithinPartitions("blocked"))
+    return replace(ss, blocked=ids)
+
+
+def _compact(layers: list[tuple[DataFrame, int]], mode: str, partitions: int | None = None) -> tuple[DataFrame, int]:
+    """The layers as one; dealt anew if ``partitions`` are given."""
     merged = functools.reduce(DataFrame.union, [df for df, _ in layers])
+    if partitions is not None:
+        merged = merged.repartition(partitions, "source", "vertex")
     if mode == "relax":
         merged = reduce_candidates(merged)
     return materialize(merged.sortWithinPartitions("source", "vertex"))
@@ -433,7 +447,8 @@ def iterate(graph: HopGraph, initial: DataFrame, *, mode: str = "bfs", max_round
         raise ValueError("bottom_up needs a fresh traversal from a list of sources")
     spark = graph.spark
     n_sources = sources.count if sources is not None else 1
-    p = graph.state_partitions(n_sources)
+    # Bottom-up rounds hold the unreached pairs too: room for all pairs.
+    p = graph.state_partitions(n_sources) if bottom_up else graph.first_partitions(n_sources)
     stats: list[tuple[int, int]] = list(past or [])
     converged = done
     rewritten = 0
@@ -454,6 +469,8 @@ def iterate(graph: HopGraph, initial: DataFrame, *, mode: str = "bfs", max_round
         )
         start = reduce_candidates(start.repartition(p, "source", "vertex")).sortWithinPartitions("source", "vertex")
         layer0, n0, seen = materialize_observed(start, metrics)
+        if blocked is not None and blocked.values is None:
+            blocked = _laid_out(graph, blocked)
         layers: list[tuple[DataFrame, int]] = [(layer0, n0)]
         probes = [_probe_view(layer0)]
         frontier, n_front, near = layer0, n0, touched(seen)
@@ -472,6 +489,14 @@ def iterate(graph: HopGraph, initial: DataFrame, *, mode: str = "bfs", max_round
                 converged = True
                 break
             counted = None
+            held = sum(rows for _, rows in layers)
+            ahead = p if look is not None else graph.partitions_ahead(p, held, frontier, n_front, n_sources)
+            if ahead > p:
+                p = ahead
+                spark.conf.set("spark.sql.shuffle.partitions", str(p))
+                rewritten += held
+                layers = [_compact(layers, mode, p)]
+                probes = [_probe_view(layers[0][0])]
             if look is not None and look.pays():
                 new, counted = look.step(_unblocked(graph, frontier, blocked), n_front)
             else:
