@@ -630,6 +630,8 @@ def resume_shortest_paths(graph: HopGraph, state: DataFrame, *, sources=None,
         ss = source_set(spark, sources)
         wanted = F.col("source").isin(ss.values) if ss.values is not None else None
         state = state.where(wanted) if wanted is not None else state.join(ss.frame, "source", "left_semi")
+    # The finite rows are read several times: what made them (text, say) runs once.
+    state, _ = materialize(state.select("source", "vertex", F.col("dist").cast("int").alias("dist")).where(F.col("dist").isNotNull()))
     outside = _outside(graph, state)
     if outside is not None and not outside.where(graph.internal_id(F.col("vertex")).isNotNull()).isEmpty():
         # A source that the layout's type cannot hold has reached vertices: go on with ids as strings.
