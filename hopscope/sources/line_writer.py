@@ -12,6 +12,7 @@ Files are reached through pyarrow's filesystems (local, S3, GCS, HDFS).
 
 from __future__ import annotations
 
+import math
 import sys
 import uuid
 from collections.abc import Iterator
@@ -19,12 +20,15 @@ from dataclasses import dataclass
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 
 # Executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 FORMAT = "adjacency-lines"
+#: Neighbours that a task sorts and writes, hubs apart.
+PER_TASK = 500_000
 
 
 @dataclass
@@ -105,5 +109,6 @@ def write_adjacency_lines(adjacency: DataFrame, path: str, mode: str = "overwrit
     part; neighbours are in the order of parts."""
     spark = adjacency.sparkSession
     spark.dataSource.register(AdjacencyLines)
-    rows = adjacency.select("vertex", "part", "neighbors").repartition("vertex").sortWithinPartitions("vertex", "part")
+    listed = adjacency.agg(F.sum(F.size("neighbors"))).first()[0]
+    rows = adjacency.select("vertex", "part", "neighbors").repartition(max(1, math.ceil((listed or 0) / PER_TASK)), "vertex").sortWithinPartitions("vertex", "part")
     rows.write.format(FORMAT).mode(mode).save(path)
