@@ -29,15 +29,15 @@ from __future__ import annotations
 
 import json
 import os
-import re
 import uuid
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import islice
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -116,7 +116,9 @@ def decode_block(data: bytes, n: int, lanes: int, freq: np.ndarray, start: np.nd
 def encode_file(doc_ids: list[int | None], lengths: list[int], ids: np.ndarray, block_tokens: int = BLOCK_TOKENS, max_lanes: int = LANES) -> bytes:
     symbols, freq, bits = frequencies(ids)
     start = np.concatenate([[0], np.cumsum(freq)[:-1]]).astype(np.uint32)
-    slots = np.searchsorted(symbols, ids)
+    places = np.zeros(int(symbols[-1]) + 1 if len(symbols) else 1, np.uint32)
+    places[symbols] = np.arange(len(symbols), dtype=np.uint32)
+    slots = places[ids]
     blocks, body, at = [], [], 0
     for lo in range(0, len(ids), block_tokens):
         part = slots[lo : lo + block_tokens]
@@ -177,80 +179,133 @@ class Reader:
             have = have[n:]
 
 
+#: Letters and other characters of words that are parted here: those that no version of Unicode sees otherwise.
+LETTERS = "A-Za-zÀ-ÖØ-öø-ɏΑ-ΡΣ-ωА-яЁё"
+OTHERS = r"!-/:-@\[-`{-~«»¡¿–—‘’“”…"
+PLAIN = rf" ?[0-9{LETTERS}{OTHERS}]+(?:\n\n?[0-9{LETTERS}{OTHERS}]+)*"
+RUNS = rf"('(?:s|t|re|ve|m|ll|d)| ?[{LETTERS}]+| ?[0-9]+| ?[{OTHERS}]+|\n)"
+#: End a run and, as a run of its own, a word; not in a plain word.
+RUN_END, WORD_END = "\x01", "\x02"
+
+
 class Tokens:
     """Ids of texts by the tokenizers library.
 
     A byte-level pre-tokenizer always parts a text at a single space between two
-    characters that are not space, and around a single line end between such, so
-    words are encoded once and then looked up. A word of printable ASCII without
-    an apostrophe is parted further, into runs of letters, digits and other
-    characters. New runs are encoded together, a line each. Texts with other white
-    space beside a space or line end or with one of the tokenizer's added tokens,
-    and all texts if the pre-tokenizer is not of this kind, are encoded whole."""
-
-    KEPT = 150_000
-    PLAIN = re.compile(r" [!-&(-~]+(?:\n[!-&(-~]+)*")
-    RUNS = re.compile(r" ?[A-Za-z]+| ?[0-9]+| ?[!-&(-/:-@\[-`{-~]+|\n")
+    characters that are not space. So texts are cut at spaces, an Arrow batch of
+    them at a time; each distinct word is encoded once, with the space before it,
+    and the ids of all words are then put together by their codes. Words of plain
+    characters are parted as the pre-tokenizer's expression does, into contractions,
+    runs of letters, digits and other characters, and line ends; the runs of all new
+    words go through the tokenizer's model in one call. Other words are encoded by
+    themselves. Texts with other white space beside a space or at an end of theirs or
+    with one of the tokenizer's added tokens, and all texts if the pre-tokenizer is
+    not of this kind, are encoded whole."""
+
+    #: Words that stay known, and their bytes; the first to come are the most frequent.
+    KEPT = 400_000
+    KEPT_BYTES = 16 << 20
+    #: New words that are encoded at once, and ids that are put together at once.
+    GATHERED = 1 << 18
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         # Texts that hold one of these are encoded whole; the tokenizer takes them out first.
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
         self.dtype = np.uint32 if self.tokenizer.get_vocab_size() > 1 << 16 else np.uint16
-        told = json.loads(self.tokenizer.to_str())
-        kind = told["pre_tokenizer"] or {}
-        line = self.ids("\n")
-        self.parts = told["normalizer"] is None and kind.get("type") == "ByteLevel" and kind.get("use_regex", True) and not kind.get("add_prefix_space") and len(line) == 1
-        self.line = line[0]
-        self.words: dict[str, bytes] = {}  # words after a space
-        self.runs: dict[str, bytes] = {}
-
-    def ids(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.dtype)
-
-    def part(self, word: str) -> list[str]:
-        """The runs and line ends of a word and the space before it; none if it can't be parted."""
-        if self.PLAIN.fullmatch(word):
-            return self.RUNS.findall(word)
-        lines = word.split("\n")
-        if any(not x or x[-1].isspace() for x in lines) or any(x[0].isspace() for x in [word[1:], *lines[1:]]):
-            return []
-        return [run for x in lines for run in (x, "\n")][:-1]
-
-    def learn(self, words: set[str]) -> None:
-        parted = {w: runs for w in words if w and (runs := self.part(" " + w))}
-        new = list({r for runs in parted.values() for r in runs}.difference(self.runs, ["\n"]))
-        ids = self.ids("\n".join([*new, ""]))
-        data, size = ids.tobytes(), ids.itemsize
-        ends = (np.flatnonzero(ids == self.line) * size).tolist()
-        starts = [0, *(e + size for e in ends)]
-        self.runs["\n"] = self.line.tobytes()
-        self.runs.update((r, data[lo:hi]) for r, lo, hi in zip(new, starts[:-1], ends, strict=True))
-        for w, runs in parted.items():
-            self.words[w] = self.runs[runs[0]] if len(runs) == 1 else b"".join([self.runs[r] for r in runs])
-
-    def text(self, cut: list[str], text: str) -> bytes:
-        if not self.parts or cut[0][-1:].isspace() or not cut[0]:
-            return self.ids(text).tobytes() if text else b""
-        try:
-            return self.ids(cut[0]).tobytes() + b"".join(map(self.words.__getitem__, cut[1:]))
-        except KeyError:  # a word that could not be parted
-            return self.ids(text).tobytes()
-
-    def encode(self, texts: list[str]) -> list[bytes]:
+        kind = json.loads(self.tokenizer.pre_tokenizer.__getstate__()) if self.tokenizer.pre_tokenizer else {}
+        # The same model behind runs that are parted already; their bytes stand as the byte-level alphabet's characters.
+        self.model = Tokenizer(self.tokenizer.model)
+        self.model.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
+        plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+        moved = iter(range(256, 512))
+        self.alphabet = np.array([b if b in plain else next(moved) for b in range(256)], "<u4")
+        self.alphabet[ord(RUN_END)] = ord(" ")
+        mark = self.model_ids(WORD_END)
+        self.parts = self.tokenizer.normalizer is None and kind.get("type") == "ByteLevel" and kind.get("use_regex", True) and not kind.get("add_prefix_space") and len(mark) == 1
+        self.mark = mark[:1]
+        self.words = pa.array([], pa.string())  # each with the space before it, but for texts' first words
+        self.flat, self.size = np.zeros(0, self.dtype), np.zeros(0, np.int64)  # their ids, and how many each has
+
+    def ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, self.dtype) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def model_ids(self, runs: str) -> np.ndarray:
+        moved = self.alphabet[np.frombuffer(runs.encode(), np.uint8)].tobytes().decode("utf-32-le")
+        return np.array(self.model.encode_batch_fast([moved], add_special_tokens=False)[0].ids, self.dtype)
+
+    def plain_ids(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of plain words, and how many each has."""
+        runs = pc.replace_substring_regex(words, RUNS, r"\1" + RUN_END)
+        joined = pc.binary_join(pa.ListArray.from_arrays([0, len(runs)], runs), WORD_END + RUN_END)[0].as_py() + WORD_END
+        told = self.model_ids(joined)
+        ends = np.flatnonzero(told == self.mark)
+        return told[told != self.mark], np.diff(ends, prepend=-1) - 1
+
+    def learn(self, new: pa.Array) -> np.ndarray:
+        """Keep the ids of words and return their places; -1 for those that only their text can tell."""
+        plain = pc.match_substring_regex(new, rf"\A(?:{PLAIN})\z")
+        is_plain = plain.to_numpy(zero_copy_only=False)
+        lone = ~is_plain
+        bare = [w.removeprefix(" ") for w in new.filter(pa.array(lone)).to_pylist()]
+        lone[lone] = [bool(w) and not w[0].isspace() and not w[-1].isspace() for w in bare]
+        alone, plain = new.filter(pa.array(lone)), new.filter(plain)
+        place, known = np.full(len(new), -1), len(self.words)
+        place[is_plain] = known + np.arange(len(plain))
+        place[lone] = known + len(plain) + np.arange(len(alone))
+        told = [self.plain_ids(plain[lo : lo + self.GATHERED]) for lo in range(0, len(plain), self.GATHERED)]
+        more = self.ids(alone.to_pylist())
+        self.flat = np.concatenate([self.flat, *(ids for ids, _ in told), *more])
+        self.size = np.concatenate([self.size, *(size for _, size in told), np.array([len(x) for x in more], np.int64)])
+        self.words = pa.concat_arrays([self.words, plain, alone])
+        return place
+
+    def together(self, texts: pa.Array) -> list[bytes | None]:
+        """The ids of each text from those of its words; None if it is to be encoded whole."""
+        cut = pc.split_pattern(texts, " ")
+        begin = cut.offsets.to_numpy()
+        begin, flat = begin - begin[0], cut.flatten()
+        held, first = flat.dictionary_encode(), flat.take(pa.array(begin[:-1])).dictionary_encode()
+        words = pa.concat_arrays([pc.binary_join_element_wise(" ", held.dictionary, ""), first.dictionary])
+        # A text's first word has no space before it and so a code of its own.
+        codes = held.indices.to_numpy().copy()
+        codes[begin[:-1]] = len(held.dictionary) + first.indices.to_numpy()
+        at = pc.fill_null(pc.index_in(words, self.words), -1).to_numpy().astype(np.int64)
+        new = at < 0
+        at[new] = self.learn(words.filter(pa.array(new)))
+        known = np.append(self.size, 0)  # the last for words without a place
+        size, start = known[at], (np.cumsum(known) - known)[at]
+        end = np.concatenate([[0], np.cumsum(size[codes])])
+        out = np.empty(end[-1], self.dtype)
+        steps = np.unique([*np.searchsorted(end, np.arange(0, end[-1], self.GATHERED)), len(codes)])
+        for lo, hi in pairwise([0, *steps.tolist()]):
+            some, to = codes[lo:hi], end[lo : hi + 1]
+            place = np.arange(to[0], to[-1]) + np.repeat(start[some] - to[:-1], size[some])
+            out[to[0] : to[-1]] = self.flat[place]
+        whole = np.logical_or.reduceat((at < 0)[codes], begin[:-1]).tolist()
+        ends = end[begin].tolist()
+        return [None if w else out[lo:hi].tobytes() for w, lo, hi in zip(whole, ends[:-1], ends[1:], strict=True)]
+
+    def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
         """The ids of each text, as bytes of ``dtype``."""
-        # An empty cut marks a text that is encoded whole.
-        cut = [[""] if any(a in t for a in self.added) else t.split(" ") for t in texts]
-        if self.parts:
-            self.learn({w for c in cut for w in c[1:]}.difference(self.words))
-        out = [self.text(c, t) for c, t in zip(cut, texts, strict=True)]
-        for kept in (self.words, self.runs):
-            if len(kept) > 1.25 * self.KEPT:  # the first to come are the most frequent
-                first = dict(islice(kept.items(), self.KEPT))
-                kept.clear()
-                kept.update(first)
+        texts = texts.cast(pa.string()) if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        whole = np.full(len(texts), not self.parts)
+        for a in self.added:
+            whole |= pc.match_substring(texts, a).to_numpy(zero_copy_only=False)
+        out: list[bytes | None] = [None] * len(texts)
+        at = np.flatnonzero(~whole)
+        if len(at):
+            for i, ids in zip(at.tolist(), self.together(texts.take(pa.array(at)) if whole.any() else texts), strict=True):
+                out[i] = ids
+        for i in [i for i, x in enumerate(out) if x is None]:
+            out[i] = self.ids([texts[i].as_py()])[0].tobytes()
+        if len(self.words) > 1.25 * self.KEPT or self.words.nbytes > 1.25 * self.KEPT_BYTES:
+            ends = np.cumsum(pc.binary_length(self.words[: self.KEPT]).to_numpy())
+            kept = int(np.searchsorted(ends, self.KEPT_BYTES, "right"))
+            self.words, self.size = self.words.take(pa.array(np.arange(kept))), self.size[:kept].copy()
+            self.flat = self.flat[: self.size.sum()].copy()
         return out
 
 
@@ -268,7 +323,7 @@ def _open(path: str):
 
 
 #: Bytes of text whose new words are encoded together.
-LEARNED_BYTES = 1 << 20
+LEARNED_BYTES = 4 << 20
 #: ``before``: ids in the part's earlier files.
 MANIFEST = "part int, before long, path string, n_docs long, n_tokens long, n_bytes long"
 
@@ -305,7 +360,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_I
 
         for batch in batches:
             for few in pieces(batch, 1, LEARNED_BYTES):
-                for doc, ids in zip(few.column(0).to_pylist(), tokens.encode(few.column(1).to_pylist()), strict=True):
+                for doc, ids in zip(few.column(0).to_pylist(), tokens.encode(few.column(1)), strict=True):
                     held.append(ids + end)
                     doc_ids.append(doc)
                     lengths.append(len(held[-1]) // len(end))
