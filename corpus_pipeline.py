@@ -25,9 +25,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = toxicity.train(docs, table(spark, sf_dir, "labels"), train_rows=fold(F.col("__id"), 5) != 0)
     if not model[0].any():
         return docs
-    # Whole rows in one column: no name of theirs can clash.
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text")
-    return toxicity.score(rows, model, "toxic").where("toxic < 0.5").select("row.*")
+    # The score's name is longer than any column's; whole rows pass, each text once.
+    name = "toxic".ljust(1 + max(map(len, docs.columns)), "_")
+    return toxicity.score(docs, model, name).where(F.col(name) < 0.5).drop(name)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

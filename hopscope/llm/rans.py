@@ -44,6 +44,7 @@ from pyspark.sql import functions as F
 
 from hopscope.llm.arrow_words import pieces
 from hopscope.llm.common import fresh_path
+from hopscope.plans.session import scoped_conf
 
 MAGIC = b"HOPRANS1"
 END_ID = 2
@@ -203,9 +204,11 @@ class Tokens:
     not of this kind, are encoded whole."""
 
     #: Words that stay known, and their bytes; the first to come are the most frequent.
-    KEPT = 400_000
+    KEPT = 250_000
     KEPT_BYTES = 16 << 20
-    #: New words that are encoded at once, and ids that are put together at once.
+    #: New words that are encoded at once: what the tokenizer returns has some 100 bytes a token.
+    LEARNED = 1 << 13
+    #: Ids that are put together at once.
     GATHERED = 1 << 18
 
     def __init__(self, path: str):
@@ -255,8 +258,8 @@ class Tokens:
         place, known = np.full(len(new), -1), len(self.words)
         place[is_plain] = known + np.arange(len(plain))
         place[lone] = known + len(plain) + np.arange(len(alone))
-        told = [self.plain_ids(plain[lo : lo + self.GATHERED]) for lo in range(0, len(plain), self.GATHERED)]
-        more = self.ids(alone.to_pylist())
+        told = [self.plain_ids(plain[lo : lo + self.LEARNED]) for lo in range(0, len(plain), self.LEARNED)]
+        more = [ids for lo in range(0, len(alone), self.LEARNED) for ids in self.ids(alone[lo : lo + self.LEARNED].to_pylist())]
         self.flat = np.concatenate([self.flat, *(ids for ids, _ in told), *more])
         self.size = np.concatenate([self.size, *(size for _, size in told), np.array([len(x) for x in more], np.int64)])
         self.words = pa.concat_arrays([self.words, plain, alone])
@@ -324,6 +327,8 @@ def _open(path: str):
 
 #: Bytes of text whose new words are encoded together.
 LEARNED_BYTES = 4 << 20
+#: Most texts that are sent to a Python worker at once.
+BATCH_ROWS = 2_000
 #: ``before``: ids in the part's earlier files.
 MANIFEST = "part int, before long, path string, n_docs long, n_tokens long, n_bytes long"
 
@@ -370,7 +375,8 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_I
         if doc_ids:
             yield flush()
 
-    ordered.mapInArrow(run, MANIFEST).write.parquet(f"{path}/files")
+    with scoped_conf(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": str(BATCH_ROWS)}):
+        ordered.mapInArrow(run, MANIFEST).write.parquet(f"{path}/files")
     return spark.read.schema(MANIFEST).parquet(f"{path}/files")
 
 

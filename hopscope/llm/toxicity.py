@@ -35,6 +35,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BITS = 18
 FIT_ROWS = 8_000
@@ -292,14 +293,18 @@ def train(
 def score(docs: DataFrame, model: Model, column: str = "score") -> DataFrame:
     """The documents, all columns as they were, with a score from 0 to 1."""
     shared = docs.sparkSession.sparkContext.broadcast(tuple(model[:2]))
+    kept = [c for c in docs.columns if c != column]
+    # Columns are numbered on their way, so that any names may pass. Texts are sent
+    # once: they are read from their own column, unless the score takes its name.
+    own = docs.select(*[F.col("`" + c.replace("`", "``") + "`").alias(f"c{i}") for i, c in enumerate([*kept, *([] if "text" in kept else ["text"])])])
+    at = kept.index("text") if "text" in kept else len(kept)
+    fields = T.StructType([*own.schema.fields[: len(kept)], T.StructField("score", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of, (weights, b) = Features(), shared.value
         for batch in batches:
-            z = [b + float(weights[np.fromiter(s, np.int64, len(s))].sum(dtype=np.float64)) for s in map(of, (x.as_py() for x in batch.column(batch.num_columns - 1)))]
+            z = [b + float(weights[np.fromiter(s, np.int64, len(s))].sum(dtype=np.float64)) for s in map(of, (x.as_py() for x in batch.column(at)))]
             p = 1 / (1 + np.exp(-np.clip(np.array(z, float), -30, 30)))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(p, pa.float64())], [*batch.schema.names[:-1], column])
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], pa.array(p, pa.float64())], fields.names)
 
-    ready = docs.select(*[c for c in docs.columns if c != column], F.col("text").alias("__scored"))
-    schema = docs.select(*[c for c in docs.columns if c != column]).schema.add(column, "double")
-    return ready.mapInArrow(run, schema)
+    return own.mapInArrow(run, fields).toDF(*kept, column)
