@@ -90,7 +90,8 @@ def _cut(slim: DataFrame, sources: DataFrame, n_sources: int) -> DataFrame:
     ends = sums.withColumn("upper", running).withColumn("room", F.col("rest") - (F.col("upper") - F.col("words")))
     ends = stored(ends.where("room > 0 AND upper > rest").select("source", F.col("block").alias("last"), "room"), "mix-ends")
     inside = attach(dealt.select("source", "block", "key", "size"), ends, ["source"], n_sources, 200, F.col("key")).where("block = last")
-    units = inside.groupBy("source", "last", "room", "key").agg(F.sum("size").alias("size"))
+    # Read three times below; unstored, each would bring all joins above into the plan again.
+    units = stored(inside.groupBy("source", "last", "room", "key").agg(F.sum("size").alias("size")), "mix-units")
     upper = F.sum("size").over(Window.partitionBy("source").orderBy("key"))
     units = units.withColumn("gap", F.col("room") - upper)
     head = units.where("gap >= 0").groupBy("source").agg(F.max("key").alias("upto"), F.min("gap").alias("gap"))

@@ -386,12 +386,14 @@ def components(edges: DataFrame) -> DataFrame:
     minimum joined back, until every component is a star around its root."""
     edges = stored(edges.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "cc")
     while True:
-        parents = edges.select(F.col("v").alias("u")).distinct().withColumn("also", F.lit(True))
-        ends = edges.groupBy("u").agg(F.count("*").alias("n")).join(parents, "u", "left")
-        if ends.where("n > 1 OR also").isEmpty():
-            return edges.select(F.col("u").alias("h"), F.col("v").alias("root")).unionByName(parents.select(F.col("u").alias("h"), F.col("u").alias("root")))
         larger = edges.select(F.col("v").alias("u"), F.col("u").alias("v"))
-        low = edges.unionByName(larger).groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        low = edges.unionByName(larger).groupBy("u").agg(
+            F.least("u", F.min("v")).alias("m"), F.count_if(F.col("v") < F.col("u")).alias("n"), F.bool_or(F.col("v") > F.col("u")).alias("also")
+        )
+        low = stored(low, "cc-low")
+        if low.where("n > 1 OR (n > 0 AND also)").isEmpty():
+            return low.select(F.col("u").alias("h"), F.col("m").alias("root"))
+        low = low.select("u", "m")
         large = larger.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = stored(large.where("u != v"), "cc")
         low = large.groupBy("u").agg(F.min("v").alias("m"))

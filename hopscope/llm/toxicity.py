@@ -49,6 +49,8 @@ L1 = 0.04
 STRENGTHS = (0.01, 0.02, 0.04, 0.08, 0.16)
 FOLDS = 3
 FOLD_ROWS = 3_000
+#: Feature numbers, of whole texts, that a step of a fit takes in at once.
+PIECE = 1 << 18
 #: Weight of the squared change of score between a text and its swapped copy.
 SWAP_PENALTY = 1.0
 
@@ -136,6 +138,41 @@ def sentence_pairs(text: str | None, of: Features, swap: dict[str, str] = SWAP)
     return [(np.array(lost, np.int64), np.array(gained, np.int64)) for lost, gained in out if lost or gained]
 
 
+def pieces(parts: Sequence[np.ndarray]) -> Iterator[tuple[int, int]]:
+    """Ranges of parts with ``PIECE`` entries or one part."""
+    ends = np.cumsum([len(p) for p in parts])
+    lo = 0
+    while lo < len(parts):
+        hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + PIECE, "right")))
+        yield lo, hi
+        lo = hi
+
+
+class Matrix:
+    """The columns of each part's features, four bytes each; sums run over a few
+    parts at a time, in the order of the entries."""
+
+    def __init__(self, parts: Sequence[np.ndarray], place: np.ndarray):
+        self.held: list[tuple[int, np.ndarray, np.ndarray]] = []
+        for lo, hi in pieces(parts):
+            row = np.repeat(np.arange(hi - lo), [len(p) for p in parts[lo:hi]])
+            col = place[np.concatenate(parts[lo:hi])]
+            self.held.append((lo, np.bincount(row[col >= 0], minlength=hi - lo), col[col >= 0]))
+        self.rows = len(parts)
+
+    def by_row(self, w: np.ndarray) -> np.ndarray:
+        out = np.zeros(self.rows)
+        for lo, sizes, col in self.held:
+            out[lo : lo + len(sizes)] = np.bincount(np.repeat(np.arange(len(sizes)), sizes), w[col], len(sizes))
+        return out
+
+    def by_column(self, v: np.ndarray, columns: int) -> np.ndarray:
+        out = np.zeros(columns)
+        for lo, sizes, col in self.held:
+            np.add.at(out, col.astype(np.intp), np.repeat(v[lo : lo + len(sizes)], sizes))
+        return out
+
+
 def fit(
     rows: list[np.ndarray],
     copies: list[np.ndarray | None],
@@ -152,30 +189,27 @@ def fit(
     prior = float(np.log(max(share, 1e-6) / max(1 - share, 1e-6)))
     if not len(labels) or labels.min() == labels.max():
         return weights, prior
-    held = np.bincount(np.concatenate(rows), minlength=1 << BITS)
+    held = np.zeros(1 << BITS, np.int64)
+    for lo, hi in pieces(rows):
+        held += np.bincount(np.concatenate(rows[lo:hi]), minlength=1 << BITS)
     used = np.flatnonzero(held >= MIN_TEXTS)
-    place = np.full(1 << BITS, -1, np.int64)
+    place = np.full(1 << BITS, -1, np.int32)
     place[used] = np.arange(len(used))
 
-    def matrix(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        row = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
-        col = place[np.concatenate([*parts, np.zeros(0, np.int64)]).astype(np.int64)]
-        return row[col >= 0], col[col >= 0]
-
-    row, col = matrix(rows)
+    texts = Matrix(rows, place)
     # The difference of two feature sets is all that the penalty sees.
     pairs = [*pairs, *((np.setdiff1d(a, b), np.setdiff1d(b, a)) for a, b in zip(rows, copies, strict=True) if b is not None)]
-    plus, minus = matrix([p for p, _ in pairs]), matrix([m for _, m in pairs])
+    plus, minus = Matrix([p for p, _ in pairs], place), Matrix([m for _, m in pairs], place)
     n, w, b = len(labels), np.zeros(len(used)), float(np.log(labels.mean() / (1 - labels.mean())))
     sparse = strength / np.sqrt(n)
     seen, seen_b = np.full(len(used), 1e-8), 1e-8
     for _ in range(ROUNDS):
-        z = np.bincount(row, w[col], n) + b
+        z = texts.by_row(w) + b
         miss = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - labels
-        grad = np.bincount(col, miss[row], len(used)) / n
+        grad = texts.by_column(miss, len(used)) / n
         if pairs:
-            gap = np.bincount(plus[0], w[plus[1]], len(pairs)) - np.bincount(minus[0], w[minus[1]], len(pairs))
-            grad += 2 * penalty / n * (np.bincount(plus[1], gap[plus[0]], len(used)) - np.bincount(minus[1], gap[minus[0]], len(used)))
+            gap = plus.by_row(w) - minus.by_row(w)
+            grad += 2 * penalty / n * (plus.by_column(gap, len(used)) - minus.by_column(gap, len(used)))
         seen += grad * grad
         step = RATE / np.sqrt(seen)
         w -= step * grad
