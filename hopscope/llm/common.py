@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +17,32 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: The most bytes of a frame that is broadcast; a larger one is joined through a shuffle.
 BROADCAST_BYTES = 16 << 20
 
+#: Most texts that are sent to a Python worker at once where a step says so: both its
+#: memory and the executor's buffers outside the heap hold whole batches.
+BATCH_ROWS = 2_000
+SMALL_BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": str(BATCH_ROWS)}
+
+
+def give_back() -> None:
+    """Return freed memory, which allocators keep, to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim:
+        trim(0)
+
+
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` for mapInArrow, so that a Python worker keeps little when its task
+    ends: it waits for other tasks, beside those that need the executor's memory."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return task
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.

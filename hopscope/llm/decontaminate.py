@@ -37,6 +37,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hopscope.llm.common import SMALL_BATCHES, lean, stored
+from hopscope.plans.session import scoped_conf
+
 Q = 10
 #: Edits per character of a segment.
 BUDGET = 0.06
@@ -256,7 +259,7 @@ def _hits(docs: DataFrame, benchmark: DataFrame, q: int = Q, budget: float = BUD
                 names = ["doc_id", "item_id", "n_regions", "min_edits", "start", "end", "fp"]
                 yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols), pa.array(fps, pa.string())], names)
 
-        part = slim.mapInArrow(find, f"{HITS}, fp string")
+        part = slim.mapInArrow(lean(find), f"{HITS}, fp string")
         out = part if out is None else out.unionByName(part)
     return out if out is not None else spark.createDataFrame([], f"{HITS}, fp string")
 
@@ -275,7 +278,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame
     documents, but their number grows with them, so Spark chooses the join by
     their size."""
     own = lambda doc, fp: F.when(doc.isNull(), fp)
-    found = _hits(docs, benchmark, **options)
-    found = found.select(F.col("doc_id").alias("leaked"), own(F.col("doc_id"), F.col("fp")).alias("leaked_fp")).distinct()
+    with scoped_conf(docs.sparkSession, SMALL_BATCHES):
+        found = _hits(docs, benchmark, **options)
+        found = stored(found.select(F.col("doc_id").alias("leaked"), own(F.col("doc_id"), F.col("fp")).alias("leaked_fp")).distinct(), "leaks")
     mine = docs["doc_id"].eqNullSafe(found["leaked"]) & own(docs["doc_id"], F.md5(docs["text"])).eqNullSafe(found["leaked_fp"])
     return docs.join(found, mine, "left_anti")

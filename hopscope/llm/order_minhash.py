@@ -56,7 +56,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hopscope.llm.common import attach, stored
+from hopscope.llm.common import SMALL_BATCHES, attach, lean, stored
+from hopscope.plans.session import scoped_conf
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -192,7 +193,7 @@ def _sketched(docs: DataFrame) -> DataFrame:
             )
 
     slim = docs.select("doc_id", F.md5(F.coalesce("text", F.lit(""))).alias("fp"), "text")
-    return slim.mapInArrow(run, f"doc_id {dict(slim.dtypes)['doc_id']}, fp string, h binary, n_words long, sigs array<long>, bins binary")
+    return slim.mapInArrow(lean(run), f"doc_id {dict(slim.dtypes)['doc_id']}, fp string, h binary, n_words long, sigs array<long>, bins binary")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -209,7 +210,7 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     # Aligning costs far more than its rows weigh, so the pairs are dealt out by number.
     tasks = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb").repartition(tasks)
-    return both.mapInArrow(run, "a binary, b binary, ok boolean")
+    return both.mapInArrow(lean(run), "a binary, b binary, ok boolean")
 
 
 def n_shingles(words: str) -> str:
@@ -231,7 +232,7 @@ def _likely_pairs(met: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(3)], ["h", "o"]).filter(pa.array(ok))
 
     size = lambda c: F.expr(n_shingles(c)).alias(c)
-    pairs = met.select("h", "bins", size("n_words"), "o", "o_bins", size("m_words")).mapInArrow(run, "h binary, o binary")
+    pairs = met.select("h", "bins", size("n_words"), "o", "o_bins", size("m_words")).mapInArrow(lean(run), "h binary, o binary")
     return pairs.select(F.least("h", "o").alias("a"), F.greatest("h", "o").alias("b")).distinct()
 
 
@@ -292,7 +293,7 @@ def _shingle_counts(held: DataFrame) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(met, pa.int64()), pa.array(told[met])], ["slot", "n"])
 
     out = np.zeros(SLOTS, np.uint32)
-    sums = held.select("held").mapInArrow(run, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    sums = held.select("held").mapInArrow(lean(run), "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
     out[sums.column("slot").to_numpy()] = np.minimum(sums.column("n").to_numpy(), np.iinfo(np.uint32).max)
     return out
 
@@ -307,7 +308,7 @@ def _prefix_links(left: DataFrame, texts: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(held, pa.binary())], ["h", "root", "held"])
 
     many = left.where(F.col("n") > SMALL).select("h", "root").distinct()
-    held = stored(many.join(texts, "h").select("h", "root", "text").mapInArrow(shingled, "h binary, root binary, held binary"), "omh-held")
+    held = stored(many.join(texts, "h").select("h", "root", "text").mapInArrow(lean(shingled), "h binary, root binary, held binary"), "omh-held")
     counts = spark.sparkContext.broadcast(_shingle_counts(held))
 
     def prefixed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -319,7 +320,7 @@ def _prefix_links(left: DataFrame, texts: DataFrame) -> DataFrame:
             keys = np.concatenate([*rarest, np.zeros(0, np.uint32)]).astype(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(keys), batch.column(0).take(row), batch.column(1).take(row), words.take(row)], ["key", "h", "root", "n_words"])
 
-    rows = stored(held.mapInArrow(prefixed, "key long, h binary, root binary, n_words long"), "omh-prefixes")
+    rows = stored(held.mapInArrow(lean(prefixed), "key long, h binary, root binary, n_words long"), "omh-prefixes")
     sizes = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi"), F.mode("root", True).alias("main"))
     open_rows = stored(rows.join(sizes.where("lo != hi").drop("lo", "hi"), "key"), "omh-open")
 
@@ -406,7 +407,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """A row for each row of ``docs``: doc_id, fp (md5 of its text), class_id
     (smallest doc_id of its class) and class_fp (the fp of the class's first
     row by doc_id, fp)."""
-    sketched = stored(_sketched(docs), "omh-sketch")
+    with scoped_conf(docs.sparkSession, SMALL_BATCHES):
+        sketched = stored(_sketched(docs), "omh-sketch")
     texts_of = sketched.groupBy("h", "n_words").agg(F.min("fp").alias("fp"), F.min_by("sigs", "fp").alias("sigs"), F.min_by("bins", "fp").alias("bins"))
     texts_of = stored(texts_of, "omh-distinct")
     rows = stored(texts_of.select("h", "n_words", F.posexplode("sigs").alias("band", "sig")).where("n_words > 0"), "omh-rows")
@@ -416,7 +418,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     wanted = texts_of.join(members.select("h").distinct(), "h", "left_semi").select("fp", "h")
     raw = docs.select(F.md5(F.coalesce("text", F.lit(""))).alias("fp"), "text")
     texts = stored(raw.join(wanted, "fp").dropDuplicates(["h"]).select("h", "text"), "omh-texts")
-    roots = stored(components(_links(members, texts)), "omh-roots")
+    with scoped_conf(docs.sparkSession, SMALL_BATCHES):
+        roots = stored(components(_links(members, texts)), "omh-roots")
     keyed = attach(sketched.select("doc_id", "fp", "h"), roots, ["h"], roots.count(), 100, F.xxhash64("doc_id", "fp"))
     keyed = keyed.select("doc_id", "fp", F.coalesce("root", "h").alias("cls"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "fp")).alias("first")

@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hopscope.llm.arrow_words import pieces
-from hopscope.llm.common import fresh_path
+from hopscope.llm.common import BATCH_ROWS, SMALL_BATCHES, fresh_path, give_back, lean
 from hopscope.plans.session import scoped_conf
 
 MAGIC = b"HOPRANS1"
@@ -326,9 +326,7 @@ def _open(path: str):
 
 
 #: Bytes of text whose new words are encoded together.
-LEARNED_BYTES = 4 << 20
-#: Most texts that are sent to a Python worker at once.
-BATCH_ROWS = 2_000
+LEARNED_BYTES = 2 << 20
 #: ``before``: ids in the part's earlier files.
 MANIFEST = "part int, before long, path string, n_docs long, n_tokens long, n_bytes long"
 
@@ -372,11 +370,12 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_I
                     count += lengths[-1]
                     if count >= file_tokens:
                         yield flush()
+            give_back()
         if doc_ids:
             yield flush()
 
-    with scoped_conf(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": str(BATCH_ROWS)}):
-        ordered.mapInArrow(run, MANIFEST).write.parquet(f"{path}/files")
+    with scoped_conf(spark, SMALL_BATCHES):
+        ordered.mapInArrow(lean(run), MANIFEST).write.parquet(f"{path}/files")
     return spark.read.schema(MANIFEST).parquet(f"{path}/files")
 
 
@@ -408,7 +407,7 @@ def read_tokens(files: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
     tasks = max(1, len(before))
-    return files.select("part", "before", "path").repartition(tasks).mapInArrow(run, DOCS)
+    return files.select("part", "before", "path").repartition(tasks).mapInArrow(lean(run), DOCS)
 
 
 def token_files(docs: DataFrame, tokenizer: str, **options) -> DataFrame:

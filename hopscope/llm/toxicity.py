@@ -37,6 +37,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hopscope.llm.common import lean
+
 BITS = 18
 FIT_ROWS = 8_000
 #: Fewest fitted texts with a feature.
@@ -250,7 +252,7 @@ def choose(spark: SparkSession, rows: list[np.ndarray], pairs: list[list[Pair]],
 
     jobs = spark.range(0, len(strengths) * FOLDS, 1, len(strengths) * FOLDS)
     jobs = jobs.select(F.expr(f"CAST(id DIV {FOLDS} AS INT)").alias("strength"), F.expr(f"CAST(id % {FOLDS} AS INT)").alias("fold"))
-    told = sorted(tuple(r) for r in jobs.mapInArrow(run, "strength int, fold int, loss double").collect())
+    told = sorted(tuple(r) for r in jobs.mapInArrow(lean(run), "strength int, fold int, loss double").collect())
     shared.destroy()
     sums = [sum(loss for i, _, loss in told if i == s) for s in range(len(strengths))]
     return strengths[min(range(len(strengths)), key=lambda s: (sums[s], -strengths[s]))]
@@ -312,7 +314,7 @@ def train(
             lost, gained = (pa.array([[p[i] for p in ps] for ps in pairs], pa.list_(pa.list_(pa.int32()))) for i in range(2))
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(feats, pa.list_(pa.int32())), lost, gained], ["y", "f", "lost", "gained"])
 
-    got = rows.mapInArrow(run, "y int, f array<int>, lost array<array<int>>, gained array<array<int>>").toArrow()
+    got = rows.mapInArrow(lean(run), "y int, f array<int>, lost array<array<int>>, gained array<array<int>>").toArrow()
     y, f = got.column(0).to_pylist(), got.column(1).combine_chunks()
     lost, gained = got.column(2).to_pylist(), got.column(3).to_pylist()
     arrays = [np.asarray(x.values) for x in f]
@@ -341,4 +343,4 @@ def score(docs: DataFrame, model: Model, column: str = "score") -> DataFrame:
             p = 1 / (1 + np.exp(-np.clip(np.array(z, float), -30, 30)))
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], pa.array(p, pa.float64())], fields.names)
 
-    return own.mapInArrow(run, fields).toDF(*kept, column)
+    return own.mapInArrow(lean(run), fields).toDF(*kept, column)
